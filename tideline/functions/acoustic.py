@@ -86,10 +86,14 @@ def ping_energy_share(bins: Column, tones: list[float], tolerance: float) -> Col
 
     `bins` is an array of structs (freq_hz, magnitude).
     """
+
+    def energy_near(tone: float) -> Column:
+        in_band = F.filter(bins, lambda b: _near(b["freq_hz"], tone, tolerance))
+        return _square_sum(F.transform(in_band, lambda b: b["magnitude"]))
+
     near = F.lit(0.0)
     for tone in tones:
-        in_band = F.filter(bins, lambda b, t=tone: _near(b["freq_hz"], t, tolerance))
-        near = near + _square_sum(F.transform(in_band, lambda b: b["magnitude"]))
+        near = near + energy_near(tone)
     total = _square_sum(F.transform(bins, lambda b: b["magnitude"]))
     return F.when(total > 0, near / total)
 

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from tideline.functions.text import fixed
+
 # Fixed value: degrees and decimal minutes with a hemisphere letter.
 DMS_PATTERN = r"^\s*(\d+)\s*°\s*(\d+(?:\.\d+)?)\s*'\s*([NSEW])\s*$"
 
@@ -23,4 +25,4 @@ def is_null_island(lat: Column, lon: Column) -> Column:
 def hemisphere_text(value: Column, positive: str, negative: str) -> Column:
     """12.34°N style text; NULL stays NULL."""
     side = F.when(value >= 0, F.lit(positive)).otherwise(F.lit(negative))
-    return F.when(value.isNotNull(), F.concat(F.format_string("%.2f", F.abs(value)), F.lit("°"), side))
+    return F.when(value.isNotNull(), F.concat(fixed(F.abs(value), 2), F.lit("°"), side))

@@ -50,6 +50,12 @@ def metadata_entry(line: Column) -> Column:
     return F.when(part(1).isNotNull(), F.struct(key.alias("key"), F.trim(part(2)).alias("value")))
 
 
+def fixed(number: Column, digits: int) -> Column:
+    """Number text with a fixed number of digits, rounded by its exact binary value, ties to even."""
+    pattern = "0." + "0" * digits if digits else "0"
+    return F.call_function("format_number", number, F.lit(pattern))
+
+
 def camel_name(description: Column) -> Column:
     """oxygen concentration / oxygen_concentration -> OxygenConcentration."""
     words = F.split(F.replace(description, F.lit(" "), F.lit("_")), "_")

@@ -55,7 +55,8 @@ def remove_low_pressure(
     usable = F.col(pressure).isNotNull() & F.col(time).isNotNull()
     kept = judged.where(usable | F.col("_ruled").isNull()).select(*df.columns)
     out = pressure_exclusions(kept.where(usable), rules, keys, pressure, time, width)
-    return ranges.in_any_window(kept, out, keys, time, anti=True)
+    # Stretches are more than a buffer apart before the buffer is added, so they do not overlap.
+    return ranges.in_any_window(kept, out, keys, time, anti=True, disjoint=True)
 
 
 def spike_columns(df: DataFrame, time: str, skip: list[str] = ()) -> list[str]:

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tideline.functions import acoustic as ac
+from tideline.functions import text as tx
 from tideline.functions import time as tm
 from tideline.operators import gaps
 from tideline.session import materialize
@@ -161,7 +162,7 @@ def classify_candidates(
         *candidates.columns,
         F.when(in_event, F.lit("KEPT")).otherwise(F.lit("DISCARDED")).alias("status"),
         F.when(in_event, F.lit("Part of Event Group")).otherwise(F.lit("Isolated Anomaly")).alias("reason"),
-        F.when(in_event, F.concat(F.col(stem), F.lit("_"), F.format_string("%.0f", start), F.lit("s"))).alias("event_id"),
+        F.when(in_event, F.concat(F.col(stem), F.lit("_"), tx.fixed(start, 0), F.lit("s"))).alias("event_id"),
         F.when(in_event, F.col("_any_loud")).alias("high_quality"),
     )
     dropped = judged.where(F.col("_reason").isNotNull()).select(
@@ -202,7 +203,7 @@ def event_table(
         F.min_by("top_prediction", "_best").alias("top_prediction"),
         listed.alias("_labels"),
     )
-    text = F.transform("_labels", lambda x: F.concat(x["l"], F.lit(":"), F.format_string("%.2f", -x["c"])))
+    text = F.transform("_labels", lambda x: F.concat(x["l"], F.lit(":"), tx.fixed(-x["c"], 2)))
     end = tm.micros("_last") + tm.seconds_us(chunk_seconds)
     return events.select(
         *keys,

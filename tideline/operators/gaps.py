@@ -220,10 +220,41 @@ def remaining_gaps(windows: DataFrame, fixes: DataFrame, keys: list[str], thresh
 
 
 def _segment_starts(buckets: DataFrame, keys: list[str]) -> DataFrame:
-    """Occupied buckets with `_segment`: the time (µs) at which their segment starts."""
-    stepped = seq.with_previous(buckets, keys, ["_bucket"], F.col("_chunk"), {"_before": F.col("_hi")})
-    starts = F.when(F.col("_before").isNull() | (F.col("_lo") - F.col("_before") > F.col("_width")), F.col("_lo"))
-    return seq.with_running(stepped, keys, ["_bucket"], F.col("_chunk"), {"_segment": ("max", starts)})
+    """Occupied buckets with `_segment`, the time (µs) their segment starts, and `_ordinal`, its number from 0.
+
+    Breaks inside a chunk are seen by a window. The chunk summary tells
+    whether a chunk's first bucket starts a segment, and otherwise which
+    segment of an earlier chunk it continues.
+    """
+    inside = Window.partitionBy(*keys, "_chunk").orderBy("_bucket")
+    local = (
+        buckets.withColumn("_before", F.lag("_hi").over(inside))
+        .withColumn("_starts", F.when(F.col("_lo") - F.col("_before") > F.col("_width"), F.col("_lo")))
+        .withColumns({"_local": F.max("_starts").over(inside), "_count": F.count("_starts").over(inside)})
+    )
+    chunks = local.groupBy(*keys, "_width", "_chunk").agg(
+        F.min("_lo").alias("_first"),
+        F.max("_hi").alias("_last"),
+        F.max("_starts").alias("_latest"),
+        F.count("_starts").alias("_n_starts"),
+    )
+    in_order = Window.partitionBy(*keys).orderBy("_chunk")
+    earlier = in_order.rowsBetween(Window.unboundedPreceding, -1)
+    so_far = in_order.rowsBetween(Window.unboundedPreceding, 0)
+    gap_before = F.col("_first") - F.lag("_last").over(in_order)
+    heads = (
+        chunks.withColumn("_opens", F.when(gap_before.isNull() | (gap_before > F.col("_width")), F.col("_first")))
+        .withColumn("_head", F.coalesce(F.col("_opens"), F.max(F.coalesce("_latest", "_opens")).over(earlier)))
+        .withColumn(
+            "_head_no", F.count("_opens").over(so_far) + F.coalesce(F.sum("_n_starts").over(earlier), F.lit(0)) - 1
+        )
+        .select(*keys, "_chunk", "_head", "_head_no")
+    )
+    return local.join(heads, [*keys, "_chunk"]).select(
+        *buckets.columns,
+        F.coalesce("_local", "_head").alias("_segment"),
+        (F.col("_head_no") + F.col("_count")).alias("_ordinal"),
+    )
 
 
 def segments(df: DataFrame, keys: list[str], time: str, max_gap_us: int) -> DataFrame:
@@ -242,18 +273,13 @@ def segments(df: DataFrame, keys: list[str], time: str, max_gap_us: int) -> Data
 
 
 def with_segment(df: DataFrame, keys: list[str], time: str, max_gap_us: int) -> DataFrame:
-    """Add to each row the start of its segment and the segment's number (from 0) in its key."""
+    """Add to each row the start of its segment and the segment's number (from 0) in its key.
+
+    All rows of a bucket are in one segment, so rows join their bucket.
+    """
     width = F.lit(max_gap_us).cast("long")
-    found = _segment_starts(occupied_buckets(df, keys, time, width), keys)
-    begins = (F.col("_segment") >= F.col("_lo")) & (F.col("_segment") <= F.col("_hi"))
-    numbered = seq.with_running(
-        found, keys, ["_bucket"], F.col("_chunk"), {"_ordinal": ("sum", begins.cast("long"))}
-    )
-    per_bucket = numbered.select(
-        *keys,
-        "_bucket",
-        F.timestamp_micros("_segment").alias("segment_start"),
-        (F.col("_ordinal") - 1).alias("segment_no"),
+    per_bucket = _segment_starts(occupied_buckets(df, keys, time, width), keys).select(
+        *keys, "_bucket", F.timestamp_micros("_segment").alias("segment_start"), F.col("_ordinal").alias("segment_no")
     )
     rows = df.withColumn("_bucket", tm.bucket(tm.micros(time), width))
     return rows.join(per_bucket, [*keys, "_bucket"], "left").select(*df.columns, "segment_start", "segment_no")

@@ -9,6 +9,7 @@ from tideline import schema
 from tideline.functions import geo
 from tideline.functions import time as tm
 from tideline.operators import ranges
+from tideline.session import materialize
 
 _FIX = ["time", "latitude_deg", "longitude_deg", "source"]
 
@@ -54,28 +55,30 @@ def keep_earlier_fills(merged: DataFrame, stored: DataFrame, windows: DataFrame,
 
     Per source other than the primary, where the stored table holds more fixes
     inside the current gaps than the rebuild, the stored ones are added; of
-    two fixes of one source at one time the rebuilt one stays.
+    two fixes of one source at one time the rebuilt one stays. `windows` are
+    gaps, so they share no more than end points. What is added is read twice
+    and small, so it is written once.
     """
-    old = ranges.in_any_window(stored.where(F.col("source") != "GGA"), windows, keys)
-    new = ranges.in_any_window(merged, windows, keys)
-    n_old = old.groupBy(*keys, "source").agg(F.count(F.lit(1)).alias("_old"))
-    n_new = new.groupBy(*keys, "source").agg(F.count(F.lit(1)).alias("_new"))
-    lost = (
-        n_old.join(n_new, [*keys, "source"], "left")
-        .where(F.coalesce("_new", F.lit(0)) < F.col("_old"))
-        .select(*keys, "source")
+    old = ranges.in_any_window(stored.where(F.col("source") != "GGA"), windows, keys, disjoint=True)
+    new = ranges.in_any_window(merged.where(F.col("source") != "GGA"), windows, keys, disjoint=True)
+    counted = (
+        old.select(*keys, "source", F.lit(1).alias("_side"))
+        .unionByName(new.select(*keys, "source", F.lit(-1).alias("_side")))
+        .groupBy(*keys, "source")
+        .agg(F.sum("_side").alias("_lost"))
+        .where(F.col("_lost") > 0)
     )
-    kept = old.join(lost, [*keys, "source"], "left_semi")
+    kept = materialize(old.join(counted.select(*keys, "source"), [*keys, "source"], "left_semi"))
     both = merged.withColumn("_age", F.lit(0)).unionByName(kept.select(*merged.columns).withColumn("_age", F.lit(1)))
-    # Repeats are removed only once something was added; without additions the rebuild stays whole.
-    added = kept.select(*keys).distinct().withColumn("_added", F.lit(True))
-    judged = both.join(added, keys, "left")
-    untouched = judged.where(F.col("_added").isNull()).select(*merged.columns)
+    # Repeats go only where something was added; elsewhere the rebuild stays whole.
+    added = kept.select(*keys).distinct()
+    untouched = merged.join(added, keys, "left_anti")
+    touched = merged.join(added, keys, "left_semi").withColumn("_age", F.lit(0))
+    both = touched.unionByName(kept.select(*merged.columns).withColumn("_age", F.lit(1)))
     rest = [c for c in merged.columns if c not in [*keys, "time", "source"]]
     distinct = (
-        judged.where("_added")
-        .groupBy(*keys, "time", "source")
-        .agg(F.min_by(F.struct(*rest), F.struct("_age", *rest)).alias("_row"))
+        both.groupBy(*keys, "time", "source")
+        .agg(F.min(F.struct("_age", *rest)).alias("_row"))
         .select(*keys, "time", "source", "_row.*")
     )
     return untouched.unionByName(distinct.select(*merged.columns))

@@ -63,7 +63,7 @@ def cast_description(casts: DataFrame) -> DataFrame:
             "label",
             F.date_format("start", "yyyy-MM-dd HH:mm 'UTC'"),
             F.when(has_place, place),
-            F.concat(F.lit("max "), F.format_string("%.0f", F.col("max_depth")), F.lit(" dbar")),
+            F.concat(F.lit("max "), tx.fixed(F.col("max_depth"), 0), F.lit(" dbar")),
         ),
     )
 

@@ -9,12 +9,14 @@ side allows it.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tideline.functions import time as tm
 from tideline.operators import sequence as seq
 
+_UNION_CHUNK = 30 * tm.DAY
+
 
 def clip_to_leg(df: DataFrame, windows: DataFrame, time: str, optional: bool = False) -> DataFrame:
     """Rows inside their leg's window, ends included. With `optional`, legs without a window stay whole."""
@@ -27,18 +29,35 @@ def clip_to_leg(df: DataFrame, windows: DataFrame, time: str, optional: bool = F
 
 
 def interval_union(intervals: DataFrame, keys: list[str], start: str = "start", end: str = "end") -> DataFrame:
-    """Merge overlapping and touching intervals per key."""
-    rows = intervals.select(*keys, tm.micros(start).alias("_a"), tm.micros(end).alias("_b")).where(
-        F.col("_a").isNotNull() & F.col("_b").isNotNull()
+    """Merge overlapping and touching intervals per key.
+
+    Intervals are merged inside chunks of their start time first. How far the
+    earlier chunks reach then decides which of a chunk's merged intervals
+    continue the last one before it.
+    """
+    rows = intervals.select(
+        *keys, tm.micros(start).alias("_a"), tm.micros(end).alias("_b")
+    ).where(F.col("_a").isNotNull() & F.col("_b").isNotNull())
+    chunked = rows.withColumn("_chunk", tm.bucket(F.col("_a"), _UNION_CHUNK))
+    inside = Window.partitionBy(*keys, "_chunk").orderBy("_a", "_b")
+    before = F.max("_b").over(inside.rowsBetween(Window.unboundedPreceding, -1))
+    local = (
+        chunked.withColumn("_opens", F.when(before.isNull() | (F.col("_a") > before), F.col("_a")))
+        .withColumn("_local", F.max("_opens").over(inside.rowsBetween(Window.unboundedPreceding, 0)))
+        .groupBy(*keys, "_chunk", "_local")
+        .agg(F.max("_b").alias("_b"))
     )
-    chunk = tm.bucket(F.col("_a"), 30 * tm.DAY)
-    reached = seq.with_running(
-        rows, keys, ["_a", "_b"], chunk, {"_reach": ("max", F.col("_b"))}, include_current=False
+    chunks = local.groupBy(*keys, "_chunk").agg(F.max("_b").alias("_last"), F.max("_local").alias("_latest"))
+    earlier = Window.partitionBy(*keys).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
+    carried = (
+        chunks.withColumn("_reach", F.max("_last").over(earlier))
+        .withColumn("_free", F.when(F.col("_reach").isNull() | (F.col("_latest") > F.col("_reach")), F.col("_latest")))
+        .select(*keys, "_chunk", "_reach", F.max("_free").over(earlier).alias("_open"))
     )
-    opens = F.when(F.col("_reach").isNull() | (F.col("_a") > F.col("_reach")), F.col("_a"))
-    grouped = seq.with_running(reached, keys, ["_a", "_b"], chunk, {"_island": ("max", opens)})
+    free = F.col("_reach").isNull() | (F.col("_local") > F.col("_reach"))
     return (
-        grouped.groupBy(*keys, "_island")
+        local.join(carried, [*keys, "_chunk"])
+        .groupBy(*keys, F.when(free, F.col("_local")).otherwise(F.col("_open")).alias("_island"))
         .agg(F.max("_b").alias("_b"))
         .select(*keys, F.timestamp_micros("_island").alias(start), F.timestamp_micros("_b").alias(end))
     )
@@ -49,10 +68,14 @@ def _touched(start_us: Column, end_us: Column, width: int) -> Column:
 
 
 def in_any_window(
-    df: DataFrame, windows: DataFrame, keys: list[str], time: str = "time", width: int = tm.HOUR, anti: bool = False
+    df: DataFrame, windows: DataFrame, keys: list[str], time: str = "time", width: int = tm.HOUR, anti: bool = False,
+    disjoint: bool = False,
 ) -> DataFrame:
-    """Rows whose time lies in any window of their key, ends included (or in none, with `anti`)."""
-    merged = interval_union(windows, keys)
+    """Rows whose time lies in any window of their key, ends included (or in none, with `anti`).
+
+    `disjoint` says that windows share no more than end points, which saves merging them.
+    """
+    merged = windows if disjoint else interval_union(windows, keys)
     pieces = merged.select(
         *keys,
         tm.micros("start").alias("_a"),
@@ -121,15 +144,16 @@ def interval_intersection(
         .groupBy(*keys, "_us")
         .agg(F.sum("_da").alias("_da"), F.sum("_db").alias("_db"))
     )
-    chunk = tm.bucket(F.col("_us"), 30 * tm.DAY)
-    opened = seq.with_running(
-        points, keys, ["_us"], chunk, {"_open_a": ("sum", F.col("_da")), "_open_b": ("sum", F.col("_db"))}
-    )
-    # The state after a point holds until the next one, so look back from each point.
-    stepped = seq.with_previous(
-        opened, keys, ["_us"], chunk, {"_from": F.col("_us"), "_a0": F.col("_open_a"), "_b0": F.col("_open_b")}
+    # The state a point ends is that of all points before it.
+    swept = seq.with_running(
+        points,
+        keys,
+        ["_us"],
+        tm.bucket(F.col("_us"), _UNION_CHUNK),
+        {"_from": ("max", F.col("_us")), "_open_a": ("sum", F.col("_da")), "_open_b": ("sum", F.col("_db"))},
+        include_current=False,
     )
-    both = stepped.where((F.col("_a0") > 0) & (F.col("_b0") > 0))
+    both = swept.where((F.col("_open_a") > 0) & (F.col("_open_b") > 0))
     return both.select(*keys, F.timestamp_micros("_from").alias(start), F.timestamp_micros("_us").alias(end))
 
 

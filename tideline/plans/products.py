@@ -143,7 +143,8 @@ def clean(
 def instrument_product(
     raw: DataFrame, experiment: str, instrument: str, keys: list[str], mapping: dict[str, str],
     positions: DataFrame | None = None, rules: DataFrame | None = None, navigation: Navigation | None = None,
-    text_columns: list[str] = (), freqs: list[str] | None = None,
+    text_columns: list[str] = (), freqs: list[str] | None = None, tolerance_s: float = schema.GEOTAG_TOLERANCE_S,
+    window_minutes: float = schema.HAMPEL_WINDOW_MINUTES,
 ) -> dict[str, DataFrame]:
     """Cleaned rows and all resampled intervals of one instrument, over every leg at once.
 
@@ -152,11 +153,14 @@ def instrument_product(
     """
     geotagged = positions is not None and (experiment, instrument) != ("NAVIGATION", "GGA")
     if geotagged:
-        raw = asof.geotag(raw, positions, keys, tm.seconds_us(schema.GEOTAG_TOLERANCE_S))
+        raw = asof.geotag(raw, positions, keys, tm.seconds_us(tolerance_s))
     extra = [*keys, "time", *(["latitude_deg", "longitude_deg"] if geotagged else [])]
     renamed = projection.keep_and_rename(raw, {k: v for k, v in mapping.items() if k not in extra}, extra)
     typed = projection.coerce_numeric(renamed, exclude=[*keys, *text_columns])
-    cleaned = clean(projection.drop_duplicate_records(typed), experiment, instrument, keys, rules, navigation)
+    cleaned = clean(
+        projection.drop_duplicate_records(typed), experiment, instrument, keys, rules, navigation,
+        window_minutes=window_minutes,
+    )
     columns = [c for c, kind in cleaned.dtypes if kind == "double"]
     code = schema.CATEGORY_COLUMNS.get(instrument)
     if freqs is None:
@@ -183,16 +187,17 @@ def position_product(
     open_windows = materialize(
         found.select(*keys, F.col("previous_time").alias("start"), F.col("current_time").alias("end"))
     )
-    fills = [ranges.in_any_window(source, open_windows, keys) for source in (ek80, ferrybox)]
+    fills = [ranges.in_any_window(source, open_windows, keys, disjoint=True) for source in (ek80, ferrybox)]
     still_open = gaps.remaining_gaps(
         open_windows, fills[0].select(*keys, "time").unionByName(fills[1].select(*keys, "time")), keys,
         bridge_threshold_minutes,
     )
-    last_resort = ranges.in_any_window(bridge, still_open, keys)
+    last_resort = ranges.in_any_window(bridge, still_open, keys, disjoint=True)
     merged = position.merge_positions(gga, *fills, last_resort)
     if stored is None:
         return merged
-    return position.keep_earlier_fills(merged, stored, open_windows, keys)
+    # The rebuild is the table others read; it is written before it is compared with the stored one.
+    return position.keep_earlier_fills(materialize(merged), stored, open_windows, keys)
 
 
 def profile_product(
@@ -212,13 +217,13 @@ def profile_product(
 
 
 def spectrum_product(
-    spectra: DataFrame, keys: list[str], positions: DataFrame | None, level_columns: list[str], columns: list[str],
-    freq: str, tolerance_s: float = schema.GEOTAG_TOLERANCE_S,
+    spectra: DataFrame, keys: list[str], positions: DataFrame | None, position_keys: list[str],
+    level_columns: list[str], columns: list[str], freq: str, tolerance_s: float = schema.GEOTAG_TOLERANCE_S,
 ) -> DataFrame:
     """Spectrum summaries with a position, averaged as power per interval."""
     df = spectra
     if positions is not None:
-        df = asof.geotag(df, positions, keys, tm.seconds_us(tolerance_s))
+        df = asof.geotag(df, positions, position_keys, tm.seconds_us(tolerance_s))
         columns = [*columns, "latitude_deg", "longitude_deg"]
     return resample.resample_mean(df, keys, freq, [*columns, *level_columns], level_columns)
 

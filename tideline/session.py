@@ -14,6 +14,12 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # Stream state off the heap; the stateful gap finder needs this store.
+    "spark.sql.streaming.stateStore.providerClass": (
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    ),
+    # Repeated names in a record or header: the last one counts.
+    "spark.sql.mapKeyDedupPolicy": "LAST_WIN",
 }
 
 

@@ -47,26 +47,25 @@ def _column(value: Column | str) -> Column:
 
 
 def _laid_out(source: Source, keys: list[str], side: int, width: int) -> DataFrame:
-    named = [_column(c).alias(n) for n, c in source.columns.items()]
+    """Usable right rows on the grid, exact copies removed before the shuffle."""
+    named = {f"_v{side}_{i}": _column(c) for i, c in enumerate(source.columns.values())}
+    prefer = {f"_o{side}_{i}": _column(p) for i, p in enumerate(source.prefer)}
     fixes = source.df.select(
         *keys,
         tm.micros(source.time).alias("_right"),
-        F.struct(*[_column(p) for p in source.prefer], F.lit(0)).alias("_prefer"),
-        F.struct(*named).alias("_values"),
-    ).where(F.col("_right").isNotNull())
-    for name in source.columns:
-        fixes = fixes.where(F.col(f"_values.{name}").isNotNull())
-    one_per_time = fixes.groupBy(*keys, "_right").agg(F.min(F.struct("_prefer", "_values")).alias("_best"))
+        *[c.alias(n) for n, c in {**prefer, **named}.items()],
+    ).dropna(subset=["_right", *named]).distinct()
     us = F.col("_right") - source.shift_us
     reach = F.array_distinct(
         F.array(tm.bucket(us - source.tolerance_us, width), tm.bucket(us + source.tolerance_us, width))
     )
-    return one_per_time.select(
+    return fixes.select(
         *keys,
         F.explode(reach).alias("_bucket"),
         us.alias("_us"),
         F.lit(side).alias("_side"),
-        F.struct(us.alias("us"), F.col("_right").alias("at"), F.col("_best._values").alias("values")).alias(f"_r{side}"),
+        F.struct(*prefer, *named).alias(f"_rank{side}"),
+        F.struct(us.alias("us"), F.col("_right").alias("at"), *named).alias(f"_r{side}"),
     )
 
 
@@ -86,8 +85,13 @@ def nearest_asof(left: DataFrame, sources: list[Source], keys: list[str], time:
         grid = grid.unionByName(_laid_out(source, keys, side, width), allowMissingColumns=True)
 
     partition = ", ".join(f"`{k}`" for k in [*keys, "_bucket"])
-    over = f"OVER (PARTITION BY {partition} ORDER BY _us, _side"
+    ranks = ", ".join(f"_rank{i}" for i in range(last_side))
+    over = f"OVER (PARTITION BY {partition} ORDER BY _us, _side, {ranks}"
     matched = [F.col(k) for k in keys] + [F.col("_us")]
+    # Of right rows of one source at one time only the first in order stays.
+    repeats = F.expr(f"lag(struct(_us, _side)) {over})") == F.struct("_us", "_side")
+    grid = grid.withColumn("_repeats", F.coalesce(repeats, F.lit(False)))
+    grid = grid.withColumns({f"_r{i}": F.when(~F.col("_repeats"), F.col(f"_r{i}")) for i in range(last_side)})
     found = grid.select(
         "*",
         *[
@@ -102,7 +106,7 @@ def nearest_asof(left: DataFrame, sources: list[Source], keys: list[str], time:
         use_before = (before <= source.tolerance_us) & (after.isNull() | (before <= after))
         near = F.when(use_before, F.col(f"_p{i}")).when(after <= source.tolerance_us, F.col(f"_n{i}"))
         found = found.withColumn(f"_m{i}", near)
-        matched += [F.col(f"_m{i}.values.{n}").alias(n) for n in source.columns]
+        matched += [F.col(f"_m{i}._v{i}_{j}").alias(n) for j, n in enumerate(source.columns)]
         if source.match_time:
             matched.append(F.timestamp_micros(f"_m{i}.at").alias(source.match_time))
     any_match = F.lit(False)

@@ -79,7 +79,7 @@ def _rolling_median(column: Column, window) -> Column:
 
 def blank_spikes(
     df: DataFrame, keys: list[str], columns: list[str], time: str = "time",
-    window_minutes: float = schema.HAMPEL_WINDOW_MINUTES, sigmas: float = schema.HAMPEL_SIGMAS,
+    window_minutes: float = schema.HAMPEL_WINDOW_MINUTES, sigmas: float = schema.HAMPEL_SIGMAS, untimed: bool = True,
 ) -> DataFrame:
     """Blank values far from the median around them, measured by the median absolute deviation.
 
@@ -87,7 +87,8 @@ def blank_spikes(
     deviations up to half a window away, and those by medians half a window
     further. So a series is cut into chunks of several windows, each with a
     margin of one whole window copied from its neighbours, and chunks run
-    independently. Rows without time are kept and never blanked.
+    independently. Rows without time are kept and never blanked; `untimed` says
+    that there may be any.
     """
     width = tm.minutes_us(window_minutes)
     half = width // 2
@@ -114,8 +115,8 @@ def blank_spikes(
     judged = spread.where(own).select(
         *keys, *[clean[c].alias(c) if c in columns else F.col(f"_row.{c}").alias(c) for c in payload]
     )
-    untimed = df.where(F.col(time).isNull())
-    return judged.select(*df.columns).unionByName(untimed)
+    judged = judged.select(*df.columns)
+    return judged.unionByName(df.where(F.col(time).isNull())) if untimed else judged
 
 
 def removed_rows(raw: DataFrame, cleaned: DataFrame, keys: list[str], time: str = "time") -> DataFrame:

@@ -139,9 +139,10 @@ def classify_candidates(
 
     A ping is judged before the label. What passes both is grouped by its
     offset; small groups are isolated. Columns of the last two are NULL unless
-    the chunk was kept.
+    the chunk was kept. The judged candidates are written once: they are few,
+    and finding them is the expensive part.
     """
-    judged = candidates.withColumns(
+    judged = materialize(candidates.withColumns(
         {
             "_reason": F.when(ping, F.lit("Instrument Ping")).when(
                 F.coalesce(top_label.isin(*avoid), F.lit(False)), F.lit("Failed Validation")
@@ -149,7 +150,7 @@ def classify_candidates(
             "_loud": loudness >= loud_ratio,
             "_at": F.timestamp_micros(F.round(F.col(offset) * float(tm.SECOND)).cast("long")),
         }
-    )
+    ))
     passed = judged.where(F.col("_reason").isNull())
     grouped = gaps.with_segment(passed, keys, "_at", tm.seconds_us(grouping_seconds))
     sizes = grouped.groupBy(*keys, "segment_start").agg(

@@ -66,26 +66,24 @@ def gap_row(keys: list[str], gap_type: str | Column, from_us: Column, to_us: Col
     ]
 
 
-def internal_gaps(df: DataFrame, keys: list[str], time: str, threshold_minutes: float | Column) -> DataFrame:
-    """Consecutive times more than the threshold apart. The threshold is constant within a key."""
-    buckets = occupied_buckets(df, keys, time, _threshold_us(threshold_minutes))
+def _internal(buckets: DataFrame, keys: list[str]) -> DataFrame:
     steps = _steps(buckets, keys).where(F.col("_to") - F.col("_from") > F.col("_width"))
     return steps.select(*gap_row(keys, "internal", F.col("_from"), F.col("_to")))
 
 
-def edge_gaps(
-    df: DataFrame, keys: list[str], time: str, windows: DataFrame, threshold_minutes: float | Column,
-    window_keys: list[str] = ("leg",),
-) -> DataFrame:
-    """Gaps between the leg window and the first and last time inside it. Keys without data have none."""
-    ends = (
-        df.where(F.col(time).isNotNull())
-        .select(*keys, tm.micros(time).alias("_us"), _threshold_us(threshold_minutes).alias("_width"))
-        .groupBy(*keys)
-        .agg(F.min("_us").alias("_lo"), F.max("_us").alias("_hi"), F.max("_width").alias("_width"))
-    )
-    bounds = windows.select(*window_keys, tm.micros("start").alias("_start"), tm.micros("end").alias("_end"))
-    both = ends.join(bounds, list(window_keys)).withColumn(
+def internal_gaps(df: DataFrame, keys: list[str], time: str, threshold_minutes: float | Column) -> DataFrame:
+    """Consecutive times more than the threshold apart. The threshold is constant within a key."""
+    return _internal(occupied_buckets(df, keys, time, _threshold_us(threshold_minutes)), keys)
+
+
+def first_and_last(buckets: DataFrame, keys: list[str]) -> DataFrame:
+    """First and last time (µs) per key, out of its occupied buckets."""
+    return buckets.groupBy(*keys, "_width").agg(F.min("_lo").alias("_lo"), F.max("_hi").alias("_hi"))
+
+
+def _edges(ends: DataFrame, keys: list[str], windows: DataFrame) -> DataFrame:
+    bounds = windows.select("leg", tm.micros("start").alias("_start"), tm.micros("end").alias("_end"))
+    both = ends.join(bounds, "leg").withColumn(
         "_edge",
         F.explode(
             F.array(
@@ -98,18 +96,33 @@ def edge_gaps(
     return kept.select(*gap_row(keys, F.col("_edge.kind"), F.col("_edge.a"), F.col("_edge.b")))
 
 
-def find_gaps(
-    df: DataFrame, keys: list[str], time: str, windows: DataFrame | None, threshold_minutes: float | Column
+def edge_gaps(
+    df: DataFrame, keys: list[str], time: str, windows: DataFrame, threshold_minutes: float | Column
 ) -> DataFrame:
-    """Internal, start and end gaps. With windows, rows outside their leg window do not count."""
+    """Gaps between the leg window and the first and last time inside it. Keys without data have none."""
+    buckets = occupied_buckets(df, keys, time, _threshold_us(threshold_minutes))
+    return _edges(first_and_last(buckets, keys), keys, windows)
+
+
+def gaps_and_ends(
+    df: DataFrame, keys: list[str], time: str, windows: DataFrame, threshold_minutes: float | Column
+) -> tuple[DataFrame, DataFrame]:
+    """Internal, start and end gaps, and the first and last time per key. Rows outside their leg window do not count."""
     from tideline.operators.ranges import clip_to_leg
 
+    inside = clip_to_leg(df, windows, time, optional=True)
+    buckets = occupied_buckets(inside, keys, time, _threshold_us(threshold_minutes))
+    ends = first_and_last(buckets, keys)
+    return _internal(buckets, keys).unionByName(_edges(ends, keys, windows)), ends
+
+
+def find_gaps(
+    df: DataFrame, keys: list[str], time: str, windows: DataFrame | None, threshold_minutes: float | Column
+) -> DataFrame:
+    """All gaps; without windows the internal ones only."""
     if windows is None:
         return internal_gaps(df, keys, time, threshold_minutes)
-    inside = clip_to_leg(df, windows, time, optional=True)
-    return internal_gaps(inside, keys, time, threshold_minutes).unionByName(
-        edge_gaps(inside, keys, time, windows, threshold_minutes)
-    )
+    return gaps_and_ends(df, keys, time, windows, threshold_minutes)[0]
 
 
 def without_future_end(gaps: DataFrame, as_of: Column) -> DataFrame:

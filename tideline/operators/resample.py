@@ -1,82 +1,101 @@
 """Fixed time bins: arithmetic, energetic and dominant-category means.
 
-Every resample is one aggregation with map-side combine per (key, bin).
+Every resample is one pass over the rows and one aggregation with map-side
+combine per (key, interval, bin), however many intervals are asked for.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tideline.functions import acoustic as ac
 from tideline.functions import time as tm
 
+_BINS_PER_CHUNK = 1024
+
 
 def _mean(column: str, is_level: bool) -> Column:
     return ac.to_level(F.avg(ac.to_power(F.col(column)))) if is_level else F.avg(column)
 
 
-def fill_bins(binned: DataFrame, keys: list[str], width: int, time: str = "time") -> DataFrame:
-    """Add the empty bins between the first and last bin of each key, as NULL rows."""
-    ends = binned.groupBy(*keys).agg(F.min(tm.micros(time)).alias("_a"), F.max(tm.micros(time)).alias("_b"))
-    grid = ends.select(
-        *keys, F.explode(F.sequence(F.col("_a"), F.col("_b"), F.lit(width).cast("long"))).alias("_us")
-    ).select(*keys, F.timestamp_micros("_us").alias(time))
-    return grid.join(binned, [*keys, time], "left").select(*binned.columns)
-
+def fill_bins(binned: DataFrame, keys: list[str], step: Column, time: str = "time") -> DataFrame:
+    """Add the empty bins between the first and last bin of each key, as NULL rows.
 
-def resample_mean(
-    df: DataFrame, keys: list[str], freq: str, columns: list[str], level_columns: list[str] = (),
-    time: str = "time", dense: bool = True,
-) -> DataFrame:
-    """Mean of each column per bin; dB columns are averaged as power. Rows without time are left out."""
-    width = tm.duration(freq)
-    binned = (
-        df.where(F.col(time).isNotNull())
-        .groupBy(*keys, tm.floor_time(time, width).alias(time))
-        .agg(*[_mean(c, c in level_columns).alias(c) for c in columns])
+    Each bin emits the empty ones up to the bin after it. Bins are packed in
+    groups of at most 1024, so what is ordered per key is one row per group.
+    """
+    values = [c for c in binned.columns if c not in (*keys, time)]
+    packed = (
+        binned.select(*keys, tm.micros(time).alias("_us"), step.alias("_step"), F.struct(*values).alias("_v"))
+        .groupBy(*keys, "_step", tm.bucket(F.col("_us"), F.col("_step") * _BINS_PER_CHUNK).alias("_chunk"))
+        .agg(F.array_sort(F.collect_list(F.struct("_us", "_v"))).alias("_bins"))
+    )
+    following = F.lead(F.col("_bins")[0]["_us"]).over(Window.partitionBy(*keys).orderBy("_chunk"))
+    runs = packed.withColumn("_next", following).select(
+        *keys, "_step", "_next", "_bins", F.posexplode("_bins").alias("_at", "_bin")
+    )
+    after = F.coalesce(
+        F.try_element_at("_bins", F.col("_at") + 2)["_us"], F.col("_next"), F.col("_bin._us") + F.col("_step")
+    )
+    filled = runs.select(
+        *keys, "_bin", F.explode(F.sequence(F.col("_bin._us"), after - F.col("_step"), F.col("_step"))).alias("_us")
+    )
+    own = F.col("_us") == F.col("_bin._us")
+    return filled.select(
+        *keys, F.timestamp_micros("_us").alias(time), *[F.when(own, F.col(f"_bin._v.{c}")).alias(c) for c in values]
     )
-    return fill_bins(binned, keys, width, time) if dense else binned
 
 
-def resample_dominant(
-    df: DataFrame, keys: list[str], freq: str, code: str, columns: list[str], level_columns: list[str] = (),
-    time: str = "time", dense: bool = True,
+def resample_all(
+    df: DataFrame, keys: list[str], freqs: list[str], columns: list[str], level_columns: list[str] = (),
+    code: str | None = None, time: str = "time", dense: bool = True,
 ) -> DataFrame:
-    """Dominant code per bin (ties: the higher code) and means over the rows that carry it.
+    """All intervals in one table with an `interval` column, ready for a partitioned write.
 
-    Means are taken per (bin, code) first, then the winning code's row is
-    kept; a bin without any code falls back to all of its rows.
+    Means of the columns per bin, dB columns averaged as power. With `code`,
+    that column gets its most frequent value (ties: the higher code) and the
+    others the mean over the rows that carry it: means are taken per (bin,
+    code) and the winner's are kept; a bin without any code falls back to all
+    of its rows. Rows without time are left out.
     """
-    width = tm.duration(freq)
-    per_code = (
-        df.where(F.col(time).isNotNull())
-        .groupBy(*keys, tm.floor_time(time, width).alias(time), F.col(code).alias("_code"))
-        .agg(F.count(F.lit(1)).alias("_n"), *[_mean(c, c in level_columns).alias(c) for c in columns])
+    steps = F.array(
+        *[F.struct(F.lit(f).alias("interval"), F.lit(tm.duration(f)).cast("long").alias("step")) for f in freqs]
     )
-    rank = F.struct(F.col("_code").isNotNull(), F.col("_n"), F.col("_code"))
-    values = F.struct(F.col("_code").alias(code), *columns)
-    binned = (
-        per_code.groupBy(*keys, time)
-        .agg(F.max_by(values, rank).alias("_best"))
-        .select(*keys, time, "_best.*")
+    used = [*columns, *([code] if code else [])]
+    spread = df.where(F.col(time).isNotNull()).select(
+        *keys, tm.micros(time).alias("_us"), *used, F.explode(steps).alias("_i")
     )
-    return fill_bins(binned, keys, width, time) if dense else binned
+    floor = F.timestamp_micros(F.col("_us") - F.pmod(F.col("_us"), F.col("_i.step")))
+    group = [*keys, F.col("_i.interval").alias("interval"), F.col("_i.step").alias("_step"), floor.alias(time)]
+    means = [_mean(c, c in level_columns).alias(c) for c in columns]
+    if code is None:
+        binned = spread.groupBy(*group).agg(*means)
+    else:
+        per_code = spread.groupBy(*group, F.col(code).alias("_code")).agg(F.count(F.lit(1)).alias("_n"), *means)
+        rank = F.struct(F.col("_code").isNotNull(), F.col("_n"), F.col("_code"))
+        values = F.struct(F.col("_code").alias(code), *columns)
+        binned = (
+            per_code.groupBy(*keys, "interval", "_step", time)
+            .agg(F.max_by(values, rank).alias("_best"))
+            .select(*keys, "interval", "_step", time, "_best.*")
+        )
+    if not dense:
+        return binned.drop("_step")
+    return fill_bins(binned, [*keys, "interval"], F.col("_step"), time).drop("_step")
 
 
-def resample_all(
-    df: DataFrame, keys: list[str], freqs: list[str], columns: list[str], level_columns: list[str] = (),
-    code: str | None = None, time: str = "time",
+def resample_mean(
+    df: DataFrame, keys: list[str], freq: str, columns: list[str], level_columns: list[str] = (),
+    time: str = "time", dense: bool = True,
+) -> DataFrame:
+    """Mean of each column per bin of one interval."""
+    return resample_all(df, keys, [freq], columns, level_columns, None, time, dense).drop("interval")
+
+
+def resample_dominant(
+    df: DataFrame, keys: list[str], freq: str, code: str, columns: list[str], level_columns: list[str] = (),
+    time: str = "time", dense: bool = True,
 ) -> DataFrame:
-    """All intervals in one table with an `interval` column, ready for a partitioned write."""
-    parts = []
-    for freq in freqs:
-        if code is None:
-            part = resample_mean(df, keys, freq, columns, level_columns, time)
-        else:
-            part = resample_dominant(df, keys, freq, code, columns, level_columns, time)
-        parts.append(part.withColumn("interval", F.lit(freq)))
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out
+    """Dominant code per bin of one interval and means over the rows that carry it."""
+    return resample_all(df, keys, [freq], columns, level_columns, code, time, dense).drop("interval")

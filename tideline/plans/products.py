@@ -134,7 +134,8 @@ def clean(
         df = cleaning.blank_nonpositive(df, schema.OPTICAL_COLUMNS if optical is None else optical)
         columns = cleaning.spike_columns(df, "time", keys) if spikes_in is None else spikes_in
         if columns:
-            df = cleaning.blank_spikes(df, keys, columns, window_minutes=window_minutes)
+            # Pressure removal has already dropped rows without time.
+            df = cleaning.blank_spikes(df, keys, columns, window_minutes=window_minutes, untimed=rules is None)
     if (experiment, instrument) == schema.WIND_INSTRUMENT and navigation is not None:
         df = true_wind(df, navigation, keys)
     return df
@@ -148,19 +149,21 @@ def instrument_product(
 ) -> dict[str, DataFrame]:
     """Cleaned rows and all resampled intervals of one instrument, over every leg at once.
 
-    `raw` has the keys, `time` and the raw columns. The position is attached
-    to the raw rows, before renaming and cleaning.
+    `raw` has the keys, `time` and the raw columns. A position depends on the
+    time of a row only and no rule looks at it, so it is attached last, to the
+    rows that are left. Those feed both outputs, so they are written once.
     """
     geotagged = positions is not None and (experiment, instrument) != ("NAVIGATION", "GGA")
-    if geotagged:
-        raw = asof.geotag(raw, positions, keys, tm.seconds_us(tolerance_s))
-    extra = [*keys, "time", *(["latitude_deg", "longitude_deg"] if geotagged else [])]
+    extra = [*keys, "time"]
     renamed = projection.keep_and_rename(raw, {k: v for k, v in mapping.items() if k not in extra}, extra)
     typed = projection.coerce_numeric(renamed, exclude=[*keys, *text_columns])
     cleaned = clean(
         projection.drop_duplicate_records(typed), experiment, instrument, keys, rules, navigation,
         window_minutes=window_minutes,
     )
+    if geotagged:
+        cleaned = asof.geotag(materialize(cleaned), positions, keys, tm.seconds_us(tolerance_s))
+    cleaned = materialize(cleaned)
     columns = [c for c, kind in cleaned.dtypes if kind == "double"]
     code = schema.CATEGORY_COLUMNS.get(instrument)
     if freqs is None:
@@ -245,11 +248,9 @@ def expected_combos(windows: DataFrame, instruments: list[tuple[str, ...]], name
     return windows.select("leg", F.explode(rows).alias("_i")).select("leg", "_i.*")
 
 
-def coverage(df: DataFrame, expected: DataFrame, windows: DataFrame, keys: list[str], time: str = "time") -> DataFrame:
-    """Expected combinations with `has_data`: any row inside the leg window."""
-    seen = ranges.clip_to_leg(df, windows, time, optional=True).select(*keys).distinct().withColumn(
-        "_seen", F.lit(True)
-    )
+def coverage(ends: DataFrame, expected: DataFrame, keys: list[str]) -> DataFrame:
+    """Expected combinations with `has_data`: any time inside the leg window (see `gaps.first_and_last`)."""
+    seen = ends.select(*keys, (F.col("_lo") <= F.col("_hi")).alias("_seen"))
     return expected.join(seen, keys, "left").select(*keys, F.coalesce("_seen", F.lit(False)).alias("has_data"))
 
 
@@ -257,16 +258,18 @@ def gap_analysis(
     df: DataFrame, expected: DataFrame, windows: DataFrame, keys: list[str],
     threshold_minutes: float | Column = schema.GAP_THRESHOLD_MINUTES, time: str = "time",
 ) -> dict[str, DataFrame]:
-    """Gap table and gap statistics of every expected combination in one job.
+    """Gap table, gap statistics and coverage of every expected combination in one job.
 
-    Combinations without data get a row of their own in the gap table and do
-    not count in the statistics.
+    The rows are aggregated to occupied buckets once; gaps, window edges and
+    coverage all read that shuffle. Combinations without data get a row of
+    their own in the gap table and do not count in the statistics.
     """
-    found = gaps.find_gaps(df, keys, time, windows, threshold_minutes)
-    held = coverage(df, expected, windows, keys, time)
+    found, ends = gaps.gaps_and_ends(df, keys, time, windows, threshold_minutes)
+    held = coverage(ends, expected, keys)
     return {
         "gaps": found.unionByName(gaps.no_data_gaps(held, keys, windows)),
         "statistics": gaps.gap_statistics(found, held, keys, windows),
+        "coverage": held,
     }
 
 

@@ -11,6 +11,7 @@ from tideline.plans import products, roles
 from tideline.plans.queries_series import _FILL_SQL, _GAP_WINDOWS_SQL, _GGA_SQL, _gap_windows, _remaining_sql, _AS_OF
 from tideline.plans.registry import query
 from tideline.plans.roles import shown
+from tideline.session import materialize
 
 _LEG = ["leg"]
 _BUFFER = 15
@@ -143,7 +144,7 @@ def raw_vs_clean(spark, sf_dir):
 def cleaning_diagnostics(spark, sf_dir):
     return shown(
         cleaning.cleaning_diagnostics(
-            _chain_input(spark, sf_dir), _chain(spark, sf_dir), _LEG, ["trilux_turbidity"], schema.OPTICAL_COLUMNS,
+            _chain_input(spark, sf_dir), materialize(_chain(spark, sf_dir)), _LEG, ["trilux_turbidity"], schema.OPTICAL_COLUMNS,
             ["event_id"],
         )
     )

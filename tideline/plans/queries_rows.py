@@ -380,7 +380,7 @@ def expected_combos(spark, sf_dir):
     keys = ["leg", "instrument"]
     held = roles.windows(spark)
     expected = products.expected_combos(held, [(i,) for i in roles.INSTRUMENTS], ["instrument"])
-    found = products.coverage(roles.legged(spark, sf_dir), expected, held, keys)
+    found = products.gap_analysis(roles.legged(spark, sf_dir), expected, held, keys, 60.0)["coverage"]
     whole = gaps.no_data_gaps(found, keys, held).select(*keys, "previous_time", "current_time", "gap_minutes")
     return shown(found.join(whole, keys, "left"))
 

@@ -51,21 +51,24 @@ def _blocks(points: DataFrame, keys: list[str], eps: float, block: int) -> DataF
     )
 
 
-def _count_near(batches: Iterator[pd.DataFrame], eps: float) -> Iterator[pd.DataFrame]:
-    """For each pair of blocks: weight of the right members within eps of each left member."""
-    for batch in batches:
-        points, near = [], []
-        for ids, left, right, weight in zip(batch["ids"], batch["left"], batch["right"], batch["weight"]):
-            a = np.stack(left)
-            b = np.stack(right)
-            w = np.asarray(weight)
-            for row in range(0, len(a), 32):
-                gap = a[row : row + 32, None, :] - b[None, :, :]
-                inside = np.einsum("ijk,ijk->ij", gap, gap) <= eps * eps
-                near.append(inside @ w)
-            points.append(np.asarray(ids))
-        if points:
-            yield pd.DataFrame({"_point": np.concatenate(points), "_near": np.concatenate(near).astype("int64")})
+def _near_counter(eps: float):
+    """Task function: for each pair of blocks, the weight of the right members within eps of each left member.
+
+    It is built here, and uses nothing else of the package, so that workers
+    need not have the package installed.
+    """
+
+    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for ids, left, right, weight in zip(batch["ids"], batch["left"], batch["right"], batch["weight"]):
+                a, b, w = np.stack(left), np.stack(right), np.asarray(weight)
+                near = []
+                for row in range(0, len(a), 32):
+                    gap = a[row : row + 32, None, :] - b[None, :, :]
+                    near.append((np.einsum("ijk,ijk->ij", gap, gap) <= eps * eps) @ w)
+                yield pd.DataFrame({"_point": np.asarray(ids), "_near": np.concatenate(near).astype("int64")})
+
+    return count
 
 
 def _near_weight(left: DataFrame, right: DataFrame, keys: list[str], eps: float) -> DataFrame:
@@ -82,7 +85,7 @@ def _near_weight(left: DataFrame, right: DataFrame, keys: list[str], eps: float)
         F.col("_a._point").alias("ids"), F.col("_a._vector").alias("left"),
         F.col("_b._vector").alias("right"), F.col("_b._weight").alias("weight"),
     )
-    counted = pairs.mapInPandas(lambda batches: _count_near(batches, eps), "_point long, _near long")
+    counted = pairs.mapInPandas(_near_counter(eps), "_point long, _near long")
     return counted.groupBy("_point").agg(F.sum("_near").alias("_near"))
 
 

@@ -47,28 +47,32 @@ _SYSTEM_POINTS = [
 _SYSTEM_INFO = {"10": "owner", "13": "location", "12": "reference", "21": "geoposition", "30": "verticalposition"}
 
 
-def _members(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """The XML files of each archive, whatever folder they are in."""
-    for batch in batches:
-        for name, content in zip(batch["file"], batch["content"]):
-            found: dict[str, list[str | None]] = {"file": [], "member": [], "xml": []}
-            try:
-                with zipfile.ZipFile(io.BytesIO(content)) as archive:
-                    for entry in archive.infolist():
-                        if entry.filename.lower().endswith(".xml"):
-                            found["file"].append(name)
-                            found["member"].append(entry.filename)
-                            found["xml"].append(archive.read(entry).decode("utf-8", errors="replace"))
-            except zipfile.BadZipFile:
-                found = {"file": [name], "member": [None], "xml": [None]}
-            yield pd.DataFrame(found)
+def _member_reader():
+    """Task function: the XML files of each archive, whatever folder they are in.
+
+    It is built here, so that workers need not have the package installed.
+    """
+
+    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for name, content in zip(batch["file"], batch["content"]):
+                try:
+                    with zipfile.ZipFile(io.BytesIO(content)) as archive:
+                        for entry in archive.infolist():
+                            if entry.filename.lower().endswith(".xml"):
+                                text = archive.read(entry).decode("utf-8", errors="replace")
+                                yield pd.DataFrame({"file": [name], "member": [entry.filename], "xml": [text]})
+                except zipfile.BadZipFile:
+                    yield pd.DataFrame({"file": [name], "member": [None], "xml": [None]})
+
+    return read
 
 
 def read_archives(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """(source file, member, xml) of every XML record; an unreadable archive is one row without xml."""
     files = spark.read.format("binaryFile").load(path)
     named = files.select(F.regexp_extract("path", r"([^/]+)$", 1).alias("file"), "content")
-    members = named.mapInPandas(_members, "file string, member string, xml string")
+    members = named.mapInPandas(_member_reader(), "file string, member string, xml string")
     return members.withColumnRenamed("file", FILE)
 
 

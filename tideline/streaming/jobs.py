@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -76,34 +74,38 @@ def session_stream(
     return sessions.where(F.col("n_rows") >= min_rows).select(*keys, "segment_start", "segment_end", "n_rows")
 
 
-class _GapFinder(StatefulProcessor):
-    """Remembers the last time of a key and reports steps longer than `width` µs."""
-
-    def __init__(self, keys: list[str], width: int) -> None:
-        self.keys, self.width = keys, width
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.last = handle.getValueState("last_us", T.StructType([T.StructField("us", T.LongType())]))
+def _gap_finder(keys: list[str], width: int) -> StatefulProcessor:
+    """Remembers the last time of a key and reports steps longer than `width` µs.
 
-    def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:  # noqa: N802,N803
-        filled = [batch for batch in rows if len(batch)]
-        if not filled:
-            return
-        buckets = pd.concat(filled).sort_values("first_us")
-        starts = buckets["first_us"].to_numpy()
-        known = self.last.get()[0] if self.last.exists() else None
-        ends = np.concatenate([[starts[0] if known is None else known], buckets["final_us"].to_numpy()[:-1]])
-        step = starts - ends
-        found = step > self.width
-        self.last.update((int(buckets["final_us"].max()),))
-        out = {name: [value] * int(found.sum()) for name, value in zip(self.keys, key)}
-        out["previous_time"] = pd.to_datetime(ends[found], unit="us", utc=True)
-        out["current_time"] = pd.to_datetime(starts[found], unit="us", utc=True)
-        out["gap_minutes"] = np.round(step[found] / tm.MINUTE, 3)
-        yield pd.DataFrame(out)
-
-    def close(self) -> None:
-        pass
+    The class is made here, so that workers need not have the package installed.
+    """
+    minute = float(tm.MINUTE)
+
+    class GapFinder(StatefulProcessor):
+        def init(self, handle: StatefulProcessorHandle) -> None:
+            self.last = handle.getValueState("last_us", T.StructType([T.StructField("us", T.LongType())]))
+
+        def handleInputRows(self, key, rows, timerValues):  # noqa: N802,N803
+            filled = [batch for batch in rows if len(batch)]
+            if not filled:
+                return
+            buckets = pd.concat(filled).sort_values("first_us")
+            starts = buckets["first_us"].to_numpy()
+            known = self.last.get()[0] if self.last.exists() else starts[0]
+            ends = np.concatenate([[known], buckets["final_us"].to_numpy()[:-1]])
+            step = starts - ends
+            found = step > width
+            self.last.update((int(buckets["final_us"].max()),))
+            out = {name: [value] * int(found.sum()) for name, value in zip(keys, key)}
+            out["previous_time"] = pd.to_datetime(ends[found], unit="us", utc=True)
+            out["current_time"] = pd.to_datetime(starts[found], unit="us", utc=True)
+            out["gap_minutes"] = np.round(step[found] / minute, 3)
+            yield pd.DataFrame(out)
+
+        def close(self) -> None:
+            pass
+
+    return GapFinder()
 
 
 def gap_stream(
@@ -124,7 +126,7 @@ def gap_stream(
         .select(*keys, tm.micros("_first").alias("first_us"), tm.micros("_final").alias("final_us"))
     )
     return buckets.groupBy(*keys).transformWithStateInPandas(
-        _GapFinder(list(keys), width), T.StructType([*[kinds[k] for k in keys], *_GAP_FIELDS]), "Append", "None"
+        _gap_finder(list(keys), width), T.StructType([*[kinds[k] for k in keys], *_GAP_FIELDS]), "Append", "None"
     )
 
 

@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+import numpy as np
+import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tideline import schema
 from tideline.functions import time as tm
 from tideline.operators import gaps, ranges
 
-_CHUNK_WINDOWS = 16
+_CHUNK_WINDOWS = 64
 
 
 def blank_nonpositive(df: DataFrame, columns: list[str], where: Column | None = None) -> DataFrame:
@@ -72,9 +76,32 @@ def spike_columns(df: DataFrame, time: str, skip: list[str] = ()) -> list[str]:
     ]
 
 
-def _rolling_median(column: Column, window) -> Column:
-    """Median over a time frame, from three values on."""
-    return F.when(F.count(column).over(window) >= 3, F.percentile(column, F.lit(0.5)).over(window))
+def _spike_blanker(columns: list[str], kept: list[str], window_us: int, limit: float):
+    """Task function: one chunk with its margins in, the chunk's own rows with spikes blanked out.
+
+    Only the judged columns leave Arrow. It is built here and uses nothing
+    else of the package, so that workers need not have the package installed.
+    """
+
+    def blank(chunk: pa.Table) -> pa.Table:
+        us = chunk.column("_us").to_numpy()
+        order = np.argsort(us, kind="stable")
+        index = pd.to_datetime(us[order], unit="us")
+        window = pd.Timedelta(window_us, unit="us")
+        own = pc.equal(chunk.column("_home"), chunk.column("_chunk"))
+        out = chunk.select(kept)
+        for name in columns:
+            values = pd.Series(chunk.column(name).to_numpy().astype("float64")[order], index=index)
+            deviation = (values - values.rolling(window, center=True, min_periods=3).median()).abs()
+            spread = deviation.rolling(window, center=True, min_periods=3).median()
+            spike = np.empty(len(us), dtype=bool)
+            spike[order] = (deviation > limit * spread).to_numpy()
+            column = out.column(name)
+            clean = pc.if_else(pa.array(spike), pa.scalar(None, column.type), column)
+            out = out.set_column(out.schema.get_field_index(name), name, clean)
+        return out.filter(own)
+
+    return blank
 
 
 def blank_spikes(
@@ -83,17 +110,19 @@ def blank_spikes(
 ) -> DataFrame:
     """Blank values far from the median around them, measured by the median absolute deviation.
 
-    The frame is (t - w/2, t + w/2]. The deviation of a row is judged by
-    deviations up to half a window away, and those by medians half a window
-    further. So a series is cut into chunks of several windows, each with a
-    margin of one whole window copied from its neighbours, and chunks run
-    independently. Rows without time are kept and never blanked; `untimed` says
+    The frame is (t - w/2, t + w/2], and fewer than three values judge
+    nothing. The deviation of a row is compared with deviations up to half a
+    window away, and those rest on medians half a window further. So a series
+    is cut into chunks of 64 windows, each with a margin of one whole window
+    copied from its neighbours, and chunks run independently. A task holds one
+    chunk, whose size is the sampling rate times 64 windows (exact copies are
+    dropped before). A framed percentile of the SQL engine builds every frame
+    anew, which takes frame size times longer than the rolling median used in
+    the tasks. Rows without time are kept and never blanked; `untimed` says
     that there may be any.
     """
     width = tm.minutes_us(window_minutes)
-    half = width // 2
     chunk = _CHUNK_WINDOWS * width
-    payload = [c for c in df.columns if c not in keys]
     us = tm.micros(time)
     home = tm.bucket(F.col("_us"), chunk)
     reach = F.array_distinct(
@@ -101,21 +130,8 @@ def blank_spikes(
     )
     timed = df.where(F.col(time).isNotNull()).withColumn("_us", us)
     copies = timed.withColumn("_home", home).withColumn("_chunk", F.explode(reach))
-    own = F.col("_home") == F.col("_chunk")
-    # A copy only lends its values to the neighbouring chunk, the rest of the row stays home.
-    lean = copies.select(
-        *keys, "_us", "_home", "_chunk", *columns,
-        F.when(own, F.struct(*payload)).alias("_row"),
-    )
-    frame = Window.partitionBy(*keys, "_chunk").orderBy("_us").rangeBetween(-half + 1, half)
-    medians = lean.withColumns({f"_dev_{c}": F.abs(F.col(c) - _rolling_median(F.col(c), frame)) for c in columns})
-    spread = medians.withColumns({f"_mad_{c}": _rolling_median(F.col(f"_dev_{c}"), frame) for c in columns})
-    limit = {c: F.col(f"_mad_{c}") * (sigmas * schema.MAD_TO_SIGMA) for c in columns}
-    clean = {c: F.when(~F.coalesce(F.col(f"_dev_{c}") > limit[c], F.lit(False)), F.col(c)) for c in columns}
-    judged = spread.where(own).select(
-        *keys, *[clean[c].alias(c) if c in columns else F.col(f"_row.{c}").alias(c) for c in payload]
-    )
-    judged = judged.select(*df.columns)
+    blank = _spike_blanker(columns, df.columns, width, sigmas * schema.MAD_TO_SIGMA)
+    judged = copies.groupBy(*keys, "_chunk").applyInArrow(blank, df.schema)
     return judged.unionByName(df.where(F.col(time).isNull())) if untimed else judged
 
 

@@ -246,3 +246,19 @@ def test_product_tables_round_trip(spark, folder):
     assert tables.read_gap_report(spark, str(folder / "g"))["gaps"].count() == 2
     tables.write_audit_report({"summary": gaps}, str(folder / "a"))
     assert spark.read.parquet(str(folder / "a" / "summary")).count() == 2
+
+
+def test_file_manifest(spark, folder):
+    (folder / "a.csv").write_text('Timestamp,"Heading, degrees true"\n2024-01-01 00:00:00,1.5\n2024-01-02 00:00:00,2.5\n2024-01-03 0')
+    (folder / "b_202401051200.csv").write_text("v,w\n1,2\n3,4\n\n")
+    (folder / "c.csv").write_text("timestamp,v\n")
+    (folder / "d.csv").write_text("timestamp,dataTimestamp\nx,05/01/2024 10:00\n")
+    (folder / "e.csv").write_text("")
+    out = lines.file_manifest(spark, str(folder), "dataTimestamp")
+    got = rows(out.select("file_name", F.concat_ws("|", "header"), "time_col", "first_raw", "last_time", "is_empty"))
+    assert got == [
+        ("a.csv", "Timestamp|Heading, degrees true", "Timestamp", "2024-01-01 00:00:00", "2024-01-01 00:00:00.000000", False),
+        ("b_202401051200.csv", "v|w", "(filename)", "2024-01-05 12:00:00.000000+00:00", "2024-01-05 12:00:00.000000", False),
+        ("c.csv", "timestamp|v", "timestamp", None, None, True),
+        ("d.csv", "timestamp|dataTimestamp", "dataTimestamp", "05/01/2024 10:00", "2024-01-05 10:00:00.000000", False),
+    ]

@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+import csv
+from collections.abc import Iterable, Iterator
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tideline.functions import time as tm
 from tideline.operators.projection import add_canonical_time, quoted, time_source, union_by_name
+from tideline.schema import TIME_ALIASES
 
 FILE = "__source_file"
 
@@ -17,14 +21,98 @@ def file_name() -> Column:
     return F.col("_metadata.file_name")
 
 
-def csv_layouts(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """(header line, file paths) of each column layout found, empty files left out."""
+def _block_end_reader():
+    """Task function: first, second and last filled line of every file block that passes by, split into fields.
+
+    Lines of a block come together and in order, so a few lines per block are
+    kept and nothing is sorted or shuffled. It is built here, so that workers
+    need not have the package installed.
+    """
+
+    def fields(line: str | None) -> list[str] | None:
+        return None if line is None else next(csv.reader([line]), [])
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found: dict[tuple[str, int], list] = {}
+        for batch in batches:
+            start = 0
+            place = pa.array([f"{b}:{f}" for f, b in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())])
+            runs = pc.run_end_encode(place)
+            for end in runs.run_ends.to_pylist():
+                key = (batch.column(0)[start].as_py(), batch.column(1)[start].as_py())
+                lines = batch.column(2).slice(start, end - start)
+                filled = lines.filter(pc.not_equal(pc.utf8_trim_whitespace(lines), ""))
+                held = found.setdefault(key, [None, None, None, 0])
+                for line in filled.slice(0, 2).to_pylist():
+                    if held[3] == 0 and held[0] is None:
+                        held[0] = line
+                    elif held[1] is None:
+                        held[1] = line
+                if len(filled):
+                    held[2] = filled[len(filled) - 1].as_py()
+                    held[3] += len(filled)
+                start = end
+        rows = [(f, b, fields(h), fields(s), fields(t), n) for (f, b), (h, s, t, n) in found.items()]
+        names = ["file", "block", "line_1", "line_2", "line_n", "n_lines"]
+        text = pa.list_(pa.string())
+        kinds = [pa.string(), pa.int64(), text, text, text, pa.int64()]
+        columns = [pa.array([r[i] for r in rows], kinds[i]) for i in range(len(names))]
+        yield pa.RecordBatch.from_arrays(columns, names)
+
+    return read
+
+
+def file_ends(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """Header, first and last record (as arrays) of each delimited file; an empty file has a NULL header.
+
+    A last line that does not fit the header was cut off; the first record
+    stands in for it.
+    """
     lines = spark.read.text(path).select(
-        "value",
-        F.col("_metadata.file_path").alias("file"),
-        F.struct("_metadata.file_block_start", F.monotonically_increasing_id().alias("at")).alias("place"),
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), "value"
+    )
+    schema = "file string, block long, line_1 array<string>, line_2 array<string>, line_n array<string>, n_lines long"
+    blocks = lines.mapInArrow(_block_end_reader(), schema).where(F.col("n_lines") > 0)
+    ends = blocks.groupBy("file").agg(
+        F.min_by("line_1", "block").alias("header"),
+        F.min_by("line_2", "block").alias("first_record"),
+        F.max_by("line_n", "block").alias("_last"),
+        F.sum("n_lines").alias("n_lines"),
+    )
+    whole = F.size("_last") == F.size("header")
+    return ends.select(
+        "file",
+        F.regexp_extract("file", r"([^/]+)$", 1).alias("file_name"),
+        "header",
+        "first_record",
+        F.when(F.col("n_lines") > 1, F.when(whole, F.col("_last")).otherwise(F.col("first_record"))).alias("last_record"),
+        (F.col("n_lines") <= 1).alias("is_empty"),
     )
-    headers = lines.groupBy("file").agg(F.min_by("value", "place").alias("header"))
+
+
+def file_manifest(spark: SparkSession, path: str | list[str], preferred: str | None = None) -> DataFrame:
+    """What the format audit needs to know of each file: header, time column, first and last time as text and parsed."""
+    ends = file_ends(spark, path)
+    known = [F.when(F.array_contains("header", name), F.lit(name)) for name in ([preferred] if preferred else []) + TIME_ALIASES]
+    timed = ends.withColumn("_time_col", F.coalesce(*known))
+    at = F.array_position("header", F.col("_time_col")).cast("int")
+    in_name = tm.format_time(tm.time_in_name("file_name"))
+
+    def raw(record: str) -> Column:
+        return F.when(F.col("_time_col").isNull(), in_name).otherwise(F.try_element_at(record, at))
+
+    named = timed.select(
+        *ends.columns,
+        F.coalesce("_time_col", F.lit("(filename)")).alias("time_col"),
+        raw("first_record").alias("first_raw"),
+        raw("last_record").alias("last_raw"),
+    )
+    return named.withColumns({"first_time": tm.to_utc("first_raw"), "last_time": tm.to_utc("last_raw")})
+
+
+def csv_layouts(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """(header, file paths) of each column layout found, empty files left out."""
+    headers = file_ends(spark, path).where(F.col("header").isNotNull())
     return headers.groupBy("header").agg(F.collect_list("file").alias("files"), F.min("file").alias("first_file"))
 
 

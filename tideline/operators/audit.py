@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tideline.functions import time as tm
 from tideline.operators import ranges
+from tideline.session import materialize
 
 INSTRUMENT = ["experiment", "instrument"]
 
@@ -164,8 +165,11 @@ def audit_summary(
 def audit(
     files: DataFrame, mapping: DataFrame, variables: DataFrame, unreadable: DataFrame | None = None
 ) -> dict[str, DataFrame]:
-    """All tables of the format audit over a manifest of files."""
-    placed = with_layout(files)
+    """All tables of the format audit over a manifest of files.
+
+    The manifest with its layouts feeds every table, so it is written once.
+    """
+    placed = materialize(with_layout(files))
     layouts = layout_audit(placed)
     sets = column_sets(placed, mapping, variables)
     conflicts = rename_conflicts(placed, mapping)

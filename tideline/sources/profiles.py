@@ -42,7 +42,9 @@ SPECTRUM_ROW = {
 
 def _whole_files(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """One row per file with its lines; instrument files of these kinds are small."""
-    return spark.read.text(path, wholetext=True).select(file_name().alias(FILE), F.split("value", r"\r?\n").alias("_lines"))
+    return spark.read.text(path, wholetext=True).select(
+        file_name().alias(FILE), F.col("_metadata.file_path").alias("_path"), F.split("value", r"\r?\n").alias("_lines")
+    )
 
 
 def _first_index(lines: Column, wanted) -> Column:
@@ -77,9 +79,10 @@ def _cnv_parts(spark: SparkSession, path: str | list[str]) -> DataFrame:
 
 
 def _cnv_problem() -> Column:
-    widths = F.exists("table", lambda cells: F.size(cells) != F.size("names"))
+    widths = F.array_distinct(F.transform("table", lambda cells: F.size(cells)))
+    fits = (F.size(widths) == 1) & (widths[0] == F.size("names"))
     return F.when(F.col("table").isNull(), F.lit("no data section")).when(
-        widths, F.lit("columns and names do not match")
+        ~fits, F.lit("columns and names do not match")
     )
 
 
@@ -119,8 +122,9 @@ def _spectrum_parts(spark: SparkSession, path: str | list[str]) -> DataFrame:
         ),
     )
     body = F.when(F.col("_mark").isNotNull(), F.slice("_lines", F.col("_mark") + 1, F.size("_lines")))
-    return files.select(FILE, F.map_from_entries(pairs).alias("header"), body.alias("_body")).select(
+    return files.select(FILE, "_path", F.map_from_entries(pairs).alias("header"), body.alias("_body")).select(
         FILE,
+        "_path",
         "header",
         F.split(F.try_element_at("_body", F.lit(1)), "\t").alias("columns"),
         F.filter(F.slice("_body", 2, F.size("_body")), lambda line: F.trim(line) != "").alias("rows"),
@@ -141,7 +145,7 @@ def read_spectra(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """
     parts = _spectrum_parts(spark, path).where(F.size("rows") > 0)
     cells = F.transform(F.split("_row", "\t"), lambda c: F.nullif(c, F.lit("")))
-    lines = parts.select(FILE, "header", "columns", F.posexplode("rows").alias("row_no", "_row")).withColumn("_cells", cells)
+    lines = parts.select(FILE, "_path", "header", "columns", F.posexplode("rows").alias("row_no", "_row")).withColumn("_cells", cells)
     named = F.transform(
         "columns", lambda name, i: F.struct(name.alias("name"), F.try_element_at("_cells", i + 1).alias("cell"))
     )
@@ -154,15 +158,15 @@ def read_spectra(spark: SparkSession, path: str | list[str]) -> DataFrame:
             c["name"].try_cast("double").alias("freq_hz"), c["cell"].try_cast("double").alias("level_db")
         ),
     )
-    spectra = filled.select(FILE, "row_no", "header", fields.alias("_fields"), bins.alias("spec"))
+    spectra = filled.select(FILE, "_path", "row_no", "header", fields.alias("_fields"), bins.alias("spec"))
     clock = F.split(F.trim(F.try_element_at("_fields", F.lit("Time"))), ":")
 
     def part(i: int) -> Column:
         return F.try_element_at(clock, F.lit(i)).try_cast("double")
 
     clock_us = F.round((part(1) * 3600 + part(2) * 60 + part(3)) * float(tm.SECOND)).cast("long")
-    # A log holds five minutes, so a window over one file is small.
-    in_file = Window.partitionBy(FILE).orderBy("row_no")
+    # A log holds five minutes, so a window over one file is small. Names may repeat in other folders.
+    in_file = Window.partitionBy("_path").orderBy("row_no")
     timed = spectra.withColumn("_clock", clock_us)
     timed = timed.withColumn("_back", (F.col("_clock") < F.lag("_clock").over(in_file)).cast("int"))
     timed = timed.withColumn("_days", F.coalesce(F.sum("_back").over(in_file), F.lit(0)))

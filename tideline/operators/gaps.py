@@ -240,6 +240,8 @@ def _segment_starts(buckets: DataFrame, keys: list[str]) -> DataFrame:
     segment of an earlier chunk it continues.
     """
     inside = Window.partitionBy(*keys, "_chunk").orderBy("_bucket")
+    # Said here, the filter the join below would add to one side only; so both sides share one shuffle.
+    buckets = buckets.where(F.col("_chunk").isNotNull())
     local = (
         buckets.withColumn("_before", F.lag("_hi").over(inside))
         .withColumn("_starts", F.when(F.col("_lo") - F.col("_before") > F.col("_width"), F.col("_lo")))

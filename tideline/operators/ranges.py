@@ -38,7 +38,8 @@ def interval_union(intervals: DataFrame, keys: list[str], start: str = "start",
     rows = intervals.select(
         *keys, tm.micros(start).alias("_a"), tm.micros(end).alias("_b")
     ).where(F.col("_a").isNotNull() & F.col("_b").isNotNull())
-    chunked = rows.withColumn("_chunk", tm.bucket(F.col("_a"), _UNION_CHUNK))
+    # Said here, the filter the join below would add to one side only; so both sides share one shuffle.
+    chunked = rows.withColumn("_chunk", tm.bucket(F.col("_a"), _UNION_CHUNK)).where(F.col("_chunk").isNotNull())
     inside = Window.partitionBy(*keys, "_chunk").orderBy("_a", "_b")
     before = F.max("_b").over(inside.rowsBetween(Window.unboundedPreceding, -1))
     local = (

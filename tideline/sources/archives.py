@@ -78,7 +78,8 @@ def read_archives(spark: SparkSession, path: str | list[str]) -> DataFrame:
 
 def parse_records(archives: DataFrame, from_time: Column | None = None, to_time: Column | None = None) -> DataFrame:
     """Add the parsed `record` and the `problem` that keeps it from being used (NULL if none)."""
-    parsed = archives.withColumn("record", F.from_xml("xml", _RECORD, {"ignoreNamespace": "true"}))
+    # Exploding a single value keeps filters on the record from parsing it a second time.
+    parsed = archives.select("*", F.explode(F.array(F.from_xml("xml", _RECORD, {"ignoreNamespace": "true"}))).alias("record"))
     time = tm.to_utc(F.col("record.Time"))
     outside = F.lit(False)
     if from_time is not None:

@@ -184,7 +184,8 @@ def _parsed_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
     wrapped = F.try_parse_json(F.concat(F.lit('{"r":'), text, F.lit("}")))
     is_object = (F.size(listed) == 1) & wrapped.isNotNull() & F.schema_of_variant(listed[0]).startswith("OBJECT")
     record = F.when(is_object, listed[0].cast("map<string,string>"))
-    return lines.withColumn("record", F.when(F.trim("value") != "", record))
+    # Exploding a single value keeps filters on the record from parsing it a second time.
+    return lines.select("*", F.explode(F.array(F.when(F.trim("value") != "", record))).alias("record"))
 
 
 def read_json_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:

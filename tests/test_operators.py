@@ -443,3 +443,16 @@ def test_file_pruning(spark):
     assert [r[1] for r in rows(ranges.prune_by_range(ended, windows, ["k"]))] == ["f2", "f2b", "f3"]
     unnamed = ended.withColumn("end", F.when(F.col("file_name") != "f4", F.col("end")))
     assert ranges.prune_by_range(unnamed, windows, ["k"]).count() == 5
+
+
+def test_profiles_keep_their_scan_order(spark):
+    from tideline.operators import profile
+
+    data = [("b", 3, 60), ("a", 2, 0), ("b", 1, 60), ("a", 1, 0), ("b", 2, 60), ("c", 1, 30)]
+    df = spark.createDataFrame([(1, c, n, BASE + timedelta(seconds=s)) for c, n, s in data], ["leg", "cast", "scan_no", "time"])
+    total = [(r["cast"], r["scan_no"]) for r in profile.profile_order(df).collect()]
+    assert total == [("a", 1), ("a", 2), ("c", 1), ("b", 1), ("b", 2), ("b", 3)]
+    parts = profile.profile_clusters(df, ["leg"]).withColumn("p", F.spark_partition_id()).collect()
+    for cast in "abc":
+        mine = [(r["p"], r["scan_no"]) for r in parts if r["cast"] == cast]
+        assert len({p for p, _ in mine}) == 1 and [n for _, n in mine] == sorted(n for _, n in mine)

@@ -109,6 +109,15 @@ def casts_without_position(df: DataFrame, keys: list[str]) -> DataFrame:
     )
 
 
+def profile_clusters(df: DataFrame, keys: list[str], scan: str = "scan_no") -> DataFrame:
+    """Scans of a cast in one partition and in order, casts of a partition by their start.
+
+    This is the order to write profiles in: one shuffle, where a total order
+    would also take a sampling pass over everything before it.
+    """
+    return df.repartition(*keys, "cast").sortWithinPartitions(*keys, F.col("time").asc_nulls_last(), "cast", scan)
+
+
 def profile_order(df: DataFrame, scan: str = "scan_no") -> DataFrame:
-    """Casts by their start, scans of a cast kept together and in order."""
+    """Total order: casts by their start, scans of a cast kept together and in order."""
     return df.orderBy(F.col("time").asc_nulls_last(), "cast", scan)

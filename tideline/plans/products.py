@@ -216,7 +216,7 @@ def profile_product(
         extra += ["latitude_deg", "longitude_deg"]
     renamed = projection.keep_and_rename(df, {k: v for k, v in mapping.items() if k not in extra}, extra)
     typed = projection.coerce_numeric(renamed, exclude=[*keys, "cast", scan, *text_columns])
-    return profile.profile_order(typed, scan)
+    return profile.profile_clusters(typed, keys, scan)
 
 
 def spectrum_product(

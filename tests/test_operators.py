@@ -456,3 +456,12 @@ def test_profiles_keep_their_scan_order(spark):
     for cast in "abc":
         mine = [(r["p"], r["scan_no"]) for r in parts if r["cast"] == cast]
         assert len({p for p, _ in mine}) == 1 and [n for _, n in mine] == sorted(n for _, n in mine)
+
+
+def test_copies_of_one_time_on_both_sides(spark):
+    times = [0] * 3000 + [100, 200, 5000]
+    df = series(spark, times, v=[1.0] * 3000 + [2.0, 3.0, 4.0])
+    out = asof.nearest_asof(df, [asof.Source(df, {"w": "v"}, tm.SECOND)], ["k"])
+    assert dict(rows(out.groupBy("w").count())) == {1.0: 3000, 2.0: 1, 3.0: 1, 4.0: 1}
+    assert rows(gaps.internal_gaps(df, ["k"], "time", 2.0).select("gap_minutes")) == [(80.0,)]
+    assert dict(rows(gaps.with_segment(df, ["k"], "time", 150 * tm.SECOND).groupBy("segment_no").count())) == {0: 3002, 1: 1}

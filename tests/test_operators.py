@@ -36,6 +36,8 @@ def test_timestamp_texts(spark):
         "2024-03-05 10:11:12+02:00": "2024-03-05 08:11:12.000000",
         "2024-03-05": "2024-03-05 00:00:00.000000",
         "20240305": "2024-03-05 00:00:00.000000",
+        "20240305T101112": "2024-03-05 10:11:12.000000",
+        "20240305T101112Z": "2024-03-05 10:11:12.000000",
         "05032024": "2024-03-05 00:00:00.000000",
         "202403051011": "2024-03-05 10:11:00.000000",
         "05032024101112": "2024-03-05 10:11:12.000000",

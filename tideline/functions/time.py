@@ -78,8 +78,11 @@ def parse_epoch(text: Column) -> Column:
 
 
 def parse_iso(text: Column) -> Column:
-    """ISO 8601 of any precision or offset; without an offset it is UTC."""
-    return F.when(text.rlike(r"^\d{4}-\d{2}(-\d{2})?([T ].*)?$"), text.try_cast("timestamp"))
+    """ISO 8601 of any precision or offset, extended or basic; without an offset it is UTC."""
+    basic = F.coalesce(_try_layout(text, "yyyyMMdd'T'HHmmss"), _try_layout(text, "yyyyMMdd'T'HHmmssX"))
+    return F.when(text.rlike(r"^\d{4}-\d{2}(-\d{2})?([T ].*)?$"), text.try_cast("timestamp")).when(
+        text.rlike(r"^\d{8}T\d{6}"), basic
+    )
 
 
 def parse_free_text(text: Column) -> Column:
@@ -100,7 +103,7 @@ def to_utc(raw: Column | str) -> Column:
     digits = text.rlike(r"^-?\d+(\.\d+)?$")
     return (
         F.when(digits, F.coalesce(parse_compact(text), parse_epoch(text)))
-        .when(text.rlike(r"^\d{4}-\d{2}"), parse_iso(text))
+        .when(text.rlike(r"^\d{4}-\d{2}|^\d{8}T"), parse_iso(text))
         .otherwise(parse_free_text(text))
     )
 

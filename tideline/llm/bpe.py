@@ -12,6 +12,7 @@ from __future__ import annotations
 import json
 import re
 import unicodedata
+from collections.abc import Iterable
 from functools import lru_cache
 
 import numpy as np
@@ -20,7 +21,7 @@ from tokenizers import Tokenizer
 # White space of the vocabulary's normalizer: it parts words and yields no token.
 SPACES = "\t-\r \x85\xa0  -     　"
 CHUNK = re.compile(f"[^{SPACES}]+[{SPACES}]*|[{SPACES}]+")
-_TRAILING = re.compile(f"[{SPACES}]*$")
+_ALL_SPACES = "".join(re.findall(f"[{SPACES}]", "".join(map(chr, range(0x3001)))))
 _END = "</w>"
 _NEVER = 1 << 30
 _SHORT = (2, 1)
@@ -143,12 +144,12 @@ class PrefixCounter:
                 j += 1
                 y, until_y = b[j]
 
-    def pieces(self, words: list[str]) -> dict[str, list[int]]:
+    def pieces(self, words: Iterable[str]) -> dict[str, list[int]]:
         """For each byte-level piece: count for the prefix of each length, as if the word ended there.
 
         Pieces are taken in sorted order, so that neighbours share the pass over their common start.
         """
-        if len(self.done) > 400_000:
+        if len(self.done) > 700_000:
             self.done.clear()
         if len(self.apart) > 2_000_000:
             self.apart.clear()
@@ -189,51 +190,55 @@ class PrefixCounter:
             before = piece
         return done
 
-    def chunks(self, chunks: list[str]) -> list[np.ndarray]:
+    def chunks(self, chunks: list[str]) -> list[list[int]]:
         """For each chunk (a word and the spaces after it): token count of each prefix, by code point.
 
         Code points that normalize together (a letter and its marks) and the text of a
         special token are one unit: each of their places holds the count after the unit.
         """
-        parts: list[list[tuple[str, int]]] = []  # (piece, code points), or ("", code points) for spaces
-        wanted: set[str] = set()
-        odd: dict[int, np.ndarray] = {}
-        for k, chunk in enumerate(chunks):
-            word = chunk[: _TRAILING.search(chunk).start()]
+        parts: list[list[str] | None] = []
+        wanted: set[str] = {"'", *"stmdrvl"}
+        for chunk in chunks:
+            word = chunk.rstrip(_ALL_SPACES)
             if PLAIN.match(word) and "<|" not in word:
                 found = plain_pieces(word)
-                for piece in found:
-                    wanted.add(byte_text(piece))
-                    if piece in _CONTRACTIONS:
-                        wanted.update(("'", piece[1]))
-                parts.append([(p, len(p)) for p in found])
+                wanted.update(found if word.isascii() else map(byte_text, found))
+                parts.append(found)
             else:
-                odd[k] = self._odd(word)
-                parts.append([])
-        table = self.pieces(list(wanted))
+                parts.append(None)
+        table = self.pieces(wanted)
         out = []
-        for k, chunk in enumerate(chunks):
-            if k in odd:
-                counts = odd[k].tolist()
+        for chunk, pieces in zip(chunks, parts, strict=True):
+            if pieces is None:
+                counts = self._odd(chunk.rstrip(_ALL_SPACES)).tolist()
+            elif len(pieces) == 1:
+                counts = [*self._counts(pieces[0], table)]
             else:
                 counts, base = [], 0
-                for piece, _ in parts[k]:
+                for piece in pieces:
                     counts += [base + n for n in self._counts(piece, table)]
                     base = counts[-1]
-            counts += [counts[-1] if counts else 0] * (len(chunk) - len(counts))
-            out.append(np.array(counts, np.int32))
+            missing = len(chunk) - len(counts)
+            if missing:
+                counts += [counts[-1] if counts else 0] * missing
+            out.append(counts)
         return out
 
     def _counts(self, piece: str, table: dict[str, list[int]]) -> list[int]:
         """Counts by code point within one piece of plain characters."""
+        if piece.isascii() and piece[0] != "'":
+            return table[piece]
         mapped = byte_text(piece)
         found = table[mapped]
         if piece in _CONTRACTIONS:  # a shorter prefix of it is an apostrophe and a letter
             return [table["'"][-1]] + [table["'"][-1] + table[piece[1]][-1]] * (len(piece) - 2) + [found[-1]]
         if len(mapped) == len(piece):
             return found
-        ends = np.cumsum([len(c.encode()) for c in piece]) - 1
-        return [found[e] for e in ends]
+        counts, end = [], -1
+        for c in piece:
+            end += 1 if c < "\x80" else len(c.encode())
+            counts.append(found[end])
+        return counts
 
     def _odd(self, word: str) -> np.ndarray:
         """A word with special tokens or characters that may normalize together."""

@@ -17,7 +17,7 @@ from tideline.llm.words import WordTable, narrow_batches, text_batches
 
 @lru_cache(maxsize=2)
 def _table(path: str) -> WordTable:
-    return WordTable(bpe.counter(path).chunks, np.int32)
+    return WordTable(bpe.counter(path).chunks, np.int32, 900_000, 16_000_000)
 
 
 def _prefix_arrays(texts: list[str | None], path: str) -> tuple[np.ndarray, np.ndarray]:

@@ -8,13 +8,15 @@ from public_tokenizers import path as vocabulary
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tideline.llm import prefix_tokens, token_files
+from tideline.llm import language, prefix_tokens, quality, token_files, toxicity
+from tideline.llm.folds import held_out
 from tideline.llm.words import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
 TOKENIZER = "word_bpe_49k.json"
+PIECES = "piece_bpe_32k.model"
 TOKEN_LIMIT = 2048
 END_ID = 2
 
@@ -48,3 +50,32 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = token_files.shared_folder(spark, "token-files")
     token_files.write_token_files(documents(spark, sf_dir, "doc_id", "text"), folder, vocabulary(TOKENIZER), END_ID)
     return token_files.with_checksums(token_files.read_token_files(spark, folder))
+
+
+@query("op6_toxicity")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir, "doc_id", "text")
+    model = toxicity.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    scored = toxicity.with_toxicity(docs, model)
+    return scored.select(
+        "doc_id",
+        held_out(F.col("doc_id")).alias("held_out"),
+        F.col("toxicity").alias("score"),
+        (F.col("toxicity") >= toxicity.Settings().threshold).cast("int").alias("predicted"),
+    )
+
+
+@query("op9_quality_rules")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir, "doc_id", "text")
+    ratios = quality.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return quality.with_quality(docs, ratios).drop("text")
+
+
+@query("op2_language")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir, "doc_id", "text", "lang")
+    pieces = vocabulary(PIECES)
+    model = language.train(docs, pieces, token_files.shared_folder(spark, "language-words"))
+    predicted = language.with_language(docs.select("doc_id", "text"), model, pieces)
+    return predicted.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")

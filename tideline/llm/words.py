@@ -3,7 +3,11 @@
 from __future__ import annotations
 
 import re
+import tempfile
+import zipfile
 from collections.abc import Callable, Iterator
+from itertools import chain
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -35,7 +39,7 @@ def lower_ascii(text: str) -> str:
 class WordTable:
     """Arrays by word, worked out once for each word a worker meets.
 
-    `measure` gives one array for each of a list of new words. At `limit` words or
+    `measure` gives one array (or one list) for each of a list of new words. At `limit` words or
     `room` array items the table starts anew, so memory stays bounded whatever the corpus holds.
     """
 
@@ -75,7 +79,9 @@ class WordTable:
         self.length[at : at + len(new)] = lengths
         self.start[at : at + len(new)] = self.used + np.cumsum(lengths) - lengths
         if total:
-            self.flat[self.used : self.used + total] = np.concatenate(arrays)
+            listed = isinstance(arrays[0], list)
+            new_items = np.fromiter(chain.from_iterable(arrays), self.dtype, total) if listed else np.concatenate(arrays)
+            self.flat[self.used : self.used + total] = new_items
         self.used += total
         self.index.update(zip(new, range(at, at + len(new)), strict=True))
 
@@ -110,8 +116,23 @@ def text_batches(batches: Iterator[pa.RecordBatch], characters: int = 4_000_000)
                 start, size = k + 1, 0
 
 
+def _ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors, once a session; their workers then import it and keep its tables."""
+    context = spark.sparkContext
+    if getattr(context, "_tideline_shipped", False):
+        return
+    root = Path(__file__).resolve().parent.parent
+    name = Path(tempfile.mkdtemp(prefix="tideline-")) / "tideline.zip"
+    with zipfile.ZipFile(name, "w") as packed:
+        for file in sorted(root.rglob("*.py")):
+            packed.write(file, file.relative_to(root.parent))
+    context.addPyFile(str(name))
+    context._tideline_shipped = True
+
+
 def narrow_batches(spark: SparkSession, rows: int = 256) -> None:
-    """Arrow batches of few rows, since a text may be very long."""
+    """Arrow batches of few rows, since a text may be very long; and the package on every executor."""
+    _ship_package(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(32 << 20))
 

@@ -8,7 +8,7 @@ from public_tokenizers import path as vocabulary
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tideline.llm import language, prefix_tokens, quality, token_files, toxicity
+from tideline.llm import language, mixing, prefix_tokens, quality, token_files, toxicity
 from tideline.llm.folds import held_out
 from tideline.llm.words import documents
 
@@ -79,3 +79,8 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = language.train(docs, pieces, token_files.shared_folder(spark, "language-words"))
     predicted = language.with_language(docs.select("doc_id", "text"), model, pieces)
     return predicted.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+
+
+@query("op7_source_mix", mixing.SQL)
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.decisions(documents(spark, sf_dir, "doc_id", "text", "source"), token_files.shared_folder(spark, "mix"))

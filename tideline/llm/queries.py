@@ -49,7 +49,7 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = token_files.shared_folder(spark, "token-files")
     token_files.write_token_files(documents(spark, sf_dir, "doc_id", "text"), folder, vocabulary(TOKENIZER), END_ID)
-    return token_files.with_checksums(token_files.read_token_files(spark, folder))
+    return token_files.read_checksums(spark, folder)
 
 
 @query("op6_toxicity")

@@ -20,6 +20,14 @@ from tideline.llm.words import WordTable, narrow_batches, sums, text_batches
 _WORD = re.compile(f"[^{SPACES}]+")
 
 
+_CONTROLS = ("\x1c", "\x1d", "\x1e", "\x1f")
+
+
+def _split(text: str) -> list[str]:
+    """Words at the tokenizer's white space, which is str.split()'s but for four control characters."""
+    return _WORD.findall(text) if any(c in text for c in _CONTROLS) else text.split()
+
+
 class _Encoder:
     """Ids of words by the tokenizers library; white space yields none, so words encode one by one."""
 
@@ -35,7 +43,7 @@ class _Encoder:
         return found
 
     def words(self, words: list[str]) -> list[list[int]]:
-        if len(self.pieces) > 400_000:
+        if len(self.pieces) > 600_000:
             self.pieces.clear()
         out = []
         for word in words:
@@ -51,13 +59,13 @@ class _Encoder:
 
 @lru_cache(maxsize=2)
 def _table(path: str) -> WordTable:
-    return WordTable(_Encoder(path).words, np.int32)
+    return WordTable(_Encoder(path).words, np.int32, 900_000, 16_000_000)
 
 
 def encode(texts: list[str | None], path: str) -> tuple[np.ndarray, np.ndarray]:
     """Ids of every text one after another, and their numbers."""
     table = _table(path)
-    words = [_WORD.findall(t) if t else [] for t in texts]
+    words = [_split(t) if t else [] for t in texts]
     ids, lengths = table.gather(table.rows([w for one in words for w in one]))
     return ids, sums(lengths, np.fromiter(map(len, words), np.int64, len(words)))
 
@@ -108,32 +116,45 @@ def write_token_files(docs: DataFrame, folder: str, path: str, end_id: int, part
     writer.orc(folder)
 
 
-def read_token_files(spark: SparkSession, folder: str) -> DataFrame:
-    """doc_id, start (ids of all documents before it), n_tokens, ids, from the files alone.
+def _placed(spark: SparkSession, folder: str, rows: DataFrame) -> DataFrame:
+    """`rows` (_file, file_start, ...) with start, the number of ids before them in all files.
 
-    Counts of the files come from the columns doc_id and n_tokens only. Files follow each other
-    by their least doc_id and part number; there are as many as writing tasks, so their order is a small table.
+    Files follow each other by part number; there are as many as writing tasks, so their order is a small table,
+    and it is read from the column n_tokens only.
     """
-    files = spark.read.orc(folder).withColumn("_file", F.regexp_extract(F.col("_metadata.file_name"), r"part-(\d+)", 1).cast("int"))
-    sizes = files.groupBy("_file").agg(F.sum("n_tokens").alias("_ids"))
+    sizes = _files(spark, folder).groupBy("_file").agg(F.sum("n_tokens").alias("_ids"))
     before = Window.orderBy("_file").rowsBetween(Window.unboundedPreceding, -1)
     bases = sizes.select("_file", F.coalesce(F.sum("_ids").over(before), F.lit(0)).alias("_base"))
-    return files.join(bases, "_file").select("doc_id", (F.col("_base") + F.col("file_start")).alias("start"), "n_tokens", "ids")
+    return rows.join(bases, "_file").withColumn("start", F.col("_base") + F.col("file_start")).drop("_file", "_base", "file_start")
+
+
+def _files(spark: SparkSession, folder: str) -> DataFrame:
+    return spark.read.orc(folder).withColumn("_file", F.regexp_extract(F.col("_metadata.file_name"), r"part-(\d+)", 1).cast("int"))
 
 
-def with_checksums(tokens: DataFrame) -> DataFrame:
-    """doc_id, start, n_tokens, ids_crc32 of ids as little-endian unsigned 32-bit integers."""
-    narrow_batches(tokens.sparkSession)
+def read_token_files(spark: SparkSession, folder: str) -> DataFrame:
+    """doc_id, start (ids of all documents before it), n_tokens, ids, from the files alone."""
+    return _placed(spark, folder, _files(spark, folder)).select("doc_id", "start", "n_tokens", "ids")
+
+
+def read_checksums(spark: SparkSession, folder: str) -> DataFrame:
+    """doc_id, start, n_tokens, ids_crc32 (of ids as little-endian unsigned 32-bit integers), from the files alone.
+
+    The ids are reduced where they are read, so that only numbers are joined.
+    """
+    narrow_batches(spark)
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids = batch.column(3)
             offsets = ids.offsets.to_numpy()
             flat = memoryview(ids.values.to_numpy().astype("<u4").tobytes())
-            sums = [zlib.crc32(flat[4 * a : 4 * b]) for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(sums, pa.int64())], names=["doc_id", "start", "n_tokens", "ids_crc32"])
+            crc = [zlib.crc32(flat[4 * a : 4 * b]) for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], batch.column(4), pa.array(crc, pa.int64())], names=["doc_id", "n_tokens", "file_start", "_file", "ids_crc32"])
 
-    return tokens.select("doc_id", "start", "n_tokens", "ids").mapInArrow(check, "doc_id long, start long, n_tokens long, ids_crc32 long")
+    rows = _files(spark, folder).select("doc_id", "n_tokens", "file_start", "ids", "_file")
+    checked = rows.mapInArrow(check, "doc_id long, n_tokens long, file_start long, _file int, ids_crc32 long")
+    return _placed(spark, folder, checked).select("doc_id", "start", "n_tokens", "ids_crc32")
 
 
 def shared_folder(spark: SparkSession, name: str) -> str:

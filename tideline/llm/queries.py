@@ -8,7 +8,7 @@ from public_tokenizers import path as vocabulary
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tideline.llm import language, mixing, prefix_tokens, quality, token_files, toxicity
+from tideline.llm import language, mixing, near_duplicates, prefix_tokens, quality, token_files, toxicity
 from tideline.llm.folds import held_out
 from tideline.llm.words import documents
 
@@ -84,3 +84,9 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op7_source_mix", mixing.SQL)
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.decisions(documents(spark, sf_dir, "doc_id", "text", "source"), token_files.shared_folder(spark, "mix"))
+
+
+@query("op8_near_duplicates")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = near_duplicates.near_duplicates(documents(spark, sf_dir, "doc_id", "text"), token_files.shared_folder(spark, "near-duplicates"))
+    return found.drop("_group")

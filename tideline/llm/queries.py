@@ -8,7 +8,7 @@ from public_tokenizers import path as vocabulary
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tideline.llm import decontamination, language, mixing, near_duplicates, prefix_tokens, quality, token_files, toxicity
+from tideline.llm import decontamination, language, mixing, near_duplicates, prefix_tokens, quality, secrets, token_files, toxicity
 from tideline.llm.folds import held_out
 from tideline.llm.words import documents
 
@@ -98,3 +98,8 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontamination.with_matches(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet")).where(F.size("matches") > 0)
     shown = F.transform("matches", lambda m: F.concat(m["item_id"], F.lit(":"), m["distance"].cast("string")))
     return found.select("doc_id", F.array_join(shown, ",").alias("items_and_distances"))
+
+
+@query("op3_secrets")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.find_secrets(documents(spark, sf_dir, "doc_id", "text"), token_files.shared_folder(spark, "secrets"))

@@ -8,7 +8,7 @@ from public_tokenizers import path as vocabulary
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tideline.llm import decontamination, language, mixing, near_duplicates, prefix_tokens, quality, secrets, token_files, toxicity
+from tideline.llm import chats, decontamination, language, mixing, near_duplicates, prefix_tokens, quality, secrets, token_files, toxicity
 from tideline.llm.folds import held_out
 from tideline.llm.words import documents
 
@@ -103,3 +103,8 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op3_secrets")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.find_secrets(documents(spark, sf_dir, "doc_id", "text"), token_files.shared_folder(spark, "secrets"))
+
+
+@query("op5_chat_format", chats.SQL)
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chats.format_chats(spark.read.parquet(f"{sf_dir}/conversations.parquet"), token_files.shared_folder(spark, "chats"))

@@ -1,16 +1,71 @@
-"""A corpus from raw documents to token files, in stages."""
+"""A corpus from raw documents to token files, in five stages.
+
+Each stage takes the documents that the one before kept, and all but the last return the columns of
+`documents`. Between stages, documents are written as Parquet on shared storage and read again, so a
+lost executor costs no earlier stage.
+"""
 
 from __future__ import annotations
 
+from public_tokenizers import path as vocabulary
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tideline.llm import decontamination, mixing, near_duplicates, token_files, toxicity
+from tideline.llm.queries import END_ID, TOKENIZER
+
+
+def harmless(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose toxicity stays below the threshold."""
+    model = toxicity.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    scored = toxicity.with_toxicity(docs, model)
+    return scored.where(F.col("toxicity") < toxicity.Settings().threshold).select(*docs.columns)
+
+
+def distinct_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates."""
+    return near_duplicates.one_of_each(docs, token_files.shared_folder(spark, "distinct"))
+
+
+def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that contain no benchmark item."""
+    found = decontamination.with_matches(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    return found.where(F.size("matches") == 0).select(*docs.columns)
+
+
+def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often as the mix takes them; one that it takes in part stays whole."""
+    taken = mixing.mix(docs, token_files.shared_folder(spark, "mixed"))
+    times = F.ceil(F.col("taken") / F.col("size")).cast("int")
+    return taken.where("taken > 0").withColumn("_time", F.explode(F.sequence(F.lit(1), times))).select(*docs.columns)
+
+
+def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token files in id order, and what they hold: doc_id, start, n_tokens, ids_crc32."""
+    folder = token_files.shared_folder(spark, "token-files")
+    token_files.write_token_files(docs, folder, vocabulary(TOKENIZER), END_ID)
+    return token_files.read_checksums(spark, folder)
+
 
-STAGES: list = []
+STAGES = [
+    ("toxicity", harmless),
+    ("near duplicates", distinct_documents),
+    ("benchmark decontamination", decontaminated),
+    ("source mix", mixed),
+    ("token files", tokens),
+]
+# Scores of a trained model decide the first stage, which SQL cannot express.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Apply the stages to the documents one after another."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
+    folder = token_files.shared_folder(spark, "pipeline")
+    for number, (_, stage) in enumerate(STAGES):
+        kept = stage(spark, docs, sf_dir)
+        if number + 1 == len(STAGES):
+            return kept
+        kept.write.parquet(f"{folder}/{number}")
+        docs = spark.read.parquet(f"{folder}/{number}")
     return docs

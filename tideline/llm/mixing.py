@@ -68,11 +68,10 @@ def targets(rows: DataFrame) -> DataFrame:
     before = Window.orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     left = F.sum("source_size").over(everything) - F.coalesce(F.sum("_most").over(before), F.lit(0.0))
     level = left / F.sum("_weight").over(onward)
-    leveled = weighed.withColumn("_level", level)
+    leveled = weighed.withColumns({"_level": level, "_turn": F.row_number().over(Window.orderBy(*order))})
     fits = F.col("_level") * F.col("_weight") <= F.col("_most")
-    # The level of the first that fits is the least of theirs.
-    least = F.min(F.when(fits, F.col("_level"))).over(everything)
-    target = F.least(F.coalesce(least * F.col("_weight"), F.col("_most")), F.col("_most"))
+    first = F.min(F.when(fits, F.struct("_turn", "_level"))).over(everything)["_level"]
+    target = F.least(F.coalesce(first * F.col("_weight"), F.col("_most")), F.col("_most"))
     return leveled.select(*_BY_SOURCE, "source_size", "_docs", target.alias("target"))
 
 
@@ -121,25 +120,34 @@ def apply(rows: DataFrame, planned: DataFrame) -> DataFrame:
     return shown(clear, taken).unionByName(shown(bordering, F.greatest(F.least(F.col("_left"), F.col("_size")), F.lit(0))))
 
 
+def _planned(rows: DataFrame, scratch: str) -> tuple[DataFrame, DataFrame]:
+    """(measured rows without text, plan), both written below `scratch` and read again.
+
+    The plan's size is then known, so that it is broadcast where it is small and joined by shuffle where it is not.
+    """
+    spark = rows.sparkSession
+    rows.select("doc_id", *_BY_SOURCE, "_size", "_key", "_draw").write.parquet(f"{scratch}/sizes")
+    slim = spark.read.parquet(f"{scratch}/sizes")
+    plan(slim).write.parquet(f"{scratch}/plan")
+    return slim, spark.read.parquet(f"{scratch}/plan")
+
+
 def mix(docs: DataFrame, scratch: str, quality: Column | None = None) -> DataFrame:
     """All rows of `docs` (doc_id, text, source and whatever else) with size, source_size, target and taken.
 
     size is the number of words (null text: 0) and taken the words the mix takes, repeats
     counted, at most MOST_EPOCHS times the size. Columns of these four names are replaced.
-    Null sources form one source, the last by rank. Sizes and keys go through `scratch`, a folder
-    on shared storage, so that texts are measured once for the plan.
+    Null sources form one source, the last by rank. Sizes, keys and the plan go through `scratch`, a folder
+    on shared storage.
     """
     rows = measured(docs, plain_share(F.col("text")) if quality is None else quality)
-    rows.select("doc_id", *_BY_SOURCE, "_size", "_key", "_draw").write.parquet(scratch)
-    return apply(rows, plan(docs.sparkSession.read.parquet(scratch)))
+    return apply(rows, _planned(rows, scratch)[1])
 
 
 def decisions(docs: DataFrame, scratch: str, quality: Column | None = None) -> DataFrame:
     """doc_id, size, source_size, target, taken: as `mix`, with texts read once."""
     rows = measured(docs, plain_share(F.col("text")) if quality is None else quality)
-    rows.select("doc_id", *_BY_SOURCE, "_size", "_key", "_draw").write.parquet(scratch)
-    slim = docs.sparkSession.read.parquet(scratch)
-    return apply(slim, plan(slim))
+    return apply(*_planned(rows, scratch))
 
 
 def _sql() -> str:
@@ -155,10 +163,10 @@ keyed AS (SELECT *, -ln((('0x' || draw)::BIGINT + 0.5::DOUBLE) / 450359962737049
 sources AS (SELECT source, sum(size)::BIGINT AS source_size,
     ([{weights}]::DOUBLE[])[((row_number() OVER (ORDER BY source NULLS LAST) - 1) % {len(WEIGHTS)} + 1)::INT] AS weight FROM keyed GROUP BY source),
 leveled AS (SELECT *, (sum(source_size) OVER ()::DOUBLE - coalesce(sum({MOST_EPOCHS} * source_size) OVER before, 0)::DOUBLE)
-    / sum(weight) OVER onward AS level FROM sources
+    / sum(weight) OVER onward AS level, row_number() OVER (ORDER BY {MOST_EPOCHS} * source_size / weight, source NULLS LAST) AS turn FROM sources
   WINDOW before AS (ORDER BY {MOST_EPOCHS} * source_size / weight, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING),
     onward AS (ORDER BY {MOST_EPOCHS} * source_size / weight, source NULLS LAST ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)),
-planned AS (SELECT source, source_size, coalesce(least(weight * (SELECT min(level) FROM leveled WHERE level * weight <= {MOST_EPOCHS} * source_size),
+planned AS (SELECT source, source_size, coalesce(least(weight * (SELECT arg_min(level, turn) FROM leveled WHERE level * weight <= {MOST_EPOCHS} * source_size),
     {MOST_EPOCHS}.0::DOUBLE * source_size), {MOST_EPOCHS}.0::DOUBLE * source_size) AS target FROM leveled),
 wanted AS (SELECT *, CASE WHEN source_size > 0 THEN least(floor(target / source_size), {MOST_EPOCHS})::BIGINT ELSE 0 END AS epochs FROM planned),
 summed AS (SELECT k.doc_id, k.size, w.source_size, w.target, w.epochs, floor(w.target - w.epochs * w.source_size)::BIGINT

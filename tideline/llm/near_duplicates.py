@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tideline.llm.graph import components
-from tideline.llm.words import WordTable, lower_ascii, narrow_batches, split_words, text_batches
+from tideline.llm.words import SPACE, WordTable, lower_ascii, narrow_batches, split_words, text_batches
 
 SHINGLE = 5
 TREES = 32
@@ -100,8 +100,8 @@ def _signatures(sets: list[np.ndarray]) -> np.ndarray:
 
 
 def _profiles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """doc_id, n_shingles, set_hi and set_lo (of the whole set), regions, deeper, sketch_hi, sketch_lo."""
-    names = ["doc_id", "n_shingles", "set_hi", "set_lo", "regions", "deeper", "sketch_hi", "sketch_lo"]
+    """doc_id, text_hash, n_shingles, set_hi and set_lo (of the whole set), regions, deeper, sketch_hi, sketch_lo."""
+    names = ["doc_id", "text_hash", "n_shingles", "set_hi", "set_lo", "regions", "deeper", "sketch_hi", "sketch_lo"]
     for batch, texts in text_batches(batches):
         sets = shingle_sets(texts)
         some = np.array([k for k, s in enumerate(sets) if len(s)], np.int64)
@@ -130,7 +130,7 @@ def _profiles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
         sizes = pa.array(np.fromiter(map(len, sets), np.int64, len(sets)))
         hi, lo, sketch_hi, sketch_lo = (pa.array(np.ascontiguousarray(numbers[:, k]).view(np.int64)) for k in range(4))
-        yield pa.RecordBatch.from_arrays([batch.column(0), sizes, hi, lo, lists(regions, TREES), lists(deeper, NEIGHBOUR_TREES), sketch_hi, sketch_lo], names=names)
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), sizes, hi, lo, lists(regions, TREES), lists(deeper, NEIGHBOUR_TREES), sketch_hi, sketch_lo], names=names)
 
 
 def _pack(values: np.ndarray) -> bytes:
@@ -176,7 +176,7 @@ def _own(doc_id: Column) -> Column:
 
 
 def near_duplicates(docs: DataFrame, scratch: str) -> DataFrame:
-    """doc_id, n_shingles, component_id, kept and _group for every row of `docs` (doc_id, text).
+    """doc_id, n_shingles, component_id, kept, _group and text_hash for every row of `docs` (doc_id, text).
 
     Rows with equal sets are one node, named by its smallest doc_id; the links between nodes are
     confirmed on whole sets. Texts without a word have no shingles and are linked with nothing.
@@ -194,8 +194,8 @@ def near_duplicates(docs: DataFrame, scratch: str) -> DataFrame:
         df.write.parquet(f"{scratch}/{name}")
         return spark.read.parquet(f"{scratch}/{name}")
 
-    given = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    shape = "doc_id long, n_shingles long, set_hi long, set_lo long, regions array<long>, deeper array<long>, sketch_hi long, sketch_lo long"
+    given = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("text_hash"))
+    shape = "doc_id long, text_hash long, n_shingles long, set_hi long, set_lo long, regions array<long>, deeper array<long>, sketch_hi long, sketch_lo long"
     profiles = stored(given.mapInArrow(_profiles, shape), "profiles")
     named = profiles.where("n_shingles > 0").withColumn("own", _own(F.col("doc_id")))
     nodes = stored(named.groupBy("set_hi", "set_lo").agg(F.min("own").alias("node")), "nodes")
@@ -209,9 +209,9 @@ def near_duplicates(docs: DataFrame, scratch: str) -> DataFrame:
     facts = kept.select("node", F.col("n_shingles").alias("n"), "sketch_hi", "sketch_lo").distinct()
 
     active = stored(met.select("node").distinct(), "active")
-    texts = given.where("doc_id is not null").select(F.col("doc_id").alias("node"), "text")
+    texts = given.where("doc_id is not null").select(F.col("doc_id").alias("node"), "text", "text_hash")
     once = texts.join(active.where(F.col("node") < NO_ID), "node", "left_semi")
-    chosen = once.withColumn("hash", F.xxhash64("text")).dropDuplicates(["node", "hash"]).select("node", "text")
+    chosen = once.dropDuplicates(["node", "text_hash"]).select("node", "text")
     packed = chosen.mapInArrow(_sets, "node long, packed binary")
     unnamed = _sets_without_id(given, active)
     sets = stored(packed.unionByName(unnamed), "sets")
@@ -228,11 +228,29 @@ def near_duplicates(docs: DataFrame, scratch: str) -> DataFrame:
     rooted = roots.select("set_hi", "set_lo", F.coalesce("whole", "part").alias("_group"))
 
     id_of = F.when(F.col("_group") < NO_ID, F.col("_group"))
-    full = profiles.select("doc_id", "n_shingles", "set_hi", "set_lo")
+    full = profiles.select("doc_id", "text_hash", "n_shingles", "set_hi", "set_lo")
     some = full.where("n_shingles > 0").join(rooted, ["set_hi", "set_lo"]).withColumn("component_id", id_of)
     none = full.where("n_shingles = 0").withColumns({"_group": F.lit(None).cast("long"), "component_id": F.col("doc_id")})
     every = some.unionByName(none)
-    return every.select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"), "_group")
+    return every.select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"), "_group", "text_hash")
+
+
+def one_of_each(docs: DataFrame, scratch: str) -> DataFrame:
+    """Rows of `docs`, all columns: one of each component, and all texts without a word.
+
+    The one with the smallest doc_id stays, of rows with the same id the one with the least hash of its text,
+    of equal rows one.
+    """
+    found = near_duplicates(docs.select("doc_id", "text"), f"{scratch}/near")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "text_hash")).alias("first")
+    chosen = found.where("_group is not null").groupBy("_group").agg(first).select("first.doc_id", "first.text_hash")
+    chosen.write.parquet(f"{scratch}/chosen")
+    chosen = docs.sparkSession.read.parquet(f"{scratch}/chosen").withColumnsRenamed({"doc_id": "_id", "text_hash": "_hash"})
+    keyed = docs.withColumn("_text_hash", F.xxhash64("text"))
+    wordless = ~F.coalesce(F.col("text").rlike(f"[^{SPACE}]"), F.lit(False))
+    worded = keyed.where(~wordless).join(chosen, F.col("doc_id").cast("long").eqNullSafe(F.col("_id")) & (F.col("_text_hash") == F.col("_hash")), "left_semi")
+    least = worded.groupBy("doc_id", "_text_hash").agg(F.min(F.struct(*docs.columns)).alias("row")).select("row.*")
+    return least.unionByName(docs.where(wordless))
 
 
 def _sets_without_id(given: DataFrame, active: DataFrame) -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+# They decide which names are stations.
 _STATION_AND_CAST = r"(?i)St(\d+)[-_](\d+)(?=[-_.()]|$)"
 _STATION_ONLY = r"(?i)St(\d+)$"
 
@@ -56,6 +57,26 @@ def fixed(number: Column, digits: int) -> Column:
     return F.call_function("format_number", number, F.lit(pattern))
 
 
+def last_of_each(entries: Column) -> Column:
+    """(key, value) entries without those whose key comes again later."""
+
+    def is_last(entry: Column, i: Column) -> Column:
+        later = F.slice(entries, i + 2, F.size(entries))
+        return ~F.exists(later, lambda other: other["key"] == entry["key"])
+
+    return F.filter(entries, is_last)
+
+
+def numbered_repeats(names: Column) -> Column:
+    """Names in order, the second and later of one name as name_2, name_3."""
+
+    def shown(name: Column, i: Column) -> Column:
+        before = F.size(F.filter(F.slice(names, F.lit(1), i), lambda other: other == name))
+        return F.when(before > 0, F.concat(name, F.lit("_"), (before + 1).cast("string"))).otherwise(name)
+
+    return F.transform(names, shown)
+
+
 def camel_name(description: Column) -> Column:
     """oxygen concentration / oxygen_concentration -> OxygenConcentration."""
     words = F.split(F.replace(description, F.lit(" "), F.lit("_")), "_")

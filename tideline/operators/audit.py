@@ -27,8 +27,8 @@ def first_and_last(df: DataFrame, keys: list[str], position: str, columns: list[
 
 
 def header_key(header: Column) -> Column:
-    """A layout is the set of column names, whatever their order."""
-    return F.array_sort(F.array_distinct(header))
+    """A layout is the set of column names, whatever their order; a file without a header has none of them."""
+    return F.coalesce(F.array_sort(F.array_distinct(header)), F.array().cast("array<string>"))
 
 
 def with_layout(files: DataFrame) -> DataFrame:
@@ -47,34 +47,43 @@ def _joined(values: Column, separator: str = ", ") -> Column:
 
 
 def rename_pairs(files: DataFrame, mapping: DataFrame) -> DataFrame:
-    """(instrument, layout, raw column, canonical name or NULL) for every column of every layout."""
-    columns = files.select(*INSTRUMENT, "layout", F.explode("header").alias("raw")).distinct()
+    """(instrument, layout, raw column, canonical name or NULL) for every column of every layout.
+
+    A layout without columns has one row without a raw column.
+    """
+    columns = files.select(*INSTRUMENT, "layout", F.explode_outer("header").alias("raw")).distinct()
     return columns.join(mapping.select(*INSTRUMENT, "raw", "canonical"), [*INSTRUMENT, "raw"], "left")
 
 
 def column_sets(files: DataFrame, mapping: DataFrame, variables: DataFrame) -> DataFrame:
-    """Per layout: names provided, variables missing, columns dropped by the rename.
+    """Per layout: names provided, variables missing, columns dropped by the rename, and whether there is no rename map.
 
-    `variables` (instrument, variables) lists what an instrument should give.
+    `variables` (instrument, variables) lists what an instrument should give. Where it has a rename map, only
+    variables that the map knows count as missing: others, such as true wind, are derived later. Without a
+    map nothing is renamed, so nothing is dropped.
     """
+    maps = mapping.groupBy(*INSTRUMENT).agg(F.array_union(F.collect_set("raw"), F.collect_set("canonical")).alias("_known"))
     named = rename_pairs(files, mapping)
     per_layout = named.groupBy(*INSTRUMENT, "layout").agg(
         F.collect_set("raw").alias("_raw"),
         F.collect_set("canonical").alias("_canonical"),
-        F.collect_set(F.when(F.col("canonical").isNull(), F.col("raw"))).alias("_unmapped"),
+        F.collect_set(F.when(F.col("canonical").isNull() & F.col("raw").isNotNull(), F.col("raw"))).alias("_unmapped"),
     )
     provided = F.array_union("_raw", "_canonical")
-    return per_layout.join(variables, INSTRUMENT, "left").select(
+    no_map = F.col("_known").isNull()
+    wanted = F.when(no_map, F.col("variables")).otherwise(F.array_intersect("variables", "_known"))
+    return per_layout.join(variables, INSTRUMENT, "left").join(maps, INSTRUMENT, "left").select(
         *INSTRUMENT,
         "layout",
         F.array_sort(provided).alias("provided"),
-        F.array_sort(F.array_except("variables", provided)).alias("missing"),
-        F.array_sort("_unmapped").alias("dropped"),
+        F.array_sort(F.array_except(wanted, provided)).alias("missing"),
+        F.when(no_map, F.array().cast("array<string>")).otherwise(F.array_sort("_unmapped")).alias("dropped"),
+        no_map.alias("no_rename_map"),
     )
 
 
 def layout_audit(files: DataFrame) -> DataFrame:
-    """Per layout: files, empty files, legs, time span, file types with counts, unparsed times.
+    """Per layout: files, empty files, legs, time span, file types with counts, unparsed times, an example file.
 
     `files` has the layout, first_raw (text of the first time), first_time,
     last_time, raw_type, time_col and is_empty.
@@ -88,6 +97,7 @@ def layout_audit(files: DataFrame) -> DataFrame:
         F.collect_set("time_col").alias("_cols"),
         F.min(F.when(F.col("first_raw").isNotNull(), F.struct("leg", "file_name", "first_raw"))).alias("_sample"),
         F.count_if(F.col("first_raw").isNotNull() & F.col("first_time").isNull()).alias("_bad"),
+        F.min(F.struct("leg", "file_name")).alias("_example"),
     )
     types = F.array_sort(F.collect_list(F.struct((-F.col("_n")).alias("n"), F.col("raw_type").alias("t"))))
     out = per_type.groupBy(*INSTRUMENT, "layout").agg(
@@ -100,6 +110,7 @@ def layout_audit(files: DataFrame) -> DataFrame:
         F.array_sort(F.array_distinct(F.flatten(F.collect_list("_cols")))).alias("_cols"),
         F.min("_sample").alias("_sample"),
         F.sum("_bad").alias("n_unparsed_times"),
+        F.min("_example").alias("_example"),
     )
     return out.select(
         *INSTRUMENT,
@@ -115,6 +126,7 @@ def layout_audit(files: DataFrame) -> DataFrame:
         F.array_join("_cols", ", ").alias("time_col"),
         F.col("_sample.first_raw").alias("time_sample"),
         "n_unparsed_times",
+        F.concat(F.lit("LEG"), F.col("_example.leg").cast("string"), F.lit("/"), F.col("_example.file_name")).alias("example_file"),
     )
 
 
@@ -148,7 +160,9 @@ def audit_summary(
         F.count(F.lit(1)).alias("n_layouts"),
         F.sum("n_unparsed_times").alias("unparsed_times"),
     )
-    missing = sets.groupBy(*INSTRUMENT).agg(F.count_if(F.size("missing") > 0).alias("layouts_missing_variables"))
+    missing = sets.groupBy(*INSTRUMENT).agg(
+        F.count_if(F.size("missing") > 0).alias("layouts_missing_variables"), F.bool_and("no_rename_map").alias("no_rename_map")
+    )
     n_conflicts = conflicts.groupBy(*INSTRUMENT).agg(F.count(F.lit(1)).alias("rename_conflicts"))
     n_overlaps = overlaps.groupBy(*INSTRUMENT).agg(F.count(F.lit(1)).alias("leg_overlaps"))
     out = base

@@ -80,7 +80,8 @@ def add_canonical_time(df: DataFrame, preferred: str | None = None) -> DataFrame
             name, number = f"timestamp_{number}", number + 1
         df = df.withColumnRenamed("time", name)
         source = name if source == "time" else source
-    return df.withColumn("time", tm.to_utc(quoted(source)))
+    numeric = df.schema[source].dataType.typeName() in ("integer", "long", "short", "double", "float", "decimal")
+    return df.withColumn("time", tm.to_utc(quoted(source), numeric))
 
 
 def resolve_time_column(columns: Iterable[str]) -> str:

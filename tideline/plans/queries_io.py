@@ -5,7 +5,6 @@ Everything is written under the shared checkpoint folder of the session.
 
 from __future__ import annotations
 
-import uuid
 
 from pyspark.sql import functions as F
 
@@ -15,13 +14,13 @@ from tideline.plans import products, roles
 from tideline.plans.queries_series import _KEYS, _MEAN_SQL, _gap_columns, _statistics_sql
 from tideline.plans.registry import query
 from tideline.plans.roles import shown
-from tideline.session import ensure_checkpoint_dir
+from tideline.session import shared_folder
 from tideline.sources import archives, lines, profiles, tables
 from tideline.streaming import jobs
 
 
 def _scratch(spark) -> str:
-    return f"{ensure_checkpoint_dir(spark)}/tideline-{uuid.uuid4().hex}"
+    return shared_folder(spark, "tideline")
 
 
 # --- files ---------------------------------------------------------------------------------------

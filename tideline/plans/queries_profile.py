@@ -509,8 +509,14 @@ _RENAMES = {
     "Timestamp": "time", "timestamp": "time", "Heading, degrees true": "heading_deg_true",
     "Heading,_degrees_true": "heading_deg_true", "pitch": "pitch", "roll": "roll",
 }
-_VARIABLES = ["heading_deg_true", "pitch"]
-_HEADERS_SQL = "CASE (p_partkey + p_size) % 5 " + " ".join(f"WHEN {i} THEN {h}" for i, h in enumerate(_HEADERS)) + " END"
+# The last one is derived later, so no raw column can give it. Some instruments have no rename map, some files no header.
+_VARIABLES = ["heading_deg_true", "pitch", "wind_speed_true"]
+_MAPPED_SQL = "instrument NOT LIKE '%5'"
+_HEADERS_SQL = (
+    "CASE WHEN p_partkey % 23 = 0 THEN NULL "
+    + " ".join(f"WHEN (p_partkey + p_size) % 5 = {i} THEN {h}" for i, h in enumerate(_HEADERS))
+    + " END"
+)
 _FILES_SQL = f"""(SELECT 'NAVIGATION' AS experiment, p_brand AS instrument, CAST(p_size % 6 + 1 AS INTEGER) AS leg,
       printf('part_%08d.csv', p_partkey) AS file_name, {_HEADERS_SQL} AS header,
       CASE p_partkey % 3 WHEN 0 THEN '.csv' WHEN 1 THEN '.json' ELSE '.zip' END AS raw_type, p_partkey % 17 = 0 AS is_empty,
@@ -521,9 +527,9 @@ _FILES_SQL = f"""(SELECT 'NAVIGATION' AS experiment, p_brand AS instrument, CAST
         AS first_time,
       CASE WHEN p_partkey % 17 = 0 OR p_partkey % 11 = 0 THEN NULL ELSE TIMESTAMP '2024-01-01' + to_hours(p_partkey + p_size) END
         AS last_time FROM part)"""
-_LAYOUT_SQL = f"""(SELECT f.*, n.layout FROM (SELECT *, list_sort(list_distinct(header)) AS k FROM {_FILES_SQL}) f
+_LAYOUT_SQL = f"""(SELECT f.*, n.layout FROM (SELECT *, coalesce(list_sort(list_distinct(header)), []) AS k FROM {_FILES_SQL}) f
     JOIN (SELECT instrument, k, 'L' || row_number() OVER (PARTITION BY instrument ORDER BY first_seen) AS layout
-          FROM (SELECT instrument, list_sort(list_distinct(header)) AS k, min(printf('%03d', leg) || file_name) AS first_seen
+          FROM (SELECT instrument, coalesce(list_sort(list_distinct(header)), []) AS k, min(printf('%03d', leg) || file_name) AS first_seen
                 FROM {_FILES_SQL} GROUP BY 1, 2)) n ON n.instrument = f.instrument AND n.k = f.k)"""
 
 
@@ -533,6 +539,7 @@ def _file_rows(spark, sf_dir):
     header = F.lit(None).cast("array<string>")
     for number, names in enumerate(_HEADERS):
         header = F.when(kind == number, F.array(*[F.lit(n) for n in names])).otherwise(header)
+    header = F.when(key % 23 != 0, header)
     start = F.unix_micros(F.expr(f"TIMESTAMP_LTZ'{_BASE_TIME} UTC'"))
     first = F.timestamp_micros(start + key * tm.HOUR)
     first_raw = F.when(key % 17 == 0, F.lit(None)).when(key % 11 == 0, "garbage").otherwise(
@@ -563,7 +570,7 @@ def _dimensions(spark, sf_dir):
         F.lit("NAVIGATION").alias("experiment"), F.col("p_brand").alias("instrument")
     ).distinct()
     pairs = F.array(*[F.struct(F.lit(r).alias("raw"), F.lit(c).alias("canonical")) for r, c in _RENAMES.items()])
-    mapping = instruments.select("experiment", "instrument", F.inline(pairs))
+    mapping = instruments.where(_MAPPED_SQL).select("experiment", "instrument", F.inline(pairs))
     variables = instruments.withColumn("variables", F.array(*[F.lit(v) for v in _VARIABLES]))
     return mapping, variables
 
@@ -581,7 +588,8 @@ _LAYOUT_AUDIT_SQL = f"""(SELECT experiment, instrument, layout, count(*) AS n_fi
       array_to_string(list_sort(list(DISTINCT leg)), ', ') AS legs, min(first_time) AS first_time, max(last_time) AS last_time,
       array_to_string(list_sort(list(DISTINCT time_col)), ', ') AS time_col,
       arg_min(first_raw, printf('%03d', leg) || file_name) FILTER (first_raw IS NOT NULL) AS time_sample,
-      count(*) FILTER (first_raw IS NOT NULL AND first_time IS NULL) AS n_unparsed_times
+      count(*) FILTER (first_raw IS NOT NULL AND first_time IS NULL) AS n_unparsed_times,
+      arg_min('LEG' || leg || '/' || file_name, printf('%03d', leg) || file_name) AS example_file
     FROM {_LAYOUT_SQL} GROUP BY 1, 2, 3)"""
 
 
@@ -599,8 +607,8 @@ def layout_audit(spark, sf_dir):
 
 _RENAMES_SQL = "(VALUES " + ", ".join(f"('{r}', '{c}')" for r, c in _RENAMES.items()) + ") AS m(raw, canonical)"
 _PAIRS_SQL = f"""(SELECT DISTINCT c.experiment, c.instrument, c.layout, c.raw, m.canonical
-    FROM (SELECT experiment, instrument, layout, unnest(header) AS raw FROM {_LAYOUT_SQL}) c
-    LEFT JOIN {_RENAMES_SQL} ON m.raw = c.raw)"""
+    FROM (SELECT experiment, instrument, layout, unnest(coalesce(header, [NULL])) AS raw FROM {_LAYOUT_SQL}) c
+    LEFT JOIN {_RENAMES_SQL} ON m.raw = c.raw AND c.{_MAPPED_SQL})"""
 _CONFLICTS_SQL = f"""(SELECT experiment, instrument, canonical, array_to_string(list_sort(list(DISTINCT raw)), ' | ') AS raw_columns,
       array_to_string(list_sort(list(DISTINCT layout)), ', ') AS layouts
     FROM {_PAIRS_SQL} WHERE canonical <> 'time' GROUP BY 1, 2, 3 HAVING count(DISTINCT raw) > 1)"""
@@ -611,20 +619,22 @@ def rename_conflicts(spark, sf_dir):
     return _audit(spark, sf_dir)["conflicts"]
 
 
-_SETS_SQL = f"""(SELECT experiment, instrument, layout,
-      array_to_string(list_sort(list_distinct(list_concat(list(raw), list(canonical) FILTER (canonical IS NOT NULL)))), ' | ')
-        AS provided,
-      array_to_string(list_filter({_VARIABLES}, lambda v: NOT list_contains(
-        list_concat(list(raw), list(canonical) FILTER (canonical IS NOT NULL)), v)), ' | ') AS missing,
-      coalesce(array_to_string(list_sort(list(raw) FILTER (canonical IS NULL)), ' | '), '') AS dropped
-    FROM {_PAIRS_SQL} GROUP BY 1, 2, 3)"""
+_KNOWN_SQL = [*_RENAMES, *_RENAMES.values()]
+_SETS_SQL = f"""(SELECT experiment, instrument, layout, coalesce(array_to_string(list_sort(has), ' | '), '') AS provided,
+      coalesce(array_to_string(list_sort(list_filter({_VARIABLES}, lambda v: NOT list_contains(has, v)
+        AND (NOT mapped OR list_contains({_KNOWN_SQL}, v)))), ' | '), '') AS missing,
+      CASE WHEN mapped THEN coalesce(array_to_string(list_sort(unmapped), ' | '), '') ELSE '' END AS dropped, NOT mapped AS no_rename_map
+    FROM (SELECT experiment, instrument, layout, {_MAPPED_SQL} AS mapped,
+        list_distinct(list_concat(coalesce(list(raw) FILTER (raw IS NOT NULL), []), coalesce(list(canonical) FILTER (canonical IS NOT NULL), []))) AS has,
+        list(raw) FILTER (canonical IS NULL AND raw IS NOT NULL) AS unmapped
+      FROM {_PAIRS_SQL} GROUP BY 1, 2, 3))"""
 
 
 @query("column_sets", f"SELECT * FROM {_SETS_SQL}")
 def column_sets(spark, sf_dir):
     sets = audit.column_sets(audit.with_layout(_file_rows(spark, sf_dir)), *_dimensions(spark, sf_dir))
     return sets.select(
-        "experiment", "instrument", "layout", *[F.array_join(c, " | ").alias(c) for c in ("provided", "missing", "dropped")]
+        "experiment", "instrument", "layout", *[F.array_join(c, " | ").alias(c) for c in ("provided", "missing", "dropped")], "no_rename_map"
     )
 
 
@@ -652,10 +662,10 @@ def file_overlaps(spark, sf_dir):
     f"""
     WITH b AS (SELECT experiment, instrument, CAST(sum(n_files) AS BIGINT) AS n_files, count(*) AS n_layouts,
                       CAST(sum(n_unparsed_times) AS BIGINT) AS unparsed_times FROM {_LAYOUT_AUDIT_SQL} GROUP BY 1, 2),
-         m AS (SELECT instrument, count(*) FILTER (missing <> '') AS n FROM {_SETS_SQL} GROUP BY 1),
+         m AS (SELECT instrument, count(*) FILTER (missing <> '') AS n, bool_and(no_rename_map) AS no_rename_map FROM {_SETS_SQL} GROUP BY 1),
          c AS (SELECT instrument, count(*) AS n FROM {_CONFLICTS_SQL} GROUP BY 1),
          o AS (SELECT instrument, count(*) AS n FROM {_FILE_OVERLAPS_SQL} GROUP BY 1)
-    SELECT b.*, coalesce(m.n, 0) AS layouts_missing_variables, coalesce(c.n, 0) AS rename_conflicts,
+    SELECT b.*, coalesce(m.n, 0) AS layouts_missing_variables, m.no_rename_map, coalesce(c.n, 0) AS rename_conflicts,
            coalesce(o.n, 0) AS leg_overlaps, n_layouts > 1 OR coalesce(m.n, 0) > 0 OR coalesce(c.n, 0) > 0
              OR coalesce(o.n, 0) > 0 OR unparsed_times > 0 AS flagged
     FROM b LEFT JOIN m USING (instrument) LEFT JOIN c USING (instrument) LEFT JOIN o USING (instrument)

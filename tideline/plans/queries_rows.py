@@ -96,31 +96,53 @@ def numeric_coercion(spark, sf_dir):
     return shown(out.withColumn("event_id", F.col("event_id").cast("long")))
 
 
-def _five_texts():
-    time, kind = F.col("time"), F.col("event_id") % 5
-    return (
-        F.when(kind == 0, F.date_format(time, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'"))
-        .when(kind == 1, F.date_format(time, "yyyyMMddHHmmss"))
-        .when(kind == 2, F.date_format(time, "ddMMyyyyHHmm"))
-        .when(kind == 3, F.unix_seconds(time).cast("string"))
-        .otherwise(F.date_format(time, "d/M/yyyy H:mm:ss"))
-    )
+# Text forms of a time: (Spark pattern, what it keeps of the time).
+_TIME_FORMS = [
+    ("yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'", "microsecond"), ("yyyyMMddHHmmss", "second"), ("ddMMyyyyHHmm", "minute"), ("", "second"),
+    ("d/M/yyyy H:mm:ss", "second"), ("d/M/yyyy H:mm:ss.SSS", "millisecond"), ("yyyy/MM/dd HH:mm:ss", "second"), ("MMM d, yyyy H:mm", "minute"),
+    ("d MMMM yyyy H:mm", "minute"), ("d/M/yyyy h:mm:ss a", "second"), ("yyyy-M-d H:mm", "minute"), ("d/M/yy H:mm", "minute"),
+    ("d.M.yyyy H:mm:ss", "second"), ("d-MMM-yyyy HH:mm:ss", "second"), ("yyyy-MM-dd'T'HH:mm:ss'+00:00'", "second"), ("dd/MM/yyyy", "day"),
+]
+
+
+def _time_texts():
+    time, kind = F.col("time"), F.col("event_id") % len(_TIME_FORMS)
+    text = F.lit(None).cast("string")
+    for number, (pattern, _) in enumerate(_TIME_FORMS):
+        shown_ = F.date_format(time, pattern) if pattern else F.unix_seconds(time).cast("string")
+        text = F.when(kind == number, shown_).otherwise(text)
+    return text
 
 
 @query(
     "time_parse_mixed",
-    """
-    WITH t AS (SELECT event_id, CASE event_id % 5 WHEN 0 THEN ts WHEN 2 THEN date_trunc('minute', ts)
-                      ELSE date_trunc('second', ts) END AS time FROM events)
+    f"""
+    WITH t AS (SELECT event_id, CASE event_id % {len(_TIME_FORMS)} """
+    + " ".join(f"WHEN {n} THEN date_trunc('{kept}', ts)" for n, (_, kept) in enumerate(_TIME_FORMS))
+    + """ END AS time FROM events)
     SELECT event_id, time, strftime(time, '%Y-%m-%d %H:%M:%S.%f') || '+00:00' AS time_text, true AS canonical FROM t
     """,
 )
 def time_parse_mixed(spark, sf_dir):
-    raw = roles.events(spark, sf_dir).select("event_id", _five_texts().alias("System Date and Time"))
+    raw = roles.events(spark, sf_dir).select("event_id", _time_texts().alias("System Date and Time"))
     parsed = projection.add_canonical_time(raw).withColumn("time_text", tm.format_time("time"))
     return shown(parsed.select("event_id", "time", "time_text", tm.is_canonical("time_text").alias("canonical")))
 
 
+@query(
+    "time_padded_numbers",
+    """
+    WITH t AS (SELECT event_id, date_trunc('minute', ts) AS time FROM events)
+    SELECT event_id, time FROM t
+    """,
+)
+def time_padded_numbers(spark, sf_dir):
+    """Compact day-first times in a numeric column, where days before the tenth have lost their zero."""
+    number = F.date_format("time", "ddMMyyyyHHmm").cast("long")
+    raw = roles.events(spark, sf_dir).select("event_id", number.alias("System Date and Time"))
+    return shown(projection.add_canonical_time(raw).select("event_id", "time"))
+
+
 @query(
     "time_from_name",
     """

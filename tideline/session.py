@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -20,10 +22,10 @@ RUNTIME_CONF = {
     "spark.sql.streaming.stateStore.providerClass": (
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
     ),
-    # Repeated names in a record or header: the last one counts.
-    "spark.sql.mapKeyDedupPolicy": "LAST_WIN",
 }
 
+_WRITTEN: dict[str, list[str]] = {}
+
 
 def prepare(spark: SparkSession) -> SparkSession:
     """Apply the runtime settings every operator assumes (UTC above all)."""
@@ -42,20 +44,35 @@ def build_session(app: str = "tideline", master: str | None = None, **conf: str)
     return prepare(builder.getOrCreate())
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """The cluster's shared checkpoint folder; a scratch folder only where none is named."""
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(named or tempfile.mkdtemp(prefix="spark-", dir="/tmp"))
-    return context.getCheckpointDir()
+def shared_folder(spark: SparkSession, name: str) -> str:
+    """A new folder name for intermediate data on storage that driver and executors share.
+
+    It lies below `spark.checkpoint.dir`. Only a session that runs on this machine alone may leave that
+    unset; its own temporary folder is then as good.
+    """
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+        root = tempfile.mkdtemp(prefix="spark-")
+    return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def materialize(df: DataFrame) -> DataFrame:
-    """Write `df` once to the checkpoint folder, for results that several later steps read.
+def materialize(df: DataFrame, name: str = "stored") -> DataFrame:
+    """Write `df` once as Parquet to the shared folder and read it again, for results that several later steps read.
 
-    The checkpoint lives on shared storage, so a lost executor costs a re-read,
-    not a recomputation of everything before it.
+    A lost executor costs a re-read, not a recomputation of everything before it; later steps
+    read only the columns they need and know the table's size.
     """
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    folder = shared_folder(df.sparkSession, name)
+    df.write.parquet(folder)
+    _WRITTEN.setdefault(df.sparkSession.sparkContext.applicationId, []).append(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)
+
+
+def clean_up(spark: SparkSession) -> None:
+    """Delete what `materialize` has written in this session, once the products that read it are written."""
+    jvm = spark.sparkContext._jvm
+    for folder in _WRITTEN.pop(spark.sparkContext.applicationId, []):
+        path = jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)

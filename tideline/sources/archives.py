@@ -158,7 +158,8 @@ def flatten_records(parsed: DataFrame) -> DataFrame:
 
     def entries(field: str) -> Column:
         kept = F.filter("_measured", lambda m: m[field].isNotNull())
-        return F.map_from_entries(F.transform(kept, lambda m: F.struct(m["name"].alias("key"), m[field].alias("value"))))
+        pairs = F.transform(kept, lambda m: F.struct(m["name"].alias("key"), m[field].alias("value")))
+        return F.map_from_entries(tx.last_of_each(pairs))
 
     return staged.select(
         FILE,
@@ -181,12 +182,14 @@ def flatten_records(parsed: DataFrame) -> DataFrame:
         F.coalesce(_value(system, "8"), F.lit(0.0)).alias("longitude"),
         *[_value(system, point_id, words).alias(name) for point_id, words, name in _SYSTEM_POINTS],
         F.map_from_entries(
-            F.transform(
-                sensors,
-                lambda s: F.struct(
-                    _sensor_key(s).alias("key"),
-                    F.struct(s["_ID"].alias("id"), s["_Descr"].alias("description")).alias("value"),
-                ),
+            tx.last_of_each(
+                F.transform(
+                    sensors,
+                    lambda s: F.struct(
+                        _sensor_key(s).alias("key"),
+                        F.struct(s["_ID"].alias("id"), s["_Descr"].alias("description")).alias("value"),
+                    ),
+                )
             )
         ).alias("sensors"),
         entries("value").alias("values"),

@@ -126,15 +126,17 @@ def read_delimited(spark: SparkSession, path: str | list[str]) -> DataFrame:
     parts = []
     for layout in csv_layouts(spark, path).orderBy("first_file").collect():
         read = spark.read.options(header=True, inferSchema=False, mode="PERMISSIVE").csv(layout["files"])
-        parts.append(read.select("*", file_name().alias(FILE)))
+        # Spark names a column after its place where the header has nothing.
+        nameless = {f"_c{k}" for k, name in enumerate(layout["header"]) if not (name or "").strip()}
+        parts.append(read.select(*[quoted(c) for c in read.columns if c not in nameless], file_name().alias(FILE)))
     if not parts:
         raise ValueError(f"no delimited text with a header under {path}")
     return drop_unnamed(union_by_name(parts))
 
 
 def drop_unnamed(df: DataFrame) -> DataFrame:
-    """Drop index columns that earlier exports left without a name."""
-    return df.select(*[quoted(c) for c in df.columns if not (c.startswith("Unnamed") or c.startswith("_c"))])
+    """Drop index columns that earlier exports wrote as `Unnamed: 0` and the like."""
+    return df.select(*[quoted(c) for c in df.columns if not c.startswith("Unnamed")])
 
 
 def keep_raw_time(df: DataFrame) -> DataFrame:

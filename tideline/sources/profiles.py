@@ -72,8 +72,8 @@ def _cnv_parts(spark: SparkSession, path: str | list[str]) -> DataFrame:
     )
     return placed.select(
         FILE,
-        names.alias("names"),
-        F.map_from_entries(entries).alias("metadata"),
+        tx.numbered_repeats(names).alias("names"),
+        F.map_from_entries(tx.last_of_each(entries)).alias("metadata"),
         F.when(F.col("_start").isNotNull(), F.transform(data, lambda line: F.split(line, r"\s+"))).alias("table"),
     )
 
@@ -122,7 +122,7 @@ def _spectrum_parts(spark: SparkSession, path: str | list[str]) -> DataFrame:
         ),
     )
     body = F.when(F.col("_mark").isNotNull(), F.slice("_lines", F.col("_mark") + 1, F.size("_lines")))
-    return files.select(FILE, "_path", F.map_from_entries(pairs).alias("header"), body.alias("_body")).select(
+    return files.select(FILE, "_path", F.map_from_entries(tx.last_of_each(pairs)).alias("header"), body.alias("_body")).select(
         FILE,
         "_path",
         "header",
@@ -150,8 +150,11 @@ def read_spectra(spark: SparkSession, path: str | list[str]) -> DataFrame:
         "columns", lambda name, i: F.struct(name.alias("name"), F.try_element_at("_cells", i + 1).alias("cell"))
     )
     filled = lines.withColumn("_named", F.filter(named, lambda c: F.trim(c["name"]) != ""))
-    fields = F.map_from_entries("_named")
     fixed = ["Time", *SPECTRUM_ROW]
+    named_fields = F.transform(
+        F.filter("_named", lambda c: c["name"].isin(*fixed)), lambda c: F.struct(c["name"].alias("key"), c["cell"].alias("value"))
+    )
+    fields = F.map_from_entries(tx.last_of_each(named_fields))
     bins = F.transform(
         F.filter("_named", lambda c: ~c["name"].isin(*fixed)),
         lambda c: F.struct(

@@ -3,11 +3,12 @@
 Each of `TREES` orders sorts documents by a part of their signature. Documents that share
 the first `DEPTH` values of an order are a region. First, in a few orders, each document meets
 its neighbour by longest common prefix: the denser a region, the deeper the prefix that neighbours
-share. Regions that hold one component afterwards are done. In all others, of all orders,
-documents of different components meet, whatever their number.
+share. Regions that hold one component afterwards are done. In all others, of all orders, documents
+of different components meet: first one neighbour each, which leaves few components, then all
+whose larger sketches allow a link, whatever their number.
 
 A pair of similarity 0.75 shares a region of an order with chance 0.75 ** 4, so it meets in none
-of the 32 orders with chance 5e-6.
+of the 32 orders with chance 5e-6; its sketches are too far apart with chance 4e-6.
 """
 
 from __future__ import annotations
@@ -31,7 +32,10 @@ DEPTH = 4
 NEIGHBOUR_TREES = 6
 VALUES = TREES * DEPTH
 LEAST_PERCENT = 75  # similarity of linked documents, in percent
-FURTHEST = 36  # differing bits of the sketches of a pair that is compared, of VALUES
+SKETCH = 512  # values of which a sketch keeps four bits each
+_LONGS = SKETCH // 16
+# Differing values of the sketches of a pair that is compared, at most: 4.5 deviations above the 120 of a pair at 0.75.
+FURTHEST = 163
 REGION_ROWS = 4_096  # rows of a region that one task orders, about
 NO_ID = 1 << 62  # sets that only documents without doc_id have are numbered from here
 
@@ -40,12 +44,13 @@ _MIX = np.uint64(0xD6E8FEB86659FD93)
 _BASE = np.uint64(0x00000100000001B3)
 
 
-def _parameters() -> tuple[np.ndarray, np.ndarray]:
-    random = np.random.default_rng(20)
-    return random.integers(0, 2**63, VALUES, dtype=np.uint64) * np.uint64(2) + np.uint64(1), random.integers(0, 2**63, VALUES, dtype=np.uint64)
+def _parameters(values: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
+    random = np.random.default_rng(seed)
+    return random.integers(0, 2**63, values, dtype=np.uint64) * np.uint64(2) + np.uint64(1), random.integers(0, 2**63, values, dtype=np.uint64)
 
 
-_FACTOR, _SHIFT = _parameters()
+_FOREST = _parameters(VALUES, 20)
+_SKETCHES = _parameters(SKETCH, 21)
 
 
 @lru_cache(maxsize=1)
@@ -80,12 +85,13 @@ def shingle_sets(texts: list[str | None]) -> list[np.ndarray]:
     return out
 
 
-def _signatures(sets: list[np.ndarray]) -> np.ndarray:
-    """VALUES smallest hashes (32 bits) of each set; sets are not empty."""
+def _signatures(sets: list[np.ndarray], parameters: tuple[np.ndarray, np.ndarray] = _FOREST) -> np.ndarray:
+    """Smallest hashes (32 bits) of each set under each pair of parameters; sets are not empty."""
+    factor, shift = parameters
     sizes = np.fromiter(map(len, sets), np.int64, len(sets))
     starts = np.cumsum(sizes) - sizes
     items = np.concatenate(sets)
-    out = np.empty((len(sets), VALUES), np.uint64)
+    out = np.empty((len(sets), len(factor)), np.uint64)
     first = 0
     while first < len(sets):  # blocks that stay in the cache
         last = first + 1
@@ -93,19 +99,19 @@ def _signatures(sets: list[np.ndarray]) -> np.ndarray:
             last += 1
         block = items[starts[first] : starts[last - 1] + sizes[last - 1]]
         cuts = starts[first:last] - starts[first]
-        for k in range(VALUES):
-            out[first:last, k] = np.minimum.reduceat(block * _FACTOR[k] + _SHIFT[k], cuts) >> np.uint64(32)
+        for k in range(len(factor)):
+            out[first:last, k] = np.minimum.reduceat(block * factor[k] + shift[k], cuts) >> np.uint64(32)
         first = last
     return out
 
 
 def _profiles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """doc_id, text_hash, n_shingles, set_hi and set_lo (of the whole set), regions, deeper, sketch_hi, sketch_lo."""
-    names = ["doc_id", "text_hash", "n_shingles", "set_hi", "set_lo", "regions", "deeper", "sketch_hi", "sketch_lo"]
+    """doc_id, text_hash, n_shingles, set_hi and set_lo (of the whole set), regions, deeper."""
+    names = ["doc_id", "text_hash", "n_shingles", "set_hi", "set_lo", "regions", "deeper"]
     for batch, texts in text_batches(batches):
         sets = shingle_sets(texts)
         some = np.array([k for k, s in enumerate(sets) if len(s)], np.int64)
-        numbers = np.zeros((len(sets), 4), np.uint64)
+        numbers = np.zeros((len(sets), 2), np.uint64)
         regions = np.zeros((len(some), TREES), np.uint64)
         deeper = np.zeros((len(some), NEIGHBOUR_TREES), np.uint64)
         if len(some):
@@ -113,8 +119,6 @@ def _profiles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for k in some:
                 numbers[k, 0] = np.add.reduce(_mixed(sets[k] + _ODD))
                 numbers[k, 1] = np.add.reduce(_mixed(sets[k] ^ _MIX))
-            bits = (values & np.uint64(1)).reshape(len(some), 2, 64) << np.arange(64, dtype=np.uint64)
-            numbers[some, 2:] = np.bitwise_or.reduce(bits, axis=2)
             parts = values.reshape(len(some), TREES, DEPTH)
             regions += np.arange(TREES, dtype=np.uint64)
             for k in range(DEPTH):
@@ -129,8 +133,8 @@ def _profiles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             return pa.ListArray.from_arrays(pa.array(offsets), pa.array(rows.reshape(-1).view(np.int64)))
 
         sizes = pa.array(np.fromiter(map(len, sets), np.int64, len(sets)))
-        hi, lo, sketch_hi, sketch_lo = (pa.array(np.ascontiguousarray(numbers[:, k]).view(np.int64)) for k in range(4))
-        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), sizes, hi, lo, lists(regions, TREES), lists(deeper, NEIGHBOUR_TREES), sketch_hi, sketch_lo], names=names)
+        hi, lo = (pa.array(np.ascontiguousarray(numbers[:, k]).view(np.int64)) for k in range(2))
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), sizes, hi, lo, lists(regions, TREES), lists(deeper, NEIGHBOUR_TREES)], names=names)
 
 
 def _pack(values: np.ndarray) -> bytes:
@@ -146,10 +150,26 @@ def _unpack(packed: bytes) -> np.ndarray:
     return eight.view("<u8").reshape(-1)
 
 
+_SKETCH_COLUMNS = [f"s{k}" for k in range(_LONGS)]
+_SETS = "node long, packed binary, " + ", ".join(f"{c} long" for c in _SKETCH_COLUMNS)
+
+
+def _set_batch(nodes: pa.Array, sets: list[np.ndarray]) -> pa.RecordBatch:
+    """Nodes with their packed sets and sketches: four bits of each of SKETCH smallest hashes."""
+    if sets:
+        nibbles = (_signatures(sets, _SKETCHES) & np.uint64(15)).reshape(len(sets), _LONGS, 16) << (np.arange(16, dtype=np.uint64) * np.uint64(4))
+        sketches = np.bitwise_or.reduce(nibbles, axis=2).view(np.int64)
+    else:
+        sketches = np.zeros((0, _LONGS), np.int64)
+    columns = [pa.array(np.ascontiguousarray(sketches[:, k])) for k in range(_LONGS)]
+    return pa.RecordBatch.from_arrays([nodes, pa.array([_pack(s) for s in sets], pa.binary()), *columns], names=["node", "packed", *_SKETCH_COLUMNS])
+
+
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch, texts in text_batches(batches):
-        packed = [_pack(s) for s in shingle_sets(texts)]
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(packed, pa.binary())], names=["node", "packed"])
+        sets = shingle_sets(texts)
+        some = [k for k, s in enumerate(sets) if len(s)]
+        yield _set_batch(batch.column(0).take(pa.array(some, pa.int64())), [sets[k] for k in some])
 
 
 def _common(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -195,37 +215,34 @@ def near_duplicates(docs: DataFrame, scratch: str) -> DataFrame:
         return spark.read.parquet(f"{scratch}/{name}")
 
     given = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("text_hash"))
-    shape = "doc_id long, text_hash long, n_shingles long, set_hi long, set_lo long, regions array<long>, deeper array<long>, sketch_hi long, sketch_lo long"
+    shape = "doc_id long, text_hash long, n_shingles long, set_hi long, set_lo long, regions array<long>, deeper array<long>"
     profiles = stored(given.mapInArrow(_profiles, shape), "profiles")
     named = profiles.where("n_shingles > 0").withColumn("own", _own(F.col("doc_id")))
     nodes = stored(named.groupBy("set_hi", "set_lo").agg(F.min("own").alias("node")), "nodes")
     joined = named.join(nodes, ["set_hi", "set_lo"]).where("own = node")
-    kept = stored(joined.select("node", "n_shingles", "regions", "deeper", "sketch_hi", "sketch_lo"), "representatives")
+    kept = stored(joined.select("node", "regions", "deeper"), "representatives")
 
     placed = kept.select("node", F.posexplode("regions").alias("tree", "region"))
     shared = placed.groupBy("region").agg(F.min("node").alias("first"), F.max("node").alias("last"), F.count("*").alias("rows")).where("first < last")
     regions = stored(shared.select("region", "rows"), "regions")
     met = stored(placed.join(regions, "region"), "members")
-    facts = kept.select("node", F.col("n_shingles").alias("n"), "sketch_hi", "sketch_lo").distinct()
 
     active = stored(met.select("node").distinct(), "active")
     texts = given.where("doc_id is not null").select(F.col("doc_id").alias("node"), "text", "text_hash")
     once = texts.join(active.where(F.col("node") < NO_ID), "node", "left_semi")
     chosen = once.dropDuplicates(["node", "text_hash"]).select("node", "text")
-    packed = chosen.mapInArrow(_sets, "node long, packed binary")
+    packed = chosen.mapInArrow(_sets, _SETS)
     unnamed = _sets_without_id(given, active)
     sets = stored(packed.unionByName(unnamed), "sets")
 
     close = stored(_confirmed(_neighbours(met, kept), sets), "close")
-    part = components(close, f"{scratch}/close-parts")
-    links = stored(_confirmed(_across(met, facts, part).join(close, ["a", "b"], "left_anti"), sets), "links")
-    far = links.join(part.withColumnsRenamed({"node": "a", "component": "pa"}), "a", "left").join(part.withColumnsRenamed({"node": "b", "component": "pb"}), "b", "left")
-    merged = components(far.select(F.coalesce("pa", "a").alias("a"), F.coalesce("pb", "b").alias("b")), f"{scratch}/parts")
-    # A node's component: of its part, or of itself.
-    inner = part.withColumnRenamed("component", "part")
-    outer = merged.withColumnsRenamed({"node": "part", "component": "whole"})
-    roots = nodes.select("set_hi", "set_lo", "node").join(inner, "node", "left").withColumn("part", F.coalesce("part", "node")).join(outer, "part", "left")
-    rooted = roots.select("set_hi", "set_lo", F.coalesce("whole", "part").alias("_group"))
+    part = _parts(None, close, f"{scratch}/parts-1")
+    beside = stored(_confirmed(_beside(met, part), sets), "beside")
+    part = _parts(part, beside, f"{scratch}/parts-2")
+    links = stored(_confirmed(_across(met, sets, part), sets), "links")
+    part = _parts(part, links, f"{scratch}/parts-3")
+    roots = nodes.select("set_hi", "set_lo", "node").join(part, "node", "left")
+    rooted = roots.select("set_hi", "set_lo", F.coalesce("component", "node").alias("_group"))
 
     id_of = F.when(F.col("_group") < NO_ID, F.col("_group"))
     full = profiles.select("doc_id", "text_hash", "n_shingles", "set_hi", "set_lo")
@@ -245,11 +262,11 @@ def one_of_each(docs: DataFrame, scratch: str) -> DataFrame:
     first = F.min(F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "text_hash")).alias("first")
     chosen = found.where("_group is not null").groupBy("_group").agg(first).select("first.doc_id", "first.text_hash")
     chosen.write.parquet(f"{scratch}/chosen")
-    chosen = docs.sparkSession.read.parquet(f"{scratch}/chosen").withColumnsRenamed({"doc_id": "_id", "text_hash": "_hash"})
-    keyed = docs.withColumn("_text_hash", F.xxhash64("text"))
+    chosen = docs.sparkSession.read.parquet(f"{scratch}/chosen").withColumnsRenamed({"doc_id": "_near_id", "text_hash": "_near_hash"})
+    keyed = docs.withColumn("_near_text", F.xxhash64("text"))
     wordless = ~F.coalesce(F.col("text").rlike(f"[^{SPACE}]"), F.lit(False))
-    worded = keyed.where(~wordless).join(chosen, F.col("doc_id").cast("long").eqNullSafe(F.col("_id")) & (F.col("_text_hash") == F.col("_hash")), "left_semi")
-    least = worded.groupBy("doc_id", "_text_hash").agg(F.min(F.struct(*docs.columns)).alias("row")).select("row.*")
+    worded = keyed.where(~wordless).join(chosen, F.col("doc_id").cast("long").eqNullSafe(F.col("_near_id")) & (F.col("_near_text") == F.col("_near_hash")), "left_semi")
+    least = worded.groupBy("doc_id", "_near_text").agg(F.min(F.struct(*docs.columns)).alias("row")).select("row.*")
     return least.unionByName(docs.where(wordless))
 
 
@@ -260,9 +277,9 @@ def _sets_without_id(given: DataFrame, active: DataFrame) -> DataFrame:
         for _, texts in text_batches(batches):
             sets = [s for s in shingle_sets(texts) if len(s)]
             low = [int(np.add.reduce(_mixed(s ^ _MIX))) & ((1 << 60) - 1) for s in sets]
-            yield pa.RecordBatch.from_arrays([pa.array([NO_ID + x for x in low], pa.int64()), pa.array([_pack(s) for s in sets], pa.binary())], names=["node", "packed"])
+            yield _set_batch(pa.array([NO_ID + x for x in low], pa.int64()), sets)
 
-    nameless = given.where("doc_id is null").mapInArrow(numbered, "node long, packed binary")
+    nameless = given.where("doc_id is null").mapInArrow(numbered, _SETS)
     return nameless.join(active.where(F.col("node") >= NO_ID), "node", "left_semi").dropDuplicates(["node"])
 
 
@@ -287,14 +304,50 @@ def _ordered(pairs: DataFrame) -> DataFrame:
     return pairs.where("node <> other").select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct()
 
 
-def _across(met: DataFrame, facts: DataFrame, part: DataFrame) -> DataFrame:
+def _parts(part: DataFrame | None, links: DataFrame, scratch: str) -> DataFrame:
+    """(node, component) after `links` join the components of `part`; nodes without links are left out."""
+    if part is None:
+        return components(links, scratch)
+    left, right = (part.withColumnsRenamed({"node": x, "component": f"c{x}"}) for x in "ab")
+    between = links.join(left, "a", "left").join(right, "b", "left").select(F.coalesce("ca", "a").alias("a"), F.coalesce("cb", "b").alias("b"))
+    merged = components(between, scratch)
+    outer = merged.select(F.col("node").alias("component"), F.col("component").alias("whole"))
+    known = part.join(outer, "component", "left").select("node", F.coalesce("whole", "component").alias("component"))
+    known.unionByName(merged.join(part.select("node"), "node", "left_anti")).write.parquet(f"{scratch}/all")
+    return links.sparkSession.read.parquet(f"{scratch}/all")
+
+
+def _open(met: DataFrame, part: DataFrame) -> DataFrame:
+    """Members of the regions that hold more than one component, with their components."""
+    rows = met.select("region", "node").join(part, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    several = rows.groupBy("region").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("rows")).where("lo < hi")
+    return rows.join(several.select("region", "rows"), "region")
+
+
+def _beside(met: DataFrame, part: DataFrame) -> DataFrame:
+    """Pairs of different components that a region's rows, in an order of its own, put side by side."""
+    share = F.pmod(F.xxhash64("node"), F.ceil(F.col("rows") / REGION_ROWS))
+    dealt = _open(met, part).withColumn("share", share).repartition("region", "share")
+    order = Window.partitionBy("region", "share").orderBy(F.xxhash64("region", "node"), "node")
+    beside = dealt.select("node", "component", F.lead("node").over(order).alias("other"), F.lead("component").over(order).alias("its"))
+    return _ordered(beside.where("component <> its").select("node", "other"))
+
+
+def _differing() -> Column:
+    """Values in which the sketches of two rows differ."""
+    total = F.lit(0)
+    for c in _SKETCH_COLUMNS:
+        x = F.col(f"{c}_a").bitwiseXOR(F.col(f"{c}_b"))
+        any_bit = x.bitwiseOR(F.shiftrightunsigned(x, 1)).bitwiseOR(F.shiftrightunsigned(x, 2)).bitwiseOR(F.shiftrightunsigned(x, 3))
+        total = total + F.bit_count(any_bit.bitwiseAND(F.lit(0x1111111111111111)))
+    return total
+
+
+def _across(met: DataFrame, sets: DataFrame, part: DataFrame) -> DataFrame:
     """Pairs of one region and different components whose sketches and sizes allow a link."""
-    known = facts.join(part, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    rows = met.select("region", "node").join(known, "node")
-    open_ = rows.groupBy("region").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("region")
-    still = rows.join(open_, "region")
-    left, right = (still.select("region", *[F.col(c).alias(f"{c}_{s}") for c in ("node", "n", "sketch_hi", "sketch_lo", "component")]) for s in "ab")
-    apart = F.bit_count(F.col("sketch_hi_a").bitwiseXOR(F.col("sketch_hi_b"))) + F.bit_count(F.col("sketch_lo_a").bitwiseXOR(F.col("sketch_lo_b")))
+    facts = sets.select("node", (F.octet_length("packed") / 6).cast("long").alias("n"), *_SKETCH_COLUMNS)
+    still = _open(met, part).join(facts, "node")
+    left, right = (still.select("region", *[F.col(c).alias(f"{c}_{s}") for c in ("node", "n", "component", *_SKETCH_COLUMNS)]) for s in "ab")
     sizes = (100 * F.col("n_a") >= LEAST_PERCENT * F.col("n_b")) & (100 * F.col("n_b") >= LEAST_PERCENT * F.col("n_a"))
-    pairs = left.join(right, "region").where((F.col("node_a") < F.col("node_b")) & (F.col("component_a") != F.col("component_b")) & sizes & (apart <= FURTHEST))
-    return pairs.select(F.col("node_a").alias("a"), F.col("node_b").alias("b")).distinct()
+    met_ = left.join(right, (left["region"] == right["region"]) & (F.col("node_a") < F.col("node_b")) & (F.col("component_a") != F.col("component_b")) & sizes & (_differing() <= FURTHEST))
+    return met_.select(F.col("node_a").alias("a"), F.col("node_b").alias("b")).distinct()

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tideline.llm import chats, decontamination, language, mixing, near_duplicates, prefix_tokens, quality, secrets, token_files, toxicity
 from tideline.llm.folds import held_out
 from tideline.llm.words import documents
+from tideline.session import shared_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -47,7 +48,7 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op10_token_files")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
-    folder = token_files.shared_folder(spark, "token-files")
+    folder = shared_folder(spark, "token-files")
     token_files.write_token_files(documents(spark, sf_dir, "doc_id", "text"), folder, vocabulary(TOKENIZER), END_ID)
     return token_files.read_checksums(spark, folder)
 
@@ -76,19 +77,19 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir, "doc_id", "text", "lang")
     pieces = vocabulary(PIECES)
-    model = language.train(docs, pieces, token_files.shared_folder(spark, "language-words"))
+    model = language.train(docs, pieces, shared_folder(spark, "language-words"))
     predicted = language.with_language(docs.select("doc_id", "text"), model, pieces)
     return predicted.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
 
 
 @query("op7_source_mix", mixing.SQL)
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mixing.decisions(documents(spark, sf_dir, "doc_id", "text", "source"), token_files.shared_folder(spark, "mix"))
+    return mixing.decisions(documents(spark, sf_dir, "doc_id", "text", "source"), shared_folder(spark, "mix"))
 
 
 @query("op8_near_duplicates")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = near_duplicates.near_duplicates(documents(spark, sf_dir, "doc_id", "text"), token_files.shared_folder(spark, "near-duplicates"))
+    found = near_duplicates.near_duplicates(documents(spark, sf_dir, "doc_id", "text"), shared_folder(spark, "near-duplicates"))
     return found.drop("_group")
 
 
@@ -102,9 +103,9 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op3_secrets")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return secrets.find_secrets(documents(spark, sf_dir, "doc_id", "text"), token_files.shared_folder(spark, "secrets"))
+    return secrets.find_secrets(documents(spark, sf_dir, "doc_id", "text"), shared_folder(spark, "secrets"))
 
 
 @query("op5_chat_format", chats.SQL)
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return chats.format_chats(spark.read.parquet(f"{sf_dir}/conversations.parquet"), token_files.shared_folder(spark, "chats"))
+    return chats.format_chats(spark.read.parquet(f"{sf_dir}/conversations.parquet"), shared_folder(spark, "chats"))

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import re
-import uuid
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
@@ -155,11 +154,3 @@ def read_checksums(spark: SparkSession, folder: str) -> DataFrame:
     rows = _files(spark, folder).select("doc_id", "n_tokens", "file_start", "ids", "_file")
     checked = rows.mapInArrow(check, "doc_id long, n_tokens long, file_start long, _file int, ids_crc32 long")
     return _placed(spark, folder, checked).select("doc_id", "start", "n_tokens", "ids_crc32")
-
-
-def shared_folder(spark: SparkSession, name: str) -> str:
-    """A new folder below the cluster's shared checkpoint folder."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
-    return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"

@@ -108,7 +108,7 @@ def train(docs: DataFrame, labels: DataFrame, settings: Settings = Settings(), c
 
     The sample is dealt to shards of about `shard_docs` documents; each trains a model
     and the weights are averaged. L1 keeps few of them, so that they fit a broadcast:
-    at most 2 ** bits + 1 numbers. Without labelled documents there are no weights.
+    at most 2 ** bits + 1 numbers. Without labelled documents nothing counts as toxic.
     """
     s = settings
     spark = docs.sparkSession
@@ -117,7 +117,7 @@ def train(docs: DataFrame, labels: DataFrame, settings: Settings = Settings(), c
     rows = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id")
     size = docs.select("doc_id", F.length("text").alias("n")).join(F.broadcast(sample), "doc_id").agg(F.count("*").alias("docs"), F.sum("n").alias("chars")).first()
     if not size["docs"]:
-        return np.zeros(0, np.int64), np.zeros(0)
+        return np.array([1 << s.bits]), np.array([-35.0])
     shards = max(-(-size["docs"] // s.shard_docs), -(-(size["chars"] or 0) // s.shard_chars))
 
     def fit(table: pa.Table) -> pa.Table:

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from tideline.llm import decontamination, mixing, near_duplicates, token_files, toxicity
 from tideline.llm.queries import END_ID, TOKENIZER
+from tideline.session import shared_folder
 
 
 def harmless(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -24,7 +25,7 @@ def harmless(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def distinct_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates."""
-    return near_duplicates.one_of_each(docs, token_files.shared_folder(spark, "distinct"))
+    return near_duplicates.one_of_each(docs, shared_folder(spark, "distinct"))
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -35,14 +36,14 @@ def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix takes them; one that it takes in part stays whole."""
-    taken = mixing.mix(docs, token_files.shared_folder(spark, "mixed"))
+    taken = mixing.mix(docs, shared_folder(spark, "mixed"))
     times = F.ceil(F.col("taken") / F.col("size")).cast("int")
     return taken.where("taken > 0").withColumn("_time", F.explode(F.sequence(F.lit(1), times))).select(*docs.columns)
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token files in id order, and what they hold: doc_id, start, n_tokens, ids_crc32."""
-    folder = token_files.shared_folder(spark, "token-files")
+    folder = shared_folder(spark, "token-files")
     token_files.write_token_files(docs, folder, vocabulary(TOKENIZER), END_ID)
     return token_files.read_checksums(spark, folder)
 
@@ -61,7 +62,7 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Apply the stages to the documents one after another."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    folder = token_files.shared_folder(spark, "pipeline")
+    folder = shared_folder(spark, "pipeline")
     for number, (_, stage) in enumerate(STAGES):
         kept = stage(spark, docs, sf_dir)
         if number + 1 == len(STAGES):

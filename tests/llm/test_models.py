@@ -29,12 +29,12 @@ def corpus():
     rows, labels = [], []
     for k in range(400):
         text = [words.choice(plain) for _ in range(60)]
-        toxic = k % 4 == 0
+        toxic = k % 6 == 0
         if toxic:
             for _ in range(4):
                 text.insert(words.randrange(len(text)), "vilegrub!")
         rows.append((k, " ".join(text)))
-        if k % 2 == 0 or k % 5 == 0:
+        if k % 5 != 3:
             labels.append((k, 1, int(toxic)))
     return rows, labels
 
@@ -43,7 +43,7 @@ def test_toxicity_learns_and_leaves_clean_text(spark, make, corpus):
     rows, labels = corpus
     extra = [(None, None), (9000, ""), (9001, "river " * 20_000), (9002, "!!! ???")]
     docs = make(rows + extra + rows[:2]).withColumn("toxicity", F.lit("clash"))
-    settings = toxicity.Settings(bits=16, l1=2.0, shard_docs=80)
+    settings = toxicity.Settings(bits=16, l1=2.0, shard_docs=200)
     model = toxicity.train(docs, _labels(spark, [*labels, labels[0], (77_777, 1, 1), (None, 1, 1)]), settings)
     assert 0 < len(model[0]) < 1 << 12
     scored = toxicity.with_toxicity(docs, model, settings).collect()
@@ -106,7 +106,8 @@ def test_quality_ratio_parts_junk_from_clean(spark, make):
         rows.append((k, " ".join(word() + ("%%%" if junk else "") for _ in range(80))))
         labels.append((k, 0 if junk else 1, 0))
     docs = make(rows)
-    ratios = quality.fit(docs, _labels(spark, labels[:120] + labels[:1]))
+    settings = quality.Settings(prior=10_000.0)
+    ratios = quality.fit(docs, _labels(spark, labels[:120] + labels[:1]), settings)
     for r in quality.with_quality(docs, ratios).collect():
         assert r["kept"] == (r["doc_id"] % 3 != 0)
     assert not quality.fit(docs, _labels(spark, [])).any()

@@ -83,8 +83,11 @@ def _features(texts: list[str | None], bits: int) -> tuple[np.ndarray, np.ndarra
 
 
 def _weights(z: np.ndarray, n: np.ndarray, s: Settings) -> np.ndarray:
-    shrunk = np.sign(z) * s.l1 - z
-    return np.where(np.abs(z) <= s.l1, 0.0, shrunk / ((s.beta + np.sqrt(n)) / s.alpha + s.l2))
+    """Weights from the sums of gradients; the last one, the constant, is not held to zero by L1."""
+    least = np.full(len(z), s.l1)
+    least[-1] = 0.0
+    shrunk = np.sign(z) * least - z
+    return np.where(np.abs(z) <= least, 0.0, shrunk / ((s.beta + np.sqrt(n)) / s.alpha + s.l2))
 
 
 def _fit(places: list[np.ndarray], labels: np.ndarray, s: Settings) -> np.ndarray:
@@ -103,8 +106,8 @@ def _fit(places: list[np.ndarray], labels: np.ndarray, s: Settings) -> np.ndarra
     return _weights(z, n, s)
 
 
-def train(docs: DataFrame, labels: DataFrame, settings: Settings = Settings(), column: str = "toxic") -> tuple[np.ndarray, np.ndarray]:
-    """(places, weights) learned from at most `sample_docs` labelled documents outside the held-out fold.
+def train(docs: DataFrame, labels: DataFrame, settings: Settings = Settings(), column: str = "toxic") -> tuple[np.ndarray, np.ndarray, float]:
+    """(places, weights, share of label 1) learned from at most `sample_docs` labelled documents outside the held-out fold.
 
     The sample is dealt to shards of about `shard_docs` documents; each trains a model
     and the weights are averaged. L1 keeps few of them, so that they fit a broadcast:
@@ -115,9 +118,10 @@ def train(docs: DataFrame, labels: DataFrame, settings: Settings = Settings(), c
     narrow_batches(spark)
     sample = bounded_sample(labels.select("doc_id", column).where(~held_out(F.col("doc_id"))), column, s.sample_docs)
     rows = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id")
-    size = docs.select("doc_id", F.length("text").alias("n")).join(F.broadcast(sample), "doc_id").agg(F.count("*").alias("docs"), F.sum("n").alias("chars")).first()
+    sizes = docs.select("doc_id", F.length("text").alias("n")).join(F.broadcast(sample), "doc_id")
+    size = sizes.agg(F.count("*").alias("docs"), F.sum("n").alias("chars"), F.avg("label").alias("share")).first()
     if not size["docs"]:
-        return np.array([1 << s.bits]), np.array([-35.0])
+        return np.array([1 << s.bits]), np.array([-35.0]), 0.0
     shards = max(-(-size["docs"] // s.shard_docs), -(-(size["chars"] or 0) // s.shard_chars))
 
     def fit(table: pa.Table) -> pa.Table:
@@ -133,11 +137,11 @@ def train(docs: DataFrame, labels: DataFrame, settings: Settings = Settings(), c
     dealt = rows.withColumn("shard", F.pmod(F.xxhash64(F.lit(1), "doc_id"), F.lit(shards)))
     found = dealt.groupBy("shard").applyInArrow(fit, "place int, weight double").groupBy("place").agg((F.sum("weight") / shards).alias("weight")).toArrow()
     order = np.argsort(found.column("place").to_numpy())
-    return found.column("place").to_numpy()[order].astype(np.int64), found.column("weight").to_numpy()[order]
+    return found.column("place").to_numpy()[order].astype(np.int64), found.column("weight").to_numpy()[order], size["share"]
 
 
-def with_toxicity(docs: DataFrame, model: tuple[np.ndarray, np.ndarray], settings: Settings = Settings(), text: str = "text", out: str = "toxicity") -> DataFrame:
-    """Add `out`, the probability that the text is toxic (0 to 1; null and empty texts get the constant's).
+def with_toxicity(docs: DataFrame, model: tuple[np.ndarray, np.ndarray, float], settings: Settings = Settings(), text: str = "text", out: str = "toxicity") -> DataFrame:
+    """Add `out`, the probability that the text is toxic (0 to 1). Texts without a word get the share of toxic documents in the sample.
 
     All other columns stay; a column named `out` is replaced. Rows never leave their partition.
     """
@@ -150,13 +154,13 @@ def with_toxicity(docs: DataFrame, model: tuple[np.ndarray, np.ndarray], setting
     bits = settings.bits
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        places, values = shared.value
+        places, values, share = shared.value
         weights = np.zeros((1 << bits) + 1)
         weights[places] = values
         for batch, texts in text_batches(batches):
             found, counts = _features(texts, bits)
             total = sums(weights[found], counts) + weights[-1]
-            scores = 1 / (1 + np.exp(-np.clip(total, -35, 35)))
+            scores = np.where(counts > 0, 1 / (1 + np.exp(-np.clip(total, -35, 35))), share)
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(scores)], names=[*names, out])
 
     shape = ", ".join([*(f"{n} {docs.schema[c].dataType.simpleString()}" for n, c in zip(names, keep, strict=True)), f"`{out}` double"])

@@ -13,6 +13,7 @@ from tideline.functions import acoustic as ac
 from tideline.functions import text as tx
 from tideline.functions import time as tm
 from tideline.operators import gaps
+from tideline.operators import sequence as seq
 from tideline.session import materialize
 
 # Detector settings.
@@ -127,9 +128,13 @@ def top_labels(labels: Column, k: int = 3) -> Column:
     return F.transform(best, lambda x: F.struct(x["label"].alias("label"), (-x["n"]).alias("prob")))
 
 
-def is_ping(bins: Column, tones: list[float], tolerance: float = PING_TOLERANCE_HZ) -> Column:
-    return ac.is_ping_by_energy(bins, tones, tolerance, PING_ENERGY_SHARE) | ac.is_ping_by_peak(
-        bins, tones, tolerance, PING_PEAK_RATIO
+def is_ping(
+    bins: Column, tones: list[float], tolerance: float = PING_TOLERANCE_HZ, share: float = PING_ENERGY_SHARE,
+    ratio: float = PING_PEAK_RATIO,
+) -> Column:
+    """Whether a spectrum is a ping by the energy near the tones or by their peaks."""
+    return ac.is_ping_by_energy(bins, tones, tolerance, share) | ac.is_ping_by_peak(
+        bins, tones, tolerance, ratio
     )
 
 
@@ -231,8 +236,7 @@ def loudness(df: DataFrame, keys: list[str], chunk: str, samples: str) -> DataFr
     sized = df.select(*keys, chunk, squares.alias("_sq"), F.size(samples).alias("_n"))
     whole = sized.groupBy(*keys).agg(F.sqrt(F.sum("_sq") / F.sum("_n")).alias("file_rms"))
     return (
-        sized.withColumn("chunk_rms", F.sqrt(F.col("_sq") / F.col("_n")))
-        .join(whole, keys)
+        seq.join_summary(sized.withColumn("chunk_rms", F.sqrt(F.col("_sq") / F.col("_n"))), whole, keys, F.col(chunk))
         .select(
             *keys, chunk, "chunk_rms", "file_rms",
             (F.col("chunk_rms") / (F.col("file_rms") + 1e-9)).alias("loudness_ratio"),

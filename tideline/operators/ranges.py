@@ -232,10 +232,17 @@ def prune_by_range(files: DataFrame, windows: DataFrame, keys: list[str]) -> Dat
     be ruled out, and all files of that key are kept.
     """
     readable = files.groupBy(*keys).agg(F.bool_and(F.col("start").isNotNull() & F.col("end").isNotNull()).alias("_named"))
-    judged = files.join(readable, keys)
+    judged = seq.join_summary(files, readable, keys, F.col("file_name"))
     held = windows.select(*keys, tm.micros("start").alias("_w0"), tm.micros("end").alias("_w1"))
-    timed = judged.where("_named").select(
-        *keys, "file_name", tm.micros("start").alias("_a"), tm.micros("end").alias("_b")
+    # A span is cut to the time that windows cover at all, so that a far end in a name costs nothing.
+    covered = held.groupBy(*keys).agg(F.min("_w0").alias("_min"), F.max("_w1").alias("_max"))
+    timed = (
+        seq.join_summary(judged.where("_named"), covered, keys, F.col("file_name"))
+        .select(
+            *keys, "file_name",
+            F.greatest(tm.micros("start"), F.col("_min")).alias("_a"), F.least(tm.micros("end"), F.col("_max")).alias("_b"),
+        )
+        .where("_a <= _b")
     )
     return (
         _overlapping(timed, held, keys)

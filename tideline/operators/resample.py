@@ -38,9 +38,14 @@ def fill_bins(binned: DataFrame, keys: list[str], step: Column, time: str = "tim
     after = F.coalesce(
         F.try_element_at("_bins", F.col("_at") + 2)["_us"], F.col("_next"), F.col("_bin._us") + F.col("_step")
     )
-    filled = runs.select(
-        *keys, "_bin", F.explode(F.sequence(F.col("_bin._us"), after - F.col("_step"), F.col("_step"))).alias("_us")
+    # Packs of bins first, then the bins of a pack: a stray early row makes many rows, never one long array.
+    pack = F.col("_step") * _BINS_PER_CHUNK
+    packs = runs.select(
+        *keys, "_bin", "_step", (after - F.col("_step")).alias("_until"),
+        F.explode(F.sequence(F.col("_bin._us"), after - F.col("_step"), pack)).alias("_from"),
     )
+    to = F.least(F.col("_until"), F.col("_from") + pack - F.col("_step"))
+    filled = packs.select(*keys, "_bin", F.explode(F.sequence(F.col("_from"), to, F.col("_step"))).alias("_us"))
     own = F.col("_us") == F.col("_bin._us")
     return filled.select(
         *keys, F.timestamp_micros("_us").alias(time), *[F.when(own, F.col(f"_bin._v.{c}")).alias(c) for c in values]

@@ -81,6 +81,17 @@ def with_running(
     )
 
 
+def join_summary(rows: DataFrame, summary: DataFrame, keys: list[str], by: Column, parts: int = 64) -> DataFrame:
+    """Rows with the columns of a summary that has one row per key.
+
+    The summary is repeated for `parts` shares and each row goes to the share that `by` hashes to, so that
+    the rows of one busy key meet it in many tasks.
+    """
+    shares = F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).alias("_share")
+    dealt = rows.withColumn("_share", F.pmod(F.xxhash64(by), F.lit(parts)).cast("int"))
+    return dealt.join(summary.select("*", shares), [*keys, "_share"]).drop("_share")
+
+
 def with_row_number(df: DataFrame, keys: list[str], order: list[str], chunk: Column, name: str) -> DataFrame:
     """Number the rows of each key from 1 in order."""
     return with_running(df, keys, order, chunk, {name: ("sum", F.lit(1).cast("long"))})
@@ -117,7 +128,8 @@ def thin_every_nth(
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
     step = F.when(F.col("_rows") > target, F.expr(f"_rows div {target}") + 1).otherwise(F.lit(1))
     numbered = with_row_number(df, keys, order, chunk, "_no")
-    kept = numbered.join(counts.select(*keys, step.alias("_step")), keys).where((F.col("_no") - 1) % F.col("_step") == 0)
+    stepped = join_summary(numbered, counts.select(*keys, step.alias("_step")), keys, F.col("_no"))
+    kept = stepped.where((F.col("_no") - 1) % F.col("_step") == 0)
     return kept.select(*df.columns)
 
 

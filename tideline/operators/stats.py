@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tideline.operators import sequence as seq
 
-_RANK_BINS = 1024
+_RANK_CHUNKS = 128
 
 # Wind speed classes in m/s (lower edge inclusive), calm limit, number of sectors.
 SPEED_EDGES = [0.5, 3.0, 6.0, 9.0, 12.0, 15.0]
@@ -21,21 +21,29 @@ def _position(value: Column, low: Column, high: Column, bins: int) -> Column:
     return F.when(width > 0, F.least(F.floor((value - low) / width), F.lit(bins - 1))).otherwise(F.lit(0)).cast("long")
 
 
+def _counted(df: DataFrame, keys: list[str], column: str) -> DataFrame:
+    """(keys, _v, _n): how often each value occurs."""
+    return df.where(F.col(column).isNotNull()).groupBy(*keys, F.col(column).alias("_v")).agg(F.count(F.lit(1)).alias("_n"))
+
+
 def exact_percentiles(df: DataFrame, keys: list[str], column: str, points: dict[str, float]) -> DataFrame:
-    """Exact percentiles with linear interpolation, without one task holding a key's values.
+    """Exact percentiles with linear interpolation, without one task holding a key's values."""
+    return _percentiles(_counted(df, keys, column), keys, points)
+
+
+def _percentiles(values: DataFrame, keys: list[str], points: dict[str, float]) -> DataFrame:
+    """Percentiles of counted values.
 
-    Equal values are counted first. Their running count, chunked by value
-    range, gives each value the ranks it covers; only values at a wanted rank
-    go on.
+    Their running count, in chunks between approximate quantiles, gives each value the ranks
+    it covers; only values at a wanted rank go on. The quantiles only deal values to tasks, evenly however
+    far the extremes lie.
     """
-    values = df.where(F.col(column).isNotNull()).groupBy(*keys, F.col(column).alias("_v")).agg(
-        F.count(F.lit(1)).alias("_n")
-    )
-    ends = values.groupBy(*keys).agg(F.min("_v").alias("_low"), F.max("_v").alias("_high"), F.sum("_n").alias("_all"))
-    placed = values.join(ends, keys)
+    cuts = [k / _RANK_CHUNKS for k in range(1, _RANK_CHUNKS)]
+    ends = values.groupBy(*keys).agg(F.percentile_approx("_v", cuts, 1_000).alias("_cuts"), F.sum("_n").alias("_all"))
+    placed = seq.join_summary(values, ends, keys, F.col("_v"))
+    chunk = F.size(F.filter("_cuts", lambda cut: cut <= F.col("_v")))
     counted = seq.with_running(
-        placed, keys, ["_v"], _position(F.col("_v"), F.col("_low"), F.col("_high"), _RANK_BINS),
-        {"_upto": ("sum", F.col("_n"))},
+        placed.withColumn("_place", chunk).drop("_cuts"), keys, ["_v"], F.col("_place"), {"_upto": ("sum", F.col("_n"))}
     )
     picks = []
     for name, p in points.items():
@@ -47,20 +55,24 @@ def exact_percentiles(df: DataFrame, keys: list[str], column: str, points: dict[
 
         low, high = F.max(F.when(at(lower), F.col("_v"))), F.max(F.when(at(upper), F.col("_v")))
         weight = F.max(rank - lower)
-        picks.append((low + (high - low) * weight).alias(name))
+        # Equal neighbours need no step between them, which infinities could not make.
+        picks.append(F.when(low == high, low).otherwise(low + (high - low) * weight).alias(name))
     return counted.groupBy(*keys).agg(*picks)
 
 
 def distribution(df: DataFrame, keys: list[str], column: str) -> DataFrame:
-    """n, quartiles and box whiskers (farthest values within 1.5 IQR of the box)."""
-    values = df.where(F.col(column).isNotNull()).select(*keys, F.col(column).alias("_v"))
-    box = exact_percentiles(values, keys, "_v", {"q1": 0.25, "median": 0.5, "q3": 0.75})
+    """n, quartiles and box whiskers (farthest values within 1.5 IQR of the box).
+
+    Everything is worked out from counted values, so rows are only aggregated.
+    """
+    values = _counted(df, keys, column)
+    box = _percentiles(values, keys, {"q1": 0.25, "median": 0.5, "q3": 0.75})
     reach = (F.col("q3") - F.col("q1")) * 1.5
     return (
-        values.join(box, keys)
+        seq.join_summary(values, box, keys, F.col("_v"))
         .groupBy(*keys, "q1", "median", "q3")
         .agg(
-            F.count(F.lit(1)).alias("n"),
+            F.sum("_n").alias("n"),
             F.min(F.when(F.col("_v") >= F.col("q1") - reach, F.col("_v"))).alias("whisker_low"),
             F.max(F.when(F.col("_v") <= F.col("q3") + reach, F.col("_v"))).alias("whisker_high"),
         )
@@ -70,7 +82,7 @@ def distribution(df: DataFrame, keys: list[str], column: str) -> DataFrame:
 
 def histogram(df: DataFrame, keys: list[str], column: str, bins: int = 30) -> DataFrame:
     """Counts in equal-width bins from the least to the greatest value, empty bins included."""
-    values = df.where(F.col(column).isNotNull()).select(*keys, F.col(column).cast("double").alias("_v"))
+    values = _counted(df.select(*keys, F.col(column).cast("double").alias(column)), keys, column)
     ends = values.groupBy(*keys).agg(F.min("_v").alias("_low"), F.max("_v").alias("_high"))
     # A single value is shown in bins over half a unit to either side of it.
     flat = F.col("_low") == F.col("_high")
@@ -80,9 +92,9 @@ def histogram(df: DataFrame, keys: list[str], column: str, bins: int = 30) -> Da
         F.when(flat, F.col("_high") + 0.5).otherwise(F.col("_high")).alias("_high"),
     )
     counts = (
-        values.join(ends, keys)
+        seq.join_summary(values, ends, keys, F.col("_v"))
         .groupBy(*keys, _position(F.col("_v"), F.col("_low"), F.col("_high"), bins).alias("bin"))
-        .agg(F.count(F.lit(1)).alias("n"))
+        .agg(F.sum("_n").alias("n"))
     )
     grid = ends.select(
         *keys, "_low", "_high", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(bins - 1).cast("long"))).alias("bin")

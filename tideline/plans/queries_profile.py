@@ -298,13 +298,14 @@ def top3_labels(spark, sf_dir):
     )
 
 
+_ENERGY_SQL = f"({' + '.join(_near_sql(t) for t in _TONES)}) / sum(mag * mag) > 0.16"
 _AVOID = ["L1", "L2", "L3", "L4", "L5"]
 _GROUPING_S, _LOUD = 30, 1.1
 _AVOID_SQL = ", ".join(f"'{a}'" for a in _AVOID)
 _LOG_SQL = f"""(WITH c AS (SELECT n.label, n.vec_id, CAST(n.vec_id AS DOUBLE) AS off, t.best, round(t.prob, 3) AS confidence,
                          round(l.chunk_rms / (l.file_rms + 1e-9), 3) AS ratio, k.is_ping
                   FROM {_NOISE_SQL} n JOIN {_TOP_SQL} t USING (vec_id) JOIN {_LOUD_SQL} l USING (vec_id)
-                  JOIN (SELECT vec_id, {_PEAK_SQL} AS is_ping FROM {_BINS_SQL} GROUP BY vec_id) k USING (vec_id)),
+                  JOIN (SELECT vec_id, {_PEAK_SQL} OR {_ENERGY_SQL} AS is_ping FROM {_BINS_SQL} GROUP BY vec_id) k USING (vec_id)),
          v AS (SELECT * FROM c WHERE NOT is_ping AND best NOT IN ({_AVOID_SQL})),
          s AS (SELECT *, sum(fresh) OVER (PARTITION BY label ORDER BY off) AS g FROM (
                  SELECT *, CASE WHEN off - lag(off) OVER (PARTITION BY label ORDER BY off) <= {_GROUPING_S} THEN 0 ELSE 1 END
@@ -333,7 +334,7 @@ def _candidate_log(spark, sf_dir):
         F.concat(F.lit("rec"), F.col("label").cast("string")).alias("stem"),
         F.col("top")[0]["label"].alias("top_prediction"),
         F.round(F.col("top")[0]["prob"], 3).alias("confidence"),
-        ac.is_ping_by_peak(F.col("bins"), _TONES, 250.0, 2.2).alias("ping"),
+        detect.is_ping(F.col("bins"), _TONES, 250.0, 0.16, 2.2).alias("ping"),
     )
     candidates = (
         noise.join(scored, ["label", "vec_id"])

@@ -9,6 +9,8 @@ from public_tokenizers import path
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
+from llm_fixtures import make, scratch  # noqa: F401  (fixtures)
+
 from tideline.llm import bpe, mixing, prefix_tokens, token_files
 
 VOCABULARY = path("word_bpe_49k.json")

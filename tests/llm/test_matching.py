@@ -8,6 +8,8 @@ import string
 import pytest
 from pyspark.sql import functions as F
 
+from llm_fixtures import make, scratch  # noqa: F401  (fixtures)
+
 from tideline.llm import chats, decontamination, graph, near_duplicates, secrets
 
 WORDS = [a + b + c for a in "bdfgk" for b in "aeiou" for c in "lmnrs"]

@@ -8,6 +8,8 @@ import pytest
 from public_tokenizers import path
 from pyspark.sql import functions as F
 
+from llm_fixtures import make, scratch  # noqa: F401  (fixtures)
+
 from tideline.llm import language, quality, toxicity
 from tideline.llm.words import split_words
 

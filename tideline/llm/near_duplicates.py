@@ -32,10 +32,10 @@ DEPTH = 4
 NEIGHBOUR_TREES = 6
 VALUES = TREES * DEPTH
 LEAST_PERCENT = 75  # similarity of linked documents, in percent
-SKETCH = 512  # values of which a sketch keeps four bits each
+SKETCH = 1024  # values of which a sketch keeps four bits each
 _LONGS = SKETCH // 16
-# Differing values of the sketches of a pair that is compared, at most: 4.5 deviations above the 120 of a pair at 0.75.
-FURTHEST = 163
+# Differing values of the sketches of a pair that is compared, at most: 4.5 deviations above the 240 of a pair at 0.75.
+FURTHEST = 301
 REGION_ROWS = 4_096  # rows of a region that one task orders, about
 NO_ID = 1 << 62  # sets that only documents without doc_id have are numbered from here
 

@@ -53,6 +53,29 @@ def test_timestamp_texts(spark):
     assert dict(rows(df)) == cases
 
 
+@pytest.mark.parametrize(
+    ("text", "wanted"),
+    [
+        ("1/9/2025 10:00:00.5", "2025-09-01 10:00:00.500000"), ("2025/09/02 10:00:00", "2025-09-02 10:00:00.000000"),
+        ("Apr 21, 2025 10:00", "2025-04-21 10:00:00.000000"), ("21 April 2025 10:00", "2025-04-21 10:00:00.000000"),
+        ("1/9/2025 10:00:00 AM", "2025-09-01 10:00:00.000000"), ("1/9/2025 12:30 PM", "2025-09-01 12:30:00.000000"),
+        ("1/9/2025 12:30 am", "2025-09-01 00:30:00.000000"), ("2025-9-2 10:00", "2025-09-02 10:00:00.000000"),
+        ("1/9/25 10:00", "2025-09-01 10:00:00.000000"), ("9/13/2025", "2025-09-13 00:00:00.000000"),
+        ("1.9.2025 10:00:00+02:00", "2025-09-01 08:00:00.000000"), ("31/2/2025 10:00", None), ("1/9/2025 25:00", None), ("junk 1/9/2025", None),
+        ("1/9/2025 and more", None), ("13/13/2025", None), ("Foo 21, 2025", None),
+    ],
+)
+def test_free_time_texts(spark, text, wanted):
+    got = spark.createDataFrame([(text,)], ["t"]).select(F.date_format(tm.to_utc("t"), "yyyy-MM-dd HH:mm:ss.SSSSSS")).first()[0]
+    assert got == wanted
+
+
+def test_numbers_that_lost_their_zero(spark):
+    df = spark.createDataFrame([(1092025, 10920251000.0), (21092025, 211020251000.0)], "Timestamp long, other double")
+    got = df.select(tm.to_utc("Timestamp", numeric=True).cast("string"), tm.to_utc("other", numeric=True).cast("string")).collect()
+    assert [tuple(r) for r in got] == [("2025-09-01 00:00:00", "2025-09-01 10:00:00"), ("2025-09-21 00:00:00", "2025-10-21 10:00:00")]
+
+
 def test_canonical_time_keeps_an_existing_time_column(spark):
     df = spark.createDataFrame([("x", "2024-01-01", "2024-01-02")], ["time", "timestamp", "dataTimestamp"])
     out = projection.add_canonical_time(df, "dataTimestamp")
@@ -312,6 +335,13 @@ def test_empty_bins_are_rows_and_packs_join(spark):
     assert {b: v for b, v in got.items() if v is not None} == {0: 2.0, 3: 5.0, 1500: 7.0, 2200: 9.0}
 
 
+def test_a_stray_early_row_fills_bins_in_packs(spark):
+    df = spark.createDataFrame([("a", at("2023-12-01 00:00:00"), 1.0), ("a", BASE, 2.0)], ["k", "time", "v"])
+    filled = resample.resample_mean(df, ["k"], "1min", ["v"])
+    assert filled.count() == 31 * 1440 + 1 and filled.where("v is not null").count() == 2
+    assert filled.groupBy("time").count().where("count > 1").count() == 0
+
+
 def test_dominant_code(spark):
     code = [0.0, 0.0, 61.0, 61.0, None, 5.0, None, None]
     df = series(spark, [0, 1, 2, 3, 4, 5, 60, 61], code=code, v=[1.0, 1.0, 2.0, 4.0, 99.0, 9.0, 3.0, 5.0])
@@ -345,6 +375,14 @@ def test_percentiles_equal_numpy_on_skewed_values(spark):
     assert got["b"] == [4.0] * 4
 
 
+def test_percentiles_with_far_and_infinite_values(spark):
+    values = [float(v) for v in range(10_000)] + [1e12, float("inf"), float("-inf")]
+    df = spark.createDataFrame([("a", v) for v in values], ["k", "v"])
+    got = stats.exact_percentiles(df, ["k"], "v", {"q1": 0.25, "median": 0.5, "least": 0.0, "most": 1.0}).first()
+    want = np.percentile(values, [25, 50])
+    assert np.allclose([got["q1"], got["median"]], want) and got["least"] == float("-inf") and got["most"] == float("inf")
+
+
 def test_histogram_of_a_constant(spark):
     df = spark.createDataFrame([("a", 2.0)] * 3, ["k", "v"])
     out = stats.histogram(df, ["k"], "v", 4).orderBy("bin").collect()

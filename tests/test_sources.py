@@ -262,3 +262,11 @@ def test_file_manifest(spark, folder):
         ("c.csv", "timestamp|v", "timestamp", None, None, True),
         ("d.csv", "timestamp|dataTimestamp", "dataTimestamp", "05/01/2024 10:00", "2024-01-05 10:00:00.000000", False),
     ]
+
+
+def test_only_unnamed_columns_are_dropped(spark, folder):
+    (folder / "a.csv").write_text(",Timestamp,_calibration,_c9,Unnamed: 4\n0,20250902101530,7,8,9\n")
+    got = lines.read_delimited(spark, str(folder / "a.csv"))
+    assert set(got.columns) == {"Timestamp", "_calibration", "_c9", lines.FILE}
+    kept = lines.drop_unnamed(spark.createDataFrame([(1, 2, 3)], ["Unnamed: 0", "_cond", "_c1"]))
+    assert kept.columns == ["_cond", "_c1"]

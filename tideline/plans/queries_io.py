@@ -29,7 +29,8 @@ def _scratch(spark) -> str:
 @query(
     "ingest_delimited",
     """
-    SELECT event_id, round(value, 6) AS heading_deg_true, ts AS time, event_type IN ('click', 'view') AS first_layout
+    SELECT event_id, round(value, 6) AS heading_deg_true, ts AS time, event_type IN ('click', 'view') AS first_layout,
+           CASE WHEN event_type IN ('click', 'view') THEN event_id % 3 END AS _calibration
     FROM events
     """,
 )
@@ -38,7 +39,7 @@ def ingest_delimited(spark, sf_dir):
     out = _scratch(spark)
     text = F.date_format("time", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("Timestamp")
     first = F.col("instrument").isin("click", "view")
-    rows.where(first).select(text, "event_id", F.col("value").alias("Heading, degrees true")).write.option(
+    rows.where(first).select(text, "event_id", F.col("value").alias("Heading, degrees true"), (F.col("event_id") % 3).alias("_calibration")).write.option(
         "header", "true"
     ).csv(f"{out}/a")
     rows.where(~first).select("event_id", F.col("value").alias("Heading,_degrees_true"), text).write.option(
@@ -53,6 +54,7 @@ def ingest_delimited(spark, sf_dir):
             .cast("double").alias("heading_deg_true"),
             "time",
             F.col("`Heading, degrees true`").isNotNull().alias("first_layout"),
+            F.col("_calibration").cast("long").alias("_calibration"),
         )
     )
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 import os
 import sys
+import tempfile
 import time
 
 from tideline.plans import catalog
@@ -59,6 +60,7 @@ def main() -> None:
             "spark.driver.memory": "16g",
             "spark.ui.enabled": "false",
             "spark.ui.showConsoleProgress": "false",
+            "spark.checkpoint.dir": os.environ.get("BENCH_SHARED") or tempfile.mkdtemp(prefix="spark-"),
         },
     )
     spark.sparkContext.setLogLevel("ERROR")

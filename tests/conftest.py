@@ -22,6 +22,7 @@ def spark():
             "spark.ui.enabled": "false",
             "spark.ui.showConsoleProgress": "false",
             "spark.sql.warehouse.dir": tempfile.mkdtemp(prefix="spark-", dir="/tmp"),
+            "spark.checkpoint.dir": tempfile.mkdtemp(prefix="spark-", dir="/tmp"),
         },
     )
     session.sparkContext.setLogLevel("ERROR")

@@ -13,6 +13,7 @@ from tideline.operators import position, projection, ranges, sequence, stats
 from tideline.plans import products, roles
 from tideline.plans.registry import query
 from tideline.plans.roles import naive, r6, shown
+from tideline.sources import lines
 
 
 
@@ -159,9 +160,8 @@ def time_from_name(spark, sf_dir):
     numbered = sequence.with_row_number(
         raw, ["file_name"], ["_at", "event_id"], sequence.time_chunk("_at", 10 * tm.MINUTE), "row_no"
     )
-    start = tm.micros(tm.time_in_name("file_name"))
-    time = F.timestamp_micros(start + (F.col("row_no") - 1) * tm.SECOND)
-    return shown(numbered.select("event_id", "file_name", "row_no", time.alias("time")))
+    timed = lines.ensure_time(numbered, name="file_name")
+    return shown(timed.select("event_id", "file_name", "row_no", "time"))
 
 
 @query(

@@ -116,7 +116,10 @@ def nearest_asof(left: DataFrame, sources: list[Source], keys: list[str], time:
 
     outputs = [n for s in sources for n in s.outputs()]
     kept = [c for c in left.columns if c not in outputs]
-    joined = left.select(*kept, tm.micros(time).alias("_us")).join(matches, [*keys, "_us"], "left")
+    # Rows without time match nothing; a hash in place of the time deals them to all tasks.
+    hashed = F.xxhash64(*[F.col(f"`{c}`") for c, kind in left.dtypes if c in kept and "map<" not in kind and "variant" not in kind])
+    untimed = F.lit(-(1 << 62)) - F.pmod(hashed, F.lit(1 << 40))
+    joined = left.select(*kept, F.coalesce(tm.micros(time), untimed).alias("_us")).join(matches, [*keys, "_us"], "left")
     return joined.select(*kept, *outputs)
 
 

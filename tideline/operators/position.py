@@ -69,7 +69,6 @@ def keep_earlier_fills(merged: DataFrame, stored: DataFrame, windows: DataFrame,
         .where(F.col("_lost") > 0)
     )
     kept = materialize(old.join(counted.select(*keys, "source"), [*keys, "source"], "left_semi"))
-    both = merged.withColumn("_age", F.lit(0)).unionByName(kept.select(*merged.columns).withColumn("_age", F.lit(1)))
     # Repeats go only where something was added; elsewhere the rebuild stays whole.
     added = kept.select(*keys).distinct()
     untouched = merged.join(added, keys, "left_anti")

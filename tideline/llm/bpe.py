@@ -85,6 +85,11 @@ class PrefixCounter:
         self.apart: dict[tuple[str, str], bool] = {}
         self.whole: set[str] = set()
 
+    def forget(self) -> None:
+        """Drop what was worked out so far."""
+        self.done.clear()
+        self.apart.clear()
+
     def _grown(self, symbols: list[str]) -> tuple | None:
         """(left edge, right edge) of the merge tree of `symbols`, None if they don't merge to one.
 

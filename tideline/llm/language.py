@@ -199,8 +199,12 @@ class _Scorer:
     def __init__(self, vocabulary: str, longest: int, table: np.ndarray):
         lattice = _lattice(vocabulary, longest)
         self.width = table.shape[1]
-        self.runs = WordTable(lambda runs: list(log_probabilities(runs, lattice, table)), np.float64, 300_000, 6_000_000)
-        self.words = WordTable(self._measure, np.float64, 300_000, 6_000_000)
+        self.runs = WordTable("language", lambda runs: list(log_probabilities(runs, lattice, table)), np.float64, 300_000, 6_000_000)
+        self.words = WordTable("language", self._measure, np.float64, 300_000, 6_000_000)
+
+    def forget(self) -> None:
+        self.runs.clear()
+        self.words.clear()
 
     def _measure(self, words: list[str]) -> list[np.ndarray]:
         runs = [_LETTERS.findall(w.lower()) for w in words]
@@ -236,6 +240,8 @@ def with_language(docs: DataFrame, model: Model, vocabulary: str, settings: Sett
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
         if model.languages and fitted not in _scorers:
+            for old in _scorers.values():
+                old.forget()
             _scorers.clear()
             _scorers[fitted] = _Scorer(vocabulary, longest, model.table)
         for batch, texts in text_batches(batches):

@@ -55,7 +55,7 @@ _SKETCHES = _parameters(SKETCH, 21)
 
 @lru_cache(maxsize=1)
 def _words() -> WordTable:
-    return WordTable(lambda words: [[xxhash.xxh3_64_intdigest(w)] for w in words], np.uint64)
+    return WordTable("near duplicates", lambda words: [[xxhash.xxh3_64_intdigest(w)] for w in words], np.uint64)
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:

@@ -12,12 +12,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tideline.llm import bpe
-from tideline.llm.words import WordTable, narrow_batches, text_batches
+from tideline.llm.words import WordTable, keep_while, narrow_batches, text_batches
 
 
 @lru_cache(maxsize=2)
 def _table(path: str) -> WordTable:
-    return WordTable(bpe.counter(path).chunks, np.int32, 900_000, 16_000_000)
+    counter = bpe.counter(path)
+    keep_while("prefix tokens", counter.forget)
+    return WordTable("prefix tokens", counter.chunks, np.int32, 900_000, 16_000_000)
 
 
 def _prefix_arrays(texts: list[str | None], path: str) -> tuple[np.ndarray, np.ndarray]:

@@ -15,7 +15,7 @@ from pyspark.sql.window import Window
 from tokenizers import Tokenizer
 
 from tideline.llm.bpe import PLAIN, SPACES, byte_text, plain_pieces
-from tideline.llm.words import WordTable, narrow_batches, sums, text_batches
+from tideline.llm.words import WordTable, keep_while, narrow_batches, sums, text_batches
 _WORD = re.compile(f"[^{SPACES}]+")
 
 
@@ -58,7 +58,9 @@ class _Encoder:
 
 @lru_cache(maxsize=2)
 def _table(path: str) -> WordTable:
-    return WordTable(_Encoder(path).words, np.int32, 900_000, 16_000_000)
+    encoder = _Encoder(path)
+    keep_while("token files", encoder.pieces.clear)
+    return WordTable("token files", encoder.words, np.int32, 900_000, 16_000_000)
 
 
 def encode(texts: list[str | None], path: str) -> tuple[np.ndarray, np.ndarray]:

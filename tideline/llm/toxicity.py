@@ -45,7 +45,7 @@ def _word_hashes(words: list[str]) -> list[list[int]]:
 
 @lru_cache(maxsize=1)
 def _table() -> WordTable:
-    return WordTable(_word_hashes, np.uint64)
+    return WordTable("toxicity", _word_hashes, np.uint64)
 
 
 def _features(texts: list[str | None], bits: int) -> tuple[np.ndarray, np.ndarray]:

@@ -36,18 +36,38 @@ def lower_ascii(text: str) -> str:
     return text.lower() if text.isascii() else text.translate(_LOWER_ASCII)
 
 
+_kept: dict[str, list[Callable[[], None]]] = {}
+_turn: list[str] = [""]
+
+
+def keep_while(group: str, clear: Callable[[], None]) -> None:
+    """Have `clear` called once another group of tables is used in this worker, so that memory holds one group's."""
+    _kept.setdefault(group, []).append(clear)
+
+
+def _take_turn(group: str) -> None:
+    if _turn[0] != group:
+        for other, clears in _kept.items():
+            if other != group:
+                for clear in clears:
+                    clear()
+        _turn[0] = group
+
+
 class WordTable:
     """Arrays by word, worked out once for each word a worker meets.
 
     `measure` gives one array (or one list) for each of a list of new words. At `limit` words or
     `room` array items the table starts anew, so memory stays bounded whatever the corpus holds.
+    Tables of another `group` are emptied when this one is used.
     """
 
-    def __init__(self, measure: Callable[[list[str]], list], dtype, limit: int = 500_000, room: int = 8_000_000):
-        self.measure, self.dtype, self.limit, self.room = measure, dtype, limit, room
-        self._clear()
+    def __init__(self, group: str, measure: Callable[[list[str]], list], dtype, limit: int = 200_000, room: int = 4_000_000):
+        self.group, self.measure, self.dtype, self.limit, self.room = group, measure, dtype, limit, room
+        self.clear()
+        keep_while(group, self.clear)
 
-    def _clear(self) -> None:
+    def clear(self) -> None:
         self.index: dict[str, int] = {}
         self.start = np.zeros(1024, np.int64)
         self.length = np.zeros(1024, np.int64)
@@ -56,8 +76,9 @@ class WordTable:
 
     def rows(self, words: list[str]) -> np.ndarray:
         """Row of each word, new words measured first."""
+        _take_turn(self.group)
         if len(self.index) > self.limit or self.used > self.room:
-            self._clear()
+            self.clear()
         index = self.index
         found = list(map(index.get, words))
         if None in found:

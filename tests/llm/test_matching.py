@@ -83,6 +83,25 @@ def test_one_of_each_group_stays(make, scratch):
     assert near_duplicates.one_of_each(make([]), f"{scratch}-empty").count() == 0
 
 
+def test_every_long_is_a_doc_id(make, scratch):
+    top = 2**63 - 1
+    base = _text(3, 80)
+    near = _edited(base, 1, 0.01)
+    rows = [(top, base), (top - 1, near), (2**62, _text(4, 80)), (2**62 + 5, _text(4, 80)), (top - 2, _text(6, 80)), (-(2**63), _text(7, 80)), (None, _text(7, 80)), (None, _text(8, 80)), (None, near)]
+    got = near_duplicates.near_duplicates(make(rows), scratch).collect()
+    assert {r["doc_id"]: (r["component_id"], r["kept"]) for r in got if r["doc_id"] is not None} == {
+        top: (top - 1, False),
+        top - 1: (top - 1, True),
+        2**62: (2**62, True),
+        2**62 + 5: (2**62, False),
+        top - 2: (top - 2, True),
+        -(2**63): (-(2**63), True),
+    }
+    assert sorted((r["component_id"] or 0, r["kept"]) for r in got if r["doc_id"] is None) == [(-(2**63), False), (0, True), (top - 1, False)]
+    kept = near_duplicates.one_of_each(make(rows), f"{scratch}-stage").collect()
+    assert {r["doc_id"] for r in kept} == {top - 1, 2**62, top - 2, -(2**63), None} and len(kept) == 5
+
+
 def test_components_of_chains_and_stars(spark, scratch):
     links = [(k, k + 1) for k in range(60)] + [(100, 100 + k) for k in range(1, 40)] + [(7, 7)]
     got = {r["node"]: r["component"] for r in graph.components(spark.createDataFrame(links, "a long, b long"), scratch).collect()}

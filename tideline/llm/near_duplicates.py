@@ -37,7 +37,6 @@ _LONGS = SKETCH // 16
 # Differing values of the sketches of a pair that is compared, at most: 4.5 deviations above the 240 of a pair at 0.75.
 FURTHEST = 301
 REGION_ROWS = 4_096  # rows of a region that one task orders, about
-NO_ID = 1 << 62  # sets that only documents without doc_id have are numbered from here
 
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _MIX = np.uint64(0xD6E8FEB86659FD93)
@@ -191,14 +190,11 @@ def _confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return both.select("a", "b", "left", "right").mapInArrow(_common, "a long, b long")
 
 
-def _own(doc_id: Column) -> Column:
-    return F.coalesce(doc_id, F.lit(NO_ID) + F.col("set_lo").bitwiseAND(F.lit((1 << 60) - 1)))
-
-
 def near_duplicates(docs: DataFrame, scratch: str) -> DataFrame:
     """doc_id, n_shingles, component_id, kept, _group and text_hash for every row of `docs` (doc_id, text).
 
-    Rows with equal sets are one node, named by its smallest doc_id; the links between nodes are
+    Rows with equal sets are one node, numbered like the first of them by doc_id; every long is a doc_id, and
+    equal ids link nothing. The links between nodes are
     confirmed on whole sets. Texts without a word have no shingles and are linked with nothing.
     Rows without doc_id are linked like others; where a component has no id at all, component_id
     is null. Kept is doc_id = component_id (both null counts). `_group` numbers the components (null
@@ -216,11 +212,13 @@ def near_duplicates(docs: DataFrame, scratch: str) -> DataFrame:
 
     given = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("text_hash"))
     shape = "doc_id long, text_hash long, n_shingles long, set_hi long, set_lo long, regions array<long>, deeper array<long>"
-    profiles = stored(given.mapInArrow(_profiles, shape), "profiles")
-    named = profiles.where("n_shingles > 0").withColumn("own", _own(F.col("doc_id")))
-    nodes = stored(named.groupBy("set_hi", "set_lo").agg(F.min("own").alias("node")), "nodes")
-    joined = named.join(nodes, ["set_hi", "set_lo"]).where("own = node")
-    kept = stored(joined.select("node", "regions", "deeper"), "representatives")
+    profiles = stored(given.mapInArrow(_profiles, shape).withColumn("row", F.monotonically_increasing_id()), "profiles")
+    named = profiles.where("n_shingles > 0")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "text_hash", "row")).alias("first")
+    least = named.groupBy("set_hi", "set_lo").agg(first)
+    nodes = stored(least.select("set_hi", "set_lo", F.col("first.row").alias("node"), F.col("first.doc_id").alias("id"), F.col("first.text_hash").alias("hash")), "nodes")
+    numbered = named.select(F.col("row").alias("node"), "regions", "deeper")
+    kept = stored(numbered.join(nodes.select("node"), "node", "left_semi"), "representatives")
 
     placed = kept.select("node", F.posexplode("regions").alias("tree", "region"))
     shared = placed.groupBy("region").agg(F.min("node").alias("first"), F.max("node").alias("last"), F.count("*").alias("rows")).where("first < last")
@@ -228,12 +226,11 @@ def near_duplicates(docs: DataFrame, scratch: str) -> DataFrame:
     met = stored(placed.join(regions, "region"), "members")
 
     active = stored(met.select("node").distinct(), "active")
-    texts = given.where("doc_id is not null").select(F.col("doc_id").alias("node"), "text", "text_hash")
-    once = texts.join(active.where(F.col("node") < NO_ID), "node", "left_semi")
-    chosen = once.dropDuplicates(["node", "text_hash"]).select("node", "text")
-    packed = chosen.mapInArrow(_sets, _SETS)
-    unnamed = _sets_without_id(given, active)
-    sets = stored(packed.unionByName(unnamed), "sets")
+    wanted = nodes.join(active, "node", "left_semi").select("node", "id", "hash")
+    by_id = given.join(wanted.where("id is not null"), (F.col("doc_id") == F.col("id")) & (F.col("text_hash") == F.col("hash")))
+    by_hash = given.where("doc_id is null").join(wanted.where("id is null"), F.col("text_hash") == F.col("hash"))
+    chosen = by_id.select("node", "text").unionByName(by_hash.select("node", "text")).dropDuplicates(["node"])
+    sets = stored(chosen.mapInArrow(_sets, _SETS), "sets")
 
     close = stored(_confirmed(_neighbours(met, kept), sets), "close")
     part = _parts(None, close, f"{scratch}/parts-1")
@@ -241,12 +238,14 @@ def near_duplicates(docs: DataFrame, scratch: str) -> DataFrame:
     part = _parts(part, beside, f"{scratch}/parts-2")
     links = stored(_confirmed(_across(met, sets, part), sets), "links")
     part = _parts(part, links, f"{scratch}/parts-3")
-    roots = nodes.select("set_hi", "set_lo", "node").join(part, "node", "left")
-    rooted = roots.select("set_hi", "set_lo", F.coalesce("component", "node").alias("_group"))
+    linked = stored(part.join(nodes.select("node", "id"), "node"), "linked")
+    ids = linked.groupBy("component").agg(F.min("id").alias("component_id"))
+    roots = nodes.join(linked.drop("id").join(ids, "component"), "node", "left")
+    id_of = F.when(F.col("component").isNull(), F.col("id")).otherwise(F.col("component_id"))
+    rooted = roots.select("set_hi", "set_lo", F.coalesce("component", "node").alias("_group"), id_of.alias("component_id"))
 
-    id_of = F.when(F.col("_group") < NO_ID, F.col("_group"))
     full = profiles.select("doc_id", "text_hash", "n_shingles", "set_hi", "set_lo")
-    some = full.where("n_shingles > 0").join(rooted, ["set_hi", "set_lo"]).withColumn("component_id", id_of)
+    some = full.where("n_shingles > 0").join(rooted, ["set_hi", "set_lo"])
     none = full.where("n_shingles = 0").withColumns({"_group": F.lit(None).cast("long"), "component_id": F.col("doc_id")})
     every = some.unionByName(none)
     return every.select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"), "_group", "text_hash")
@@ -270,25 +269,12 @@ def one_of_each(docs: DataFrame, scratch: str) -> DataFrame:
     return least.unionByName(docs.where(wordless))
 
 
-def _sets_without_id(given: DataFrame, active: DataFrame) -> DataFrame:
-    """Packed sets of active nodes that only rows without doc_id have."""
-
-    def numbered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, texts in text_batches(batches):
-            sets = [s for s in shingle_sets(texts) if len(s)]
-            low = [int(np.add.reduce(_mixed(s ^ _MIX))) & ((1 << 60) - 1) for s in sets]
-            yield _set_batch(pa.array([NO_ID + x for x in low], pa.int64()), sets)
-
-    nameless = given.where("doc_id is null").mapInArrow(numbered, _SETS)
-    return nameless.join(active.where(F.col("node") >= NO_ID), "node", "left_semi").dropDuplicates(["node"])
-
-
 def _neighbours(met: DataFrame, kept: DataFrame) -> DataFrame:
     """Pairs that stand next to each other in one of the first orders, within a region.
 
     Regions of many rows are dealt to several tasks by a hash; the first rows of the shares meet the region's.
     """
-    deeper = kept.select("node", "deeper").dropDuplicates(["node"])
+    deeper = kept.select("node", "deeper")
     rows = met.where(F.col("tree") < NEIGHBOUR_TREES).dropDuplicates(["region", "node"]).join(deeper, "node").withColumn("next", F.col("deeper")[F.col("tree")])
     shares = F.ceil(F.col("rows") / REGION_ROWS)
     dealt = rows.withColumn("share", F.pmod(F.xxhash64("node"), shares)).repartition("region", "share")

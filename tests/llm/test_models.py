@@ -65,6 +65,23 @@ def test_labels_of_the_held_out_fold_are_not_used(spark, make, corpus):
     assert np.array_equal(first[0], second[0]) and np.array_equal(first[1], second[1])
 
 
+def test_toxicity_does_not_depend_on_the_length_of_texts(spark, make, corpus):
+    rows, labels = corpus
+    settings = toxicity.Settings(bits=14, l1=2.0)
+    docs = make(rows)
+    padded = docs.withColumn("text", F.concat("text", F.repeat(F.lit(" "), F.lit(400_000))))
+    first, second = (toxicity.train(x, _labels(spark, labels), settings) for x in (docs, padded))
+    assert np.array_equal(first[0], second[0]) and np.array_equal(first[1], second[1])
+
+
+def test_packed_features_are_read_back():
+    pick = np.random.default_rng(1)
+    for n in (0, 1, 100, 511, 512, 513, 9_000, 1 << 14):
+        places = np.sort(pick.permutation(1 << 14)[:n]).astype(np.int32)
+        packed = toxicity._packed(places, 14)
+        assert len(packed) <= 1 << 11 and np.array_equal(toxicity._unpacked(packed, 14), places)
+
+
 def test_nothing_is_toxic_without_labels(spark, make):
     docs = make([(1, "some text")])
     model = toxicity.train(docs, _labels(spark, []))

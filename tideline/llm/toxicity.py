@@ -9,6 +9,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -27,7 +28,6 @@ class Settings:
 
     sample_docs: int = 16_000  # labelled documents the model is fitted on, at most
     shard_docs: int = 4_000  # documents that one task trains on in turn
-    shard_chars: int = 32_000_000
     bits: int = 20  # features are hashed to 2 ** bits places
     epochs: int = 4
     alpha: float = 0.6
@@ -82,6 +82,21 @@ def _features(texts: list[str | None], bits: int) -> tuple[np.ndarray, np.ndarra
     return (keys & np.uint64((1 << bits) - 1)).astype(np.int32), counts
 
 
+def _packed(places: np.ndarray, bits: int) -> bytes:
+    """Sorted places as numbers, or as one bit of each of all places where that is shorter."""
+    if 32 * len(places) < 1 << bits:
+        return places.astype("<i4").tobytes()
+    there = np.zeros(1 << bits, bool)
+    there[places] = True
+    return np.packbits(there).tobytes()
+
+
+def _unpacked(packed: bytes, bits: int) -> np.ndarray:
+    if 8 * len(packed) < 1 << bits:
+        return np.frombuffer(packed, "<i4")
+    return np.flatnonzero(np.unpackbits(np.frombuffer(packed, np.uint8))).astype(np.int32)
+
+
 def _weights(z: np.ndarray, n: np.ndarray, s: Settings) -> np.ndarray:
     """Weights from the sums of gradients; the last one, the constant, is not held to zero by L1."""
     least = np.full(len(z), s.l1)
@@ -90,14 +105,13 @@ def _weights(z: np.ndarray, n: np.ndarray, s: Settings) -> np.ndarray:
     return np.where(np.abs(z) <= least, 0.0, shrunk / ((s.beta + np.sqrt(n)) / s.alpha + s.l2))
 
 
-def _fit(places: list[np.ndarray], labels: np.ndarray, s: Settings) -> np.ndarray:
+def _fit(packed: list[bytes], labels: np.ndarray, s: Settings) -> np.ndarray:
     """Weights by place, the last one the constant; one pass after another in a fixed random order."""
     z, n = np.zeros((1 << s.bits) + 1), np.zeros((1 << s.bits) + 1)
-    places = [np.append(p, 1 << s.bits) for p in places]
     order = np.random.default_rng(7)
     for _ in range(s.epochs):
-        for k in order.permutation(len(places)):
-            x = places[k]
+        for k in order.permutation(len(packed)):
+            x = np.append(_unpacked(packed[k], s.bits), 1 << s.bits)
             zx, nx = z[x], n[x]
             w = _weights(zx, nx, s)
             g = 1 / (1 + np.exp(-np.clip(w.sum(), -35, 35))) - labels[k]
@@ -109,8 +123,8 @@ def _fit(places: list[np.ndarray], labels: np.ndarray, s: Settings) -> np.ndarra
 def train(docs: DataFrame, labels: DataFrame, settings: Settings = Settings(), column: str = "toxic") -> tuple[np.ndarray, np.ndarray, float]:
     """(places, weights, share of label 1) learned from at most `sample_docs` labelled documents outside the held-out fold.
 
-    The sample is dealt to shards of about `shard_docs` documents; each trains a model
-    and the weights are averaged. L1 keeps few of them, so that they fit a broadcast:
+    The sample is dealt to shards of about `shard_docs` documents, however long; each trains a model
+    and the weights are averaged. A shard holds no texts but their features, at most 2 ** bits bits of each. L1 keeps few of them, so that they fit a broadcast:
     at most 2 ** bits + 1 numbers. Without labelled documents nothing counts as toxic.
     """
     s = settings
@@ -118,23 +132,28 @@ def train(docs: DataFrame, labels: DataFrame, settings: Settings = Settings(), c
     narrow_batches(spark)
     sample = bounded_sample(labels.select("doc_id", column).where(~held_out(F.col("doc_id"))), column, s.sample_docs)
     rows = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id")
-    sizes = docs.select("doc_id", F.length("text").alias("n")).join(F.broadcast(sample), "doc_id")
-    size = sizes.agg(F.count("*").alias("docs"), F.sum("n").alias("chars"), F.avg("label").alias("share")).first()
+    found_docs = docs.select("doc_id").join(F.broadcast(sample), "doc_id")
+    size = found_docs.agg(F.count("*").alias("docs"), F.avg("label").alias("share")).first()
     if not size["docs"]:
         return np.array([1 << s.bits]), np.array([-35.0]), 0.0
-    shards = max(-(-size["docs"] // s.shard_docs), -(-(size["chars"] or 0) // s.shard_chars))
+    shards = -(-size["docs"] // s.shard_docs)
 
-    def fit(table: pa.Table) -> pa.Table:
-        table = table.sort_by([("doc_id", "ascending"), ("text", "ascending")])
-        places: list[np.ndarray] = []
-        for _, texts in text_batches(table.select(["text"]).to_batches(max_chunksize=256)):
+    def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch, texts in text_batches(batches):
             found, counts = _features(texts, s.bits)
-            places += np.split(found, np.cumsum(counts)[:-1])
-        w = _fit(places, table.column("label").to_numpy(), s)
+            packed = [_packed(p, s.bits) for p in np.split(found, np.cumsum(counts)[:-1])]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(packed, pa.binary())], names=["shard", "doc_id", "label", "packed"])
+
+    def fit(table: pa.Table) -> pa.Table:
+        order = pc.sort_indices(table.select(["doc_id", "packed"]), sort_keys=[("doc_id", "ascending"), ("packed", "ascending")]).to_numpy()
+        packed = table.column("packed").to_pylist()
+        w = _fit([packed[k] for k in order], table.column("label").to_numpy()[order], s)
         kept = np.flatnonzero(w)
         return pa.table({"place": pa.array(kept, pa.int32()), "weight": w[kept]})
 
-    dealt = rows.withColumn("shard", F.pmod(F.xxhash64(F.lit(1), "doc_id"), F.lit(shards)))
+    shard = F.pmod(F.xxhash64(F.lit(1), "doc_id"), F.lit(shards)).cast("int").alias("shard")
+    shape = f"shard int, doc_id {docs.schema['doc_id'].dataType.simpleString()}, label int, packed binary"
+    dealt = rows.select(shard, "doc_id", F.col("label").cast("int").alias("label"), "text").mapInArrow(hashed, shape)
     found = dealt.groupBy("shard").applyInArrow(fit, "place int, weight double").groupBy("place").agg((F.sum("weight") / shards).alias("weight")).toArrow()
     order = np.argsort(found.column("place").to_numpy())
     return found.column("place").to_numpy()[order].astype(np.int64), found.column("weight").to_numpy()[order], size["share"]

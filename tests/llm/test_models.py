@@ -133,6 +133,22 @@ def test_quality_ratio_parts_junk_from_clean(spark, make):
     assert quality.with_quality(make([]), ratios).count() == 0
 
 
+def test_quality_counts_every_trusted_document(spark):
+    docs = spark.range(30_000).select(F.col("id").alias("doc_id"), F.concat(F.lit("ab "), F.col("id").cast("string")).alias("text"))
+    labels = docs.select("doc_id", (F.col("doc_id") < 25_000).cast("int").alias("quality"))
+    nameless = docs.limit(50).select(F.lit(None).cast("long").alias("doc_id"), "text")
+    settings = quality.Settings(prior=10.0)
+    texts = [f"ab {k}" for k in range(30_000)]
+    trusted, owner = quality._grams(texts, settings)
+    target = np.bincount(trusted[owner < 25_000], minlength=1 << 16)
+    raw = np.bincount(np.concatenate([trusted, quality._grams([r["text"] for r in nameless.collect()], settings)[0]]), minlength=1 << 16)
+    seen = np.flatnonzero(raw)
+    share = raw[seen] / raw.sum()
+    want = np.zeros(1 << 16)
+    want[seen] = np.log((target[seen] + settings.prior * share) / (target.sum() + settings.prior)) - np.log(share)
+    assert np.allclose(quality.fit(docs.unionByName(nameless), labels, settings), want)
+
+
 def _probability(word, lattice, column):
     """Sum over all segmentations, by trying each."""
     marked = "▁" + word

@@ -11,10 +11,11 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
-def bounded_sample(labels: DataFrame, column: str, rows: int) -> DataFrame:
-    """(doc_id, label) of at most `rows` documents with a label of 0 or 1, the greatest of repeated ones.
+def one_label(labels: DataFrame, column: str) -> DataFrame:
+    """(doc_id, label) of the documents with a label of 0 or 1, the greatest of repeated ones."""
+    return labels.where(F.col(column).isin(0, 1) & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.max(column).alias("label"))
+
 
-    The rows with the smallest hash of doc_id, so that reruns agree.
-    """
-    one = labels.where(F.col(column).isin(0, 1) & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.max(column).alias("label"))
-    return one.orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
+def bounded_sample(labels: DataFrame, column: str, rows: int) -> DataFrame:
+    """(doc_id, label) of at most `rows` documents: those with the smallest hash of doc_id, so that reruns agree."""
+    return one_label(labels, column).orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tideline.llm.folds import bounded_sample
+from tideline.llm.folds import one_label
 from tideline.llm.words import narrow_batches, split_words, text_batches
 
 _SYMBOLS = "#*$%&|<>"
@@ -21,7 +21,6 @@ COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 
 @dataclass(frozen=True)
 class Settings:
-    sample_docs: int = 20_000  # trusted documents that make up the target multinomial, at most
     bits: int = 16  # n-grams are hashed to 2 ** bits places
     size: int = 4  # bytes of an n-gram
     prior: float = 1_000_000.0  # n-grams of raw text that are added to the target's counts
@@ -49,14 +48,17 @@ def _grams(texts: list[str | None], s: Settings) -> tuple[np.ndarray, np.ndarray
 def fit(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) -> np.ndarray:
     """Log ratio of target and raw probability by place: 2 ** bits numbers.
 
-    Raw counts are of all documents; the target's are of at most `sample_docs` documents
+    Raw counts are of all documents; the target's are of all documents
     labelled 1, smoothed by the raw distribution (so without any, all ratios are 0).
     """
     s = settings
     spark = docs.sparkSession
     narrow_batches(spark)
-    trusted = bounded_sample(labels.select("doc_id", "quality").where(F.col("quality") == 1), "quality", s.sample_docs)
-    flagged = docs.select("doc_id", "text").join(F.broadcast(trusted), "doc_id", "left").select("text", F.col("label").isNotNull().alias("trusted"))
+    trusted = one_label(labels.where(F.col("quality") == 1), "quality").select("doc_id", F.lit(-1).alias("deal"), "label")
+    # Rows without id match nothing; the second key deals them to all tasks.
+    deal = F.when(F.col("doc_id").isNull(), F.pmod(F.xxhash64("text"), F.lit(4096)).cast("int")).otherwise(-1)
+    joined = docs.select("doc_id", "text", deal.alias("deal")).join(trusted, ["doc_id", "deal"], "left")
+    flagged = joined.select("text", F.col("label").isNotNull().alias("trusted"))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found = np.zeros((2, 1 << s.bits), np.int64)

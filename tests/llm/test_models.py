@@ -180,6 +180,32 @@ def test_forward_sums_all_segmentations():
     assert np.isfinite(language.log_probabilities(["ab" * 3000], lattice, table)).all()
 
 
+def test_long_pieces_and_long_runs_count(spark, make, scratch):
+    lattice = language._lattice(PIECES)
+    assert "▁information" in lattice.vocab and lattice.longest == max(map(len, lattice.vocab))
+    column = np.random.default_rng(4).random((lattice.size + 1, 1)) * 1e-3
+    for word in ("information", "especially", "straightforward"):
+        assert np.isclose(language.log_probabilities([word], lattice, column)[0, 0], np.log(_probability(word, lattice, column[:, 0])))
+    assert np.isclose(language.log_probabilities(["ꙮ" * 900], lattice, np.full_like(column, 1e-7))[0, 0], np.log(_probability("", lattice, np.full(lattice.size + 1, 1e-7))) + 900 * np.log(1e-7))
+    # Expected counts of a long run are those of finite differences of its log probability.
+    words = ["theinformationofthegovernment" * 4, "the", "ꙮ" * 100]
+    table = np.repeat(column, 2, axis=1)
+    found = language._expected(words, np.array([2.0, 1.0, 1.0]), np.array([0, 0, 1]), lattice, table)
+    for piece in (lattice.vocab["▁the"], lattice.vocab["information"], lattice.vocab["the"]) if "information" in lattice.vocab else (lattice.vocab["▁the"], lattice.vocab["the"]):
+        more = table.copy()
+        more[piece] *= 1 + 1e-6
+        slope = (language.log_probabilities(words, lattice, more) - language.log_probabilities(words, lattice, table))[:, 0] / 1e-6
+        assert np.isclose(found[piece, 0], 2 * slope[0] + slope[1], rtol=1e-3)
+    assert np.isclose(found[-1, 1], 100)
+    pick = random.Random(3)
+    runs = {"xa": "badalukato", "xb": "mirenosive"}
+    run = lambda lang: "".join(pick.choices(runs[lang], k=70))
+    rows = [(k, " ".join(run(lang) for _ in range(3)), lang) for k, lang in enumerate(list(runs) * 30)]
+    model = language.train(make(rows), PIECES, scratch)
+    for r in language.with_language(make(rows), model, PIECES).collect():
+        assert r["lang_pred"] == r["lang"] and r["score"] > 0.99
+
+
 def test_language_of_held_out_texts(spark, make, scratch):
     said = {
         "en": "the ship went over the water with all the people who had waited there",

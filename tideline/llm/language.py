@@ -30,8 +30,6 @@ _MARK = "▁"  # the vocabulary's sign for the start of a word
 class Settings:
     docs_per_language: int = 2_000  # training documents of a language, in the mean
     passes: int = 3  # of expectation maximisation
-    longest_piece: int = 10
-    longest_trained_word: int = 40
     smoothing: float = 0.05  # added to the count of every piece
     unknown: float = 1e-7  # probability of a letter outside the vocabulary, in every language
 
@@ -39,11 +37,12 @@ class Settings:
 class Lattice:
     """Pieces of words: which vocabulary piece spans which letters."""
 
-    def __init__(self, path: str, longest: int):
+    def __init__(self, path: str, longest: int | None = None):
         model = sentencepiece.SentencePieceProcessor(model_file=path)
         names = [model.id_to_piece(k) for k in range(model.get_piece_size()) if not (model.is_control(k) or model.is_unknown(k) or model.is_byte(k))]
-        self.vocab = {p: k for k, p in enumerate(p for p in names if p == p.lower() and len(p) <= longest)}
+        self.vocab = {p: k for k, p in enumerate(p for p in names if p == p.lower() and (longest is None or len(p) <= longest))}
         self.size = len(self.vocab)  # the number of the unknown letter
+        self.longest = max(map(len, self.vocab))
         self.starts = {p[:k] for p in self.vocab for k in range(1, len(p) + 1)}
 
     def edges(self, words: list[str]) -> tuple[np.ndarray, ...]:
@@ -77,61 +76,77 @@ class Lattice:
 
 
 @lru_cache(maxsize=2)
-def _lattice(path: str, longest: int) -> Lattice:
+def _lattice(path: str, longest: int | None = None) -> Lattice:
     return Lattice(path, longest)
 
 
-def _sweep(nodes: int, source: np.ndarray, target: np.ndarray, step: np.ndarray, p: np.ndarray, begin: np.ndarray) -> np.ndarray:
-    """Sums over all paths from the `begin` nodes, edges taken in groups of equal `step`."""
-    reached = np.zeros((nodes, p.shape[1]))
-    reached[begin] = 1.0
-    bounds = np.flatnonzero(np.diff(step)) + 1
-    for a, b in zip([0, *bounds], [*bounds, len(step)], strict=True):
-        if a < b:
-            np.add.at(reached, target[a:b], reached[source[a:b]] * p[a:b])
-    return reached
+def _sweep(which: np.ndarray, first: np.ndarray, after: np.ndarray, p: np.ndarray, lengths: np.ndarray, longest: int, scales: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Sums over all paths from the start of a word to each place, edges by rising `after`; and the log of what its end is divided by.
 
-
-def log_probabilities(words: list[str], lattice: Lattice, table: np.ndarray) -> np.ndarray:
-    """Log probability of each word (row) in each language (column of `table`, by piece)."""
-    out = np.zeros((len(words), table.shape[1]))
-    block = 30  # letters between two scalings, so that long words don't vanish
-    which, first, after, piece, lengths = lattice.edges(words)
+    So that long words don't vanish, every `block` letters the places that further edges can start from
+    are divided by the last one. `scales` takes up the log of what each place is divided by.
+    """
+    block = 15
     offsets = np.cumsum(lengths + 1) - lengths - 1
-    reached = np.zeros((int((lengths + 1).sum()), table.shape[1]))
+    reached = np.zeros((int((lengths + 1).sum()), p.shape[1]))
     reached[offsets] = 1.0
-    p = table[piece]
+    logs = np.zeros((len(lengths), p.shape[1]))
     source, target = offsets[which] + first, offsets[which] + after
-    bounds = np.searchsorted(after, np.arange(1, (lengths.max() if len(words) else 0) + 2))
+    bounds = np.searchsorted(after, np.arange(1, (lengths.max() if len(lengths) else 0) + 2))
     for j in range(1, len(bounds)):
         a, b = bounds[j - 1], bounds[j]
         np.add.at(reached, target[a:b], reached[source[a:b]] * p[a:b])
+        if scales is not None and j > block:
+            scales[target[a:b]] = logs[which[a:b]]
         if j % block == 0:
             long = np.flatnonzero(lengths > j)
             if len(long):
-                near = offsets[long][:, None] + np.arange(j - block + 1, j + 1)
-                most = reached[near].max(axis=1)
-                reached[near] /= most[:, None, :]
-                out[long] += np.log(most)
-    return out + np.log(reached[offsets + lengths])
+                near = offsets[long][:, None] + np.arange(max(0, j - longest + 1), j + 1)
+                last = reached[offsets[long] + j]
+                reached[near] /= last[:, None, :]
+                logs[long] += np.log(last)
+                if scales is not None:
+                    scales[near] += np.log(last)[:, None, :]
+    return reached, logs
+
+
+def log_probabilities(words: list[str], lattice: Lattice, table: np.ndarray) -> np.ndarray:
+    """Log probability of each word (row) in each language (column of `table`, by piece)."""
+    which, first, after, piece, lengths = lattice.edges(words)
+    reached, logs = _sweep(which, first, after, table[piece], lengths, lattice.longest)
+    return logs + np.log(reached[np.cumsum(lengths + 1) - 1])
 
 
 def _expected(words: list[str], weights: np.ndarray, column: np.ndarray, lattice: Lattice, table: np.ndarray) -> np.ndarray:
     """Expected numbers of each piece (row) by language, each word segmented in the language `column`."""
     which, first, after, piece, lengths = lattice.edges(words)
-    offsets = np.cumsum(lengths + 1) - lengths - 1
-    nodes = int((lengths + 1).sum())
-    p = table[piece, column[which]][:, None]
-    source, target = offsets[which] + first, offsets[which] + after
-    forward = _sweep(nodes, source, target, after, p, offsets)[:, 0]
-    back = np.argsort(-first, kind="stable")
-    backward = _sweep(nodes, target[back], source[back], first[back], p[back], offsets + lengths)[:, 0]
-    total = forward[offsets + lengths]
-    share = forward[source] * p[:, 0] * backward[target] / total[which] * weights[which]
+    ends = np.cumsum(lengths + 1) - 1
+    offsets = ends - lengths
+    p = table[piece, column[which]]
+
+    def logs(order: np.ndarray, start: np.ndarray, stop: np.ndarray) -> np.ndarray:
+        scales = np.zeros((int((lengths + 1).sum()), 1))
+        reached, _ = _sweep(which[order], start[order], stop[order], p[order, None], lengths, lattice.longest, scales)
+        return (np.log(reached) + scales)[:, 0]
+
+    forward = logs(np.arange(len(which)), first, after)
+    size = lengths[which]  # backward is forward in the mirrored word
+    backward = logs(np.argsort(size - first, kind="stable"), size - after, size - first)
+    share = np.exp(forward[offsets[which] + first] + np.log(p) + backward[ends[which] - after] - forward[ends][which]) * weights[which]
     flat = np.bincount(piece * table.shape[1] + column[which], weights=share, minlength=table.size)
     return flat.reshape(table.shape)
 
 
+def _parts(words: list[str], letters: int = 200_000) -> Iterator[slice]:
+    """Slices of the words that hold about so many letters."""
+    start = size = 0
+    for k, word in enumerate(words):
+        size += len(word)
+        if size >= letters or k + 1 == len(words):
+            yield slice(start, k + 1)
+            start, size = k + 1, 0
+
+
 @dataclass(frozen=True)
 class Model:
     languages: list[str]
@@ -162,25 +177,25 @@ def train(docs: DataFrame, vocabulary: str, scratch: str, settings: Settings = S
             found: dict[tuple[str, str], int] = {}
             for lang, text in zip(batch.column(0).to_pylist(), texts, strict=True):
                 for word in _LETTERS.findall(text.lower()):
-                    if len(word) <= s.longest_trained_word:
-                        found[lang, word] = found.get((lang, word), 0) + 1
+                    found[lang, word] = found.get((lang, word), 0) + 1
             yield pa.RecordBatch.from_arrays([pa.array([k[0] for k in found], pa.string()), pa.array([k[1] for k in found], pa.string()), pa.array(list(found.values()), pa.int64())], names=["lang", "word", "n"])
 
     sample.mapInArrow(count, "lang string, word string, n long").groupBy("lang", "word").agg(F.sum("n").alias("n")).write.parquet(scratch)
     words = docs.sparkSession.read.parquet(scratch)
-    size = _lattice(vocabulary, s.longest_piece).size
+    size = _lattice(vocabulary).size
     table = np.full((size + 1, len(languages)), 1.0 / size)
     for _ in range(s.passes):
         table[-1] = s.unknown
         current = docs.sparkSession.sparkContext.broadcast(table)
 
         def expect(batches: Iterator[pa.RecordBatch], current=current) -> Iterator[pa.RecordBatch]:
-            lattice, p = _lattice(vocabulary, s.longest_piece), current.value
+            lattice, p = _lattice(vocabulary), current.value
             total = np.zeros_like(p)
             for batch in batches:
-                if batch.num_rows:
-                    column = np.array([languages.index(x) for x in batch.column(0).to_pylist()])
-                    total += _expected(batch.column(1).to_pylist(), batch.column(2).to_numpy().astype(float), column, lattice, p)
+                column = np.array([languages.index(x) for x in batch.column(0).to_pylist()], np.int64)
+                found, often = batch.column(1).to_pylist(), batch.column(2).to_numpy().astype(float)
+                for part in _parts(found):
+                    total += _expected(found[part], often[part], column[part], lattice, p)
             piece, column = np.nonzero(total)
             yield pa.RecordBatch.from_arrays([pa.array(piece, pa.int32()), pa.array(column, pa.int32()), pa.array(total[piece, column])], names=["piece", "lang", "n"])
 
@@ -196,8 +211,8 @@ def train(docs: DataFrame, vocabulary: str, scratch: str, settings: Settings = S
 class _Scorer:
     """Log probabilities of raw words (the sum over their runs of letters) and whether they have letters."""
 
-    def __init__(self, vocabulary: str, longest: int, table: np.ndarray):
-        lattice = _lattice(vocabulary, longest)
+    def __init__(self, vocabulary: str, table: np.ndarray):
+        lattice = _lattice(vocabulary)
         self.width = table.shape[1]
         self.runs = WordTable("language", lambda runs: list(log_probabilities(runs, lattice, table)), np.float64, 300_000, 6_000_000)
         self.words = WordTable("language", self._measure, np.float64, 300_000, 6_000_000)
@@ -223,7 +238,7 @@ class _Scorer:
 _scorers: dict[str, _Scorer] = {}
 
 
-def with_language(docs: DataFrame, model: Model, vocabulary: str, settings: Settings = Settings(), text: str = "text") -> DataFrame:
+def with_language(docs: DataFrame, model: Model, vocabulary: str, text: str = "text") -> DataFrame:
     """Add lang_pred, the likeliest learned language (ties: first by name), and score, its posterior probability.
 
     Null texts and texts without a letter get `und` and 0, as all do where no language was learned.
@@ -235,7 +250,6 @@ def with_language(docs: DataFrame, model: Model, vocabulary: str, settings: Sett
     keep = [c for c in docs.columns if c not in ("lang_pred", "score")]
     names = [f"c{k}" for k in range(len(keep))]
     given = docs.select(*[F.col(f"`{c}`").alias(n) for c, n in zip(keep, names, strict=True)], F.col(f"`{text}`").alias("text"))
-    longest = settings.longest_piece
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
@@ -243,7 +257,7 @@ def with_language(docs: DataFrame, model: Model, vocabulary: str, settings: Sett
             for old in _scorers.values():
                 old.forget()
             _scorers.clear()
-            _scorers[fitted] = _Scorer(vocabulary, longest, model.table)
+            _scorers[fitted] = _Scorer(vocabulary, model.table)
         for batch, texts in text_batches(batches):
             best, score = [UNKNOWN] * len(texts), np.zeros(len(texts))
             if model.languages:

@@ -102,6 +102,13 @@ def test_every_long_is_a_doc_id(make, scratch):
     assert {r["doc_id"] for r in kept} == {top - 1, 2**62, top - 2, -(2**63), None} and len(kept) == 5
 
 
+def test_equal_ids_link_nothing(make, scratch):
+    one, other = _text(31, 80), _text(32, 80)
+    rows = [(7, one), (7, other), (8, _edited(one, 1, 0.01)), (9, _edited(other, 2, 0.01))]
+    kept = near_duplicates.one_of_each(make(rows), scratch).collect()
+    assert sorted((r["doc_id"], r["text"]) for r in kept) == sorted([(7, one), (7, other)])
+
+
 def test_components_of_chains_and_stars(spark, scratch):
     links = [(k, k + 1) for k in range(60)] + [(100, 100 + k) for k in range(1, 40)] + [(7, 7)]
     got = {r["node"]: r["component"] for r in graph.components(spark.createDataFrame(links, "a long, b long"), scratch).collect()}

@@ -8,7 +8,7 @@ from public_tokenizers import path as vocabulary
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tideline.llm import chats, decontamination, language, mixing, near_duplicates, prefix_tokens, quality, secrets, token_files, toxicity
+from tideline.llm import chats, decontamination, language, mixing, near_duplicates, prefix_tokens, quality, secrets, token_files, toxicity, whitening
 from tideline.llm.folds import held_out
 from tideline.llm.words import documents
 from tideline.session import shared_folder
@@ -109,3 +109,8 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op5_chat_format", chats.SQL)
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chats.format_chats(spark.read.parquet(f"{sf_dir}/conversations.parquet"), shared_folder(spark, "chats"))
+
+
+@query("op13_whitening")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), shared_folder(spark, "whitening"))

@@ -137,7 +137,7 @@ def text_batches(batches: Iterator[pa.RecordBatch], characters: int = 4_000_000)
                 start, size = k + 1, 0
 
 
-def _ship_package(spark: SparkSession) -> None:
+def ship_package(spark: SparkSession) -> None:
     """Send this package to the executors, once a session; their workers then import it and keep its tables."""
     context = spark.sparkContext
     if getattr(context, "_tideline_shipped", False):
@@ -153,7 +153,7 @@ def _ship_package(spark: SparkSession) -> None:
 
 def narrow_batches(spark: SparkSession, rows: int = 256) -> None:
     """Arrow batches of few rows, since a text may be very long; and the package on every executor."""
-    _ship_package(spark)
+    ship_package(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(32 << 20))
 

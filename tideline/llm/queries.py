@@ -8,7 +8,7 @@ from public_tokenizers import path as vocabulary
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tideline.llm import chats, decontamination, hard_negatives, language, mixing, near_duplicates, prefix_tokens, quality, secrets, token_files, toxicity, whitening
+from tideline.llm import chats, decontamination, hard_negatives, language, mixing, near_duplicates, prefix_tokens, quality, secrets, substrings, token_files, toxicity, whitening
 from tideline.llm.folds import held_out
 from tideline.llm.words import documents
 from tideline.session import shared_folder
@@ -119,3 +119,9 @@ def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op12_hard_negatives", hard_negatives.SQL)
 def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hard_negatives.hard_negatives(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), shared_folder(spark, "hard-negatives"))
+
+
+@query("op11_substring_dedup")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = substrings.without_repeats(documents(spark, sf_dir, "doc_id", "text"), shared_folder(spark, "substrings"))
+    return found.drop("spans")

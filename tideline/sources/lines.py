@@ -2,17 +2,16 @@
 
 from __future__ import annotations
 
-import csv
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterable
 
-import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tideline.functions import time as tm
 from tideline.operators.projection import add_canonical_time, quoted, time_source, union_by_name
 from tideline.schema import TIME_ALIASES
+from tideline.session import materialize
+from tideline.sources import ranged
 
 FILE = "__source_file"
 
@@ -21,72 +20,23 @@ def file_name() -> Column:
     return F.col("_metadata.file_name")
 
 
-def _block_end_reader():
-    """Task function: first, second and last filled line of every file block that passes by, split into fields.
-
-    Lines of a block come together and in order, so a few lines per block are
-    kept and nothing is sorted or shuffled. It is built here, so that workers
-    need not have the package installed.
-    """
-
-    def fields(line: str | None) -> list[str] | None:
-        return None if line is None else next(csv.reader([line]), [])
-
-    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found: dict[tuple[str, int], list] = {}
-        for batch in batches:
-            start = 0
-            place = pa.array([f"{b}:{f}" for f, b in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())])
-            runs = pc.run_end_encode(place)
-            for end in runs.run_ends.to_pylist():
-                key = (batch.column(0)[start].as_py(), batch.column(1)[start].as_py())
-                lines = batch.column(2).slice(start, end - start)
-                filled = lines.filter(pc.not_equal(pc.utf8_trim_whitespace(lines), ""))
-                held = found.setdefault(key, [None, None, None, 0])
-                for line in filled.slice(0, 2).to_pylist():
-                    if held[3] == 0 and held[0] is None:
-                        held[0] = line
-                    elif held[1] is None:
-                        held[1] = line
-                if len(filled):
-                    held[2] = filled[len(filled) - 1].as_py()
-                    held[3] += len(filled)
-                start = end
-        rows = [(f, b, fields(h), fields(s), fields(t), n) for (f, b), (h, s, t, n) in found.items()]
-        names = ["file", "block", "line_1", "line_2", "line_n", "n_lines"]
-        text = pa.list_(pa.string())
-        kinds = [pa.string(), pa.int64(), text, text, text, pa.int64()]
-        columns = [pa.array([r[i] for r in rows], kinds[i]) for i in range(len(names))]
-        yield pa.RecordBatch.from_arrays(columns, names)
-
-    return read
-
-
 def file_ends(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """Header, first and last record (as arrays) of each delimited file; an empty file has a NULL header.
+    """Header, first and last record (as arrays) of each delimited file, and how many bytes were read for them.
 
-    A last line that does not fit the header was cut off; the first record
-    stands in for it.
+    Only the ends of a file are read. A last line that does not fit the header was cut off; the first record
+    stands in for it. Files without a filled line are left out.
     """
-    lines = spark.read.text(path).select(
-        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), "value"
-    )
-    schema = "file string, block long, line_1 array<string>, line_2 array<string>, line_n array<string>, n_lines long"
-    blocks = lines.mapInArrow(_block_end_reader(), schema).where(F.col("n_lines") > 0)
-    ends = blocks.groupBy("file").agg(
-        F.min_by("line_1", "block").alias("header"),
-        F.min_by("line_2", "block").alias("first_record"),
-        F.max_by("line_n", "block").alias("_last"),
-        F.sum("n_lines").alias("n_lines"),
-    )
-    whole = F.size("_last") == F.size("header")
+    ends = ranged.text_ends(spark, path).where(F.col("line_1").isNotNull())
+    whole = F.size("line_n") == F.size("line_1")
     return ends.select(
-        "file",
-        F.regexp_extract("file", r"([^/]+)$", 1).alias("file_name"),
-        "header",
-        "first_record",
-        F.when(F.col("n_lines") > 1, F.when(whole, F.col("_last")).otherwise(F.col("first_record"))).alias("last_record"),
-        (F.col("n_lines") <= 1).alias("is_empty"),
+        F.col("path").alias("file"),
+        "file_name",
+        F.col("line_1").alias("header"),
+        F.col("line_2").alias("first_record"),
+        F.when(F.col("line_2").isNotNull(), F.when(whole, F.col("line_n")).otherwise(F.col("line_2"))).alias("last_record"),
+        F.col("line_2").isNull().alias("is_empty"),
+        "size",
+        "bytes_read",
     )
 
 
@@ -111,27 +61,35 @@ def file_manifest(spark: SparkSession, path: str | list[str], preferred: str | N
 
 
 def csv_layouts(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """(header, file paths) of each column layout found, empty files left out."""
-    headers = file_ends(spark, path).where(F.col("header").isNotNull())
-    return headers.groupBy("header").agg(F.collect_list("file").alias("files"), F.min("file").alias("first_file"))
+    """(header, file) of every delimited file, from the heads of the files; files without a filled line are left out."""
+    return file_ends(spark, path).select("header", "file")
 
 
 def read_delimited(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """Text tables with a header line, every value a string, united by column name.
 
     Spark applies one header to all files of a read, so each layout is read on
-    its own. Only layouts and file paths come to the driver, as for any read
-    of listed files.
+    its own. Only layouts and, layout by layout, file paths come to the driver, as for any read
+    of listed files; the lines are read once.
     """
+    return union_by_name([rows.drop("_path") for _, rows in read_layouts(spark, path)])
+
+
+def read_layouts(spark: SparkSession, path: str | list[str]) -> list[tuple[list[str], DataFrame]]:
+    """(header, rows with their source file and `_path`) of each column layout, in the order of the first files; see `read_delimited`."""
+    found = materialize(csv_layouts(spark, path), "layouts")
     parts = []
-    for layout in csv_layouts(spark, path).orderBy("first_file").collect():
-        read = spark.read.options(header=True, inferSchema=False, mode="PERMISSIVE").csv(layout["files"])
+    for layout in found.groupBy("header").agg(F.min("file").alias("first")).orderBy("first").collect():
+        header = layout["header"]
+        files = [r["file"] for r in found.where(F.col("header") == F.array(*map(F.lit, header))).select("file").toLocalIterator()]
+        read = spark.read.options(header=True, inferSchema=False, mode="PERMISSIVE").csv(files)
         # Spark names a column after its place where the header has nothing.
-        nameless = {f"_c{k}" for k, name in enumerate(layout["header"]) if not (name or "").strip()}
-        parts.append(read.select(*[quoted(c) for c in read.columns if c not in nameless], file_name().alias(FILE)))
+        nameless = {f"_c{k}" for k, name in enumerate(header) if not (name or "").strip()}
+        named = read.select(*[quoted(c) for c in read.columns if c not in nameless], file_name().alias(FILE), F.col("_metadata.file_path").alias("_path"))
+        parts.append((header, drop_unnamed(named)))
     if not parts:
         raise ValueError(f"no delimited text with a header under {path}")
-    return drop_unnamed(union_by_name(parts))
+    return parts
 
 
 def drop_unnamed(df: DataFrame) -> DataFrame:
@@ -155,14 +113,27 @@ def ensure_time(df: DataFrame, preferred: str | None = None, name: str = FILE, r
     return df.withColumn("time", F.timestamp_micros(start + (F.col(row_no) - 1) * tm.SECOND))
 
 
-def numbered_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """Lines of small text files with their number from 1 (files are read whole)."""
-    whole = spark.read.text(path, wholetext=True).select(
-        file_name().alias(FILE), F.split("value", r"\r?\n").alias("_lines")
-    )
-    return whole.select(FILE, F.posexplode("_lines").alias("_at", "line")).select(
-        FILE, (F.col("_at") + 1).alias("line_no"), "line"
+def numbered_lines(spark: SparkSession, path: str | list[str], kept: Column | None = None) -> DataFrame:
+    """Source file, `_path`, line_no (from 1) and line of text files; with `kept`, a condition on `line`, only such lines are there and count.
+
+    Files are read in splits. Lines are written once to the shared folder, so that every step sees the same splits; a split's lines
+    count on from those of the splits before it.
+    """
+    text = spark.read.text(path).select(
+        file_name().alias(FILE), F.col("_metadata.file_path").alias("_path"), F.col("_metadata.file_block_start").alias("_block"), F.col("value").alias("line")
     )
+    given = text if kept is None else text.where(kept)
+    stored = materialize(given.withColumn("_at", F.monotonically_increasing_id()), "lines")
+    offsets = _split_offsets(stored)
+    number = F.col("_at") - F.col("_first") + F.col("_before") + 1
+    return stored.join(offsets, ["_path", "_block"]).select(FILE, "_path", number.alias("line_no"), "line")
+
+
+def _split_offsets(lines: DataFrame) -> DataFrame:
+    """(_path, _block, _first, _before): the first line id of each split, and the number of lines in the file's earlier splits."""
+    blocks = lines.groupBy("_path", "_block").agg(F.count(F.lit(1)).alias("_lines"), F.min("_at").alias("_first"))
+    earlier = Window.partitionBy("_path").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    return blocks.select("_path", "_block", "_first", F.coalesce(F.sum("_lines").over(earlier), F.lit(0)).alias("_before"))
 
 
 def _repaired(line: Column) -> Column:
@@ -205,21 +176,12 @@ def json_line_report(spark: SparkSession, path: str | list[str], shown: int = 5)
     Line numbers come from the order inside each file block and the lines of
     the blocks before it; only unusable lines are looked at one by one.
     """
-    parsed = _parsed_lines(spark, path)
-    blank = F.trim("value") == ""
-    blocks = parsed.groupBy(FILE, "_path", "_block").agg(
-        F.count(F.lit(1)).alias("_lines"),
-        F.min("_at").alias("_first"),
-        F.count_if(F.col("record").isNotNull()).alias("_good"),
-        F.count_if(blank).alias("_blank"),
-    )
-    earlier = Window.partitionBy("_path").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = blocks.withColumn("_before", F.coalesce(F.sum("_lines").over(earlier), F.lit(0)))
-    bad = parsed.where(~blank & F.col("record").isNull()).select("_path", "_block", "_at")
+    # Lines are parsed once; what is kept of them is narrow, and all steps see the same file blocks.
+    marks = [F.col("record").isNotNull().alias("_good"), (F.trim("value") == "").alias("_blank")]
+    parsed = materialize(_parsed_lines(spark, path).select(FILE, "_path", "_block", "_at", *marks), "json-lines")
+    bad = parsed.where(~F.col("_blank") & ~F.col("_good")).select("_path", "_block", "_at")
     number = F.col("_before") + F.col("_at") - F.col("_first") + 1
-    numbered = bad.join(offsets.select("_path", "_block", "_before", "_first"), ["_path", "_block"]).select(
-        "_path", number.alias("_no")
-    )
+    numbered = bad.join(_split_offsets(parsed), ["_path", "_block"]).select("_path", number.alias("_no"))
     rank = F.row_number().over(Window.partitionBy("_path").orderBy("_no"))
     first = (
         numbered.withColumn("_rank", rank)
@@ -227,8 +189,8 @@ def json_line_report(spark: SparkSession, path: str | list[str], shown: int = 5)
         .groupBy("_path")
         .agg(F.sort_array(F.collect_list("_no")).alias("skipped_lines"))
     )
-    totals = blocks.groupBy(FILE, "_path").agg(
-        F.sum("_good").alias("n_records"), F.sum(F.col("_lines") - F.col("_good") - F.col("_blank")).alias("n_skipped")
+    totals = parsed.groupBy(FILE, "_path").agg(
+        F.count_if("_good").alias("n_records"), F.count_if(~F.col("_good") & ~F.col("_blank")).alias("n_skipped")
     )
     return totals.join(first, "_path", "left").select(
         FILE, "n_records", "n_skipped", F.coalesce("skipped_lines", F.array().cast("array<bigint>")).alias("skipped_lines")

@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from tideline.functions import geo
 from tideline.functions import time as tm
 from tideline.operators.projection import quoted
-from tideline.sources.lines import FILE, file_name
+from tideline.sources.lines import FILE, numbered_lines
+from tideline.sources.ranged import heads
 
 # Headings of the log sheets and the columns they become.
 _WINDOW_COLUMNS = {"Leg Number": "leg", "Start time (UTC)": "start", "End time (UTC)": "end"}
@@ -63,19 +64,21 @@ def read_bridge_log(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """Fixes of the bridge log (CSV export): source file, time, latitude_deg, longitude_deg, source.
 
     Eight lines precede the column names. Times are UTC to the minute,
-    positions degrees and decimal minutes; incomplete rows are dropped.
+    positions degrees and decimal minutes; incomplete rows are dropped. Only the top of a file is read
+    for its names; its lines are read in splits and meet them in a join.
     """
-    files = spark.read.text(path, wholetext=True).select(
-        file_name().alias(FILE), F.split("value", r"\r?\n").alias("_lines")
-    )
-    cells = F.transform("_lines", lambda line: F.split(F.replace(line, F.lit('"'), F.lit("")), ","))
-    table = files.select(FILE, cells.alias("_cells")).select(
-        FILE,
-        F.transform(
-            F.try_element_at("_cells", F.lit(BRIDGE_HEADER_LINES + 1)), lambda name: F.lower(F.trim(name))
-        ).alias("_names"),
-        F.explode(F.slice("_cells", BRIDGE_HEADER_LINES + 2, F.size("_cells"))).alias("_row"),
-    )
+    wanted = BRIDGE_HEADER_LINES + 1
+
+    def top(lines: list[str], whole: bool) -> list[str] | None:
+        return lines[:wanted] if whole or len(lines) >= wanted else None
+
+    def cells(line: Column) -> Column:
+        return F.split(F.replace(line, F.lit('"'), F.lit("")), ",")
+
+    names = F.transform(cells(F.try_element_at("head", F.lit(wanted))), lambda name: F.lower(F.trim(name)))
+    files = heads(spark, path, top).select("_path", names.alias("_names"))
+    body = numbered_lines(spark, path).where(F.col("line_no") > wanted)
+    table = body.join(files, "_path").select(FILE, "_names", cells(F.col("line")).alias("_row"))
 
     def cell(name: str) -> Column:
         at = F.array_position("_names", F.lit(name)).cast("int")

@@ -166,17 +166,9 @@ def ingest_spectra(spark, sf_dir):
     return shown(spectra.select("serial", "sequence", "level_broadband", "n_bins", "time"))
 
 
-@query(
-    "xml_records",
-    """
-    SELECT 'r' || event_id || '.xml' AS member, event_id AS "recordNumber", round(value, 6) AS "CS_Conductivity",
-           round(value / 2, 6) AS "O2_AirSaturation", CASE WHEN event_id % 3 = 0 THEN 0 ELSE CAST(user_id % 90 AS DOUBLE) END AS latitude,
-           strftime(ts, '%Y-%m-%dT%H:%M:%SZ') AS "dataTimestamp"
-    FROM events WHERE event_id % 11 <> 0
-    """,
-)
-def xml_records(spark, sf_dir):
-    # Every eleventh record is not well-formed, every third has no position.
+def record_xml():
+    """The XML of an event's record; every eleventh is not well-formed, every third has no position."""
+
     def points(number: int, name: str, value):
         return F.concat(
             F.lit(f'<p:Point ID="{number}" Descr="{name}" Unit="u"><p:Value>'), value.cast("string"), F.lit("</p:Value></p:Point>")
@@ -189,7 +181,7 @@ def xml_records(spark, sf_dir):
 
     stamp = F.date_format("time", "yyyy-MM-dd'T'HH:mm:ss'Z'")
     place = F.when(F.col("event_id") % 3 == 0, F.lit("")).otherwise(points(7, "Latitude", F.col("user_id") % 90))
-    xml = F.concat(
+    return F.concat(
         F.lit('<?xml version="1.0"?><p:Device xmlns:p="http://example.org/p" ID="D"><p:Time>'), stamp,
         F.lit("</p:Time><p:Data><p:Time>"), stamp, F.lit("</p:Time><p:RecordNumber>"), F.col("event_id").cast("string"),
         F.lit("</p:RecordNumber>"), sensor("Conductivity Sensor", points(0, "Conductivity", F.col("value"))),
@@ -197,8 +189,20 @@ def xml_records(spark, sf_dir):
         F.lit("<p:SystemData><p:Parameters>"), place, F.lit("</p:Parameters></p:SystemData></p:Data>"),
         F.when(F.col("event_id") % 11 == 0, F.lit("<broken>")).otherwise(F.lit("</p:Device>")),
     )
+
+
+@query(
+    "xml_records",
+    """
+    SELECT 'r' || event_id || '.xml' AS member, event_id AS "recordNumber", round(value, 6) AS "CS_Conductivity",
+           round(value / 2, 6) AS "O2_AirSaturation", CASE WHEN event_id % 3 = 0 THEN 0 ELSE CAST(user_id % 90 AS DOUBLE) END AS latitude,
+           strftime(ts, '%Y-%m-%dT%H:%M:%SZ') AS "dataTimestamp"
+    FROM events WHERE event_id % 11 <> 0
+    """,
+)
+def xml_records(spark, sf_dir):
     member = F.concat(F.lit("r"), F.col("event_id").cast("string"), F.lit(".xml"))
-    held = roles.events(spark, sf_dir).select(F.lit("a.zip").alias(lines.FILE), member.alias("member"), xml.alias("xml"))
+    held = roles.events(spark, sf_dir).select(F.lit("a.zip").alias(lines.FILE), member.alias("member"), record_xml().alias("xml"))
     flat = archives.flatten_records(archives.parse_records(held))
     wide = lines.widen(flat, "values", ["CS_Conductivity", "O2_AirSaturation"])
     return shown(

@@ -2,17 +2,16 @@
 
 from __future__ import annotations
 
-import io
-import zipfile
 from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tideline.functions import text as tx
 from tideline.functions import time as tm
 from tideline.sources.lines import FILE
+from tideline.sources.ranged import listed, opener
 
 _POINTS = (
     "STRUCT<Point: ARRAY<STRUCT<_ID: STRING, _Descr: STRING, _Unit: STRING, _RangeMin: STRING, _RangeMax: STRING, "
@@ -47,33 +46,96 @@ _SYSTEM_POINTS = [
 _SYSTEM_INFO = {"10": "owner", "13": "location", "12": "reference", "21": "geoposition", "30": "verticalposition"}
 
 
-def _member_reader():
-    """Task function: the XML files of each archive, whatever folder they are in.
+def archive_members(spark: SparkSession, path: str | list[str], suffix: str = ".xml", chunk_bytes: int = 8 << 20, chunk_members: int = 1_000) -> DataFrame:
+    """(path, file, chunk, members) of every archive, from its central directory; an unreadable one has no members (NULL).
 
-    It is built here, so that workers need not have the package installed.
+    Members are the files that end in `suffix`, whatever folder of the archive they are in: name, offset, packed and full size,
+    method, flags and checksum. A chunk holds about so many packed bytes, and at most so many members.
     """
+    open_file = opener()
+    member = "STRUCT<name: STRING, offset: LONG, packed: LONG, size: LONG, method: INT, flags: INT, crc: LONG>"
+    parts = [("name", pa.string()), ("offset", pa.int64()), ("packed", pa.int64()), ("size", pa.int64()), ("method", pa.int32()), ("flags", pa.int32()), ("crc", pa.int64())]
 
-    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def chunks(name: str) -> Iterator[tuple]:
+        import zipfile
+
+        try:
+            with zipfile.ZipFile(open_file(name)) as archive:
+                entries = [e for e in archive.infolist() if e.filename.lower().endswith(suffix)]
+        except (zipfile.BadZipFile, OSError, ValueError):  # the last where a file ends before its directory
+            yield 0, None
+            return
+        held: list[dict] = []
+        number = full = 0
+        for e in entries:
+            if held and (full + e.compress_size > chunk_bytes or len(held) == chunk_members):
+                yield number, held
+                held, number, full = [], number + 1, 0
+            full += e.compress_size
+            held.append({"name": e.filename, "offset": e.header_offset, "packed": e.compress_size, "size": e.file_size, "method": e.compress_type, "flags": e.flag_bits, "crc": e.CRC})
+        if held:
+            yield number, held
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for name, content in zip(batch["file"], batch["content"]):
-                try:
-                    with zipfile.ZipFile(io.BytesIO(content)) as archive:
-                        for entry in archive.infolist():
-                            if entry.filename.lower().endswith(".xml"):
-                                text = archive.read(entry).decode("utf-8", errors="replace")
-                                yield pd.DataFrame({"file": [name], "member": [entry.filename], "xml": [text]})
-                except zipfile.BadZipFile:
-                    yield pd.DataFrame({"file": [name], "member": [None], "xml": [None]})
+            for name, file in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                for number, members in chunks(name):
+                    columns = [pa.array([name]), pa.array([file]), pa.array([number], pa.int32()), pa.array([members], pa.list_(pa.struct(parts)))]
+                    yield pa.RecordBatch.from_arrays(columns, names=["path", "file", "chunk", "members"])
 
-    return read
+    files = listed(spark, path).select("path", "file_name")
+    return files.mapInArrow(read, f"path string, file string, chunk int, members ARRAY<{member}>")
 
 
 def read_archives(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """(source file, member, xml) of every XML record; an unreadable archive is one row without xml."""
-    files = spark.read.format("binaryFile").load(path)
-    named = files.select(F.regexp_extract("path", r"([^/]+)$", 1).alias("file"), "content")
-    members = named.mapInPandas(_member_reader(), "file string, member string, xml string")
-    return members.withColumnRenamed("file", FILE)
+    """(source file, member, xml) of every XML record; an unreadable archive is one row without member and xml, an unreadable member one without xml.
+
+    The central directory of an archive is read by itself; its members are dealt to tasks in chunks, so that one large
+    archive spreads over many. A task reads the bytes of its members only.
+    """
+    open_file = opener()
+    at_once = 4 << 20  # characters of a batch, about
+
+    def unpacked(file, m: dict) -> str | None:
+        import struct
+        import zlib
+
+        try:
+            local = file.read_at(30, m["offset"])
+            if local[:4] != b"PK\x03\x04" or m["flags"] & 1 or m["method"] not in (0, 8):
+                return None
+            name_length, extra_length = struct.unpack("<HH", local[26:30])
+            content = file.read_at(m["packed"], m["offset"] + 30 + name_length + extra_length)
+            content = zlib.decompress(content, -15) if m["method"] == 8 else content
+        except (OSError, zlib.error, struct.error):
+            return None
+        return content.decode("utf-8", errors="replace") if zlib.crc32(content) == m["crc"] and len(content) == m["size"] else None
+
+    def batch_of(rows: list[tuple]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], pa.string()) for k in range(3)], names=["file", "member", "xml"])
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for path_, name, members in zip(*(batch.column(k).to_pylist() for k in (0, 1, 3)), strict=True):
+                if members is None:
+                    yield batch_of([(name, None, None)])
+                    continue
+                rows, held = [], 0
+                with open_file(path_) as file:
+                    for m in members:
+                        xml = unpacked(file, m)
+                        rows.append((name, m["name"], xml))
+                        held += len(xml or "")
+                        if held >= at_once:
+                            yield batch_of(rows)
+                            rows, held = [], 0
+                yield batch_of(rows)
+
+    # Chunks are few bytes each, so their number of tasks comes from the archives' sizes and not from the exchange's.
+    size = listed(spark, path).agg(F.sum("size")).first()[0] or 0
+    tasks = max(spark.sparkContext.defaultParallelism, -(-size // (16 << 20)))
+    dealt = archive_members(spark, path).repartition(tasks, "path", "chunk")
+    return dealt.mapInArrow(read, "file string, member string, xml string").withColumnRenamed("file", FILE)
 
 
 def parse_records(archives: DataFrame, from_time: Column | None = None, to_time: Column | None = None) -> DataFrame:

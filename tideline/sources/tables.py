@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tideline.functions import time as tm
 from tideline.operators.projection import resolve_time_column, select_combos
-from tideline.sources.lines import drop_unnamed
+from tideline.sources.lines import FILE, drop_unnamed, read_delimited
 
 _PARTITIONS = ["experiment", "instrument", "leg"]
 
@@ -17,7 +17,7 @@ _PARTITIONS = ["experiment", "instrument", "leg"]
 def read_combined(spark: SparkSession, path: str) -> DataFrame:
     """A combined table of all legs, Parquet or CSV, without index columns of earlier exports."""
     if path.rstrip("/").lower().endswith(".csv"):
-        return drop_unnamed(spark.read.options(header=True, inferSchema=False).csv(path))
+        return read_delimited(spark, path).drop(FILE)
     return drop_unnamed(spark.read.parquet(path))
 
 

@@ -48,8 +48,11 @@ def _table() -> WordTable:
     return WordTable("toxicity", _word_hashes, np.uint64)
 
 
-def _features(texts: list[str | None], bits: int) -> tuple[np.ndarray, np.ndarray]:
-    """Places of 1-, 2-, 3-grams and of pairs one and two words apart, each once per text; and numbers per text."""
+def _features(texts: list[str | None], bits: int, wanted: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Places of 1-, 2-, 3-grams and of pairs one and two words apart, each once per text; their numbers per text; words per text.
+
+    Of all places, only those that `wanted` marks are returned where it is given.
+    """
     table = _table()
     words = [split_words(t) for t in texts]
     hashes, lengths = table.gather(table.rows([w for one in words for w in one]))
@@ -76,10 +79,13 @@ def _features(texts: list[str | None], bits: int) -> tuple[np.ndarray, np.ndarra
             same = apart(3)
             found.append(joined(hashes[:-3], hashes[3:], 4)[same])
             owner.append(doc[:-3][same])
-    place = (np.concatenate(found) * _ODD) >> np.uint64(64 - bits)
-    keys = np.unique((np.concatenate(owner).astype(np.uint64) << np.uint64(bits)) | place)
+    place, whose = (np.concatenate(found) * _ODD) >> np.uint64(64 - bits), np.concatenate(owner)
+    if wanted is not None:
+        there = np.flatnonzero(wanted[place.view(np.int64)])
+        place, whose = place[there], whose[there]
+    keys = np.unique((whose.astype(np.uint64) << np.uint64(bits)) | place)
     counts = np.bincount((keys >> np.uint64(bits)).astype(np.int64), minlength=len(texts))
-    return (keys & np.uint64((1 << bits) - 1)).astype(np.int32), counts
+    return (keys & np.uint64((1 << bits) - 1)).astype(np.int32), counts, per_text
 
 
 def _packed(places: np.ndarray, bits: int) -> bytes:
@@ -140,7 +146,7 @@ def train(docs: DataFrame, labels: DataFrame, settings: Settings = Settings(), c
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, texts in text_batches(batches):
-            found, counts = _features(texts, s.bits)
+            found, counts, _ = _features(texts, s.bits)
             packed = [_packed(p, s.bits) for p in np.split(found, np.cumsum(counts)[:-1])]
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(packed, pa.binary())], names=["shard", "doc_id", "label", "packed"])
 
@@ -151,10 +157,11 @@ def train(docs: DataFrame, labels: DataFrame, settings: Settings = Settings(), c
         kept = np.flatnonzero(w)
         return pa.table({"place": pa.array(kept, pa.int32()), "weight": w[kept]})
 
+    # One task for each shard, by its number: hashes of a few numbers would share tasks.
     shard = F.pmod(F.xxhash64(F.lit(1), "doc_id"), F.lit(shards)).cast("int").alias("shard")
     shape = f"shard int, doc_id {docs.schema['doc_id'].dataType.simpleString()}, label int, packed binary"
     dealt = rows.select(shard, "doc_id", F.col("label").cast("int").alias("label"), "text").mapInArrow(hashed, shape)
-    found = dealt.groupBy("shard").applyInArrow(fit, "place int, weight double").groupBy("place").agg((F.sum("weight") / shards).alias("weight")).toArrow()
+    found = dealt.repartitionById(shards, F.col("shard")).groupBy("shard").applyInArrow(fit, "place int, weight double").groupBy("place").agg((F.sum("weight") / shards).alias("weight")).toArrow()
     order = np.argsort(found.column("place").to_numpy())
     return found.column("place").to_numpy()[order].astype(np.int64), found.column("weight").to_numpy()[order], size["share"]
 
@@ -176,10 +183,11 @@ def with_toxicity(docs: DataFrame, model: tuple[np.ndarray, np.ndarray, float],
         places, values, share = shared.value
         weights = np.zeros((1 << bits) + 1)
         weights[places] = values
+        weighty = weights[:-1] != 0
         for batch, texts in text_batches(batches):
-            found, counts = _features(texts, bits)
+            found, counts, words = _features(texts, bits, weighty)
             total = sums(weights[found], counts) + weights[-1]
-            scores = np.where(counts > 0, 1 / (1 + np.exp(-np.clip(total, -35, 35))), share)
+            scores = np.where(words > 0, 1 / (1 + np.exp(-np.clip(total, -35, 35))), share)
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(scores)], names=[*names, out])
 
     shape = ", ".join([*(f"{n} {docs.schema[c].dataType.simpleString()}" for n, c in zip(names, keep, strict=True)), f"`{out}` double"])

@@ -6,7 +6,7 @@ import re
 import tempfile
 import zipfile
 from collections.abc import Callable, Iterator
-from itertools import chain
+from itertools import chain, repeat
 from pathlib import Path
 
 import numpy as np
@@ -57,7 +57,7 @@ def _take_turn(group: str) -> None:
 class WordTable:
     """Arrays by word, worked out once for each word a worker meets.
 
-    `measure` gives one array (or one list) for each of a list of new words. At `limit` words or
+    `measure` gives one array (or one list) for each of a list of new words, or all arrays joined and their lengths. At `limit` words or
     `room` array items the table starts anew, so memory stays bounded whatever the corpus holds.
     Tables of another `group` are emptied when this one is used.
     """
@@ -80,16 +80,18 @@ class WordTable:
         if len(self.index) > self.limit or self.used > self.room:
             self.clear()
         index = self.index
-        found = list(map(index.get, words))
-        if None in found:
-            new = sorted({w for w, row in zip(words, found, strict=True) if row is None})
-            self._add(new)
-            found = list(map(index.__getitem__, words))
-        return np.array(found, np.int64) if found else np.zeros(0, np.int64)
+        found = np.fromiter(map(index.get, words, repeat(-1)), np.int64, len(words))
+        missing = np.flatnonzero(found < 0)
+        if len(missing):
+            unknown = [words[k] for k in missing.tolist()]
+            self._add(list(dict.fromkeys(unknown)))
+            found[missing] = np.fromiter(map(index.__getitem__, unknown), np.int64, len(unknown))
+        return found
 
     def _add(self, new: list[str]) -> None:
         arrays = self.measure(new)
-        lengths = np.fromiter(map(len, arrays), np.int64, len(arrays))
+        joined = isinstance(arrays, tuple)
+        lengths = arrays[1] if joined else np.fromiter(map(len, arrays), np.int64, len(arrays))
         at, total = len(self.index), int(lengths.sum())
         while at + len(new) > len(self.start):
             self.start, self.length = (np.concatenate([x, np.zeros(len(x), np.int64)]) for x in (self.start, self.length))
@@ -101,7 +103,7 @@ class WordTable:
         self.start[at : at + len(new)] = self.used + np.cumsum(lengths) - lengths
         if total:
             listed = isinstance(arrays[0], list)
-            new_items = np.fromiter(chain.from_iterable(arrays), self.dtype, total) if listed else np.concatenate(arrays)
+            new_items = arrays[0] if joined else np.fromiter(chain.from_iterable(arrays), self.dtype, total) if listed else np.concatenate(arrays)
             self.flat[self.used : self.used + total] = new_items
         self.used += total
         self.index.update(zip(new, range(at, at + len(new)), strict=True))
@@ -125,7 +127,7 @@ def sums(values: np.ndarray, counts: np.ndarray) -> np.ndarray:
     return running[ends] - running[ends - counts]
 
 
-def text_batches(batches: Iterator[pa.RecordBatch], characters: int = 4_000_000) -> Iterator[tuple[pa.RecordBatch, list]]:
+def text_batches(batches: Iterator[pa.RecordBatch], characters: int = 1_000_000) -> Iterator[tuple[pa.RecordBatch, list]]:
     """Record batches cut so that one holds about so many characters, with their texts (column `text`)."""
     for batch in batches:
         texts = batch.column("text").to_pylist()

@@ -32,6 +32,11 @@ _CONTRACTIONS = ("'s", "'t", "'re", "'ve", "'m", "'ll", "'d")  # fixed values of
 _PIECE = re.compile("|".join(_CONTRACTIONS) + rf"|[{_LETTER}]+|[0-9]|[^{_LETTER}0-9]+")
 
 
+# Text of plain characters only, and its pieces in lower case: no piece goes across white space.
+PLAIN_TEXT = re.compile(rf"[{SPACES}!-~{_LETTER}]*\Z")
+_TEXT_PIECE = re.compile("|".join(_CONTRACTIONS) + rf"|[{_LETTER}]+|[0-9]|[^{_LETTER}0-9{SPACES}]+")
+
+
 def _byte_letters() -> dict[int, str]:
     """The printable character that stands for each byte in byte-level vocabularies."""
     shown = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
@@ -44,6 +49,7 @@ def _byte_letters() -> dict[int, str]:
 
 
 _LETTERS = _byte_letters()
+_LETTER_BYTES = {c: "".join(_LETTERS[b] for b in chr(c).encode()) for c in range(0x80, 0x3000)}  # lower-case forms lie beyond the letters themselves
 
 
 def plain_pieces(word: str) -> list[str]:
@@ -51,6 +57,16 @@ def plain_pieces(word: str) -> list[str]:
     return _PIECE.findall(word.lower())
 
 
+def text_pieces(text: str) -> list[str]:
+    """Pieces of a text of plain characters, in lower case."""
+    return _TEXT_PIECE.findall(text.lower())
+
+
+def byte_texts(joined: str) -> str:
+    """Pieces of plain characters, joined by blanks, as they stand in the vocabulary."""
+    return joined if joined.isascii() else joined.translate(_LETTER_BYTES)
+
+
 def byte_text(text: str) -> str:
     return text if text.isascii() else "".join(map(_LETTERS.__getitem__, text.encode()))
 

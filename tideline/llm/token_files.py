@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import re
 import zlib
 from collections.abc import Iterator
@@ -13,9 +14,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 from tokenizers import Tokenizer
+from tokenizers.pre_tokenizers import WhitespaceSplit
+
+from tideline.llm.bpe import PLAIN_TEXT, SPACES, byte_texts, text_pieces
+from tideline.llm.words import WordTable, narrow_batches, spans, sums, text_batches
 
-from tideline.llm.bpe import PLAIN, SPACES, byte_text, plain_pieces
-from tideline.llm.words import WordTable, keep_while, narrow_batches, sums, text_batches
 _WORD = re.compile(f"[^{SPACES}]+")
 
 
@@ -28,47 +31,55 @@ def _split(text: str) -> list[str]:
 
 
 class _Encoder:
-    """Ids of words by the tokenizers library; white space yields none, so words encode one by one."""
+    """Ids by the tokenizers library, of pieces or, where a text has more than plain characters, of words; white space yields none."""
 
     def __init__(self, path: str):
         self.tokenizer = Tokenizer.from_file(path)
-        self.model = self.tokenizer.model
-        self.pieces: dict[str, list[int]] = {}
-
-    def piece(self, piece: str) -> list[int]:
-        found = self.pieces.get(piece)
-        if found is None:
-            found = self.pieces[piece] = [t.id for t in self.model.tokenize(byte_text(piece))]
-        return found
+        # The vocabulary's model alone, for text that is split into pieces already.
+        self.merger = Tokenizer(self.tokenizer.model)
+        self.merger.pre_tokenizer = WhitespaceSplit()
+        vocab = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocab.values()) + 1, bool)  # ids that end a piece
+        self.ends[[number for token, number in vocab.items() if token.endswith("</w>")]] = True
+
+    def pieces(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all pieces one after another, and their numbers."""
+        blocks = [byte_texts(" ".join(pieces[k : k + 1_000])) for k in range(0, len(pieces), 1_000)]
+        encoded = self.merger.encode_batch_fast(blocks, add_special_tokens=False)
+        ids = np.concatenate([np.array(e.ids, np.int32) for e in encoded])
+        return ids, np.diff(np.flatnonzero(self.ends[ids]), prepend=-1)
 
     def words(self, words: list[str]) -> list[list[int]]:
-        if len(self.pieces) > 600_000:
-            self.pieces.clear()
-        out = []
-        for word in words:
-            if PLAIN.match(word) and "<|" not in word:
-                ids: list[int] = []
-                for piece in plain_pieces(word):
-                    ids += self.piece(piece)
-            else:
-                ids = self.tokenizer.encode(word, add_special_tokens=False).ids
-            out.append(ids)
-        return out
+        return [self.tokenizer.encode(word, add_special_tokens=False).ids for word in words]
 
 
 @lru_cache(maxsize=2)
-def _table(path: str) -> WordTable:
+def _tables(path: str) -> tuple[WordTable, WordTable]:
+    """Ids by piece and by word."""
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"  # tasks take one core each
     encoder = _Encoder(path)
-    keep_while("token files", encoder.pieces.clear)
-    return WordTable("token files", encoder.words, np.int32, 900_000, 16_000_000)
+    return WordTable("token files", encoder.pieces, np.int32, 500_000, 5_000_000), WordTable("token files", encoder.words, np.int32, 100_000, 2_000_000)
 
 
 def encode(texts: list[str | None], path: str) -> tuple[np.ndarray, np.ndarray]:
     """Ids of every text one after another, and their numbers."""
-    table = _table(path)
-    words = [_split(t) if t else [] for t in texts]
-    ids, lengths = table.gather(table.rows([w for one in words for w in one]))
-    return ids, sums(lengths, np.fromiter(map(len, words), np.int64, len(words)))
+    of_pieces, of_words = _tables(path)
+    plain = [not t or ("<|" not in t and PLAIN_TEXT.match(t) is not None) for t in texts]
+    parts = []
+    for table, wanted, split in ((of_pieces, True, text_pieces), (of_words, False, _split)):
+        items = [split(t) if t and is_plain == wanted else [] for t, is_plain in zip(texts, plain, strict=True)]
+        ids, lengths = table.gather(table.rows([x for one in items for x in one]))
+        parts.append((ids, sums(lengths, np.fromiter(map(len, items), np.int64, len(items)))))
+    (ids, counts), (other_ids, other_counts) = parts
+    if not len(other_ids):
+        return ids, counts
+    # Each text's ids come from one of the two; put them in the order of the texts.
+    total = counts + other_counts
+    out = np.zeros(int(total.sum()), np.int32)
+    starts = np.cumsum(total) - total
+    out[spans(starts, counts)] = ids
+    out[spans(starts, other_counts)] = other_ids
+    return out, total
 
 
 def write_token_files(docs: DataFrame, folder: str, path: str, end_id: int, partitions: int | None = None) -> None:

@@ -10,7 +10,6 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tideline.llm.folds import one_label
 from tideline.llm.words import narrow_batches, split_words, text_batches
 
 _SYMBOLS = "#*$%&|<>"
@@ -54,26 +53,28 @@ def fit(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) ->
     s = settings
     spark = docs.sparkSession
     narrow_batches(spark)
-    trusted = one_label(labels.where(F.col("quality") == 1), "quality").select("doc_id", F.lit(-1).alias("deal"), "label")
-    # Rows without id match nothing; the second key deals them to all tasks.
-    deal = F.when(F.col("doc_id").isNull(), F.pmod(F.xxhash64("text"), F.lit(4096)).cast("int")).otherwise(-1)
-    joined = docs.select("doc_id", "text", deal.alias("deal")).join(trusted, ["doc_id", "deal"], "left")
-    flagged = joined.select("text", F.col("label").isNotNull().alias("trusted"))
+    trusted = labels.where(F.col("quality") == 1).select("doc_id")
+    # Raw text is counted where it is read. Only trusted text is shuffled: the ids' Bloom filter keeps the rest from the exchange
+    # (Spark makes one where a plain filter of a table is joined, so repeated labels stay: a semi join does not mind them).
+    spark.conf.set("spark.sql.optimizer.runtime.bloomFilter.enabled", "true")
+    spark.conf.set("spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold", "0")
+    chosen = docs.select("doc_id", "text").where("doc_id is not null").join(trusted, "doc_id", "left_semi").select("text")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found = np.zeros((2, 1 << s.bits), np.int64)
-        for batch, texts in text_batches(batches):
-            places, owner = _grams(texts, s)
-            found[0] += np.bincount(places, minlength=1 << s.bits)
-            chosen = np.array(batch.column(1).to_pylist(), bool)[owner]
-            found[1] += np.bincount(places[chosen], minlength=1 << s.bits)
-        seen = np.flatnonzero(found[0])
-        yield pa.RecordBatch.from_arrays([pa.array(seen, pa.int32()), pa.array(found[0][seen]), pa.array(found[1][seen])], names=["place", "raw", "target"])
-
-    counts = flagged.mapInArrow(count, "place int, raw long, target long").groupBy("place").agg(F.sum("raw").alias("raw"), F.sum("target").alias("target")).toArrow()
-    raw, target = np.zeros(1 << s.bits), np.zeros(1 << s.bits)
-    places = counts.column("place").to_numpy()
-    raw[places], target[places] = counts.column("raw").to_numpy(), counts.column("target").to_numpy()
+        found = np.zeros(1 << s.bits, np.int64)
+        for _, texts in text_batches(batches):
+            found += np.bincount(_grams(texts, s)[0], minlength=1 << s.bits)
+        seen = np.flatnonzero(found)
+        yield pa.RecordBatch.from_arrays([pa.array(seen, pa.int32()), pa.array(found[seen])], names=["place", "n"])
+
+    def counted(texts: DataFrame) -> np.ndarray:
+        counts = texts.mapInArrow(count, "place int, n long").groupBy("place").agg(F.sum("n").alias("n")).toArrow()
+        out = np.zeros(1 << s.bits)
+        out[counts.column("place").to_numpy()] = counts.column("n").to_numpy()
+        return out
+
+    raw, target = counted(docs.select("text")), counted(chosen)
+    places = np.flatnonzero(raw)
     ratio = np.zeros(1 << s.bits)
     share = raw[places] / max(raw.sum(), 1.0)
     ratio[places] = np.log((target[places] + s.prior * share) / (target.sum() + s.prior)) - np.log(share)

@@ -47,7 +47,7 @@ def _lists(counts: np.ndarray, values: np.ndarray, kind: pa.DataType) -> pa.Arra
 
 def _profiles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """doc_id, h1, h2, n_words, whole (sha256 of all words), and anchors of the text: hash, place, first window."""
-    for batch, texts in text_batches(batches, 1_000_000):
+    for batch, texts in text_batches(batches):
         words = [repeats.words_of(t) for t in texts]
         sizes = np.fromiter(map(len, words), np.int64, len(words))
         found, place, first, counts = repeats.anchors(repeats.word_hashes([w for one in words for w in one]), sizes)
@@ -70,7 +70,7 @@ _SLICE = "is_reference boolean, ref long, block int, node long, doc_id long, sta
 def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Words of a text around its anchors, by the reference block they go to, and the text's own blocks."""
     names = [column.split(" ")[0] for column in _SLICE.split(", ")]
-    for batch, texts in text_batches(batches, 1_000_000):
+    for batch, texts in text_batches(batches):
         rows: list[tuple] = []
         columns = [batch.column(k).to_pylist() for k in range(4)]
         for node, doc_id, routes, own, text in zip(*columns, texts, strict=True):
@@ -128,7 +128,7 @@ def _factored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """h1, h2, n_removed, kept_sha256 and spans of texts with their repeats."""
-    for batch, texts in text_batches(batches, 1_000_000):
+    for batch, texts in text_batches(batches):
         removed, digests, shown = [], [], []
         for spans, text in zip(batch.column(2).to_pylist(), texts, strict=True):
             words = repeats.words_of(text)
@@ -182,15 +182,19 @@ def without_repeats(docs: DataFrame, scratch: str) -> DataFrame:
 
     wanted = given.join(plan, ["doc_id", "h1", "h2"]).select("node", "doc_id", "routes", "own", "text")
     slices = stored(wanted.mapInArrow(_slices, _SLICE), "slices")
-    reference = slices.where("is_reference").dropDuplicates(["ref", "block"]).select("ref", "block", F.col("words").alias("reference"), F.col("doc_id").alias("ref_doc"))
+    # Tables that hot keys meet are written first, so that adaptive execution can split those keys.
+    once = slices.where("is_reference").dropDuplicates(["ref", "block"])
+    reference = stored(once.select("ref", "block", F.col("words").alias("reference"), F.col("doc_id").alias("ref_doc")), "references")
     sent = slices.where("not is_reference").drop("is_reference")
     met = sent.join(reference, ["ref", "block"]).select("ref", "block", "node", "doc_id", "start", "places", "firsts", "nexts", "words", "reference", "ref_doc")
     found = stored(met.mapInArrow(_factored, _FOUND), "found")
 
     rest = found.where("window is not null")
-    halves = rest.groupBy("half").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most")).where("least < most").select("half")
+    both = rest.groupBy("half").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most")).where("least < most").select("half")
+    halves = stored(both, "halves")
     open_ = stored(rest.join(halves, "half", "left_semi").select("window", "half", "node", "doc_id", "start"), "open")
     twice = open_.groupBy("window", "half").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most")).where("least < most").drop("most")
+    twice = stored(twice, "twice")
     again = open_.join(twice, ["window", "half"]).where("doc_id > least").select("node", "start", (F.col("start") + WINDOW).alias("ends"))
     spans = found.where("window is null").select("node", "start", "ends").unionByName(again)
     gone = stored(nodes.join(spans.groupBy("node").agg(F.collect_set(F.struct("start", "ends")).alias("spans")), "node"), "spans")

@@ -505,3 +505,50 @@ def test_copies_of_one_time_on_both_sides(spark):
     assert dict(rows(out.groupBy("w").count())) == {1.0: 3000, 2.0: 1, 3.0: 1, 4.0: 1}
     assert rows(gaps.internal_gaps(df, ["k"], "time", 2.0).select("gap_minutes")) == [(80.0,)]
     assert dict(rows(gaps.with_segment(df, ["k"], "time", 150 * tm.SECOND).groupBy("segment_no").count())) == {0: 3002, 1: 1}
+
+
+def test_crowded_days_are_cut_by_count(spark):
+    rng = random.Random(8)
+    day = 86_400
+    spans = []
+    for key in ("a", "b"):
+        for _ in range(600):  # most starts fall on one day
+            at = rng.choice([rng.randrange(50 * day), 9 * day + rng.randrange(3_000)])
+            spans.append((key, rng.choice("pqrs"), at, at + rng.choice([0, 5, rng.randrange(40_000), rng.randrange(9 * day)])))
+        spans += [(key, "p", 9 * day, 9 * day + 7)] * 40
+    spans += [("c", "p", 0, 10), ("c", "q", 10, 20), ("c", "r", 5, 5)]
+    df = spark.createDataFrame([(k, n, BASE + timedelta(seconds=a), BASE + timedelta(seconds=b)) for k, n, a, b in spans], ["k", "n", "start", "end"])
+
+    def merged(of):
+        out = []
+        for a, b in sorted(of):
+            if out and a <= out[-1][1]:
+                out[-1] = (out[-1][0], max(b, out[-1][1]))
+            else:
+                out.append((a, b))
+        return out
+
+    seconds = lambda c: (F.unix_seconds(c) - F.unix_seconds(F.lit(BASE))).cast("int")
+    union = ranges.interval_union(df, ["k"], rows_at_once=10).select("k", seconds("start").alias("a"), seconds("end").alias("b"))
+    assert rows(union) == sorted(((k, a, b) for k in "abc" for a, b in merged([(s, e) for key, _, s, e in spans if key == k])), key=lambda r: [str(v) for v in r])
+
+    expected = {}
+    for k in "abc":
+        per = {n: merged([(s, e) for key, name, s, e in spans if (key, name) == (k, n)]) for n in "pqrs"}
+        for x in "pqrs":
+            for y in "pqrs":
+                shared = [(max(a, c), min(b, d)) for a, b in per[x] for c, d in per[y] if x < y and max(a, c) < min(b, d)]
+                if shared:
+                    expected[k, x, y] = (sum(b - a for a, b in shared), min(a for a, _ in shared), max(b for _, b in shared))
+    for at_once in (7, 5_000):
+        got = ranges.pairwise_overlaps(df, ["k"], "n", rows_at_once=at_once)
+        found = {(r["k"], r["n_a"], r["n_b"]): (r["overlap_hours"], r["a"], r["b"]) for r in got.select("*", seconds("overlap_start").alias("a"), seconds("overlap_end").alias("b")).collect()}
+        assert set(found) == set(expected)
+        assert all(abs(found[p][0] - expected[p][0] / 3600) < 0.006 and found[p][1:] == expected[p][1:] for p in expected)
+    halves = [df.where("n in ('p', 'q')"), df.where("n in ('r', 's')")]
+    both = ranges.interval_intersection(*halves, ["k"], rows_at_once=10).select("k", seconds("start").alias("a"), seconds("end").alias("b"))
+    sides = {k: [merged([(s, e) for key, n, s, e in spans if key == k and n in names]) for names in ("pq", "rs")] for k in "abc"}
+    assert rows(both.groupBy("k").agg(F.sum(F.col("b") - F.col("a")).alias("t"))) == [(k, t) for k in "abc" if (t := sum(max(0, min(b, d) - max(a, c)) for a, b in sides[k][0] for c, d in sides[k][1]))]
+    edges = ranges.seq.with_equal_chunks(df.select("k", F.unix_seconds("start").alias("v")).distinct(), ["k"], F.col("v"), 10, width=3_600)
+    sizes = edges.groupBy("k", "_chunk").count()
+    assert sizes.where("k <> 'c'").agg(F.max("count")).first()[0] <= 40 and sizes.count() > 40

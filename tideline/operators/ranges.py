@@ -9,13 +9,18 @@ side allows it.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tideline.functions import time as tm
 from tideline.operators import sequence as seq
+from tideline.session import materialize
 
-_UNION_CHUNK = 30 * tm.DAY
+_ROWS_AT_ONCE = 50_000  # intervals or ends of one key that a task orders, about
+_SWEPT_AT_ONCE = 5_000  # intervals of one key that a task sweeps, about, besides those open all along
 
 
 def clip_to_leg(df: DataFrame, windows: DataFrame, time: str, optional: bool = False) -> DataFrame:
@@ -28,18 +33,21 @@ def clip_to_leg(df: DataFrame, windows: DataFrame, time: str, optional: bool = F
     return joined.where(inside).select(*df.columns)
 
 
-def interval_union(intervals: DataFrame, keys: list[str], start: str = "start", end: str = "end") -> DataFrame:
+def interval_union(
+    intervals: DataFrame, keys: list[str], start: str = "start", end: str = "end", rows_at_once: int = _ROWS_AT_ONCE
+) -> DataFrame:
     """Merge overlapping and touching intervals per key.
 
-    Intervals are merged inside chunks of their start time first. How far the
+    Intervals of equal start become one before anything is shuffled whole. The rest are merged inside chunks of about
+    `rows_at_once` starts, however crowded a day is. How far the
     earlier chunks reach then decides which of a chunk's merged intervals
     continue the last one before it.
     """
     rows = intervals.select(
         *keys, tm.micros(start).alias("_a"), tm.micros(end).alias("_b")
     ).where(F.col("_a").isNotNull() & F.col("_b").isNotNull())
-    # Said here, the filter the join below would add to one side only; so both sides share one shuffle.
-    chunked = rows.withColumn("_chunk", tm.bucket(F.col("_a"), _UNION_CHUNK)).where(F.col("_chunk").isNotNull())
+    longest = rows.groupBy(*keys, "_a").agg(F.max("_b").alias("_b"))
+    chunked = seq.with_equal_chunks(longest, keys, F.col("_a"), rows_at_once)
     inside = Window.partitionBy(*keys, "_chunk").orderBy("_a", "_b")
     before = F.max("_b").over(inside.rowsBetween(Window.unboundedPreceding, -1))
     local = (
@@ -116,7 +124,7 @@ def assign_window(
 
 
 def interval_intersection(
-    first: DataFrame, second: DataFrame, keys: list[str], start: str = "start", end: str = "end"
+    first: DataFrame, second: DataFrame, keys: list[str], start: str = "start", end: str = "end", rows_at_once: int = _ROWS_AT_ONCE
 ) -> DataFrame:
     """Where the merged intervals of both sides overlap, pieces of positive length only.
 
@@ -125,7 +133,7 @@ def interval_intersection(
     """
 
     def ends(df: DataFrame, side: str) -> DataFrame:
-        merged = interval_union(df, keys, start, end)
+        merged = interval_union(df, keys, start, end, rows_at_once)
         zero = F.lit(0).cast("long")
         one = F.lit(1).cast("long")
         step = [(one if side == s else zero) for s in ("a", "b")]
@@ -147,10 +155,10 @@ def interval_intersection(
     )
     # The state a point ends is that of all points before it.
     swept = seq.with_running(
-        points,
+        seq.with_equal_chunks(points, keys, F.col("_us"), rows_at_once, "_part"),
         keys,
         ["_us"],
-        tm.bucket(F.col("_us"), _UNION_CHUNK),
+        F.col("_part"),
         {"_from": ("max", F.col("_us")), "_open_a": ("sum", F.col("_da")), "_open_b": ("sum", F.col("_db"))},
         include_current=False,
     )
@@ -158,38 +166,88 @@ def interval_intersection(
     return both.select(*keys, F.timestamp_micros("_from").alias(start), F.timestamp_micros("_us").alias(end))
 
 
-def overlap_summary(pieces: DataFrame, keys: list[str], start: str = "start", end: str = "end") -> DataFrame:
-    """Hours shared, first start and last end per key."""
-    return pieces.groupBy(*keys).agg(
-        F.bround(F.sum(tm.micros(end) - tm.micros(start)) / float(tm.HOUR), 2).alias("overlap_hours"),
-        F.min(start).alias("overlap_start"),
-        F.max(end).alias("overlap_end"),
-    )
+
+def _open_pairs() -> Callable:
+    """Task function: seconds shared, first and last shared time of each pair of names that are open at once in a chunk.
+
+    Intervals are taken by rising start; those still open when one starts are the active set, so a pair of intervals is looked at only
+    if it overlaps. It is built here, so that workers need not have the package installed.
+    """
+
+    def sweep(table: pa.Table) -> pa.Table:
+        import numpy as np
+
+        s, e = table.column("_s").to_numpy(), table.column("_e").to_numpy()
+        codes = table.column("_name").combine_chunks().dictionary_encode()
+        names, code = codes.dictionary, codes.indices.to_numpy()
+        order = np.lexsort((e, s))
+        # Places of names in their own order, so that the smaller name of a pair is known by number.
+        by_name = np.argsort(np.array(names.to_pylist(), dtype=object), kind="stable")
+        rank = np.empty(len(by_name), np.int64)
+        rank[by_name] = np.arange(len(by_name))
+        active = np.zeros(0, np.int64)
+        left, right, low, high = [], [], [], []
+        for k in order:
+            active = active[e[active] > s[k]]
+            if e[k] > s[k]:
+                if len(active):
+                    left.append(rank[code[active]])
+                    right.append(np.full(len(active), rank[code[k]]))
+                    low.append(np.full(len(active), s[k]))
+                    high.append(np.minimum(e[active], e[k]))
+                active = np.append(active, k)
+        if not left:
+            left = right = low = high = [np.zeros(0, np.int64)]
+        a, b, low, high = (np.concatenate(x) for x in (left, right, low, high))
+        a, b = np.minimum(a, b), np.maximum(a, b)
+        pair, which = np.unique(a * len(names) + b, return_inverse=True)
+        total, least, most = np.zeros(len(pair), np.int64), np.full(len(pair), np.iinfo(np.int64).max), np.full(len(pair), np.iinfo(np.int64).min)
+        np.add.at(total, which, high - low)
+        np.minimum.at(least, which, low)
+        np.maximum.at(most, which, high)
+        named = [names.take(pa.array(by_name[x])) for x in (pair // max(len(names), 1), pair % max(len(names), 1))]
+        keyed = [table.column(c).combine_chunks().take(pa.array(np.zeros(len(pair), np.int64))) for c in table.column_names if c.startswith("_key")]
+        columns = [*keyed, *named, pa.array(total), pa.array(least), pa.array(most)]
+        return pa.table(columns, names=[*(c for c in table.column_names if c.startswith("_key")), "_a", "_b", "_shared", "_low", "_high"])
+
+    return sweep
 
 
 def pairwise_overlaps(
-    intervals: DataFrame, keys: list[str], name: str, start: str = "start", end: str = "end", width: int = 30 * tm.DAY
+    intervals: DataFrame, keys: list[str], name: str, start: str = "start", end: str = "end", rows_at_once: int = _SWEPT_AT_ONCE
 ) -> DataFrame:
     """For names a < b of one key: the time both cover. Intervals of one name are merged first.
 
-    Only intervals that share a time bucket meet, and after merging there are
-    few of them; a pair of intervals is counted in the one bucket where their
-    overlap starts.
+    A sweep along time: intervals are cut at the edges of chunks of about `rows_at_once` starts, which carries open names over the
+    edges, and each chunk adds up what its pairs share. No two intervals meet that do not overlap.
     """
-    merged = interval_union(intervals, [*keys, name], start, end).select(
-        *keys, F.col(name).alias("_name"), tm.micros(start).alias("_s"), tm.micros(end).alias("_e")
-    )
-    spread = merged.withColumn("_bucket", _touched(F.col("_s"), F.col("_e"), width))
-    a = spread.select(*keys, "_bucket", F.col("_name").alias(f"{name}_a"), F.col("_s").alias("_sa"), F.col("_e").alias("_ea"))
-    b = spread.select(*keys, "_bucket", F.col("_name").alias(f"{name}_b"), F.col("_s").alias("_sb"), F.col("_e").alias("_eb"))
-    lo, hi = F.greatest("_sa", "_sb"), F.least("_ea", "_eb")
-    met = a.join(b, [*keys, "_bucket"]).where(
-        (F.col(f"{name}_a") < F.col(f"{name}_b")) & (lo < hi) & (tm.bucket(lo, width) == F.col("_bucket"))
+    merged = interval_union(intervals.where(F.col(name).isNotNull()), [*keys, name], start, end).select(
+        *[F.col(k).alias(f"_key{i}") for i, k in enumerate(keys)], F.col(name).alias("_name"), tm.micros(start).alias("_s"), tm.micros(end).alias("_e")
     )
-    shared = met.select(
-        *keys, f"{name}_a", f"{name}_b", F.timestamp_micros(lo).alias(start), F.timestamp_micros(hi).alias(end)
+    merged = materialize(merged, "merged")
+    named = [f"_key{i}" for i in range(len(keys))]
+    edges = seq.chunk_edges(merged, named, F.col("_s"), rows_at_once)
+    met = seq.join_summary(merged, edges, named, F.col("_s"))
+    first, last = (seq.chunk_of(F.col(c), F.col("_halvings"), F.col("_edges")) for c in ("_s", "_e"))
+    step = (F.lit(1 << seq._CUTS) / F.pow(F.lit(2.0), F.col("_halvings"))).cast("int")
+    parted = met.withColumn("_chunk", F.explode(F.sequence(first, last, step)))
+    low, high = seq.chunk_bounds(F.col("_chunk"), F.col("_halvings"), F.col("_edges"))
+    cut = parted.select(*named, "_chunk", "_name", F.greatest("_s", low).alias("_s"), F.least("_e", high).alias("_e"))
+    kinds = {f.name: f.dataType.simpleString() for f in merged.schema}
+    shape = ", ".join([*(f"{k} {kinds[k]}" for k in named), f"_a {kinds['_name']}", f"_b {kinds['_name']}", "_shared long, _low long, _high long"])
+    found = cut.groupBy(*named, "_chunk").applyInArrow(_open_pairs(), shape)
+    return (
+        found.groupBy(*named, "_a", "_b")
+        .agg(F.sum("_shared").alias("_shared"), F.min("_low").alias("_low"), F.max("_high").alias("_high"))
+        .select(
+            *[F.col(n).alias(k) for n, k in zip(named, keys, strict=True)],
+            F.col("_a").alias(f"{name}_a"),
+            F.col("_b").alias(f"{name}_b"),
+            F.bround(F.col("_shared") / float(tm.HOUR), 2).alias("overlap_hours"),
+            F.timestamp_micros("_low").alias("overlap_start"),
+            F.timestamp_micros("_high").alias("overlap_end"),
+        )
     )
-    return overlap_summary(shared, [*keys, f"{name}_a", f"{name}_b"], start, end)
 
 
 def prune_by_start(files: DataFrame, windows: DataFrame, keys: list[str]) -> DataFrame:

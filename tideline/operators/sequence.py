@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tideline.functions import time as tm
+from tideline.session import materialize
 
 _AGGREGATES = {"sum": F.sum, "max": F.max, "min": F.min}
 
@@ -23,6 +24,58 @@ def _merge(kind: str, before: Column, here: Column) -> Column:
     return pick(before, here)
 
 
+_CUTS = 11  # halvings of a key's rows, at most
+
+
+def chunk_edges(df: DataFrame, keys: list[str], value: Column, rows: int) -> DataFrame:
+    """(keys, _halvings, _edges): where to cut each key's values so that a chunk holds about `rows` of them, at most 2 ** 11 chunks a key.
+
+    The edges come from a quantile sketch, so they follow the values and not the clock. They are written once, so that all
+    steps cut alike. Keys with few rows have no edges.
+    """
+    shares = F.array(*[F.lit(k / 2**_CUTS) for k in range(1, 2**_CUTS)])
+    found = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"), F.percentile_approx(value, shares, 20_000).alias("_edges"))
+    halvings = F.least(F.ceil(F.log2(F.greatest(F.col("_rows") / float(rows), F.lit(1.0)))), F.lit(_CUTS)).cast("int")
+    return materialize(found.select(*keys, halvings.alias("_halvings"), F.when(halvings > 0, F.col("_edges")).alias("_edges")), "edges")
+
+
+def chunk_of(value: Column, halvings: Column, edges: Column) -> Column:
+    """Number of the chunk that holds a value: how many edges are not above it, found by as many halvings; numbers rise with values."""
+
+    def half(place: Column, k: Column) -> Column:
+        step = F.lit(1 << _CUTS) / F.pow(F.lit(2.0), k)
+        further = (place + step).cast("int")
+        return F.when(F.element_at(edges, further) <= value, further).otherwise(place)
+
+    found = F.aggregate(F.sequence(F.lit(1), halvings), F.lit(0), half)
+    # Never NULL, so that no filter on it is derived: Spark would push one that looks into a lambda to the wrong side of a join.
+    return F.coalesce(F.when(halvings > 0, found), F.lit(0))
+
+
+def chunk_bounds(chunk: Column, halvings: Column, edges: Column) -> tuple[Column, Column]:
+    """Values at which a chunk begins and the next one does; NULL at the ends of all."""
+    step = (F.lit(1 << _CUTS) / F.pow(F.lit(2.0), halvings)).cast("int")
+    after = chunk + step
+    return F.when(chunk > 0, F.element_at(edges, F.greatest(chunk, F.lit(1)))), F.when(after < (1 << _CUTS), F.element_at(edges, F.least(after, F.lit((1 << _CUTS) - 1))))
+
+
+def with_equal_chunks(df: DataFrame, keys: list[str], value: Column, rows: int, name: str = "_chunk", width: int = tm.HOUR) -> DataFrame:
+    """Add the number of the chunk of about `rows` rows, by rising value, that each row is in; equal values share one.
+
+    Rows are counted per bucket of `width`; neighbouring buckets make up a chunk, and a bucket of more rows is cut into
+    equal parts. Only exact counts decide, so a repeated task cuts as before.
+    """
+    held = df.withColumn("_value", value).withColumn("_bucket", tm.bucket(F.col("_value"), width))
+    before = Window.partitionBy(*keys).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    counts = held.groupBy(*keys, "_bucket").agg(F.count(F.lit(1)).alias("_rows"))
+    first = F.floor(F.coalesce(F.sum("_rows").over(before), F.lit(0)) / F.lit(rows))
+    cuts = counts.select(*keys, "_bucket", first.alias("_first"), F.ceil(F.col("_rows") / F.lit(rows)).alias("_parts"))
+    inside = F.floor((F.col("_value") - F.col("_bucket") * F.lit(width)) * F.col("_parts") / F.lit(width))
+    # Never NULL, so that no filter on it is derived for one side only and joins by it share their shuffle.
+    chunk = F.coalesce(F.col("_first") + inside, F.lit(0))
+    return held.join(cuts, [*keys, "_bucket"]).withColumn(name, chunk).select(*df.columns, name)
+
+
 def time_chunk(time: str, width: int = tm.DAY) -> Column:
     return tm.bucket(tm.micros(time), width)
 

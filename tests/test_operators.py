@@ -552,3 +552,20 @@ def test_crowded_days_are_cut_by_count(spark):
     edges = ranges.seq.with_equal_chunks(df.select("k", F.unix_seconds("start").alias("v")).distinct(), ["k"], F.col("v"), 10, width=3_600)
     sizes = edges.groupBy("k", "_chunk").count()
     assert sizes.where("k <> 'c'").agg(F.max("count")).first()[0] <= 40 and sizes.count() > 40
+
+
+def test_blocks_meet_only_where_pivots_allow(spark):
+    rng = np.random.default_rng(12)
+    centres = rng.uniform(-100, 100, (25, 6))
+    spread = np.vstack([c + rng.normal(0, 0.3, (80, 6)) for c in centres] + [rng.uniform(-100, 100, (40, 6))])
+    df = spark.createDataFrame([(1, i, [float(x) for x in v]) for i, v in enumerate(spread)], "f int, id int, v array<double>")
+    blocks = detect._blocks(detect.indexed(df, ["f"], "id", "v"), ["f"], 20).select("f", "_block", "_low", "_high", "_members").cache()
+    assert blocks.agg(F.max(F.size("_members")), F.sum(F.size("_members"))).first()[:] == (20, len(spread))
+    sizes = blocks.select("_block", F.size("_members").alias("n"))
+    pairs = detect.block_pairs(blocks, blocks, ["f"], 1.0)
+    assert pairs.distinct().count() == pairs.count()
+    met = pairs.join(sizes.withColumnsRenamed({"_block": "left_block", "n": "a"}), "left_block").join(sizes.withColumnsRenamed({"_block": "right_block", "n": "b"}), "right_block")
+    compared = met.agg(F.sum(F.col("a") * F.col("b"))).first()[0]
+    assert compared < len(spread) * 80 * 4 < len(spread) ** 2 / 6  # a few clusters' worth a point, not all points
+    out = detect.noise_points(df, ["f"], "id", "v", 1.0, 4, block=20)
+    assert {r["id"] for r in out.collect()} == brute_noise(spread, 1.0, 4)

@@ -6,7 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tideline.functions import acoustic as ac
@@ -30,28 +30,71 @@ SAMPLE_RATE = 32_000.0
 INSTRUMENT_TONES_HZ = [38_000.0, 75_000.0, 80_000.0]
 AVOID_LABELS = ["Stream", "Water", "Pour", "Frying (food)", "Drip", "Boiling", "Raindrop"]
 
-_BLOCK = 256
+_BLOCK = 256  # points of a block
+_SLAB = 16  # blocks of a slab, about
+_PIVOTS = 3
+_UNIT = 2**-20  # distances are ordered in these steps
 
 
-def _blocks(points: DataFrame, keys: list[str], eps: float, block: int) -> DataFrame:
-    """Bounded blocks of points, laid out so that only near blocks have to meet.
+def _distance(a: Column, b: Column) -> Column:
+    return F.sqrt(F.aggregate(F.zip_with(a, b, lambda x, y: (x - y) * (x - y)), F.lit(0.0), lambda acc, x: acc + x))
 
-    The projection on the diagonal never stretches distances: points within
-    eps have projections within eps. Points are put in slabs of eps along it,
-    and a slab with more than `block` points is split by hash.
+
+def _with_pivots(points: DataFrame, keys: list[str]) -> DataFrame:
+    """Points with their distances `_d` to a few points of their key that lie far apart.
+
+    The first pivot is the point of least number; each further one is the point farthest from those before it. One row a
+    key is found in each pass, and meets the points in many tasks.
     """
-    slabbed = points.withColumn("_slab", F.floor(F.col("_projection") / eps))
-    load = slabbed.groupBy(*keys, "_slab").agg(F.ceil(F.count(F.lit(1)) / F.lit(block)).cast("int").alias("_parts"))
-    parted = slabbed.join(load, [*keys, "_slab"]).withColumn(
-        "_part", F.pmod(F.xxhash64("_point"), F.col("_parts")).cast("int")
-    )
-    return parted.groupBy(*keys, "_slab", "_part").agg(
-        F.min("_projection").alias("_low"),
-        F.max("_projection").alias("_high"),
+    spots = points.withColumn("_d", F.array().cast("array<double>"))
+    for number in range(_PIVOTS):
+        rank = -F.array_min("_d") if number else F.lit(0.0)
+        pivot = spots.groupBy(*keys).agg(F.min_by("_vector", F.struct(rank, F.col("_point"))).alias("_pivot"))
+        met = seq.join_summary(spots, pivot, keys, F.col("_point"))
+        spots = met.withColumn("_d", F.concat("_d", F.array(_distance(F.col("_vector"), F.col("_pivot"))))).drop("_pivot")
+    return spots
+
+
+def _blocks(points: DataFrame, keys: list[str], block: int) -> DataFrame:
+    """Blocks of at most `block` points: slabs of equal count along the distance to the first pivot, cut along that to the second.
+
+    A block knows the range of its distances to every pivot (`_low`, `_high`).
+    """
+    place = (F.col("_d")[0] / _UNIT).cast("long")
+    slabbed = seq.with_equal_chunks(points, keys, place, block * _SLAB, "_slab", width=int(0.25 / _UNIT))
+    order = Window.partitionBy(*keys, "_slab").orderBy(F.col("_d")[1], F.col("_d")[2], "_point")
+    cut = slabbed.withColumn("_part", F.floor((F.row_number().over(order) - 1) / block))
+    ranges = [pick(F.col("_d")[k]) for pick in (F.min, F.max) for k in range(_PIVOTS)]
+    return cut.groupBy(*keys, "_slab", "_part").agg(
+        F.array(*ranges[:_PIVOTS]).alias("_low"),
+        F.array(*ranges[_PIVOTS:]).alias("_high"),
         F.collect_list(F.struct("_point", "_vector", "_weight")).alias("_members"),
+        F.min("_point").alias("_block"),
     )
 
 
+def block_pairs(left: DataFrame, right: DataFrame, keys: list[str], eps: float) -> DataFrame:
+    """(left_block, right_block) of all pairs of blocks that can hold points within eps.
+
+    By the triangle inequality such points differ by at most eps in their distance to any pivot. Blocks meet in steps of eps along the
+    distance to the first pivot, each pair in the first step both reach into; only their ranges travel.
+    """
+
+    def reaching(blocks: DataFrame, side: str, reach: float) -> DataFrame:
+        low, high = F.floor((F.col("_low")[0] - reach) / eps), F.floor((F.col("_high")[0] + reach) / eps)
+        return blocks.select(
+            *keys, F.col("_block").alias(f"{side}_block"), F.col("_low").alias(f"_low_{side}"), F.col("_high").alias(f"_high_{side}"),
+            low.alias(f"_first_{side}"), F.explode(F.sequence(low, high)).alias("_step"),
+        )
+
+    slack = eps * (1 + 1e-9) + 1e-9
+    met = reaching(left, "left", slack).join(reaching(right, "right", 0.0), [*keys, "_step"])
+    near = F.col("_step") == F.greatest("_first_left", "_first_right")
+    for k in range(_PIVOTS):
+        near = near & (F.col("_low_left")[k] <= F.col("_high_right")[k] + slack) & (F.col("_low_right")[k] <= F.col("_high_left")[k] + slack)
+    return met.where(near).select("left_block", "right_block")
+
+
 def _near_counter(eps: float):
     """Task function: for each pair of blocks, the weight of the right members within eps of each left member.
 
@@ -73,15 +116,10 @@ def _near_counter(eps: float):
 
 
 def _near_weight(left: DataFrame, right: DataFrame, keys: list[str], eps: float) -> DataFrame:
-    """(point, weight within eps) over all pairs of blocks that can hold near points."""
-    reach = F.explode(F.array(*[F.col("_slab") + step for step in (-1, 0, 1)]))
-    a = left.select(*keys, reach.alias("_slab"), F.col("_low").alias("_la"), F.col("_high").alias("_ha"),
-                    F.col("_members").alias("_a"))
-    b = right.select(*keys, "_slab", F.col("_low").alias("_lb"), F.col("_high").alias("_hb"),
-                     F.col("_members").alias("_b"))
-    met = a.join(b, [*keys, "_slab"]).where(
-        (F.col("_la") <= F.col("_hb") + eps) & (F.col("_lb") <= F.col("_ha") + eps)
-    )
+    """(point, weight within eps) over all pairs of blocks that can hold near points; a pair of blocks is a row, dealt by both."""
+    a = left.select(F.col("_block").alias("left_block"), F.col("_members").alias("_a"))
+    b = right.select(F.col("_block").alias("right_block"), F.col("_members").alias("_b"))
+    met = block_pairs(left, right, keys, eps).join(a, "left_block").join(b, "right_block")
     pairs = met.select(
         F.col("_a._point").alias("ids"), F.col("_a._vector").alias("left"),
         F.col("_b._vector").alias("right"), F.col("_b._weight").alias("weight"),
@@ -90,6 +128,15 @@ def _near_weight(left: DataFrame, right: DataFrame, keys: list[str], eps: float)
     return counted.groupBy("_point").agg(F.sum("_near").alias("_near"))
 
 
+def indexed(df: DataFrame, keys: list[str], point: str, vector: str) -> DataFrame:
+    """Distinct vectors of each recording with their weight and their distances to its pivots, written once."""
+    values = F.transform(F.col(vector), lambda x: x.cast("double"))
+    merged = df.groupBy(*keys, values.alias("_vector")).agg(
+        F.min(point).alias("_point"), F.count(F.lit(1)).alias("_weight")
+    )
+    return materialize(_with_pivots(merged, keys), "indexed")
+
+
 def noise_points(
     df: DataFrame, keys: list[str], point: str, vector: str, eps: float = DBSCAN_EPS,
     min_samples: int = DBSCAN_MIN_SAMPLES, block: int = _BLOCK,
@@ -99,25 +146,17 @@ def noise_points(
     Noise is a point with fewer than `min_samples` points (itself included)
     within eps, and none of those a core point; cluster numbers are not
     needed. Equal vectors are first merged into one with a weight. The rest
-    meet block by block, and a pair of blocks yields one count per point, never
+    meet block by block, where the distances to pivots allow it, and a pair of blocks yields one count per point, never
     the pairs. `point` is unique over the table.
     """
-    values = F.transform(F.col(vector), lambda x: x.cast("double"))
-    merged = df.groupBy(*keys, values.alias("_vector")).agg(
-        F.min(point).alias("_point"), F.count(F.lit(1)).alias("_weight")
-    )
-    length = F.sqrt(F.size("_vector").cast("double"))
-    projected = merged.withColumn(
-        "_projection", F.aggregate("_vector", F.lit(0.0), lambda acc, x: acc + x) / length
-    )
-    blocks = _blocks(projected, keys, eps, block)
-    counted = materialize(projected.join(_near_weight(blocks, blocks, keys, eps), "_point"))
-    core = counted.where(F.col("_near") >= min_samples)
+    points = indexed(df, keys, point, vector)
+    blocks = materialize(_blocks(points, keys, block), "blocks")
+    counted = materialize(points.join(_near_weight(blocks, blocks, keys, eps), "_point"), "counted")
+    core = counted.where(F.col("_near") >= min_samples).drop("_near")
     sparse = counted.where(F.col("_near") < min_samples).drop("_near")
-    touched = _near_weight(
-        _blocks(sparse, keys, eps, block), _blocks(core.drop("_near"), keys, eps, block), keys, eps
-    ).where(F.col("_near") > 0)
+    touched = _near_weight(_blocks(sparse, keys, block), _blocks(core, keys, block), keys, eps).where(F.col("_near") > 0)
     noise = sparse.join(touched, "_point", "left_anti").select(*keys, "_vector")
+    values = F.transform(F.col(vector), lambda x: x.cast("double"))
     return df.withColumn("_vector", values).join(noise, [*keys, "_vector"], "left_semi").select(*df.columns)
 
 

@@ -25,6 +25,8 @@ def components(links: DataFrame, scratch: str) -> DataFrame:
             break
         before = now
         found = _small_star(_large_star(found))
+    else:
+        raise ArithmeticError("components did not settle")
     return found.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(
         found.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
     )

@@ -1,11 +1,12 @@
 """Near duplicates (operator 8): an LSH forest over MinHash signatures, links confirmed on whole shingle sets.
 
-Each of `TREES` orders sorts documents by a part of their signature. Documents that share
-the first `DEPTH` values of an order are a region. First, in a few orders, each document meets
-its neighbour by longest common prefix: the denser a region, the deeper the prefix that neighbours
-share. Regions that hold one component afterwards are done. In all others, of all orders, documents
-of different components meet: first one neighbour each, which leaves few components, then all
-whose larger sketches allow a link, whatever their number.
+Each of `TREES` orders sorts documents by their signature from another value on. Documents that share
+the first `DEPTH` values of an order are a region, and within it they are sorted by the values that follow, so the denser a
+region, the deeper the prefix that neighbours share. First, in a few orders, each document meets
+its neighbour by longest common prefix. Regions that hold one component afterwards are done. In all others, in all
+orders, neighbours of different components meet, which leaves few components. What a deeper prefix may have parted is found
+by an exact pass over the regions that are still open: documents of different components meet in the first order they share,
+in shares of bounded size, if their larger sketches allow a link.
 
 A pair of similarity 0.75 shares a region of an order with chance 0.75 ** 4, so it meets in none
 of the 32 orders with chance 5e-6; its sketches are too far apart with chance 4e-6.
@@ -37,6 +38,7 @@ _LONGS = SKETCH // 16
 # Differing values of the sketches of a pair that is compared, at most: 4.5 deviations above the 240 of a pair at 0.75.
 FURTHEST = 301
 REGION_ROWS = 4_096  # rows of a region that one task orders, about
+SHARE_ROWS = 512  # rows of a region that meet as many others at once, about
 
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _MIX = np.uint64(0xD6E8FEB86659FD93)
@@ -112,7 +114,7 @@ def _profiles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         some = np.array([k for k, s in enumerate(sets) if len(s)], np.int64)
         numbers = np.zeros((len(sets), 2), np.uint64)
         regions = np.zeros((len(some), TREES), np.uint64)
-        deeper = np.zeros((len(some), NEIGHBOUR_TREES), np.uint64)
+        deeper = np.zeros((len(some), TREES), np.uint64)
         if len(some):
             values = _signatures([sets[k] for k in some])
             for k in some:
@@ -122,8 +124,9 @@ def _profiles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             regions += np.arange(TREES, dtype=np.uint64)
             for k in range(DEPTH):
                 regions = _mixed(regions * _BASE + parts[:, :, k])
+            after = np.roll(parts, -1, axis=1)
             for k in range(DEPTH):  # the next values of the order, 16 bits of each
-                deeper = (deeper << np.uint64(16)) | (_mixed(parts[:, 1 : NEIGHBOUR_TREES + 1, k]) >> np.uint64(48))
+                deeper = (deeper << np.uint64(16)) | (_mixed(after[:, :, k]) >> np.uint64(48))
         empty = np.ones(len(sets), np.int64)
         empty[some] = 0
 
@@ -133,7 +136,7 @@ def _profiles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
         sizes = pa.array(np.fromiter(map(len, sets), np.int64, len(sets)))
         hi, lo = (pa.array(np.ascontiguousarray(numbers[:, k]).view(np.int64)) for k in range(2))
-        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), sizes, hi, lo, lists(regions, TREES), lists(deeper, NEIGHBOUR_TREES)], names=names)
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), sizes, hi, lo, lists(regions, TREES), lists(deeper, TREES)], names=names)
 
 
 def _pack(values: np.ndarray) -> bytes:
@@ -220,7 +223,7 @@ def near_duplicates(docs: DataFrame, scratch: str) -> DataFrame:
     numbered = named.select(F.col("row").alias("node"), "regions", "deeper")
     kept = stored(numbered.join(nodes.select("node"), "node", "left_semi"), "representatives")
 
-    placed = kept.select("node", F.posexplode("regions").alias("tree", "region"))
+    placed = kept.select("node", F.posexplode(F.arrays_zip("regions", "deeper")).alias("tree", "_at")).select("node", "tree", F.col("_at.regions").alias("region"), F.col("_at.deeper").alias("next"))
     shared = placed.groupBy("region").agg(F.min("node").alias("first"), F.max("node").alias("last"), F.count("*").alias("rows")).where("first < last")
     regions = stored(shared.select("region", "rows"), "regions")
     met = stored(placed.join(regions, "region"), "members")
@@ -232,11 +235,11 @@ def near_duplicates(docs: DataFrame, scratch: str) -> DataFrame:
     chosen = by_id.select("node", "text").unionByName(by_hash.select("node", "text")).dropDuplicates(["node"])
     sets = stored(chosen.mapInArrow(_sets, _SETS), "sets")
 
-    close = stored(_confirmed(_neighbours(met, kept), sets), "close")
+    close = stored(_confirmed(_neighbours(met), sets), "close")
     part = _parts(None, close, f"{scratch}/parts-1")
     beside = stored(_confirmed(_beside(met, part), sets), "beside")
     part = _parts(part, beside, f"{scratch}/parts-2")
-    links = stored(_confirmed(_across(met, sets, part), sets), "links")
+    links = stored(_confirmed(_across(met, kept, sets, part), sets), "links")
     part = _parts(part, links, f"{scratch}/parts-3")
     linked = stored(part.join(nodes.select("node", "id"), "node"), "linked")
     ids = linked.groupBy("component").agg(F.min("id").alias("component_id"))
@@ -265,17 +268,18 @@ def one_of_each(docs: DataFrame, scratch: str) -> DataFrame:
     keyed = docs.withColumn("_near_text", F.xxhash64("text"))
     wordless = ~F.coalesce(F.col("text").rlike(f"[^{SPACE}]"), F.lit(False))
     worded = keyed.where(~wordless).join(chosen, F.col("doc_id").cast("long").eqNullSafe(F.col("_near_id")) & (F.col("_near_text") == F.col("_near_hash")), "left_semi")
-    least = worded.groupBy("doc_id", "_near_text").agg(F.min(F.struct(*docs.columns)).alias("row")).select("row.*")
+    # Rows with the same id and text are ordered by a hash of their other columns, of whatever type.
+    others = F.xxhash64(F.to_json(F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != "text"])))
+    least = worded.groupBy("doc_id", "_near_text").agg(F.min_by(F.struct(*[F.col(f"`{c}`") for c in docs.columns]), others).alias("row")).select("row.*")
     return least.unionByName(docs.where(wordless))
 
 
-def _neighbours(met: DataFrame, kept: DataFrame) -> DataFrame:
+def _neighbours(met: DataFrame) -> DataFrame:
     """Pairs that stand next to each other in one of the first orders, within a region.
 
     Regions of many rows are dealt to several tasks by a hash; the first rows of the shares meet the region's.
     """
-    deeper = kept.select("node", "deeper")
-    rows = met.where(F.col("tree") < NEIGHBOUR_TREES).dropDuplicates(["region", "node"]).join(deeper, "node").withColumn("next", F.col("deeper")[F.col("tree")])
+    rows = met.where(F.col("tree") < NEIGHBOUR_TREES)
     shares = F.ceil(F.col("rows") / REGION_ROWS)
     dealt = rows.withColumn("share", F.pmod(F.xxhash64("node"), shares)).repartition("region", "share")
     order = Window.partitionBy("region", "share").orderBy("next", "node")
@@ -305,16 +309,16 @@ def _parts(part: DataFrame | None, links: DataFrame, scratch: str) -> DataFrame:
 
 def _open(met: DataFrame, part: DataFrame) -> DataFrame:
     """Members of the regions that hold more than one component, with their components."""
-    rows = met.select("region", "node").join(part, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    rows = met.drop("rows").join(part, "node", "left").withColumn("component", F.coalesce("component", "node"))
     several = rows.groupBy("region").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("rows")).where("lo < hi")
     return rows.join(several.select("region", "rows"), "region")
 
 
 def _beside(met: DataFrame, part: DataFrame) -> DataFrame:
-    """Pairs of different components that a region's rows, in an order of its own, put side by side."""
+    """Pairs of different components that stand next to each other, by longest common prefix, in a region of any order."""
     share = F.pmod(F.xxhash64("node"), F.ceil(F.col("rows") / REGION_ROWS))
     dealt = _open(met, part).withColumn("share", share).repartition("region", "share")
-    order = Window.partitionBy("region", "share").orderBy(F.xxhash64("region", "node"), "node")
+    order = Window.partitionBy("region", "share").orderBy("next", "node")
     beside = dealt.select("node", "component", F.lead("node").over(order).alias("other"), F.lead("component").over(order).alias("its"))
     return _ordered(beside.where("component <> its").select("node", "other"))
 
@@ -329,11 +333,21 @@ def _differing() -> Column:
     return total
 
 
-def _across(met: DataFrame, sets: DataFrame, part: DataFrame) -> DataFrame:
-    """Pairs of one region and different components whose sketches and sizes allow a link."""
+def _across(met: DataFrame, kept: DataFrame, sets: DataFrame, part: DataFrame) -> DataFrame:
+    """Pairs of different components that share a region, if their sketches and sizes allow a link.
+
+    A pair meets in the first order whose region it shares. The rows of a region are dealt to shares, and every two shares meet
+    by a key of their own, so no task holds a region.
+    """
     facts = sets.select("node", (F.octet_length("packed") / 6).cast("long").alias("n"), *_SKETCH_COLUMNS)
-    still = _open(met, part).join(facts, "node")
-    left, right = (still.select("region", *[F.col(c).alias(f"{c}_{s}") for c in ("node", "n", "component", *_SKETCH_COLUMNS)]) for s in "ab")
+    still = _open(met, part).select("node", "component", "region", "tree", F.ceil(F.col("rows") / SHARE_ROWS).alias("shares"))
+    rows = still.join(facts, "node").join(kept.select("node", "regions"), "node").withColumn("share", F.pmod(F.xxhash64("node"), F.col("shares")))
+    values = ("node", "n", "component", "regions", *_SKETCH_COLUMNS)
+    left = rows.select("region", "tree", F.col("share").alias("i"), F.explode(F.sequence("share", F.col("shares") - 1)).alias("j"), *[F.col(c).alias(f"{c}_a") for c in values])
+    right = rows.select("region", F.explode(F.sequence(F.lit(0).cast("long"), "share")).alias("i"), F.col("share").alias("j"), *[F.col(c).alias(f"{c}_b") for c in values])
     sizes = (100 * F.col("n_a") >= LEAST_PERCENT * F.col("n_b")) & (100 * F.col("n_b") >= LEAST_PERCENT * F.col("n_a"))
-    met_ = left.join(right, (left["region"] == right["region"]) & (F.col("node_a") < F.col("node_b")) & (F.col("component_a") != F.col("component_b")) & sizes & (_differing() <= FURTHEST))
-    return met_.select(F.col("node_a").alias("a"), F.col("node_b").alias("b")).distinct()
+    once = (left["i"] < left["j"]) | (F.col("node_a") < F.col("node_b"))
+    earlier = F.arrays_overlap(*[F.slice(f"regions_{s}", F.lit(1), F.col("tree")) for s in "ab"])
+    same = (left["region"] == right["region"]) & (left["i"] == right["i"]) & (left["j"] == right["j"])
+    met_ = left.join(right, same & once & (F.col("component_a") != F.col("component_b")) & sizes & (_differing() <= FURTHEST) & ~earlier)
+    return _ordered(met_.select(F.col("node_a").alias("node"), F.col("node_b").alias("other")))

@@ -117,3 +117,36 @@ def test_stream_tables_can_be_read_back(spark, folder):
     drop(spark, folder, "1", [("a", "2024-01-01 00:00:00", 1.0)])
     jobs.ingest_available(stream(spark, folder), str(folder / "out"), str(folder / "ck")).awaitTermination()
     assert tables.read_times(spark, str(folder / "out"), ["instrument"]).count() == 1
+
+
+def test_late_rows_go_to_their_own_table_and_their_partitions_are_recomputed(spark, folder):
+    from pyspark.sql import functions as F
+
+    def product(df):
+        return df.groupBy("instrument").agg(F.sum("value").alias("total"), F.count("*").alias("n"))
+
+    out = str(folder / "held")
+    batches = [
+        [("a", "2024-01-01 10:00:00", 1.0), ("b", "2024-01-01 12:00:00", 5.0)],
+        [("a", "2024-01-01 09:00:00", 10.0), ("c", "2024-01-01 12:00:00", 2.0)],  # 9:00 is behind 12:00
+        [("c", "2024-01-01 13:00:00", 1.0)],
+    ]
+    tables_ = []
+    for data in batches:
+        drop(spark, folder, "x", data)
+        jobs.ingest_and_mend(stream(spark, folder), out, str(folder / "ck"), product, ["instrument"]).awaitTermination()
+        tables_.append(rows(spark.read.parquet(f"{out}/table").select("instrument", "total", "n")))
+    assert tables_[0] == [("a", 1.0, 1), ("b", 5.0, 1)]
+    assert tables_[1] == [("a", 11.0, 2), ("b", 5.0, 1), ("c", 2.0, 1)]
+    assert tables_[2] == [("a", 11.0, 2), ("b", 5.0, 1), ("c", 3.0, 2)]
+    assert rows(spark.read.parquet(f"{out}/late").select("batch", "instrument", "value")) == [(1, "a", 10.0)]
+    jobs.ingest_and_mend(stream(spark, folder), out, str(folder / "ck"), product, ["instrument"]).awaitTermination()
+    assert spark.read.parquet(f"{out}/rows").count() == 5  # nothing new, nothing twice
+
+
+def test_rows_within_the_lateness_are_not_late(spark, folder):
+    out = str(folder / "held")
+    for data in ([("a", "2024-01-01 12:00:00", 1.0)], [("a", "2024-01-01 11:30:00", 1.0), ("a", "2024-01-01 10:59:59", 1.0)]):
+        drop(spark, folder, "x", data)
+        jobs.ingest_and_mend(stream(spark, folder), out, str(folder / "ck"), lambda df: df, ["instrument"], 3_600_000_000).awaitTermination()
+    assert rows(spark.read.parquet(f"{out}/late").select("time")) == [("2024-01-01 10:59:59.000000",)]

@@ -1,10 +1,9 @@
 """Nearest-in-time joins with a tolerance.
 
-The match of a row depends on its key and time only, so distinct times are
-matched and the result is joined back. Both sides are laid on a grid of
+Left rows as they are and right rows of a few columns are laid on one grid of
 buckets several tolerances wide; a right row also goes to the neighbouring
 bucket it can reach. Inside (key, bucket) one sort finds the last right row at
-or before and the first right row after every left time, so no pairs of rows
+or before and the first right row after every left row. So left rows are shuffled once, and no pairs of rows
 are formed however dense the two sides are.
 """
 
@@ -47,20 +46,21 @@ def _column(value: Column | str) -> Column:
 
 
 def _laid_out(source: Source, keys: list[str], side: int, width: int) -> DataFrame:
-    """Usable right rows on the grid, exact copies removed before the shuffle."""
+    """Usable right rows on the grid, exact copies removed before the shuffle. Keys are called _k0, _k1, ..."""
     named = {f"_v{side}_{i}": _column(c) for i, c in enumerate(source.columns.values())}
     prefer = {f"_o{side}_{i}": _column(p) for i, p in enumerate(source.prefer)}
+    places = {f"_k{i}": F.col(k) for i, k in enumerate(keys)}
     fixes = source.df.select(
-        *keys,
+        *[c.alias(n) for n, c in places.items()],
         tm.micros(source.time).alias("_right"),
         *[c.alias(n) for n, c in {**prefer, **named}.items()],
-    ).dropna(subset=["_right", *named]).distinct()
+    ).dropna(subset=[*places, "_right", *named]).distinct()
     us = F.col("_right") - source.shift_us
     reach = F.array_distinct(
         F.array(tm.bucket(us - source.tolerance_us, width), tm.bucket(us + source.tolerance_us, width))
     )
     return fixes.select(
-        *keys,
+        *places,
         F.explode(reach).alias("_bucket"),
         us.alias("_us"),
         F.lit(side).alias("_side"),
@@ -72,22 +72,31 @@ def _laid_out(source: Source, keys: list[str], side: int, width: int) -> DataFra
 def nearest_asof(left: DataFrame, sources: list[Source], keys: list[str], time: str = "time") -> DataFrame:
     """Left rows with each source's nearest row within its tolerance, NULL where there is none.
 
-    The tolerance is inclusive and of two rows equally near the earlier wins.
-    All sources share one grid, one sort and one join back.
+    The tolerance is inclusive and of two rows equally near the earlier wins. Rows without time or with a NULL key stay and match nothing.
+    All sources share one grid and one sort.
     """
     width = _BUCKET_TOLERANCES * max(s.tolerance_us for s in sources)
     last_side = len(sources)
-    times = left.where(F.col(time).isNotNull()).select(*keys, tm.micros(time).alias("_us")).distinct()
-    grid = times.select(
-        *keys, tm.bucket(F.col("_us"), width).alias("_bucket"), "_us", F.lit(last_side).alias("_side")
+    outputs = [n for s in sources for n in s.outputs()]
+    kept = [c for c in left.columns if c not in outputs]
+    # Rows without time are dealt by a hash, to buckets that no right row is in.
+    hashed = F.xxhash64(*[F.col(f"`{c}`") for c, kind in left.dtypes if c in kept and "map<" not in kind and "variant" not in kind])
+    untimed = F.lit(-(1 << 62)) - F.pmod(hashed, F.lit(1 << 40))
+    us = F.coalesce(tm.micros(time), untimed)
+    grid = left.select(
+        *[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)],
+        tm.bucket(us, width).alias("_bucket"),
+        us.alias("_us"),
+        F.lit(last_side).alias("_side"),
+        F.struct(*[F.col(f"`{c}`") for c in kept]).alias("_left"),
     )
     for side, source in enumerate(sources):
         grid = grid.unionByName(_laid_out(source, keys, side, width), allowMissingColumns=True)
 
-    partition = ", ".join(f"`{k}`" for k in [*keys, "_bucket"])
+    partition = ", ".join([*(f"_k{i}" for i in range(len(keys))), "_bucket"])
     ranks = ", ".join(f"_rank{i}" for i in range(last_side))
     over = f"OVER (PARTITION BY {partition} ORDER BY _us, _side, {ranks}"
-    matched = [F.col(k) for k in keys] + [F.col("_us")]
+    matched = []
     # Of right rows of one source at one time only the first in order stays.
     repeats = F.expr(f"lag(struct(_us, _side)) {over})") == F.struct("_us", "_side")
     grid = grid.withColumn("_repeats", F.coalesce(repeats, F.lit(False)))
@@ -109,18 +118,7 @@ def nearest_asof(left: DataFrame, sources: list[Source], keys: list[str], time:
         matched += [F.col(f"_m{i}._v{i}_{j}").alias(n) for j, n in enumerate(source.columns)]
         if source.match_time:
             matched.append(F.timestamp_micros(f"_m{i}.at").alias(source.match_time))
-    any_match = F.lit(False)
-    for i in range(last_side):
-        any_match = any_match | F.col(f"_m{i}").isNotNull()
-    matches = found.where(any_match).select(*matched)
-
-    outputs = [n for s in sources for n in s.outputs()]
-    kept = [c for c in left.columns if c not in outputs]
-    # Rows without time match nothing; a hash in place of the time deals them to all tasks.
-    hashed = F.xxhash64(*[F.col(f"`{c}`") for c, kind in left.dtypes if c in kept and "map<" not in kind and "variant" not in kind])
-    untimed = F.lit(-(1 << 62)) - F.pmod(hashed, F.lit(1 << 40))
-    joined = left.select(*kept, F.coalesce(tm.micros(time), untimed).alias("_us")).join(matches, [*keys, "_us"], "left")
-    return joined.select(*kept, *outputs)
+    return found.select(*[F.col(f"_left.`{c}`").alias(c) for c in kept], *matched)
 
 
 def geotag(df: DataFrame, positions: DataFrame, keys: list[str], tolerance_us: int, time: str = "time") -> DataFrame:

@@ -333,12 +333,30 @@ def stream_gaps(spark, sf_dir):
     return shown(_run(spark, jobs.gap_stream(_event_stream(spark, sf_dir), ["instrument"], 60.0, _LATENESS)))
 
 
-@query("stream_backfill", f"SELECT leg, instrument, event_id, ts AS time FROM {roles.LEGGED_SQL}")
+_LATE_SQL = "leg IN (2, 4) AND instrument = 'view'"
+
+
+@query(
+    "stream_backfill",
+    f"""
+    SELECT leg, instrument, event_id, ts AS time,
+           {_LATE_SQL} AND ts < (SELECT max(ts) FROM {roles.LEGGED_SQL} WHERE NOT ({_LATE_SQL})) AS late, n_in_leg
+    FROM (SELECT *, count(*) OVER (PARTITION BY leg) AS n_in_leg FROM {roles.LEGGED_SQL})
+    """,
+)
 def stream_backfill(spark, sf_dir):
-    # The first table lacks late rows of two legs; recomputing those legs repairs it.
+    """A stream in two batches: the second brings rows of two legs that are behind the watermark, and those legs are recomputed."""
     rows = roles.legged(spark, sf_dir).select("leg", "instrument", "event_id", "time")
-    late = F.col("leg").isin(2, 4)
+    late = F.col("leg").isin(2, 4) & (F.col("instrument") == "view")
     out = _scratch(spark)
-    jobs.backfill(rows.where(~(late & (F.col("instrument") == "view"))), out, ["leg"])
-    jobs.backfill(rows.where(late), out, ["leg"])
-    return shown(spark.read.parquet(out).select("leg", "instrument", "event_id", "time"))
+
+    def sized(found):
+        return found.join(found.groupBy("leg").agg(F.count(F.lit(1)).alias("n_in_leg")), "leg")
+
+    for part in (~late, late):
+        rows.where(part).write.mode("append").parquet(f"{out}/in")
+        arriving = jobs.read_new_files(spark, f"{out}/in", rows.schema)
+        jobs.ingest_and_mend(arriving, f"{out}/held", f"{out}/state", sized, ["leg"]).awaitTermination()
+    behind = spark.read.parquet(f"{out}/held/late").select("event_id", F.lit(True).alias("late"))
+    table = spark.read.parquet(f"{out}/held/table").join(behind, "event_id", "left")
+    return shown(table.select("leg", "instrument", "event_id", "time", F.coalesce("late", F.lit(False)).alias("late"), "n_in_leg"))

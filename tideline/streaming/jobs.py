@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -41,6 +43,43 @@ def ingest_available(stream: DataFrame, out: str, checkpoint: str, partition_by:
     return writer.trigger(availableNow=True).outputMode("append").start()
 
 
+def _earlier_clock(spark: SparkSession, folder: str, batch: int) -> int | None:
+    """The latest time (in microseconds) of all batches before this one."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    if not path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path):
+        return None
+    return spark.read.schema("us long, batch long").parquet(folder).where(F.col("batch") < batch).agg(F.max("us")).first()[0]
+
+
+def ingest_and_mend(
+    stream: DataFrame, out: str, checkpoint: str, product: Callable[[DataFrame], DataFrame], partition_by: list[str],
+    lateness_us: int = 0, time: str = "time",
+) -> StreamingQuery:
+    """Take what has arrived, keep rows behind the watermark apart as well, and recompute the partitions that any row touches.
+
+    The watermark of a batch is the latest time of the batches before it less `lateness_us`; what is older is late. Below `out`,
+    `rows/batch=N` holds all rows of a batch with a flag, `late/batch=N` the late ones, and `table` the product of all
+    rows, of which each batch replaces the touched partitions. A batch that is run again replaces its own
+    folders, so a failure between two steps costs nothing. Rows without time are never late.
+    """
+
+    def take(batch: DataFrame, number: int) -> None:
+        spark = batch.sparkSession
+        clock = _earlier_clock(spark, f"{out}/clock", number)
+        late = F.lit(False) if clock is None else F.coalesce(tm.micros(time) < clock - lateness_us, F.lit(False))
+        batch.withColumn("late", late).write.mode("overwrite").parquet(f"{out}/rows/batch={number}")
+        held = spark.read.parquet(f"{out}/rows/batch={number}")
+        held.where("late").drop("late").write.mode("overwrite").parquet(f"{out}/late/batch={number}")
+        held.agg(F.max(tm.micros(time)).alias("us")).write.mode("overwrite").parquet(f"{out}/clock/batch={number}")
+        touched = held.select(*partition_by).distinct()
+        known = spark.read.parquet(f"{out}/rows").where(F.col("batch") <= number).drop("batch", "late")
+        same = [known[k].eqNullSafe(touched[k]) for k in partition_by]
+        backfill(product(known.join(touched, same, "left_semi")), f"{out}/table", partition_by)
+
+    writer = stream.writeStream.foreachBatch(take).option("checkpointLocation", checkpoint)
+    return writer.trigger(availableNow=True).start()
+
+
 def resample_stream(
     stream: DataFrame, keys: list[str], freq: str, columns: list[str], level_columns: list[str] = (),
     lateness: str = "10 minutes", time: str = "time",

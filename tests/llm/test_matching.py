@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import random
 import re
 import string
@@ -199,6 +200,57 @@ def test_secrets_base_spans_and_random_tokens(make, scratch):
     assert secrets.find_secrets(make([]), f"{scratch}-empty").count() == 0
 
 
+def _plain_battery(token, squares, cubes, s):
+    """(passed, p) of a token, step by step."""
+    for pattern, k in secrets._ENCODINGS:
+        if re.search(pattern, token):
+            break
+    n, codes = len(token), [ord(c) for c in token]
+    groups = (lambda c: c.lower() in "aeiou") if k == 26 else (lambda c: 0 if c.islower() else 1 if c.isupper() else 2 if c.isdigit() else 3)
+    changes = sum(groups(a) != groups(b) for a, b in zip(token, token[1:]))
+    chi = k / n * sum(token.count(c) ** 2 for c in set(token)) - n
+    mean = sum(codes) / n
+    spread = sum(c * c for c in codes) / n - mean**2
+    serial = ((sum(a * b for a, b in zip(codes, codes[1:])) / (n - 1) - mean**2) / spread if spread > 0 else 1.0) * math.sqrt(n)
+    digits = {16: 10 / 16, 32: 6 / 32, 36: 10 / 36}.get(k, 10 / 64)
+    change = {26: 2 * 5 / 26 * 21 / 26, 52: 0.5, 64: 1 - 2 * (26 / 64) ** 2 - (10 / 64) ** 2 - (2 / 64) ** 2}.get(k, 2 * digits * (1 - digits))
+    runs = (changes - change * (n - 1)) / math.sqrt(change * (1 - change) * (n - 1))
+    passed = (chi - (k - 1)) / math.sqrt(2 * (k - 1)) <= s.furthest and abs(runs) <= s.furthest and abs(serial) <= s.furthest
+    phi = lambda z: 1 / (1 + math.exp(-(1.5976 * max(-12, min(12, z)) + 0.070566 * max(-12, min(12, z)) ** 3)))
+    even = phi((chi - k * (1 - squares) - n * (k * squares - 1)) / math.sqrt(4 * n * k * k * (cubes - squares**2) + 2 * k * k * squares**2))
+    mixed = phi((changes - s.vowel_changes * (n - 1)) / math.sqrt(s.vowel_changes * (1 - s.vowel_changes) * (n - 1))) if k == 26 else phi((s.class_changes * n - changes) / math.sqrt(s.class_changes * n))
+    tail = -math.log(max(even, 1e-30)) - math.log(max(mixed, 1e-30))
+    return passed, math.exp(-tail) * (1 + tail)
+
+
+def test_battery_equals_a_plain_version(spark):
+    pick = random.Random(4)
+    alphabets = ["0123456789abcdef", string.ascii_lowercase, string.ascii_letters, "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567", string.ascii_lowercase + string.digits, string.ascii_letters + string.digits + "+/", "eeeetaoinshr", "ab", "-_Aa1"]
+    tokens = ["".join(pick.choices(a, k=pick.choice([12, 13, 19, 20, 40, 90]))) for a in alphabets for _ in range(25)] + ["a" * 12, "Internationalization", "x" * 11 + "1"]
+    s = secrets.Settings()
+    df = spark.createDataFrame([(t,) for t in tokens], "token string").select("token", secrets._statistics(F.col("token"), 0.066, 0.0055, s).alias("t"))
+    for r in df.collect():
+        passed, p = _plain_battery(r["token"], 0.066, 0.0055, s)
+        assert r["t"]["passed"] == passed and math.isclose(r["t"]["p"], p, rel_tol=1e-9) and r["t"]["digits"] == any(c.isdigit() for c in r["token"])
+
+
+def test_keys_of_letters_are_found_and_prose_is_not(make, scratch):
+    pick = random.Random(6)
+    prose = "international communication understanding responsibilities straightforward acknowledgement well-established characteristically".split()
+    kinds = {"letters": string.ascii_letters, "mixed": string.ascii_letters + string.digits}
+    rows, found = [], dict.fromkeys(kinds, 0)
+    for k in range(400):
+        key = "".join(pick.choices(kinds["letters" if k % 2 else "mixed"], k=40))
+        rows.append((k, " ".join(pick.choices(prose, k=40)) + f" {key} " + " ".join(pick.choices(prose, k=40))))
+    rows += [(1000 + k, " ".join(pick.choices(prose, k=60))) for k in range(200)]
+    for r in secrets.find_secrets(make(rows), scratch).collect():
+        if r["doc_id"] >= 1000:
+            assert r["n_random"] == 0
+        else:
+            found["letters" if r["doc_id"] % 2 else "mixed"] += r["n_random"] == 1
+    assert found["letters"] >= 190 and found["mixed"] >= 190
+
+
 @pytest.mark.parametrize("long", [1, 1300])
 def test_only_maximal_conversations_are_rendered(spark, scratch, long):
     said = [(k, r, f"text {k}") for k, r in enumerate(["system", "user", "assistant", "user"] * long)]

@@ -228,3 +228,127 @@ def test_language_of_held_out_texts(spark, make, scratch):
             assert r["lang_pred"] == r["lang"]
     nothing = language.train(make([(1, "text", None)]), PIECES, f"{scratch}-2")
     assert language.with_language(make([(1, "text", None)]), nothing, PIECES).first()["lang_pred"] == "und"
+
+
+_LONG = (1 << 64) - 1
+
+
+def _plain_places(text, bits):
+    """Places of a text's features, one feature after another."""
+    odd, mix = int(toxicity._ODD), int(toxicity._MIX)
+    bare = [toxicity._EDGE.sub("", w.lower()) for w in split_words(text)]
+    h = [__import__("xxhash").xxh3_64_intdigest(b) for b in bare if b]
+
+    def joined(a, b, kind):
+        z = ((a * mix + b) * odd + kind) & _LONG
+        return ((z ^ (z >> 32)) * odd) & _LONG
+
+    found = list(h)
+    for k in range(len(h)):
+        if k + 1 < len(h):
+            pair = joined(h[k], h[k + 1], 1)
+            found.append(pair)
+            if k + 2 < len(h):
+                found += [joined(pair, h[k + 2], 2), joined(h[k], h[k + 2], 3)]
+            if k + 3 < len(h):
+                found.append(joined(h[k], h[k + 3], 4))
+    return sorted({((f * odd) & _LONG) >> (64 - bits) for f in found})
+
+
+def _plain_ftrl(examples, s):
+    """FTRL-proximal by coordinate, in dictionaries; the constant is the place 2 ** bits."""
+    z, n = {}, {}
+
+    def weight(i):
+        shrink = 0.0 if i == 1 << s.bits else s.l1
+        if abs(z.get(i, 0.0)) <= shrink:
+            return 0.0
+        return ((shrink if z[i] > 0 else -shrink) - z[i]) / ((s.beta + n[i] ** 0.5) / s.alpha + s.l2)
+
+    order = np.random.default_rng(7)
+    for _ in range(s.epochs):
+        for k in order.permutation(len(examples)):
+            places, label = examples[k]
+            x = [*places, 1 << s.bits]
+            w = [weight(i) for i in x]
+            g = 1 / (1 + np.exp(-max(-35.0, min(35.0, sum(w))))) - label
+            for i, wi in zip(x, w, strict=True):
+                before = n.get(i, 0.0)
+                z[i] = z.get(i, 0.0) + g - ((before + g * g) ** 0.5 - before**0.5) / s.alpha * wi
+                n[i] = before + g * g
+    return {i: weight(i) for i in z if weight(i)}
+
+
+def test_toxicity_equals_a_plain_version(spark, make):
+    pick = random.Random(12)
+    words = ["Good", "day,", "you", "awful", "(fool)", "sun", "é", "...", "SEA"]
+    rows = [(k, " ".join(pick.choices(words, k=pick.randrange(9)))) for k in range(120)] + [(500, None), (501, ""), (502, "..."), (503, "fool " * 5_000), (503, "sun day")]
+    labels = [(k, 1, int("fool" in (t or ""))) for k, t in rows if k < 100 and k != 7] + [(7, 1, 1), (7, 1, 0), (8, 1, 5), (9, 1, None)]
+    s = toxicity.Settings(bits=12, l1=0.5, shard_docs=10_000)
+    places, weights, share = toxicity.train(make(rows), _labels(spark, labels), s)
+    known = {}
+    for k, _, t in labels:
+        if t in (0, 1) and not held(k):
+            known[k] = max(t, known.get(k, 0))
+    examples = [(_plain_places(t or "", s.bits), known[k]) for k, t in sorted(((k, t) for k, t in rows if k in known), key=lambda r: r[0])]
+    expected = _plain_ftrl(examples, s)
+    assert np.isclose(share, sum(y for _, y in examples) / len(examples))
+    assert dict(zip(places.tolist(), np.round(weights, 9).tolist(), strict=True)) == {i: round(w, 9) for i, w in expected.items()}
+    scored = toxicity.with_toxicity(make(rows).withColumn("toxicity", F.lit("clash")), (places, weights, share), s).collect()
+    assert len(scored) == len(rows)
+    for r in scored:
+        bare = [w for w in split_words(r["text"] or "") if toxicity._EDGE.sub("", w.lower())]
+        total = sum(expected.get(i, 0.0) for i in _plain_places(r["text"] or "", s.bits)) + expected.get(1 << s.bits, 0.0)
+        assert np.isclose(r["toxicity"], 1 / (1 + np.exp(-total)) if bare else share)
+
+
+def _segmentations(word, lattice):
+    """All ways to cut a word with its mark into pieces; a letter that is no piece stands alone."""
+    def cut(rest):
+        if not rest:
+            yield []
+        for n in range(1, len(rest) + 1):
+            piece = lattice.vocab.get(rest[:n])
+            if piece is None and n == 1:
+                piece = lattice.size
+            if piece is not None:
+                for others in cut(rest[n:]):
+                    yield [piece, *others]
+
+    return list(cut(language._MARK + word))
+
+
+def test_language_equals_a_plain_version(spark, make, scratch):
+    pick = random.Random(21)
+    said = {"en": ["the", "sea", "ships", "and"], "de": ["das", "meer", "und", "ß"], "xx": ["ꙮa", "sea", "de"]}
+    rows = [(k, " ".join(pick.choices(said[lang], k=6)).title() + ". 12", lang) for k, lang in enumerate(list(said) * 20)] + [(900, None, "en"), (901, "the", None)]
+    lattice, s = language._lattice(PIECES), language.Settings()
+    model = language.train(make(rows), PIECES, scratch, s)
+    names = sorted(said)
+    used = [r for r in rows if not held(r[0]) and r[1] is not None and r[2] is not None]
+    table = np.full((lattice.size + 1, 3), 1.0 / lattice.size)
+    for _ in range(s.passes):
+        table[-1] = s.unknown
+        total = np.zeros_like(table)
+        for _, text, lang in used:
+            j = names.index(lang)
+            for word in language._LETTERS.findall(text.lower()):
+                ways = _segmentations(word, lattice)
+                chances = [np.prod(table[way, j]) for way in ways]
+                for way, chance in zip(ways, chances, strict=True):
+                    for piece in way:
+                        total[piece, j] += chance / sum(chances)
+        total = total[:-1] + s.smoothing
+        table = np.vstack([total / total.sum(axis=0), np.full((1, 3), s.unknown)])
+    assert model.languages == names and np.allclose(model.table, table, rtol=1e-9)
+    priors = np.log([sum(r[2] == name for r in rows if r[1] is not None and not held(r[0])) / len(used) for name in names])
+    assert np.allclose(model.priors, priors)
+    for r in language.with_language(make(rows), model, PIECES).collect():
+        if r["text"] is None:
+            assert r["lang_pred"] == "und"
+            continue
+        logs = priors.copy()
+        for word in language._LETTERS.findall(r["text"].lower()):
+            logs += np.log([sum(np.prod(table[way, j]) for way in _segmentations(word, lattice)) for j in range(3)])
+        chances = np.exp(logs - logs.max())
+        assert r["lang_pred"] == names[int(logs.argmax())] and np.isclose(r["score"], chances.max() / chances.sum())

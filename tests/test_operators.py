@@ -569,3 +569,25 @@ def test_blocks_meet_only_where_pivots_allow(spark):
     assert compared < len(spread) * 80 * 4 < len(spread) ** 2 / 6  # a few clusters' worth a point, not all points
     out = detect.noise_points(df, ["f"], "id", "v", 1.0, 4, block=20)
     assert {r["id"] for r in out.collect()} == brute_noise(spread, 1.0, 4)
+
+
+def test_states_add_up_over_intervals_and_runs(spark):
+    rng = random.Random(5)
+    data = [("a" if rng.random() < 0.7 else "b", BASE + timedelta(seconds=rng.randrange(0, 90_000)), rng.choice([None, rng.random() * 50]), rng.random() * 9 + 60, rng.choice([None, 1, 2, 2, 3])) for _ in range(900)]
+    df = spark.createDataFrame(data, "k string, time timestamp, v double, level double, code int")
+    freqs, columns = ["10min", "15min", "1h", "1D"], ["v", "level"]
+    assert resample.base_step(freqs) == 300 * 1_000_000
+    for code in (None, "code"):
+        whole = resample.resample_all(df, ["k"], freqs, columns, ["level"], code, dense=False)
+        halves = [resample.partial_states(df.where(p), ["k"], 300 * 1_000_000, columns, ["level"], code) for p in ("v < 20", "v is null or v >= 20")]
+        merged = resample.merge_states(halves[0].unionByName(halves[1]), ["k"], columns)
+        assert merged.count() <= halves[0].count() + halves[1].count()
+        later = resample.roll_up(merged, ["k"], freqs, columns, ["level"], code).drop("_step")
+        shown = [F.round(c, 6).alias(c) for c in columns] + ([code] if code else [])
+        assert rows(whole.select("k", "interval", "time", *shown)) == rows(later.select("k", "interval", "time", *shown))
+        for f in freqs:
+            one = resample.resample_all(df, ["k"], [f], columns, ["level"], code, dense=False)
+            assert rows(one.select("k", "interval", "time", *shown)) == rows(whole.where(F.col("interval") == f).select("k", "interval", "time", *shown))
+    hour = df.where("k = 'a'").groupBy(F.date_trunc("hour", "time").alias("time")).agg(F.round(F.avg("v"), 6).alias("v"), F.round(10 * F.log10(F.avg(F.pow(F.lit(10.0), F.col("level") / 10))), 6).alias("level"))
+    got = resample.resample_all(df, ["k"], freqs, columns, ["level"], dense=False).where("k = 'a' and interval = '1h'")
+    assert rows(got.select("time", F.round("v", 6).alias("v"), F.round("level", 6).alias("level"))) == rows(hour)

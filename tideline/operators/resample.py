@@ -1,11 +1,13 @@
 """Fixed time bins: arithmetic, energetic and dominant-category means.
 
-Every resample is one pass over the rows and one aggregation with map-side
-combine per (key, interval, bin), however many intervals are asked for.
+Rows are summed once, with map-side combine, to states per base bin: the greatest length that divides all
+intervals. States add up: to the bins of every interval, and to states of earlier runs, so neither needs the rows again.
 """
 
 from __future__ import annotations
 
+from math import gcd
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -15,8 +17,58 @@ from tideline.functions import time as tm
 _BINS_PER_CHUNK = 1024
 
 
-def _mean(column: str, is_level: bool) -> Column:
-    return ac.to_level(F.avg(ac.to_power(F.col(column)))) if is_level else F.avg(column)
+def base_step(freqs: list[str]) -> int:
+    """The greatest number of microseconds that divides all intervals."""
+    return gcd(*map(tm.duration, freqs))
+
+
+def _state_columns(columns: list[str]) -> list[str]:
+    return ["_n", *[f"{kind}_{k}" for k in range(len(columns)) for kind in ("_sum", "_count")]]
+
+
+def partial_states(
+    df: DataFrame, keys: list[str], step: int, columns: list[str], level_columns: list[str] = (), code: str | None = None,
+    time: str = "time",
+) -> DataFrame:
+    """Sums and counts per base bin of `step` microseconds, and per value of `code` where that is given.
+
+    keys, _us (start of the bin), _code, _n (rows), and for the k-th column _sum_k (of its power, if it is a dB column) and _count_k.
+    States of several runs may be united as they are; `merge_states` makes them one row a bin again. Rows without time are left out.
+    """
+    us = tm.micros(time)
+    value = {c: ac.to_power(F.col(c)) if c in level_columns else F.col(c) for c in columns}
+    parts = [p for k, c in enumerate(columns) for p in (F.sum(value[c]).alias(f"_sum_{k}"), F.count(c).alias(f"_count_{k}"))]
+    group = [*keys, (us - F.pmod(us, F.lit(step))).alias("_us"), (F.col(code) if code else F.lit(None).cast("int")).alias("_code")]
+    return df.where(F.col(time).isNotNull()).groupBy(*group).agg(F.count(F.lit(1)).alias("_n"), *parts)
+
+
+def merge_states(states: DataFrame, keys: list[str], columns: list[str]) -> DataFrame:
+    """One state for each key, bin and code."""
+    return states.groupBy(*keys, "_us", "_code").agg(*[F.sum(c).alias(c) for c in _state_columns(columns)])
+
+
+def roll_up(
+    states: DataFrame, keys: list[str], freqs: list[str], columns: list[str], level_columns: list[str] = (), code: str | None = None,
+    time: str = "time",
+) -> DataFrame:
+    """keys, interval, _step, time and the means of the columns, from states whose base divides all intervals.
+
+    With `code`, the most frequent value of a bin (ties: the higher one) and the means over the rows that carry it.
+    """
+    steps = F.array(*[F.struct(F.lit(f).alias("interval"), F.lit(tm.duration(f)).cast("long").alias("step")) for f in freqs])
+    spread = states.withColumn("_i", F.explode(steps))
+    start = F.timestamp_micros(F.col("_us") - F.pmod(F.col("_us"), F.col("_i.step")))
+    group = [*keys, F.col("_i.interval").alias("interval"), F.col("_i.step").alias("_step"), start.alias(time)]
+    added = spread.groupBy(*group, "_code").agg(*[F.sum(c).alias(c) for c in _state_columns(columns)])
+    means = []
+    for k, c in enumerate(columns):
+        mean = F.when(F.col(f"_count_{k}") > 0, F.col(f"_sum_{k}") / F.col(f"_count_{k}"))
+        means.append((ac.to_level(mean) if c in level_columns else mean).alias(c))
+    if code is None:
+        return added.select(*keys, "interval", "_step", time, *means)
+    rank = F.struct(F.col("_code").isNotNull(), F.col("_n"), F.col("_code"))
+    best = added.groupBy(*keys, "interval", "_step", time).agg(F.max_by(F.struct(F.col("_code").alias(code), *means), rank).alias("_best"))
+    return best.select(*keys, "interval", "_step", time, "_best.*")
 
 
 def fill_bins(binned: DataFrame, keys: list[str], step: Column, time: str = "time") -> DataFrame:
@@ -62,29 +114,10 @@ def resample_all(
     that column gets its most frequent value (ties: the higher code) and the
     others the mean over the rows that carry it: means are taken per (bin,
     code) and the winner's are kept; a bin without any code falls back to all
-    of its rows. Rows without time are left out.
+    of its rows. Rows without time are left out. Rows are aggregated once; what is spread over the intervals are their states.
     """
-    steps = F.array(
-        *[F.struct(F.lit(f).alias("interval"), F.lit(tm.duration(f)).cast("long").alias("step")) for f in freqs]
-    )
-    used = [*columns, *([code] if code else [])]
-    spread = df.where(F.col(time).isNotNull()).select(
-        *keys, tm.micros(time).alias("_us"), *used, F.explode(steps).alias("_i")
-    )
-    floor = F.timestamp_micros(F.col("_us") - F.pmod(F.col("_us"), F.col("_i.step")))
-    group = [*keys, F.col("_i.interval").alias("interval"), F.col("_i.step").alias("_step"), floor.alias(time)]
-    means = [_mean(c, c in level_columns).alias(c) for c in columns]
-    if code is None:
-        binned = spread.groupBy(*group).agg(*means)
-    else:
-        per_code = spread.groupBy(*group, F.col(code).alias("_code")).agg(F.count(F.lit(1)).alias("_n"), *means)
-        rank = F.struct(F.col("_code").isNotNull(), F.col("_n"), F.col("_code"))
-        values = F.struct(F.col("_code").alias(code), *columns)
-        binned = (
-            per_code.groupBy(*keys, "interval", "_step", time)
-            .agg(F.max_by(values, rank).alias("_best"))
-            .select(*keys, "interval", "_step", time, "_best.*")
-        )
+    states = partial_states(df, keys, base_step(freqs), columns, level_columns, code, time)
+    binned = roll_up(states, keys, freqs, columns, level_columns, code, time)
     if not dense:
         return binned.drop("_step")
     return fill_bins(binned, [*keys, "interval"], F.col("_step"), time).drop("_step")

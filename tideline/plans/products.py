@@ -162,7 +162,7 @@ def instrument_product(
         window_minutes=window_minutes,
     )
     if geotagged:
-        cleaned = asof.geotag(materialize(cleaned), positions, keys, tm.seconds_us(tolerance_s))
+        cleaned = asof.geotag(cleaned, positions, keys, tm.seconds_us(tolerance_s))
     cleaned = materialize(cleaned)
     columns = [c for c, kind in cleaned.dtypes if kind == "double"]
     code = schema.CATEGORY_COLUMNS.get(instrument)

@@ -43,36 +43,59 @@ class Lattice:
         self.vocab = {p: k for k, p in enumerate(p for p in names if p == p.lower() and (longest is None or len(p) <= longest))}
         self.size = len(self.vocab)  # the number of the unknown letter
         self.longest = max(map(len, self.vocab))
-        self.starts = {p[:k] for p in self.vocab for k in range(1, len(p) + 1)}
+        self._grow()
+
+    def _grow(self) -> None:
+        """The prefix tree of the pieces as sorted keys (node, letter) with the node each leads to, and the piece each node ends."""
+        letters = sorted({ord(c) for piece in self.vocab for c in piece})
+        self.letters, place = np.array(letters, np.uint32), {c: k for k, c in enumerate(letters)}
+        nodes: dict[tuple[int, int], int] = {}
+        ends = [-1]
+        for piece, number in self.vocab.items():
+            node = 0
+            for c in piece:
+                step = (node, place[ord(c)])
+                node = nodes.get(step, -1)
+                if node < 0:
+                    node = nodes[step] = len(ends)
+                    ends.append(-1)
+            ends[node] = number
+        keys = np.array([node * len(letters) + c for node, c in nodes], np.int64)
+        order = np.argsort(keys)
+        self.keys, self.child, self.ends = keys[order], np.array(list(nodes.values()), np.int64)[order], np.array(ends, np.int64)
 
     def edges(self, words: list[str]) -> tuple[np.ndarray, ...]:
         """(word, from, to, piece) by rising `to`, and the lengths of the words with their mark."""
-        vocab, starts, unknown = self.vocab.get, self.starts, self.size
-        which, first, after, piece = [], [], [], []
-        lengths = np.zeros(len(words), np.int64)
-        for k, bare in enumerate(words):
-            word = _MARK + bare
-            n = lengths[k] = len(word)
-            for i in range(n):
-                single = True
-                for j in range(i + 1, n + 1):
-                    part = word[i:j]
-                    if part not in starts:
-                        break
-                    found = vocab(part)
-                    if found is not None:
-                        single = single and j > i + 1
-                        which.append(k)
-                        first.append(i)
-                        after.append(j)
-                        piece.append(found)
-                if single:  # no piece of one letter: it can stand alone as unknown
-                    which.append(k)
-                    first.append(i)
-                    after.append(i + 1)
-                    piece.append(unknown)
-        order = np.argsort(np.array(after, np.int64), kind="stable")
-        return (*(np.array(x, np.int64)[order] for x in (which, first, after, piece)), lengths)
+        lengths = np.fromiter(map(len, words), np.int64, len(words)) + 1
+        codes = np.frombuffer((_MARK + _MARK.join(words)).encode("utf-32-le", "surrogatepass"), np.uint32) if words else np.zeros(0, np.uint32)
+        known = np.minimum(np.searchsorted(self.letters, codes), len(self.letters) - 1)
+        letter = np.where(self.letters[known] == codes, known, -1)
+        stop = np.cumsum(lengths)
+        word = np.repeat(np.arange(len(words)), lengths)
+        start = (stop - lengths)[word]
+        # All places walk down the tree side by side, one letter at a time, until none has a way on.
+        at, node, found = np.arange(len(codes)), np.zeros(len(codes), np.int64), []
+        for size in range(1, self.longest + 1):
+            inside = at + size <= stop[word[at]]
+            at, node = at[inside], node[inside]
+            c = letter[at + size - 1]
+            key = node * len(self.letters) + c
+            way = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
+            on = (self.keys[way] == key) & (c >= 0)
+            at, node = at[on], self.child[way[on]]
+            piece = self.ends[node]
+            whole = piece >= 0
+            found.append((at[whole], np.full(int(whole.sum()), size), piece[whole]))
+            if size == 1:  # a letter that is no piece can stand alone as unknown
+                alone = np.ones(len(codes), bool)
+                alone[at[whole]] = False
+                found.append((np.flatnonzero(alone), np.ones(int(alone.sum()), np.int64), np.full(int(alone.sum()), self.size)))
+            if not len(at):
+                break
+        place, size, piece = (np.concatenate(x) for x in zip(*found, strict=True))
+        which, first = word[place], place - start[place]
+        order = np.argsort(first + size, kind="stable")
+        return which[order], first[order], (first + size)[order], piece[order], lengths
 
 
 @lru_cache(maxsize=2)
@@ -137,7 +160,7 @@ def _expected(words: list[str], weights: np.ndarray, column: np.ndarray, lattice
     return flat.reshape(table.shape)
 
 
-def _parts(words: list[str], letters: int = 200_000) -> Iterator[slice]:
+def _parts(words: list[str], letters: int = 40_000) -> Iterator[slice]:
     """Slices of the words that hold about so many letters."""
     start = size = 0
     for k, word in enumerate(words):
@@ -208,25 +231,31 @@ def train(docs: DataFrame, vocabulary: str, scratch: str, settings: Settings = S
     return Model(languages, priors, table)
 
 
+def _rows(parts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """All numbers of the rows one after another, and how many a row has."""
+    rows = np.concatenate(parts)
+    return rows.ravel(), np.full(len(rows), rows.shape[1])
+
+
 class _Scorer:
     """Log probabilities of raw words (the sum over their runs of letters) and whether they have letters."""
 
     def __init__(self, vocabulary: str, table: np.ndarray):
         lattice = _lattice(vocabulary)
         self.width = table.shape[1]
-        self.runs = WordTable("language", lambda runs: list(log_probabilities(runs, lattice, table)), np.float64, 300_000, 6_000_000)
-        self.words = WordTable("language", self._measure, np.float64, 300_000, 6_000_000)
+        self.runs = WordTable("language", lambda runs: _rows([log_probabilities(runs[part], lattice, table) for part in _parts(runs)]), np.float64, 200_000, 2_000_000)
+        self.words = WordTable("language", self._measure, np.float64, 200_000, 2_000_000)
 
     def forget(self) -> None:
         self.runs.clear()
         self.words.clear()
 
-    def _measure(self, words: list[str]) -> list[np.ndarray]:
+    def _measure(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         runs = [_LETTERS.findall(w.lower()) for w in words]
         counts = np.fromiter(map(len, runs), np.int64, len(runs))
         values, _ = self.runs.gather(self.runs.rows([r for one in runs for r in one]))
         found = sums(values.reshape(-1, self.width), counts)
-        return list(np.column_stack([found, counts]))
+        return _rows([np.column_stack([found, counts])])
 
     def score(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         words = [split_words(t) for t in texts]
@@ -238,6 +267,16 @@ class _Scorer:
 _scorers: dict[str, _Scorer] = {}
 
 
+def _scorer(fitted: str, vocabulary: str, model: Model) -> _Scorer:
+    """The scorer of a fitted model; a worker holds that of one model, from task to task."""
+    if fitted not in _scorers:
+        for old in _scorers.values():
+            old.forget()
+        _scorers.clear()
+        _scorers[fitted] = _Scorer(vocabulary, model.table)
+    return _scorers[fitted]
+
+
 def with_language(docs: DataFrame, model: Model, vocabulary: str, text: str = "text") -> DataFrame:
     """Add lang_pred, the likeliest learned language (ties: first by name), and score, its posterior probability.
 
@@ -253,15 +292,11 @@ def with_language(docs: DataFrame, model: Model, vocabulary: str, text: str = "t
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
-        if model.languages and fitted not in _scorers:
-            for old in _scorers.values():
-                old.forget()
-            _scorers.clear()
-            _scorers[fitted] = _Scorer(vocabulary, model.table)
         for batch, texts in text_batches(batches):
             best, score = [UNKNOWN] * len(texts), np.zeros(len(texts))
             if model.languages:
-                found, lettered = _scorers[fitted].score(texts)
+                # By a function of the module: what this one refers to itself travels with each task as a copy.
+                found, lettered = _scorer(fitted, vocabulary, model).score(texts)
                 found = found + model.priors
                 top = found.argmax(axis=1)
                 score = np.where(lettered, 1 / np.exp(found - found.max(axis=1, keepdims=True)).sum(axis=1), 0.0)

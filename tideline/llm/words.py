@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 import tempfile
+import weakref
 import zipfile
 from collections.abc import Callable, Iterator
 from itertools import chain, repeat
@@ -36,21 +37,24 @@ def lower_ascii(text: str) -> str:
     return text.lower() if text.isascii() else text.translate(_LOWER_ASCII)
 
 
-_kept: dict[str, list[Callable[[], None]]] = {}
+_kept: dict[str, list[Callable[[], Callable[[], None] | None]]] = {}
 _turn: list[str] = [""]
 
 
 def keep_while(group: str, clear: Callable[[], None]) -> None:
     """Have `clear` called once another group of tables is used in this worker, so that memory holds one group's."""
-    _kept.setdefault(group, []).append(clear)
+    # A table is held weakly: when its owner lets go of it, it is gone.
+    _kept.setdefault(group, []).append(weakref.WeakMethod(clear) if hasattr(clear, "__func__") else lambda: clear)
 
 
 def _take_turn(group: str) -> None:
     if _turn[0] != group:
         for other, clears in _kept.items():
             if other != group:
-                for clear in clears:
-                    clear()
+                for held in clears:
+                    clear = held()
+                    if clear is not None:
+                        clear()
         _turn[0] = group
 
 

@@ -80,8 +80,11 @@ def _bucket() -> Column:
     return F.floor((1 - F.exp(-F.col("_key"))) * F.col("_buckets")).cast("long")
 
 
-def plan(rows: DataFrame) -> DataFrame:
-    """Targets, with complete epochs, words wanted beyond them, and the bucket where those end."""
+def plan(rows: DataFrame, scratch: str) -> DataFrame:
+    """Targets, with complete epochs, words wanted beyond them, and the bucket where those end.
+
+    What holds for a source is written below `scratch` first: its size is then known when the rows, of which one source may have a third, meet it.
+    """
     epochs = F.when(F.col("source_size") > 0, F.least(F.floor(F.col("target") / F.col("source_size")), F.lit(MOST_EPOCHS))).otherwise(0).cast("long")
     source = (
         targets(rows)
@@ -89,6 +92,8 @@ def plan(rows: DataFrame) -> DataFrame:
         .withColumn("_wanted", F.floor(F.col("target") - F.col("_epochs") * F.col("source_size")).cast("long"))
         .withColumn("_buckets", F.least(F.ceil(F.col("_docs") / DOCS_PER_BUCKET), F.lit(MOST_BUCKETS)))
     )
+    source.write.parquet(f"{scratch}/sources")
+    source = rows.sparkSession.read.parquet(f"{scratch}/sources")
     parts = rows.join(source, _BY_SOURCE).withColumn("_bucket", _bucket()).groupBy(*_BY_SOURCE, "_wanted", "_bucket").agg(F.sum("_size").alias("_words"))
     running = Window.partitionBy(*_BY_SOURCE).orderBy("_bucket")
     summed = parts.withColumn("_before", F.sum("_words").over(running) - F.col("_words"))
@@ -128,7 +133,7 @@ def _planned(rows: DataFrame, scratch: str) -> tuple[DataFrame, DataFrame]:
     spark = rows.sparkSession
     rows.select("doc_id", *_BY_SOURCE, "_size", "_key", "_draw").write.parquet(f"{scratch}/sizes")
     slim = spark.read.parquet(f"{scratch}/sizes")
-    plan(slim).write.parquet(f"{scratch}/plan")
+    plan(slim, scratch).write.parquet(f"{scratch}/plan")
     return slim, spark.read.parquet(f"{scratch}/plan")
 
 

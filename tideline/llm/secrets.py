@@ -1,10 +1,10 @@
 """Secret scan (operator 3), with DataFrame functions only.
 
-Base patterns find assignments, access keys and hex strings. Beside them, every long token that holds a
-digit is tested: its encoding is inferred, and chi-squared uniformity over that alphabet, runs of
-character classes and serial correlation say whether it looks random. What passes gets a p-value: the chance that
-a token of ordinary text of that length looks as random. A false-discovery threshold, found for each band of
-lengths from the p-values of all documents, decides which tokens are added.
+Base patterns find assignments, access keys and hex strings. Beside them, every token of at least 12 characters is
+tested: its encoding is inferred, and chi-squared uniformity over that alphabet, runs of
+character classes (of vowels and consonants, where all letters are of one case) and serial correlation say whether it looks random. What passes gets a p-value: the chance that
+a token of ordinary text of that length looks as random. A false-discovery threshold, found from the p-values of all documents for each band of
+lengths, and apart for tokens with and without a digit, decides which tokens are added.
 """
 
 from __future__ import annotations
@@ -24,18 +24,19 @@ _HEX = r"[0-9a-f]{24,}"
 _LEAST_ASSIGNED = 6
 
 RANDOM = "random"
-_TOKEN = r"(?<![A-Za-z0-9+/=_-])[A-Za-z0-9+/=_-]{20,}"
+_TOKEN = r"(?<![A-Za-z0-9+/=_-])[A-Za-z0-9+/=_-]{12,}"
 _LETTERS = "abcdefghijklmnopqrstuvwxyz"
 # Inferred encoding: the first whose pattern the token matches, and the size of its alphabet.
-_ENCODINGS = ((r"^([0-9a-f]+|[0-9A-F]+)$", 16), (r"^[A-Z2-7]+=*$", 32), (r"^([0-9a-z]+|[0-9A-Z]+)$", 36), (r"", 64))
+_ENCODINGS = ((r"^([0-9a-f]+|[0-9A-F]+)$", 16), (r"^([a-z]+|[A-Z]+)$", 26), (r"^[A-Za-z]+$", 52), (r"^[A-Z2-7]+=*$", 32), (r"^([0-9a-z]+|[0-9A-Z]+)$", 36), (r"", 64))
 
 
 @dataclass(frozen=True)
 class Settings:
     discovery_rate: float = 0.01
-    bands: tuple[int, ...] = (20, 28, 40, 64, 128)  # least lengths of the bands
+    bands: tuple[int, ...] = (12, 16, 20, 28, 40, 64, 128)  # least lengths of the bands
     furthest: float = 3.3  # standard deviations from randomness that a test lets pass
     class_changes: float = 0.1  # changes of character class a letter in ordinary text
+    vowel_changes: float = 0.6  # changes between vowels and consonants a letter in ordinary text
     steps: int = 20  # histogram steps for each power of ten of a p-value
     longest_power: int = 40
 
@@ -87,7 +88,7 @@ def _places(text: Column, pattern: str, matches: Column) -> Column:
 
 
 def _with_spans(docs: DataFrame) -> DataFrame:
-    """doc_id, base (start, kind, end) sorted, candidates (start, end, token) with a digit, letters of other long tokens."""
+    """doc_id, base (start, kind, end) sorted, candidates (start, end, token)."""
     text = F.coalesce("text", F.lit(""))
     found = docs.select(
         "doc_id",
@@ -100,23 +101,20 @@ def _with_spans(docs: DataFrame) -> DataFrame:
     values = F.when(F.size("assign") > 0, F.regexp_extract_all("text", F.lit(_ASSIGN), F.lit(2))).otherwise(F.array().cast("array<string>"))
     placed = found.select(
         "doc_id",
-        "tokens",
         F.zip_with(_places(F.col("text"), _ASSIGN, F.col("assign")), values, lambda p, v: F.struct(p["start"].alias("start"), p["end"].alias("end"), F.length(v).alias("n"))).alias("assign"),
         _places(F.col("text"), _ACCESS, F.col("access")).alias("access"),
         _places(F.col("text"), _HEX, F.col("hex")).alias("hex"),
-        F.zip_with(_places(F.col("text"), _TOKEN, F.col("tokens")), F.col("tokens"), lambda p, t: F.struct(p["start"].alias("start"), p["end"].alias("end"), t.alias("token"))).alias("placed"),
+        F.zip_with(_places(F.col("text"), _TOKEN, F.col("tokens")), F.col("tokens"), lambda p, t: F.struct(p["start"].alias("start"), p["end"].alias("end"), t.alias("token"))).alias("candidates"),
     )
 
     def kind(name: str, spans: Column) -> Column:
         return F.transform(spans, lambda s: F.struct(s["start"].alias("start"), F.lit(KINDS.index(name)).alias("kind"), s["end"].alias("end")))
 
     assigned = F.filter("assign", lambda s: s["n"] >= _LEAST_ASSIGNED)
-    words = F.lower(F.array_join(F.filter("tokens", lambda t: ~t.rlike("[0-9]")), ""))
     return placed.select(
         "doc_id",
         F.array_sort(F.concat(kind("assign", assigned), kind("access", F.col("access")), kind("hex", F.col("hex")))).alias("base"),
-        F.filter("placed", lambda s: s["token"].rlike("[0-9]")).alias("candidates"),
-        words.alias("words"),
+        "candidates",
     )
 
 
@@ -135,8 +133,10 @@ def _statistics(token: Column, squares: float, cubes: float, s: Settings) -> Col
     often = F.aggregate(
         F.array_distinct(F.split(token, "")), F.lit(0.0), lambda total, c: total + F.pow((F.length(token) - F.length(F.replace(token, c, F.lit("")))).cast("double"), F.lit(2.0))
     )
-    kinds = F.length(F.regexp_replace(token, "[a-z]+|[A-Z]+|[0-9]+|[^a-zA-Z0-9]+", "x"))
-    facts = F.struct(F.length(token).cast("double").alias("n"), size.cast("double").alias("k"), often.alias("often"), kinds.cast("double").alias("runs"), codes.alias("codes"))
+    kinds = F.when(size == 26, F.length(F.regexp_replace(F.lower(token), "[aeiou]+|[^aeiou]+", "x"))).otherwise(
+        F.length(F.regexp_replace(token, "[a-z]+|[A-Z]+|[0-9]+|[^a-zA-Z0-9]+", "x"))
+    )
+    facts = F.struct(token.rlike("[0-9]").alias("digits"), F.length(token).cast("double").alias("n"), size.cast("double").alias("k"), often.alias("often"), kinds.cast("double").alias("runs"), codes.alias("codes"))
 
     def tested(t: Column) -> Column:
         n, k = t["n"], t["k"]
@@ -149,7 +149,7 @@ def _statistics(token: Column, squares: float, cubes: float, s: Settings) -> Col
         uniform = (chi - (k - 1)) / F.sqrt(2 * (k - 1))
         digits = F.when(k == 16, 10 / 16).when(k == 32, 6 / 32).when(k == 36, 10 / 36).otherwise(10 / 64)
         # Chance of a change of class between neighbours of a random string.
-        change = F.when(k == 64, 1 - 2 * (26 / 64) ** 2 - (10 / 64) ** 2 - (2 / 64) ** 2).otherwise(2 * digits * (1 - digits))
+        change = F.when(k == 26, 2 * 5 / 26 * 21 / 26).when(k == 52, 0.5).when(k == 64, 1 - 2 * (26 / 64) ** 2 - (10 / 64) ** 2 - (2 / 64) ** 2).otherwise(2 * digits * (1 - digits))
         runs = (t["runs"] - 1 - change * (n - 1)) / F.sqrt(change * (1 - change) * (n - 1))
         passed = (uniform <= s.furthest) & (F.abs(runs) <= s.furthest) & (F.abs(serial) <= s.furthest)
         # The same under ordinary letters: squares and cubes are sums of powers of their shares.
@@ -157,15 +157,18 @@ def _statistics(token: Column, squares: float, cubes: float, s: Settings) -> Col
         text_spread = F.sqrt(4 * n * k * k * (cubes - squares * squares) + 2 * k * k * squares * squares)
         even = _normal((chi - text_mean) / text_spread)
         changes = s.class_changes * n
-        mixed = _normal((changes - (t["runs"] - 1)) / F.sqrt(changes))
+        vowels = s.vowel_changes * (n - 1)
+        unmixed = _normal((t["runs"] - 1 - vowels) / F.sqrt(vowels * (1 - s.vowel_changes)))
+        mixed = F.when(k == 26, unmixed).otherwise(_normal((changes - (t["runs"] - 1)) / F.sqrt(changes)))
         tail = -(F.log(F.greatest(even, F.lit(1e-30))) + F.log(F.greatest(mixed, F.lit(1e-30))))
-        return F.struct(n.alias("n"), passed.alias("passed"), (F.exp(-tail) * (1 + tail)).alias("p"))  # Fisher's method for two tests
+        return F.struct(n.alias("n"), t["digits"].alias("digits"), passed.alias("passed"), (F.exp(-tail) * (1 + tail)).alias("p"))  # Fisher's method for two tests
 
     return _let(facts, tested)
 
 
-def _band(n: Column, s: Settings) -> Column:
-    return sum(((n >= least).cast("int") for least in s.bands[1:]), F.lit(0))
+def _band(test: Column, s: Settings) -> Column:
+    """Band of the token's length; those of tokens without a digit come after the others."""
+    return sum(((test["n"] >= least).cast("int") for least in s.bands[1:]), F.when(test["digits"], 0).otherwise(len(s.bands)))
 
 
 def _step(p: Column, s: Settings) -> Column:
@@ -175,7 +178,8 @@ def _step(p: Column, s: Settings) -> Column:
 
 def _letter_shares(spans: DataFrame) -> tuple[float, float]:
     """Sums of squares and cubes of the letters' shares in long tokens without digits, over all documents."""
-    counts = spans.agg(*[F.sum(F.length("words") - F.length(F.replace("words", F.lit(c), F.lit("")))).alias(c) for c in _LETTERS]).first()
+    plain = F.transform(F.filter("candidates", lambda c: ~c["token"].rlike("[0-9]")), lambda c: c["token"])
+    counts = spans.select(F.lower(F.array_join(plain, "")).alias("words")).agg(*[F.sum(F.length("words") - F.length(F.replace("words", F.lit(c), F.lit("")))).alias(c) for c in _LETTERS]).first()
     total = sum(x or 0 for x in counts)
     shares = [(x or 0) / total for x in counts] if total else [1 / len(_LETTERS)] * len(_LETTERS)
     return sum(x**2 for x in shares), sum(x**3 for x in shares)
@@ -185,7 +189,7 @@ def _thresholds(scored: DataFrame, s: Settings) -> list[int]:
     """By band: the least histogram step that is a discovery, by Benjamini and Hochberg's rule over all candidates."""
     counts = scored.groupBy("band", "step").agg(F.count("*").alias("n")).collect()
     out = []
-    for band in range(len(s.bands)):
+    for band in range(2 * len(s.bands)):
         steps = sorted(((r["step"], r["n"]) for r in counts if r["band"] == band), reverse=True)
         total, so_far, least = sum(n for _, n in steps), 0, s.steps * s.longest_power + 1
         for step, n in steps:
@@ -210,13 +214,13 @@ def find_secrets(docs: DataFrame, scratch: str, settings: Settings = Settings())
     squares, cubes = _letter_shares(spans)
     tested = spans.select("doc_id", "base", F.transform("candidates", lambda c: F.struct(c["start"].alias("start"), c["end"].alias("end"), _statistics(c["token"], squares, cubes, s).alias("test"))).alias("candidates"))
     each = tested.select(F.explode("candidates.test").alias("test"))
-    scored = each.select(_band(F.col("test.n"), s).alias("band"), F.when(F.col("test.passed"), _step(F.col("test.p"), s)).otherwise(0).alias("step"))
+    scored = each.select(_band(F.col("test"), s).alias("band"), F.when(F.col("test.passed"), _step(F.col("test.p"), s)).otherwise(0).alias("step"))
     least = F.array(*[F.lit(x) for x in _thresholds(scored, s)])
 
     def added(c: Column) -> Column:
         test = c["test"]
         outside = ~F.exists("base", lambda b: (b["start"] < c["end"]) & (c["start"] < b["end"]))
-        return test["passed"] & (_step(test["p"], s) >= F.element_at(least, _band(test["n"], s) + 1)) & outside
+        return test["passed"] & (_step(test["p"], s) >= F.element_at(least, _band(test, s) + 1)) & outside
 
     random = F.transform(F.filter("candidates", added), lambda c: F.struct(c["start"].alias("start"), F.lit(len(KINDS)).alias("kind"), c["end"].alias("end")))
     both = tested.select("base", "doc_id", random.alias("random"))

@@ -53,7 +53,7 @@ def fit(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) ->
     s = settings
     spark = docs.sparkSession
     narrow_batches(spark)
-    trusted = labels.where(F.col("quality") == 1).select("doc_id")
+    trusted = labels.where(F.col("quality") == 1).select("doc_id").hint("shuffle_merge")  # as many as trusted documents: never broadcast
     # Raw text is counted where it is read. Only trusted text is shuffled: the ids' Bloom filter keeps the rest from the exchange
     # (Spark makes one where a plain filter of a table is joined, so repeated labels stay: a semi join does not mind them).
     spark.conf.set("spark.sql.optimizer.runtime.bloomFilter.enabled", "true")

@@ -4,15 +4,20 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tideline import schema
 from tideline.functions import text as tx
 from tideline.functions import time as tm
 from tideline.functions import wind
-from tideline.operators import asof, cleaning, detect, gaps, position, profile, projection, ranges, resample
+from tideline.operators import asof, audit, cleaning, detect, gaps, position, profile, projection, ranges, resample
 from tideline.session import materialize
+from tideline.sources import lines, ranged
+
+# Where leg, experiment and instrument stand in the path of a per-file table and of a raw file.
+PROCESSED_FILE = r"/LEG(\d+)/([^/]+)/([^/]+)/[^/]+$"
+RAW_FILE = r"/LEG(\d+)[^/]*/([^/]+)/(?:SEAPATH/)?([^/]+)/[^/]+$"
 
 
 @dataclass
@@ -279,3 +284,38 @@ def instrument_threshold(instrument: Column) -> Column:
     for name, minutes in schema.GAP_THRESHOLD_MINUTES_BY_INSTRUMENT.items():
         out = F.when(instrument == name, F.lit(minutes)).otherwise(out)
     return out
+
+
+def audit_files(
+    spark: SparkSession, processed: str | list[str], mapping: DataFrame, variables: DataFrame, raw: str | list[str] | None = None,
+    rule: str = PROCESSED_FILE, raw_rule: str = RAW_FILE,
+) -> dict[str, DataFrame]:
+    """The six tables of the format audit, from the files below `processed`.
+
+    Only the ends of the files are read. Leg, experiment and instrument come from a file's path by `rule`, the type of the raw file of the same
+    stem from those below `raw` by `raw_rule`: of several, one that the pipeline converts. Files without a filled line are in
+    `unreadable`; folders of derived products are passed over.
+    """
+    keys = ["leg", "experiment", "instrument"]
+
+    def placed(files: DataFrame, path: str, pattern: str) -> DataFrame:
+        part = [F.regexp_extract(path, pattern, k) for k in (1, 2, 3)]
+        found = files.where(F.col(path).rlike(pattern)).withColumns(dict(zip(keys, [part[0].cast("int"), *part[1:]], strict=True)))
+        return found.where(~F.col("instrument").isin(schema.SKIPPED_INSTRUMENTS))
+
+    instrument = F.regexp_extract("file", rule, 3)
+    preferred = F.coalesce(*[F.when(instrument == name, F.lit(column)) for name, column in schema.PREFERRED_TIME_COLUMN.items()])
+    named = placed(lines.file_manifest(spark, processed, preferred), "file", rule).where(F.lower("file_name").endswith(".csv"))
+    named = named.withColumn("_stem", F.regexp_replace("file_name", r"\.[^.]*$", ""))
+    if raw is None:
+        typed = named.withColumn("raw_type", F.lit("(no raw match)"))
+    else:
+        extension = F.lower(F.regexp_extract("file_name", r"(\.[^.]*)$", 1))
+        others = placed(ranged.listed(spark, raw), "path", raw_rule).withColumn("_stem", F.regexp_replace("file_name", r"\.[^.]*$", ""))
+        rank = F.struct(~extension.isin(schema.CONVERTED_TYPES), F.col("file_name"))
+        types = others.groupBy(*keys, "_stem").agg(F.min_by(extension, rank).alias("_type"))
+        typed = named.join(types, [*keys, "_stem"], "left").withColumn("raw_type", F.coalesce("_type", F.lit("(no raw match)"))).drop("_type")
+    manifest = materialize(typed.drop("_stem", "first_record", "last_record", "size", "bytes_read"), "manifest")
+    every = placed(ranged.listed(spark, processed), "path", rule).where(F.lower("file_name").endswith(".csv"))
+    unreadable = every.join(manifest, every["path"] == manifest["file"], "left_anti").select(*keys, "file_name", F.lit("empty file").alias("error"))
+    return audit.audit(manifest.drop("file"), mapping, variables, unreadable)

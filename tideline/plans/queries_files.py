@@ -7,7 +7,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import functions as F
 
-from tideline.plans import roles
+from tideline.plans import products, roles
 from tideline.plans.queries_io import record_xml
 from tideline.plans.registry import query
 from tideline.plans.roles import shown
@@ -161,3 +161,37 @@ def combined_table(spark, sf_dir):
             F.lit(len(read.columns)).alias("n_columns"),
         )
     )
+
+
+_SPANS_SQL = f"(SELECT instrument, leg, event_id % 2 AS part, min(ts) AS a, max(ts) AS b FROM {roles.LEGGED_SQL} GROUP BY 1, 2, 3)"
+
+
+@query(
+    "audit_report",
+    f"""
+    WITH o AS (SELECT x.instrument, count(*) AS n FROM {_SPANS_SQL} x JOIN {_SPANS_SQL} y
+               ON x.instrument = y.instrument AND x.leg = y.leg AND x.part < y.part AND greatest(x.a, y.a) < least(x.b, y.b) GROUP BY 1)
+    SELECT 'METEOROLOGY' AS experiment, instrument, count(*) AS n_files, count(DISTINCT part) AS n_layouts, 0::BIGINT AS unparsed_times,
+           count(DISTINCT part) AS layouts_missing_variables, false AS no_rename_map, 1::BIGINT AS rename_conflicts, coalesce(any_value(o.n), 0) AS leg_overlaps,
+           true AS flagged, any_value(e.n_rows) AS n_overlap_rows, count(*) AS n_listed
+    FROM {_SPANS_SQL} LEFT JOIN o USING (instrument), (SELECT sum(n)::BIGINT AS n_rows FROM o) e GROUP BY instrument
+    """,
+)
+def audit_report(spark, sf_dir):
+    """The format audit of files in two layouts, from the files to the stored report and back."""
+    out = shared_folder(spark, "audit")
+    rows = roles.legged(spark, sf_dir).withColumns({"experiment": F.lit("METEOROLOGY"), "part": F.col("event_id") % 2})
+    place = ["leg", "experiment", "instrument", "part"]
+    stamp = F.date_format("time", "yyyy-MM-dd HH:mm:ss.SSSSSS")
+    ordered = rows.repartition(*place).sortWithinPartitions(*place, "time")
+    for part, columns in ((0, [stamp.alias("Timestamp"), "user_id", "value"]), (1, ["value", stamp.alias("timestamp")])):
+        ordered.where(F.col("part") == part).select(*columns, *place).write.mode("append").option("header", "true").partitionBy(*place).csv(f"{out}/files")
+    names = [(i, raw, canonical) for i in roles.INSTRUMENTS for raw, canonical in (("user_id", "level"), ("value", "level"), ("p", "pressure"))]
+    mapping = spark.createDataFrame(names, "instrument string, raw string, canonical string").withColumn("experiment", F.lit("METEOROLOGY"))
+    variables = spark.createDataFrame([(i, ["level", "pressure"]) for i in roles.INSTRUMENTS], "instrument string, variables array<string>").withColumn("experiment", F.lit("METEOROLOGY"))
+    rule = r"leg=(\d+)/experiment=([^/]+)/instrument=([^/]+)/"
+    tables.write_audit_report(products.audit_files(spark, f"{out}/files", mapping, variables, rule=rule), f"{out}/report")
+    summary, overlaps, files, unreadable = (spark.read.parquet(f"{out}/report/{name}") for name in ("summary", "overlaps", "files", "unreadable"))
+    listed = files.groupBy("instrument").agg(F.count(F.lit(1)).alias("n_listed"))
+    whole = overlaps.agg(F.count(F.lit(1)).alias("n_overlap_rows"))
+    return summary.join(listed, "instrument").join(whole, F.lit(unreadable.count() == 0))

@@ -51,6 +51,10 @@ SPECTRUM = T.ArrayType(_struct(freq_hz=T.DoubleType(), level_db=T.DoubleType()))
 TIME_ALIASES = ["System Date and Time", "timestamp", "Timestamp", "NMEA_UTC_(Time)"]
 PREFERRED_TIME_COLUMN = {"Ferrybox_CTD": "dataTimestamp"}
 
+# Folders the format audit passes over, and types of raw files that are converted to tables.
+SKIPPED_INSTRUMENTS = ["GPS-MERGED-SOURCES", "EK80-RAW", "EK80_echos_ncdf"]
+CONVERTED_TYPES = [".zip", ".json", ".csv", ".cnv"]
+
 # Position sources, highest priority first.
 POSITION_SOURCES = ["GGA", "EK80_gps", "Ferrybox", "Bridge"]
 

@@ -40,10 +40,14 @@ def file_ends(spark: SparkSession, path: str | list[str]) -> DataFrame:
     )
 
 
-def file_manifest(spark: SparkSession, path: str | list[str], preferred: str | None = None) -> DataFrame:
-    """What the format audit needs to know of each file: header, time column, first and last time as text and parsed."""
+def file_manifest(spark: SparkSession, path: str | list[str], preferred: str | Column | None = None) -> DataFrame:
+    """What the format audit needs to know of each file: header, time column, first and last time as text and parsed.
+
+    `preferred` is the time column to take where a file has it: a name, or a column over `file` (the path) and `file_name`.
+    """
     ends = file_ends(spark, path)
-    known = [F.when(F.array_contains("header", name), F.lit(name)) for name in ([preferred] if preferred else []) + TIME_ALIASES]
+    first = [] if preferred is None else [F.lit(preferred) if isinstance(preferred, str) else preferred]
+    known = [F.when(F.array_contains("header", name), name) for name in [*first, *map(F.lit, TIME_ALIASES)]]
     timed = ends.withColumn("_time_col", F.coalesce(*known))
     at = F.array_position("header", F.col("_time_col")).cast("int")
     in_name = tm.format_time(tm.time_in_name("file_name"))

@@ -45,6 +45,11 @@ HEADLINE = [
     "wind_rose",
     "distribution",
     "audit_summary",
+    "layout_overlaps",
+    "ingest_delimited",
+    "ingest_profiles",
+    "ingest_archives",
+    "stream_resample",
 ]
 
 

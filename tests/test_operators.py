@@ -63,6 +63,9 @@ def test_timestamp_texts(spark):
         ("1/9/25 10:00", "2025-09-01 10:00:00.000000"), ("9/13/2025", "2025-09-13 00:00:00.000000"),
         ("1.9.2025 10:00:00+02:00", "2025-09-01 08:00:00.000000"), ("31/2/2025 10:00", None), ("1/9/2025 25:00", None), ("junk 1/9/2025", None),
         ("1/9/2025 and more", None), ("13/13/2025", None), ("Foo 21, 2025", None),
+        ("Tue, 02 Sep 2025 10:00:00 GMT", "2025-09-02 10:00:00.000000"), ("Tuesday 2 September 2025", "2025-09-02 00:00:00.000000"),
+        ("10:00 02/09/2025", "2025-09-02 10:00:00.000000"), ("10:00:01.25 PM, 2 Sep 2025", "2025-09-02 22:00:01.250000"), ("10:00", None),
+        ("20250902-101500", "2025-09-02 10:15:00.000000"), ("20250902 101500", "2025-09-02 10:15:00.000000"), ("Tue soon", None),
     ],
 )
 def test_free_time_texts(spark, text, wanted):

@@ -146,10 +146,19 @@ def parse_free_text(text: Column) -> Column:
     return _once(F.struct(found.alias("found"), left.alias("left")), built)
 
 
+def _date_first(text: Column) -> Column:
+    """Free text without a weekday in front and a zone name behind, and with its date before its clock."""
+    bare = F.regexp_replace(text, r"(?i)^(mon|tue|wed|thu|fri|sat|sun)[a-z]*\.?,?\s+", "")
+    bare = F.regexp_replace(bare, r"(?i)\s*\b(gmt|utc)$", "")
+    turned = F.regexp_replace(bare, r"^(\d{1,2}:\d{2}(?::\d{2}(?:\.\d+)?)?(?:\s*[AaPp][Mm])?)[,\s]+(\S.*)$", "$2 $1")
+    return F.when(text.rlike(r"^[A-Za-z]|^\d{1,2}:|[A-Za-z]$"), turned).otherwise(text)
+
+
 def to_utc(raw: Column | str, numeric: bool = False) -> Column:
     """Any supported timestamp text as TIMESTAMP; unparseable text becomes NULL.
 
-    The order is compact digits, epoch numbers, ISO 8601, then day-first text.
+    The order is compact digits (also as date-clock), epoch numbers, ISO 8601, then day-first text, with or without a weekday, its clock on
+    either side.
     Each value is judged on its own, so one odd row never changes how the
     others are read. A `numeric` column has lost leading zeros: whole numbers of 7 and 11 digits
     are compact dates with one.
@@ -164,7 +173,8 @@ def to_utc(raw: Column | str, numeric: bool = False) -> Column:
     return (
         F.when(digits, F.coalesce(parse_compact(text), parse_epoch(text)))
         .when(text.rlike(r"^\d{4}-\d{2}|^\d{8}T"), F.coalesce(parse_iso(text), parse_free_text(text)))
-        .otherwise(parse_free_text(text))
+        .when(text.rlike(r"^\d{8}[-_ ]\d{6}$"), parse_compact(F.regexp_replace(text, "[-_ ]", "")))
+        .otherwise(_once(_date_first(text), parse_free_text))
     )
 
 

@@ -590,9 +590,11 @@ def dedup_records(spark, sf_dir):
     "stacked_streams",
     """
     SELECT user_id % 50 AS file_no, ts AS timestamp, 'time1' AS time_source, value AS latitude, NULL::DOUBLE AS pitch,
-           CAST(20 + user_id % 50 AS DOUBLE) AS env_temperature FROM events WHERE event_type = 'click'
+           NULL::DOUBLE AS heave, CAST(20 + user_id % 50 AS DOUBLE) AS env_temperature FROM events WHERE event_type = 'click'
     UNION ALL
-    SELECT user_id % 50, ts, 'time2', NULL, value, CAST(20 + user_id % 50 AS DOUBLE) FROM events WHERE event_type = 'view'
+    SELECT user_id % 50, ts, 'time2', NULL, value, NULL, CAST(20 + user_id % 50 AS DOUBLE) FROM events WHERE event_type = 'view'
+    UNION ALL
+    SELECT user_id % 50, ts, 'time3', NULL, NULL, value, CAST(20 + user_id % 50 AS DOUBLE) FROM events WHERE event_type NOT IN ('click', 'view')
     """,
 )
 def stacked_streams(spark, sf_dir):
@@ -601,6 +603,7 @@ def stacked_streams(spark, sf_dir):
     parts = {
         "time1": rows.where(F.col("instrument") == "click").select(*base, F.col("value").alias("latitude")),
         "time2": rows.where(F.col("instrument") == "view").select(*base, F.col("value").alias("pitch")),
+        "time3": rows.where(~F.col("instrument").isin("click", "view")).select(*base, F.col("value").alias("heave")),
     }
     constants = rows.select("file_no").distinct().withColumn("env_temperature", F.col("file_no") + 20.0)
     return shown(projection.stack_streams(parts, constants, "file_no"))

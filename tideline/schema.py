@@ -2,51 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import types as T
-
-KEY = ["cruise", "leg", "experiment", "instrument"]
-
-
-def _struct(**fields: T.DataType) -> T.StructType:
-    return T.StructType([T.StructField(name, kind) for name, kind in fields.items()])
-
-
-_KEY_FIELDS = {
-    "cruise": T.StringType(),
-    "leg": T.IntegerType(),
-    "experiment": T.StringType(),
-    "instrument": T.StringType(),
-}
-
-LEG_WINDOWS = _struct(leg=T.IntegerType(), start=T.TimestampType(), end=T.TimestampType())
-PRESSURE_RULES = _struct(leg=T.IntegerType(), pressure_under=T.DoubleType())
-POSITIONS = _struct(
-    **_KEY_FIELDS,
-    time=T.TimestampType(),
-    latitude_deg=T.DoubleType(),
-    longitude_deg=T.DoubleType(),
-    source=T.StringType(),
-)
-GAPS = _struct(
-    **_KEY_FIELDS,
-    file_name=T.StringType(),
-    gap_type=T.StringType(),
-    previous_time=T.TimestampType(),
-    current_time=T.TimestampType(),
-    gap_minutes=T.DoubleType(),
-    gap_hours=T.DoubleType(),
-)
-FILE_MANIFEST = _struct(
-    **_KEY_FIELDS,
-    file_name=T.StringType(),
-    start=T.TimestampType(),
-    end=T.TimestampType(),
-    raw_mtime=T.TimestampType(),
-    processed_mtime=T.TimestampType(),
-    header=T.ArrayType(T.StringType()),
-)
-SPECTRUM = T.ArrayType(_struct(freq_hz=T.DoubleType(), level_db=T.DoubleType()))
-
 # Raw time columns in the order they are tried, and per-instrument overrides.
 TIME_ALIASES = ["System Date and Time", "timestamp", "Timestamp", "NMEA_UTC_(Time)"]
 PREFERRED_TIME_COLUMN = {"Ferrybox_CTD": "dataTimestamp"}

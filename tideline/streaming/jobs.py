@@ -135,7 +135,8 @@ def _gap_finder(keys: list[str], width: int) -> StatefulProcessor:
             step = starts - ends
             found = step > width
             self.last.update((int(buckets["final_us"].max()),))
-            out = {name: [value] * int(found.sum()) for name, value in zip(keys, key)}
+            # Of type object also where no gap is found: an empty list would become a column of floats, which Spark cannot turn into text.
+            out = {name: pd.Series([value] * int(found.sum()), dtype=object) for name, value in zip(keys, key)}
             out["previous_time"] = pd.to_datetime(ends[found], unit="us", utc=True)
             out["current_time"] = pd.to_datetime(starts[found], unit="us", utc=True)
             out["gap_minutes"] = np.round(step[found] / minute, 3)

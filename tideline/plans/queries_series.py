@@ -80,13 +80,17 @@ _FIXES_SQL = (
 )
 
 
-def _pair_sql(left: str) -> str:
+# Of fixes at one time the one of lowest latitude, longitude and source, as `asof.Source` has it.
+_SINGLE_FIXES_SQL = f"(SELECT * FROM {_FIXES_SQL} QUALIFY row_number() OVER (PARTITION BY ts ORDER BY lat, lon, src) = 1)"
+
+
+def _pair_sql(left: str, fixes: str) -> str:
     """`left` with the fixes half a window before (a_) and after (b_)."""
-    first = nearest_sql(left, _FIXES_SQL, ["lat", "lon", "src"], _TOLERANCE_S, "fa", -_HALF_WINDOW_S)
-    return nearest_sql(first, _FIXES_SQL, ["lat", "lon", "src"], _TOLERANCE_S, "fb", _HALF_WINDOW_S)
+    first = nearest_sql(left, fixes, ["lat", "lon", "src"], _TOLERANCE_S, "fa", -_HALF_WINDOW_S)
+    return nearest_sql(first, fixes, ["lat", "lon", "src"], _TOLERANCE_S, "fb", _HALF_WINDOW_S)
 
 
-def _velocity_sql(left: str) -> str:
+def _velocity_sql(left: str, fixes: str = _FIXES_SQL) -> str:
     return f"""
     (SELECT * EXCLUDE (ve, vn), CASE WHEN ok THEN sqrt(ve * ve + vn * vn) / (1852.0::DOUBLE / 3600.0) END AS sog,
             CASE WHEN ok THEN CASE WHEN degrees(atan2(ve, vn)) < 0 THEN degrees(atan2(ve, vn)) + 360
@@ -97,7 +101,7 @@ def _velocity_sql(left: str) -> str:
            FROM (SELECT *, (epoch_us(fb_ts) - epoch_us(fa_ts)) / 1e6 AS dt,
                         coalesce(fa_src = fb_src AND epoch_us(fb_ts) - epoch_us(fa_ts) >= {_HALF_WINDOW_S}000000, false)
                           AS ok
-                 FROM {_pair_sql(left)})))
+                 FROM {_pair_sql(left, fixes)})))
     """
 
 
@@ -105,7 +109,7 @@ def _velocity_sql(left: str) -> str:
     "ship_velocity",
     f"""
     SELECT event_id, ts AS time, round(cog, 6) AS course_over_ground_deg_true, round(sog, 6) AS speed_over_ground_kt
-    FROM {_velocity_sql(_of("purchase"))}
+    FROM {_velocity_sql(_of("purchase"), _SINGLE_FIXES_SQL)}
     """,
 )
 def ship_velocity(spark, sf_dir):

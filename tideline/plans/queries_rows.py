@@ -260,12 +260,13 @@ def category_shares(spark, sf_dir):
     WITH a AS (SELECT event_id, radians((event_id * 37) % 360 + (user_id * 11) % 360) AS app,
                       radians((event_id * 53) % 360) AS cog, value AS speed, value / 10 AS sog FROM events),
          b AS (SELECT event_id, sog * sin(cog) - speed * sin(app) AS u, sog * cos(cog) - speed * cos(app) AS v FROM a),
-         c AS (SELECT event_id, degrees(atan2(-u, -v)) AS d, sqrt(u * u + v * v) AS s FROM b)
-    SELECT event_id, round(CASE WHEN d < 0 THEN d + 360 ELSE d END, 6) AS true_wind_direction_deg,
+         c AS (SELECT event_id, CASE WHEN u = 0 AND v = 0 THEN 0 ELSE degrees(atan2(-u, -v)) END AS d, sqrt(u * u + v * v) AS s FROM b)
+    SELECT event_id, fmod(round(CASE WHEN d < 0 THEN d + 360 ELSE d END, 6), 360) AS true_wind_direction_deg,
            round(s, 6) AS true_wind_speed_m_s FROM c
     """,
 )
 def true_wind(spark, sf_dir):
+    """True wind, its direction from 0 to below 360 degrees also where rounding reaches 360; calm comes from 0."""
     direction, speed = wind.true_wind(
         (F.col("event_id") * 37 % 360).cast("double"),
         F.col("value"),
@@ -275,7 +276,7 @@ def true_wind(spark, sf_dir):
     )
     return shown(
         roles.events(spark, sf_dir).select(
-            "event_id", direction.alias("true_wind_direction_deg"), speed.alias("true_wind_speed_m_s")
+            "event_id", F.pmod(roles.r6(direction), F.lit(360.0)).alias("true_wind_direction_deg"), speed.alias("true_wind_speed_m_s")
         )
     )
 

@@ -287,15 +287,23 @@ def wind_rose(spark, sf_dir):
     return shown(stats.wind_rose(rows, ["instrument"], "direction", "speed"))
 
 
+def _percentile_sql(p: float) -> str:
+    """A percentile between the two values next to its rank, in the steps of `stats.exact_percentiles`; equal values need none."""
+    low, high = (f"max(value) FILTER (rn = {f}((n - 1) * {p}::DOUBLE))" for f in ("floor", "ceil"))
+    weight = f"max((n - 1) * {p}::DOUBLE - floor((n - 1) * {p}::DOUBLE))"
+    return f"CASE WHEN {low} = {high} THEN {low} ELSE {low} + ({high} - {low}) * {weight} END"
+
+
 @query(
     "distribution",
-    """
-    WITH q AS (SELECT event_type AS instrument, quantile_cont(value, 0.25) AS q1, median(value) AS med,
-                      quantile_cont(value, 0.75) AS q3 FROM events GROUP BY 1)
+    f"""
+    WITH r AS (SELECT event_type AS instrument, value, row_number() OVER (PARTITION BY event_type ORDER BY value) - 1 AS rn,
+                      count(*) OVER (PARTITION BY event_type) AS n FROM events WHERE value IS NOT NULL),
+         q AS (SELECT instrument, {_percentile_sql(0.25)} AS q1, {_percentile_sql(0.5)} AS med, {_percentile_sql(0.75)} AS q3 FROM r GROUP BY 1)
     SELECT instrument, count(*) AS n, round(q1, 6) AS q1, round(med, 6) AS median, round(q3, 6) AS q3,
            min(value) FILTER (value >= q1 - (q3 - q1) * 1.5) AS whisker_low,
            max(value) FILTER (value <= q3 + (q3 - q1) * 1.5) AS whisker_high
-    FROM events JOIN q ON q.instrument = event_type GROUP BY instrument, q1, med, q3
+    FROM r JOIN q USING (instrument) GROUP BY instrument, q1, med, q3
     """,
 )
 def distribution(spark, sf_dir):

@@ -229,8 +229,7 @@ def pairwise_overlaps(
     edges = seq.chunk_edges(merged, named, F.col("_s"), rows_at_once)
     met = seq.join_summary(merged, edges, named, F.col("_s"))
     first, last = (seq.chunk_of(F.col(c), F.col("_halvings"), F.col("_edges")) for c in ("_s", "_e"))
-    step = (F.lit(1 << seq._CUTS) / F.pow(F.lit(2.0), F.col("_halvings"))).cast("int")
-    parted = met.withColumn("_chunk", F.explode(F.sequence(first, last, step)))
+    parted = met.withColumn("_chunk", F.explode(F.sequence(first, last)))
     low, high = seq.chunk_bounds(F.col("_chunk"), F.col("_halvings"), F.col("_edges"))
     cut = parted.select(*named, "_chunk", "_name", F.greatest("_s", low).alias("_s"), F.least("_e", high).alias("_e"))
     kinds = {f.name: f.dataType.simpleString() for f in merged.schema}

@@ -31,20 +31,26 @@ def chunk_edges(df: DataFrame, keys: list[str], value: Column, rows: int) -> Dat
     """(keys, _halvings, _edges): where to cut each key's values so that a chunk holds about `rows` of them, at most 2 ** 11 chunks a key.
 
     The edges come from a quantile sketch, so they follow the values and not the clock. They are written once, so that all
-    steps cut alike. Keys with few rows have no edges.
+    steps cut alike. A key has one edge between two chunks and no more, so edges are as many as its rows need; keys with few rows have none.
     """
     shares = F.array(*[F.lit(k / 2**_CUTS) for k in range(1, 2**_CUTS)])
     found = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"), F.percentile_approx(value, shares, 20_000).alias("_edges"))
     halvings = F.least(F.ceil(F.log2(F.greatest(F.col("_rows") / float(rows), F.lit(1.0)))), F.lit(_CUTS)).cast("int")
-    return materialize(found.select(*keys, halvings.alias("_halvings"), F.when(halvings > 0, F.col("_edges")).alias("_edges")), "edges")
+    halved = found.select(*keys, "_edges", halvings.alias("_halvings"))
+    step = (F.lit(1 << _CUTS) / _chunks(F.col("_halvings"))).cast("int")
+    needed = F.transform(F.sequence(F.lit(1), _chunks(F.col("_halvings")) - 1), lambda k: F.element_at("_edges", k * step))
+    return materialize(halved.select(*keys, "_halvings", F.when(F.col("_halvings") > 0, needed).alias("_edges")), "edges")
+
+
+def _chunks(halvings: Column) -> Column:
+    return F.pow(F.lit(2.0), halvings).cast("int")
 
 
 def chunk_of(value: Column, halvings: Column, edges: Column) -> Column:
     """Number of the chunk that holds a value: how many edges are not above it, found by as many halvings; numbers rise with values."""
 
     def half(place: Column, k: Column) -> Column:
-        step = F.lit(1 << _CUTS) / F.pow(F.lit(2.0), k)
-        further = (place + step).cast("int")
+        further = (place + F.pow(F.lit(2.0), halvings - k)).cast("int")
         return F.when(F.element_at(edges, further) <= value, further).otherwise(place)
 
     found = F.aggregate(F.sequence(F.lit(1), halvings), F.lit(0), half)
@@ -54,9 +60,9 @@ def chunk_of(value: Column, halvings: Column, edges: Column) -> Column:
 
 def chunk_bounds(chunk: Column, halvings: Column, edges: Column) -> tuple[Column, Column]:
     """Values at which a chunk begins and the next one does; NULL at the ends of all."""
-    step = (F.lit(1 << _CUTS) / F.pow(F.lit(2.0), halvings)).cast("int")
-    after = chunk + step
-    return F.when(chunk > 0, F.element_at(edges, F.greatest(chunk, F.lit(1)))), F.when(after < (1 << _CUTS), F.element_at(edges, F.least(after, F.lit((1 << _CUTS) - 1))))
+    after = chunk + 1
+    inner = after < _chunks(halvings)
+    return F.when(chunk > 0, F.element_at(edges, F.greatest(chunk, F.lit(1)))), F.when(inner, F.element_at(edges, F.when(inner, after)))
 
 
 def with_equal_chunks(df: DataFrame, keys: list[str], value: Column, rows: int, name: str = "_chunk", width: int = tm.HOUR) -> DataFrame:

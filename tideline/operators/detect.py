@@ -30,7 +30,9 @@ SAMPLE_RATE = 32_000.0
 INSTRUMENT_TONES_HZ = [38_000.0, 75_000.0, 80_000.0]
 AVOID_LABELS = ["Stream", "Water", "Pour", "Frying (food)", "Drip", "Boiling", "Raindrop"]
 
-_BLOCK = 256  # points of a block
+_BLOCK = 256  # points of a block, at least
+_LARGEST_BLOCK = 4_096
+_BLOCKS = 64  # blocks of a recording, about, before they reach the largest size
 _SLAB = 16  # blocks of a slab, about
 _PIVOTS = 3
 _UNIT = 2**-20  # distances are ordered in these steps
@@ -55,10 +57,18 @@ def _with_pivots(points: DataFrame, keys: list[str]) -> DataFrame:
     return spots
 
 
-def _blocks(points: DataFrame, keys: list[str], block: int) -> DataFrame:
+def block_size(points: int, recordings: int, least: int = _BLOCK) -> int:
+    """Points of a block, so that a recording of average size has about `_BLOCKS` blocks.
+
+    Each block travels to all that it may meet: with as many blocks, what travels grows with the points and not with their square.
+    """
+    return max(least, min(_LARGEST_BLOCK, -(-points // (max(recordings, 1) * _BLOCKS))))
+
+
+def _blocks(points: DataFrame, keys: list[str], block: int, vector: str = "array<double>") -> DataFrame:
     """Blocks of at most `block` points: slabs of equal count along the distance to the first pivot, cut along that to the second.
 
-    A block knows the range of its distances to every pivot (`_low`, `_high`).
+    A block knows the range of its distances to every pivot (`_low`, `_high`). `vector` is the type its vectors travel in.
     """
     place = (F.col("_d")[0] / _UNIT).cast("long")
     slabbed = seq.with_equal_chunks(points, keys, place, block * _SLAB, "_slab", width=int(0.25 / _UNIT))
@@ -68,7 +78,7 @@ def _blocks(points: DataFrame, keys: list[str], block: int) -> DataFrame:
     return cut.groupBy(*keys, "_slab", "_part").agg(
         F.array(*ranges[:_PIVOTS]).alias("_low"),
         F.array(*ranges[_PIVOTS:]).alias("_high"),
-        F.collect_list(F.struct("_point", "_vector", "_weight")).alias("_members"),
+        F.collect_list(F.struct("_point", F.col("_vector").cast(vector).alias("_vector"), "_weight")).alias("_members"),
         F.min("_point").alias("_block"),
     )
 
@@ -105,11 +115,14 @@ def _near_counter(eps: float):
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for ids, left, right, weight in zip(batch["ids"], batch["left"], batch["right"], batch["weight"]):
-                a, b, w = np.stack(left), np.stack(right), np.asarray(weight)
+                a, b, w = np.stack(left).astype(float), np.stack(right).astype(float), np.asarray(weight)
                 near = []
                 for row in range(0, len(a), 32):
-                    gap = a[row : row + 32, None, :] - b[None, :, :]
-                    near.append((np.einsum("ijk,ijk->ij", gap, gap) <= eps * eps) @ w)
+                    found = np.zeros(len(a[row : row + 32]), np.int64)
+                    for column in range(0, len(b), 256):
+                        gap = a[row : row + 32, None, :] - b[None, column : column + 256, :]
+                        found += (np.einsum("ijk,ijk->ij", gap, gap) <= eps * eps) @ w[column : column + 256]
+                    near.append(found)
                 yield pd.DataFrame({"_point": np.asarray(ids), "_near": np.concatenate(near).astype("int64")})
 
     return count
@@ -150,11 +163,15 @@ def noise_points(
     the pairs. `point` is unique over the table.
     """
     points = indexed(df, keys, point, vector)
-    blocks = materialize(_blocks(points, keys, block), "blocks")
+    # Floats travel as floats, which loses nothing.
+    kind = "array<float>" if df.schema[vector].dataType.simpleString() == "array<float>" else "array<double>"
+    sizes = points.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).agg(F.coalesce(F.sum("_n"), F.lit(0)), F.count(F.lit(1))).first()
+    block = block_size(*sizes, least=block)
+    blocks = materialize(_blocks(points, keys, block, kind), "blocks")
     counted = materialize(points.join(_near_weight(blocks, blocks, keys, eps), "_point"), "counted")
     core = counted.where(F.col("_near") >= min_samples).drop("_near")
     sparse = counted.where(F.col("_near") < min_samples).drop("_near")
-    touched = _near_weight(_blocks(sparse, keys, block), _blocks(core, keys, block), keys, eps).where(F.col("_near") > 0)
+    touched = _near_weight(_blocks(sparse, keys, block, kind), _blocks(core, keys, block, kind), keys, eps).where(F.col("_near") > 0)
     noise = sparse.join(touched, "_point", "left_anti").select(*keys, "_vector")
     values = F.transform(F.col(vector), lambda x: x.cast("double"))
     return df.withColumn("_vector", values).join(noise, [*keys, "_vector"], "left_semi").select(*df.columns)

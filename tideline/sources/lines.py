@@ -134,10 +134,14 @@ def numbered_lines(spark: SparkSession, path: str | list[str], kept: Column | No
 
 
 def _split_offsets(lines: DataFrame) -> DataFrame:
-    """(_path, _block, _first, _before): the first line id of each split, and the number of lines in the file's earlier splits."""
+    """(_path, _block, _first, _before): the first line id of each split, and the number of lines in the file's earlier splits.
+
+    Written once, so that joins know how small it is and never hash the lines.
+    """
     blocks = lines.groupBy("_path", "_block").agg(F.count(F.lit(1)).alias("_lines"), F.min("_at").alias("_first"))
     earlier = Window.partitionBy("_path").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
-    return blocks.select("_path", "_block", "_first", F.coalesce(F.sum("_lines").over(earlier), F.lit(0)).alias("_before"))
+    before = F.coalesce(F.sum("_lines").over(earlier), F.lit(0)).alias("_before")
+    return materialize(blocks.select("_path", "_block", "_first", before), "offsets")
 
 
 def _repaired(line: Column) -> Column:

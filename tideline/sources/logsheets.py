@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tideline.functions import geo
 from tideline.functions import time as tm
 from tideline.operators.projection import quoted
+from tideline.session import materialize
 from tideline.sources.lines import FILE, numbered_lines
 from tideline.sources.ranged import heads
 
@@ -76,7 +77,7 @@ def read_bridge_log(spark: SparkSession, path: str | list[str]) -> DataFrame:
         return F.split(F.replace(line, F.lit('"'), F.lit("")), ",")
 
     names = F.transform(cells(F.try_element_at("head", F.lit(wanted))), lambda name: F.lower(F.trim(name)))
-    files = heads(spark, path, top).select("_path", names.alias("_names"))
+    files = materialize(heads(spark, path, top).select("_path", names.alias("_names")), "heads")
     body = numbered_lines(spark, path).where(F.col("line_no") > wanted)
     table = body.join(files, "_path").select(FILE, "_names", cells(F.col("line")).alias("_row"))
 

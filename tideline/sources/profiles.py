@@ -9,6 +9,7 @@ from tideline.functions import acoustic as ac
 from tideline.functions import text as tx
 from tideline.functions import time as tm
 from tideline.operators.sequence import day_rollover
+from tideline.session import materialize
 from tideline.sources.lines import FILE, numbered_lines
 from tideline.sources.ranged import heads, own_copy
 
@@ -56,7 +57,10 @@ def _cnv_head(lines: list[str], whole: bool) -> list[str] | None:
 
 
 def _cnv_files(spark: SparkSession, path: str | list[str], lines: DataFrame) -> DataFrame:
-    """One row per file, from its head: names, metadata, `_start` (number of the table's first filled line) and the problem."""
+    """One row per file, from its head: names, metadata, `_start` (number of the table's first filled line) and the problem.
+
+    Written before lines meet it, so that joins know how small it is and never hash the lines.
+    """
     head = F.filter(F.transform("head", lambda line: F.trim(line)), lambda line: line != "")
     tops = heads(spark, path, own_copy(_cnv_head)).select("_path", F.col("file_name").alias(FILE), head.alias("_head"))
     last = F.coalesce(F.try_element_at("_head", F.lit(-1)), F.lit("#"))
@@ -66,20 +70,21 @@ def _cnv_files(spark: SparkSession, path: str | list[str], lines: DataFrame) ->
     entries = F.filter(
         F.transform(F.filter("_head", lambda line: line.startswith("*")), tx.metadata_entry), lambda e: e.isNotNull()
     )
-    files = tops.select(
+    found = tops.select(
         "_path",
         FILE,
         tx.numbered_repeats(names).alias("names"),
         F.map_from_entries(tx.last_of_each(entries)).alias("metadata"),
         F.when(~last.startswith("#") & ~last.startswith("*"), F.size("_head")).alias("_start"),
     )
+    files = materialize(found, "heads")
     # All lines without a mark are of the table; those with one are, where they follow its start.
     marked = F.trim("line").startswith("#") | F.trim("line").startswith("*")
     inside = lines.where(marked).join(files.select("_path", "_start"), "_path").where(F.col("line_no") >= F.col("_start"))
     table = lines.where(~marked).select("_path", "line").unionByName(inside.select("_path", "line"))
     n_cells = F.size(F.split(F.trim("line"), r"\s+"))
     widths = table.groupBy("_path").agg(F.min(n_cells).alias("_least"), F.max(n_cells).alias("_most"))
-    return files.join(widths, "_path", "left").withColumn("problem", _cnv_problem())
+    return materialize(files.join(widths, "_path", "left").withColumn("problem", _cnv_problem()), "files")
 
 
 def _cnv_problem() -> Column:
@@ -132,13 +137,14 @@ def _spectrum_files(spark: SparkSession, path: str | list[str]) -> DataFrame:
             F.trim(F.split(line, "\t", 2)[0]).alias("key"), F.trim(F.split(line, "\t", 2)[1]).alias("value")
         ),
     )
-    return tops.select(
+    found = tops.select(
         "_path",
         FILE,
         F.map_from_entries(tx.last_of_each(pairs)).alias("header"),
         F.split(F.try_element_at("_head", F.lit(-1)), "\t").alias("columns"),
         F.size("_head").alias("_start"),
     )
+    return materialize(found, "heads")
 
 
 def spectrum_problems(spark: SparkSession, path: str | list[str]) -> DataFrame:

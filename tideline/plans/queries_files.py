@@ -180,16 +180,17 @@ _SPANS_SQL = f"(SELECT instrument, leg, event_id % 2 AS part, min(ts) AS a, max(
 def audit_report(spark, sf_dir):
     """The format audit of files in two layouts, from the files to the stored report and back."""
     out = shared_folder(spark, "audit")
-    rows = roles.legged(spark, sf_dir).withColumns({"experiment": F.lit("METEOROLOGY"), "part": F.col("event_id") % 2})
-    place = ["leg", "experiment", "instrument", "part"]
+    rows = roles.legged(spark, sf_dir).withColumn("part", F.col("event_id") % 2)
+    place = ["leg", "instrument", "part"]
     stamp = F.date_format("time", "yyyy-MM-dd HH:mm:ss.SSSSSS")
+    # The experiment stands in the path: with a constant among its partition columns the writer sorts anew and drops the order by time.
     ordered = rows.repartition(*place).sortWithinPartitions(*place, "time")
     for part, columns in ((0, [stamp.alias("Timestamp"), "user_id", "value"]), (1, ["value", stamp.alias("timestamp")])):
-        ordered.where(F.col("part") == part).select(*columns, *place).write.mode("append").option("header", "true").partitionBy(*place).csv(f"{out}/files")
+        ordered.where(F.col("part") == part).select(*columns, *place).write.mode("append").option("header", "true").partitionBy(*place).csv(f"{out}/files/experiment=METEOROLOGY")
     names = [(i, raw, canonical) for i in roles.INSTRUMENTS for raw, canonical in (("user_id", "level"), ("value", "level"), ("p", "pressure"))]
     mapping = spark.createDataFrame(names, "instrument string, raw string, canonical string").withColumn("experiment", F.lit("METEOROLOGY"))
     variables = spark.createDataFrame([(i, ["level", "pressure"]) for i in roles.INSTRUMENTS], "instrument string, variables array<string>").withColumn("experiment", F.lit("METEOROLOGY"))
-    rule = r"leg=(\d+)/experiment=([^/]+)/instrument=([^/]+)/"
+    rule = r"(?=experiment=[^/]+/leg=(\d+)/)experiment=([^/]+)/leg=\d+/instrument=([^/]+)/"
     tables.write_audit_report(products.audit_files(spark, f"{out}/files", mapping, variables, rule=rule), f"{out}/report")
     summary, overlaps, files, unreadable = (spark.read.parquet(f"{out}/report/{name}") for name in ("summary", "overlaps", "files", "unreadable"))
     listed = files.groupBy("instrument").agg(F.count(F.lit(1)).alias("n_listed"))
